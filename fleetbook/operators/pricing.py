@@ -169,10 +169,13 @@ def expire_offers(offers: DataFrame, res: DataFrame, *, code: str = "promo_code"
 
 
 def cap_payment(pay: DataFrame, res: DataFrame, *, key: str = "reservation_id",
-                paid: str = "amount_paid", total: str = "tot_amount") -> DataFrame:
+                paid: str = "amount_paid", total: str = "tot_amount",
+                carry: Sequence[str] = ()) -> DataFrame:
     """Cap each payment at its reservation's total (each payment alone, not
-    against the balance). A payment for an unknown reservation is kept."""
-    totals = res.select(F.col(key).alias("__rk"), F.col(total).alias("__tot"))
+    against the balance). A payment for an unknown reservation is kept.
+    ``carry`` names reservation columns to bring along from the same join.
+    Works unchanged on a streaming ``pay`` (stream-static left join)."""
+    totals = res.select(F.col(key).alias("__rk"), F.col(total).alias("__tot"), *carry)
     out = pay.join(totals, F.col(key) == F.col("__rk"), "left")
     capped = F.when(F.col(paid) > F.col("__tot"), F.col("__tot")).otherwise(F.col(paid))
     return out.withColumn(paid, capped.cast(pay.schema[paid].dataType)).drop("__rk", "__tot")

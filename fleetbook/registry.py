@@ -17,8 +17,11 @@ from fleetbook import starmap as sm
 from fleetbook.functions.scalars import (char_pad, concat_null_as_empty, dec_lit, format_date,
                                          money, parse_date, round_to_int)
 from fleetbook.operators import integrity, pricing, queries, reports, settlement
+from fleetbook.session import scratch_path
 from fleetbook.sources.schemas import ForeignKey
 from fleetbook.sources.tables import append_rows, read_table, scan_all
+from fleetbook.streaming import payments as stream_payments
+from fleetbook.streaming import promos as stream_promos
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -495,3 +498,58 @@ def cascade_delete_q(spark, d):
     kept = integrity.cascade_delete({"customer": customer, "orders": orders, "lineitem": lineitem},
                                     {"customer": doomed}, fks)
     return kept["lineitem"].select(*_LINE_COLS)
+
+
+# ---------------------------------------------------------------- streaming
+
+def _events_stream(spark: SparkSession, src_dir: str, name: str = "events") -> DataFrame:
+    schema = read_table(spark, src_dir, name).schema
+    return (spark.readStream.schema(schema)
+            .option("pathGlobFilter", f"{name}.parquet").parquet(src_dir))
+
+
+@register("stream_cap_payments",
+          "SELECT e.event_id, c.c_name, CASE WHEN CAST(e.value AS DECIMAL(12,2)) > "
+          "CAST(c.c_acctbal AS DECIMAL(12,2)) THEN CAST(c.c_acctbal AS DECIMAL(12,2)) "
+          "ELSE CAST(e.value AS DECIMAL(12,2)) END AS amount_paid "
+          "FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id")
+def stream_cap_payments_q(spark, d):
+    """Events replayed as payments by user, capped at the user's balance."""
+    base = scratch_path(spark, "stream_cap_payments")
+    pay = _events_stream(spark, d).select(
+        "event_id", F.col("user_id").alias("reservation_id"), money("value").alias("amount_paid"))
+    totals = _t(spark, d, "customer").select(
+        F.col("c_custkey").alias("reservation_id"), money("c_acctbal").alias("tot_amount"),
+        "c_name")
+    capped = stream_payments.capped_payments(pay, totals, carry=("c_name",))
+    q = stream_payments.start_to_parquet(capped.select("event_id", "c_name", "amount_paid"),
+                                         f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+STREAM_SLICES = 4
+
+
+@register("stream_one_time_promo",
+          "SELECT event_id, event_type, CASE WHEN row_number() OVER (PARTITION BY event_type "
+          "ORDER BY ts, event_id) = 1 THEN 1 ELSE 0 END AS promo_available FROM events")
+def stream_one_time_promo_q(spark, d):
+    """Events replayed as reservations using code ``event_type``, arriving in
+    four time-ordered micro-batches; each code is a one-time offer."""
+    base = scratch_path(spark, "stream_one_time_promo")
+    events = _t(spark, d, "events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    src, out, state, ckpt = (f"{base}/{x}" for x in ("source", "out", "state", "checkpoint"))
+    handler = stream_promos.OneTimeOfferUse(out, state, ("ts",), key="event_id",
+                                            code="event_type")
+    if lo is not None:
+        step = (hi - lo) / STREAM_SLICES
+        for i in range(STREAM_SLICES):
+            cond = F.col("ts") >= F.lit(lo + step * i).cast("timestamp_ntz") if i else F.lit(True)
+            if i < STREAM_SLICES - 1:
+                cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)).cast("timestamp_ntz"))
+            events.where(cond).write.mode("append").parquet(src)
+            stream = spark.readStream.schema(events.schema).parquet(src)
+            stream_promos.run_batches(stream, handler, ckpt)
+    return (spark.read.parquet(out).select("event_id", "event_type", "promo_available"))
