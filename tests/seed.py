@@ -1,0 +1,129 @@
+"""Seed rows of the rental tables, typed by hand.
+
+Keys, amounts, dates, statuses and names follow the seed inserts; phone
+numbers beyond the location phones, streets, passwords, card numbers and
+CVVs are made up (only the equality of courtney90's saved card and the card
+of payment 1001 is kept).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+from fleetbook.sources.schemas import SCHEMAS
+
+
+def d(s: str) -> dt.date:
+    return dt.date.fromisoformat(s)
+
+
+CARD_C = "4000123412341234"
+CARD_M = "5100567856785678"
+
+ROWS = {
+    "rental_location": [
+        (101, "9726031111", "dallas@rent.test", "100 Main St", "TX", "75123"),
+        (102, "9726032222", "plano@rent.test", "200 Oak Ave", "TX", "75024"),
+        (103, "9721903121", "irving@rent.test", "300 Elm St", "TX", "75038"),
+        (104, "721903121", None, "400 Pine Rd", "TX", "75080"),
+        (105, "5026981045", "frisco@rent.test", "500 Lake Dr", "TX", "75034"),
+    ],
+    "car_type": [
+        ("Economy", D("19.95")), ("Standard", D("29.95")), ("SUV", D("89.95")),
+        ("MiniVan", D("109.95")), ("Premium", D("149.95")),
+    ],
+    "insurance": [
+        ("Liability", D("25000"), D("50000"), D("0")),
+        ("Comprehensive", D("50000"), D("50000"), D("50000")),
+    ],
+    "car_insurance": [
+        ("Economy", "Liability", D("9.99")), ("Standard", "Liability", D("10.99")),
+        ("SUV", "Liability", D("12.99")), ("MiniVan", "Liability", D("14.99")),
+        ("Premium", "Liability", D("19.99")),
+        ("Economy", "Comprehensive", D("19.99")), ("Standard", "Comprehensive", D("19.99")),
+        ("SUV", "Comprehensive", D("24.99")), ("MiniVan", "Comprehensive", D("29.99")),
+        ("Premium", "Comprehensive", D("49.99")),
+    ],
+    "car_user": [
+        ("E12905109", "Patrick", "G", "Cleaver", "p.cleaver@mail.test", "1 First St",
+         "9720000001", d("1970-01-10"), "Regular"),
+        ("C11609103", "Courtney", None, "Rollins", "courtney.r@hotmail.com", "2 Second St",
+         "9720000002", d("1990-03-20"), "Premium"),
+        ("G30921561", "Glenn", None, "Tucker", "glenn.t@mail.test", "3 Third St",
+         "9720000003", d("1964-07-04"), "Regular"),
+        ("R12098127", "Ron", None, "Harper", "ron.h@mail.test", "4 Fourth St",
+         "9720000004", d("1985-11-30"), "Regular"),
+        ("M12098127", "Manoj", None, "Punwani", "manoj.p@mail.test", "5 Fifth St",
+         "9720000005", d("1987-02-14"), "Premium"),
+    ],
+    "user_credentials": [
+        ("courtney90", "pw-one", "2014", "C11609103"),
+        ("glenn64", "pw-two", "2015", "G30921561"),
+        ("manoj87", "pw-three", "2013", "M12098127"),
+    ],
+    "card_details": [
+        ("courtney90", "Courtney Rollins", CARD_C, d("2019-05-31"), "111", "2 Second St"),
+        ("manoj87", "Manoj Punwani", CARD_M, d("2018-09-30"), "222", "5 Fifth St"),
+    ],
+    "car": [
+        ("F152206785240289", 101, "REG001", "Available", 5, "N", "Economy", "Mazda3", "2014", "Red"),
+        ("T201534710589051", 101, "REG002", "Available", 5, "N", "Standard", "Toyota Camry",
+         "2015", "White"),
+        ("E902103289341098", 102, "REG003", "Available", 5, "N", "Premium", "BMW", "2015", "Black"),
+        ("R908891209418173", 103, "REG004", "Unavailable", 7, "Y", "SUV", "Acura MDX", "2013",
+         "Grey"),
+        ("N892993994858292", 104, "REG005", "Available", 8, "Y", "MiniVan", "Sienna", "2014",
+         "Blue"),
+    ],
+    "offer_details": [
+        ("CHRISTMAS10", "Christmas offer", "Seasonal", "N", D("10"), None, "Available"),
+        ("July25", "Fourth of July", "Holiday", "Y", None, D("25"), "Expired"),
+        ("LaborDay5", "Labor Day", "Holiday", "Y", None, D("5"), "Expired"),
+        ("NewYear10", "New Year", "Seasonal", "N", D("10"), None, "Available"),
+        ("VeteranDay15", "Veterans Day", "Holiday", "N", D("15"), None, "Expired"),
+    ],
+    # id, start, end, meter start, meter end, rent, insurance, actual end, status, license,
+    # vin, promo, additional, total, insurance type, penalty, drop location
+    "reservation": [
+        (1, d("2015-11-06"), d("2015-11-12"), 1000, 1500, D("119.70"), D("9.95"), d("2015-11-12"),
+         "Completed", "E12905109", "F152206785240289", None, None, D("129.65"), "Liability",
+         D("0"), 101),
+        (2, d("2015-10-20"), d("2015-10-24"), 2000, 2300, D("119.80"), D("9.95"), d("2015-10-24"),
+         "Completed", "C11609103", "T201534710589051", None, None, D("129.75"), "Liability",
+         D("0"), 101),
+        (3, d("2015-12-06"), d("2015-12-12"), 3000, None, D("659.40"), D("29.95"), None,
+         "Reserved", "C11609103", "N892993994858292", "NewYear10", None, D("689.35"),
+         "Comprehensive", D("0"), 104),
+        (4, d("2015-09-01"), d("2015-09-02"), 4000, 4100, D("89.95"), D("24.95"), d("2015-09-02"),
+         "Completed", "C11609103", "R908891209418173", None, None, D("114.90"), "Comprehensive",
+         D("0"), 103),
+        (5, d("2015-08-13"), d("2015-08-15"), 5000, 5400, D("299.00"), D("99.90"), d("2015-08-15"),
+         "Completed", "R12098127", "E902103289341098", None, None, D("398.90"), "Comprehensive",
+         D("0"), 105),
+    ],
+    # id, amount, card no, expiry, name, cvv, billing, reservation, login, saved card, cash
+    "payment": [
+        (1001, D("129.65"), CARD_C, d("2019-05-31"), "Patrick Cleaver", "333", "1 First St", 1,
+         None, None, None),
+        (1002, D("300.00"), None, None, None, None, None, 5, None, None, "Y"),
+        (1003, D("98.90"), None, None, None, None, None, 5, None, None, "Y"),
+        (1004, D("689.35"), None, None, None, None, None, 3, "courtney90", CARD_C, None),
+        (1005, D("114.91"), None, None, None, None, None, 4, None, None, "Y"),
+    ],
+    "additional_driver": [
+        (1, "William Smith", d("1980-01-01")), (2, "Green Taylor", d("1981-02-02")),
+        (2, "Robert Moore", d("1982-03-03")), (4, "Brad Cook", d("1983-04-04")),
+        (5, "Steve Fouts", d("1984-05-05")),
+    ],
+    "accessories": [
+        (1, "GPS Navigation", D("49.95")), (2, "GPS Navigation", D("49.95")),
+        (3, "GPS Navigation", D("49.95")), (4, "Baby Seater", D("29.95")),
+        (5, "Baby Seater", D("29.95")),
+    ],
+    "accessory_reserved": [(1, 1), (1, 4), (5, 5), (5, 2), (2, 4)],
+}
+
+
+def seed_tables(spark):
+    return {name: spark.createDataFrame(rows, SCHEMAS[name]) for name, rows in ROWS.items()}
