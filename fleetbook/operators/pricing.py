@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetbook.functions.scalars import days_between, percent_discount
+from fleetbook.plans.aggregates import pick_per_group
 from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, has_at_most
 
 AMOUNT = T.DecimalType(12, 2)
@@ -87,16 +88,14 @@ def first_uses(res: DataFrame, offers: DataFrame, order_by: Sequence[str], *,
     """For every one-time offer, the reservation that used it first in
     arrival order ``order_by`` (then ``key``), as ``(code, key)``.
 
-    ``min(struct(order..., key))`` per code is a partial aggregate: each
-    task keeps one row per code, so a code used by a third of all
-    reservations never gathers its rows in one task. The result has at
+    The first use is a partial aggregate (``pick_per_group``): each task
+    keeps one row per code and arrival value, so a code used by a third of
+    all reservations never gathers its rows in one task. The result has at
     most one row per one-time offer.
     """
     one_time_codes = offers.where(F.col(one_time) == "Y").select(F.col(code).alias("__c"))
-    first = F.min(F.struct(*[F.col(c) for c in order_by], F.col(key).alias("__key")))
-    return (res.join(bounded_broadcast(one_time_codes), F.col(code) == F.col("__c"), "left_semi")
-            .groupBy(F.col(code).alias("__fc")).agg(first.alias("__f"))
-            .select(F.col("__fc").alias(code), F.col("__f.__key").alias(key)))
+    used = res.join(bounded_broadcast(one_time_codes), F.col(code) == F.col("__c"), "left_semi")
+    return pick_per_group(used, code, order_by, key)
 
 
 def offer_available_flag(res: DataFrame, offers: DataFrame, order_by: Sequence[str], *,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetbook.functions.scalars import percent_increase
+from fleetbook.plans.aggregates import pick_per_group
 from fleetbook.plans.materialize import materialize
 
 
@@ -69,13 +70,14 @@ def settle_cars(cars: DataFrame, due_rentals: DataFrame, *, vin: str = "vin",
     location and made available.
 
     When several due reservations name one car, the one with the highest
-    reservation id wins (then the highest drop location); the winner is a
-    partial aggregate per car, never a sort of the car's rows. A NULL drop
+    reservation id wins (then the highest drop location); the winner comes
+    from hash aggregates with partial aggregation, never a sort of the
+    car's rows. A NULL drop
     location is written as NULL; the not-null check reports it.
     """
-    winner = (due_rentals.groupBy(F.col(res_vin).alias("__v"))
-              .agg(F.max(F.struct(F.col(res_key).alias("k"), F.col(drop).alias("d"))).alias("__w"))
-              .select("__v", F.col("__w.d").alias("__drop")))
+    per_res = (due_rentals.groupBy(F.col(res_vin).alias("__v"), F.col(res_key).alias("__k"))
+               .agg(F.max(drop).alias("__d")))
+    winner = pick_per_group(per_res, "__v", ["__k"], "__d", last=True, out="__drop")
     out = cars.join(winner, F.col(vin) == F.col("__v"), "left")
     moved = F.col("__v").isNotNull()
     return (out.withColumn(location, F.when(moved, F.col("__drop")).otherwise(F.col(location)))

@@ -5,13 +5,14 @@
   (sort-merge or shuffled hash, re-planned by AQE from measured sizes).
 * ``null_aware_anti_join``: ``NOT IN`` without the forced broadcast. Spark
   plans ``x NOT IN (subquery)`` as a null-aware broadcast anti join even with
-  broadcasting disabled, which cannot hold a large right side. The NULL rules
-  are resolved by two bounded existence probes instead, and the join itself
-  is an ordinary shuffled ``left_anti``.
+  broadcasting disabled, which cannot hold a large right side. Here the NULL
+  rules are resolved by one scalar subquery (two counts) and the join itself
+  is an ordinary ``left_anti`` that may shuffle.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 # Rows allowed on a broadcast side; dimension tables of the rental system
 # (types, rates, offers, locations) are far below this.
 DEFAULT_BROADCAST_ROWS = 2_000_000
-# A plan whose size estimate exceeds this is not probed at all.
-DEFAULT_ESTIMATE_CEILING = 1 << 30
+# A file-backed side whose size estimate exceeds this is not probed at all.
+DEFAULT_ESTIMATE_CEILING = 256 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -33,26 +34,79 @@ def estimated_bytes(df: DataFrame) -> int:
         return DEFAULT_ESTIMATE_CEILING + 1
 
 
+def _plan_text(df: DataFrame) -> tuple[str, str]:
+    qe = df._jdf.queryExecution()
+    return qe.optimizedPlan().toString(), qe.executedPlan().toString()
+
+
+def exact_row_count(df: DataFrame) -> int | None:
+    """The row count when Catalyst knows it exactly: a narrow plan over
+    literal rows (``LocalRelation``). None otherwise."""
+    qe = df._jdf.queryExecution()
+    logical = qe.optimizedPlan().toString()
+    if ("LocalRelation" not in logical or "LogicalRDD" in logical
+            or re.search(r"(?<!Local)Relation\b", logical)):
+        return None
+    if any(op in logical for op in ("Join", "Aggregate", "Generate", "Union", "Expand")):
+        return None
+    rc = qe.optimizedPlan().stats().rowCount()
+    return int(str(rc.get())) if rc.isDefined() else None
+
+
 def has_at_most(df: DataFrame, n: int) -> bool:
-    """True if ``df`` has no more than ``n`` rows. Reads at most n+1 rows per
-    partition, so the probe is bounded whatever the table size."""
+    """True if ``df`` has no more than ``n`` rows. Uses the exact count of
+    literal rows when known; otherwise runs a probe in which each task stops
+    reading after n+1 rows."""
+    known = exact_row_count(df)
+    if known is not None:
+        return known <= n
     return df.limit(n + 1).count() <= n
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       estimate_ceiling: int = DEFAULT_ESTIMATE_CEILING) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
-    rows; the unchanged ``df`` otherwise (shuffle join, AQE may still switch
-    to a broadcast from runtime sizes)."""
+    rows, else the unchanged ``df``.
+
+    A narrow plan over files smaller than Spark's own broadcast threshold
+    is broadcast as the planner would. Otherwise the row probe is only run
+    where it is cheap and bounded: on a narrow plan (no shuffle) over rows
+    held by the driver, or over files whose total size is below
+    ``estimate_ceiling``. A side derived through a
+    shuffle is left to the planner: AQE measures its shuffle output and
+    converts the join to a broadcast at run time when it is small, so no
+    plan is run twice just to size it.
+    """
     if df.isStreaming:
         return df
-    if estimated_bytes(df) > estimate_ceiling:
+    logical, physical = _plan_text(df)
+    if "Exchange" in physical:
         return df
+    files = re.search(r"(?<!Local)Relation\b", logical) is not None
+    local = not files and ("LogicalRDD" in logical or "LocalRelation" in logical)
+    if not local:
+        est = estimated_bytes(df)
+        if est <= _auto_threshold(df):
+            # Below Spark's own broadcast threshold on file sizes of a narrow
+            # plan: the planner would broadcast it too; no probe needed.
+            return F.broadcast(df)
+        if est > estimate_ceiling:
+            return df
     if has_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 
 
+def _auto_threshold(df: DataFrame) -> int:
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(raw)
+    except ValueError:
+        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        raw = raw.strip().lower().rstrip("b") or "0"
+        return int(float(raw[:-1]) * units[raw[-1]]) if raw[-1] in units else int(raw)
+
+
 def _key_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -66,14 +120,31 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame,
     * empty list: every row qualifies, NULL ``x`` included;
     * list contains NULL: no row qualifies;
     * otherwise: rows with non-NULL ``x`` absent from the list.
+
+    Planned as an ordinary anti join on the key (shuffled, or broadcast by
+    AQE when the right side turns out small) plus a filter on the left rows
+    that reads one uncorrelated scalar subquery: the row and non-NULL key
+    counts of the right side, computed once with partial aggregation. The
+    filter sits below the join, so when the list holds a NULL the left side
+    is emptied before it is shuffled. Columns declared non-nullable skip the
+    parts of the test they cannot affect.
     """
     rkey = right.select(F.col(right_key).alias("__nin_key"))
-    if not rkey.take(1):
-        return left
-    if rkey.where(F.col("__nin_key").isNull()).take(1):
-        return left.where(F.lit(False))
-    return left.where(F.col(left_key).isNotNull()).join(
-        rkey, F.col(left_key) == F.col("__nin_key"), "left_anti")
+    keys = rkey.where(F.col("__nin_key").isNotNull())
+    left_nullable = left.schema[left_key].nullable
+    right_nullable = rkey.schema["__nin_key"].nullable
+    cond = None
+    if right_nullable or left_nullable:
+        counts = rkey.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                                   F.count("__nin_key").alias("nn")).alias("s")).scalar()
+        if right_nullable:
+            cond = counts["n"] == counts["nn"]
+        if left_nullable:
+            keep_null = F.col(left_key).isNotNull() | (counts["n"] == 0)
+            cond = keep_null if cond is None else cond & keep_null
+    if cond is not None:
+        left = left.where(cond)
+    return left.join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str]) -> DataFrame:

@@ -21,6 +21,26 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 
+# Column types of the driver's star-schema tables. Declaring
+# them spares the footer read that schema inference needs on every read.
+STAR_SCHEMAS: dict[str, str] = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def table_path(base_dir: str, name: str) -> str:
     return os.path.join(base_dir, f"{name}.parquet")
 
@@ -31,6 +51,8 @@ def read_table(spark: SparkSession, base_dir: str, name: str,
     reader = spark.read
     if schema is None and name in SCHEMAS:
         schema = SCHEMAS[name]
+    if schema is None and name in STAR_SCHEMAS:
+        schema = T._parse_datatype_string(STAR_SCHEMAS[name])
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(table_path(base_dir, name))
@@ -42,8 +64,16 @@ def scan_all(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
 
 
 def rows_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
-    """Literal rows as a DataFrame of the given schema (``INSERT ... VALUES``)."""
-    return spark.createDataFrame(list(rows), schema)
+    """Literal rows as a DataFrame of the given schema (``INSERT ... VALUES``).
+
+    The rows go through Arrow into a ``LocalRelation``, which carries an
+    exact row count in its statistics, so the planner (and
+    ``bounded_broadcast``) know its size without running a job.
+    """
+    import pandas as pd
+
+    data = pd.DataFrame([list(r) for r in rows], columns=schema.fieldNames(), dtype=object)
+    return spark.createDataFrame(data, schema)
 
 
 def append_rows(df: DataFrame, rows: Iterable[Sequence] | DataFrame) -> DataFrame:

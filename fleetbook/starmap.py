@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetbook.functions.scalars import money
-from fleetbook.sources.tables import read_table
+from fleetbook.sources.tables import read_table, rows_frame
 
 AMOUNT = T.DecimalType(12, 2)
 
@@ -137,11 +137,11 @@ RATE_SCHEMA = T.StructType([
 
 
 def offers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(OFFER_ROWS, OFFER_SCHEMA)
+    return rows_frame(spark, OFFER_ROWS, OFFER_SCHEMA)
 
 
 def rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_ROWS, RATE_SCHEMA)
+    return rows_frame(spark, RATE_ROWS, RATE_SCHEMA)
 
 
 def _sql_value(v) -> str:

@@ -6,8 +6,8 @@ rule depends on arrival order, so each batch is handled by ``foreachBatch``:
 
 * the codes used before this batch are read from the previous state version;
 * within the batch, the first arrival per code is a partial aggregate
-  (``min(struct(order, key))``), one row per code per task, so a code used
-  by a third of the batch never gathers its rows in one task;
+  (``pick_per_group``), a few rows per code per task, so a code used by a
+  third of the batch never gathers its rows in one task;
 * flagged rows go to ``output/batch_id=N`` and the grown code set to
   ``state/batch_id=N``, both overwritten as a whole, so a retried batch
   rewrites the same files and never doubles its output.
@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetbook.plans.aggregates import pick_per_group
 from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, has_at_most
 
 
@@ -70,9 +71,9 @@ class OneTimeOfferUse:
     def _flag(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         used = self._state(spark, batch_id).select(F.col(self.code).alias("__used"))
         small_state = has_at_most(used, DEFAULT_BROADCAST_ROWS)
-        first = F.min(F.struct(*[F.col(c) for c in self.order_by], F.col(self.key).alias("__k")))
-        firsts = (batch.groupBy(F.col(self.code).alias("__fc")).agg(first.alias("__f"))
-              .select("__fc", F.col("__f.__k").alias("__fk")))
+        firsts = pick_per_group(batch.select(F.col(self.code).alias("__fc"), self.key,
+                                             *self.order_by),
+                                "__fc", self.order_by, self.key, out="__fk")
         firsts = firsts.join(F.broadcast(used) if small_state else used,
                              F.col("__fc") == F.col("__used"), "left_anti")
         # One row per code; probing it reads the cached batch, not the source.
