@@ -23,15 +23,32 @@ def paid_per_reservation(pay: DataFrame, *, key: str = "reservation_id",
     return pay.groupBy(key).agg(F.sum(paid).alias("__paid"))
 
 
+def flag_due(res: DataFrame, pay: DataFrame, *, key: str = "reservation_id",
+             status: str = "status", reserved: str = "Reserved",
+             total: str = "tot_amount", paid: str = "amount_paid",
+             flag: str = "__due") -> DataFrame:
+    """Every reservation with a boolean ``flag``: still reserved and
+    covered by the sum of its payments.
+
+    The correlated sum becomes an aggregate (partial aggregation, then one
+    shuffle on the key) left-joined to the reservations; the aggregate's
+    output is already partitioned on the key, so only the reservations are
+    shuffled for the join. No payments means a NULL sum: not due.
+    """
+    sums = paid_per_reservation(pay, key=key, paid=paid)
+    due = (F.col(status) == reserved) & (F.col(total) <= F.col("__paid"))
+    return (res.join(sums, key, "left")
+            .withColumn(flag, F.coalesce(due, F.lit(False))).drop("__paid"))
+
+
 def due_reservations(res: DataFrame, pay: DataFrame, *, key: str = "reservation_id",
                      status: str = "status", reserved: str = "Reserved",
                      total: str = "tot_amount", paid: str = "amount_paid") -> DataFrame:
     """``select R.* from reservation R where status = 'Reserved' and
     tot_amount <= (select sum(amount_paid) from payment P where P.key = R.key)``.
 
-    The correlated sum becomes an aggregate joined on the key; the
-    aggregate's output is already partitioned on the key, so the join
-    reuses it. No payments means a NULL sum and the row is not due.
+    The status filter reaches the reservation scan before the inner join
+    with the payment sums, which are partitioned on the key already.
     """
     sums = paid_per_reservation(pay, key=key, paid=paid)
     return (res.where(F.col(status) == reserved)
@@ -40,13 +57,23 @@ def due_reservations(res: DataFrame, pay: DataFrame, *, key: str = "reservation_
             .select(*res.columns))
 
 
-def settle_reservations(res: DataFrame, due: DataFrame, *, key: str = "reservation_id",
+def settle_reservations(res: DataFrame, pay: DataFrame | None = None, *,
+                        due: DataFrame | None = None, key: str = "reservation_id",
                         status: str = "status", completed: str = "Completed") -> DataFrame:
-    """Reservation table with the due rows marked completed."""
-    due_keys = due.select(F.col(key).alias("__dk"), F.lit(True).alias("__due"))
-    out = res.join(due_keys, F.col(key) == F.col("__dk"), "left")
-    return (out.withColumn(status, F.when(F.col("__due"), F.lit(completed)).otherwise(F.col(status)))
-            .drop("__dk", "__due"))
+    """Reservation table with the due rows marked completed.
+
+    Given the payments, this is one left join of the reservations to the
+    payment sums. Given a precomputed ``due`` set instead, its keys are
+    joined back.
+    """
+    if due is None:
+        flagged = flag_due(res, pay, key=key, status=status)
+    else:
+        due_keys = due.select(F.col(key).alias("__dk"), F.lit(True).alias("__due"))
+        flagged = res.join(due_keys, F.col(key) == F.col("__dk"), "left").drop("__dk")
+    return (flagged.withColumn(status, F.when(F.col("__due"), F.lit(completed))
+                               .otherwise(F.col(status)))
+            .drop("__due"))
 
 
 def settle_offers(offers: DataFrame, due: DataFrame, *, code: str = "promo_code",
@@ -87,12 +114,16 @@ def settle_cars(cars: DataFrame, due_rentals: DataFrame, *, vin: str = "vin",
 
 def settle(res: DataFrame, pay: DataFrame, offers: DataFrame, cars: DataFrame, *,
            cut_lineage: bool = False) -> dict[str, DataFrame]:
-    """All three settlement outputs from one due set. With ``cut_lineage``
-    the due set is checkpointed to the shared folder first, so the three
-    outputs read it rather than recompute the payment aggregate."""
-    due = materialize(due_reservations(res, pay), cut_lineage)
+    """All three settlement outputs from one pass over reservations and
+    payments. With ``cut_lineage`` the flagged reservations are checkpointed
+    to the shared folder first, so the three outputs read them rather than
+    recompute the payment aggregate."""
+    flagged = materialize(flag_due(res, pay), cut_lineage)
+    due = flagged.where(F.col("__due")).select(*res.columns)
     return {
-        "reservation": settle_reservations(res, due),
+        "reservation": flagged.withColumn(
+            "status", F.when(F.col("__due"), F.lit("Completed")).otherwise(F.col("status")))
+            .drop("__due"),
         "offer_details": settle_offers(offers, due),
         "car": settle_cars(cars, due),
     }

@@ -382,9 +382,8 @@ def cap_payment_q(spark, d):
     f"ELSE r.status END AS status FROM reservations r LEFT JOIN ({_DUE_SQL}) AS d "
     "ON d.reservation_id = r.reservation_id", "reservations", "payments"))
 def settle_reservations_q(spark, d):
-    res = _res(spark, d)
-    due = settlement.due_reservations(res, _pay(spark, d))
-    return settlement.settle_reservations(res, due).select("reservation_id", "status")
+    return settlement.settle_reservations(_res(spark, d), _pay(spark, d)).select(
+        "reservation_id", "status")
 
 
 @register("settle_offers", sm.with_views(
@@ -407,7 +406,8 @@ def settle_offers_q(spark, d):
     "cars", "rentals", "reservations", "payments"))
 def settle_cars_q(spark, d):
     due = settlement.due_reservations(_res(spark, d), _pay(spark, d)).select("reservation_id")
-    due_rentals = _rentals(spark, d).join(due, "reservation_id", "left_semi")
+    due_rentals = sm.rental_lines(_t(spark, d, "lineitem")).join(due, "reservation_id",
+                                                                  "left_semi")
     return settlement.settle_cars(sm.cars(_t(spark, d, "part")), due_rentals).select(
         "vin", "rental_location_id", "status")
 

@@ -73,9 +73,9 @@ def payments(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def rentals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per line: the car (part) rented under an order."""
-    lines = lineitem.select(
+def rental_lines(lineitem: DataFrame) -> DataFrame:
+    """The lines alone, without the order's dates."""
+    return lineitem.select(
         F.col("l_orderkey").alias("reservation_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("vin"),
@@ -84,6 +84,12 @@ def rentals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("l_suppkey").alias("drop_location_id"),
         F.lit(None).cast(AMOUNT).alias("penalty_amount"),
     )
+
+
+def rentals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per line: the car (part) rented under an order, with the
+    order's dates."""
+    lines = rental_lines(lineitem)
     heads = orders.select(
         F.col("o_orderkey").alias("reservation_id"),
         F.to_date("o_orderdate").alias("start_date"),
