@@ -261,11 +261,16 @@ def concat_null_as_empty_q(spark, d):
 
 @register("parse_date",
           "SELECT o_orderkey, CAST(strptime(strftime(o_orderdate, '%Y/%m/%d'), '%Y/%m/%d') "
-          "AS DATE) AS order_day FROM orders")
+          "AS DATE) AS order_day, CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS iso_day "
+          "FROM orders")
 def parse_date_q(spark, d):
+    """Dates written as text and read back: with a ``TO_DATE`` format, and
+    as ISO text converted implicitly."""
     text = format_date("o_orderdate", "yyyy/mm/dd")
+    iso = format_date("o_orderdate", "yyyy-MM-dd", dialect="spark")
     return _t(spark, d, "orders").select("o_orderkey",
-                                         parse_date(text, "yyyy/mm/dd").alias("order_day"))
+                                         parse_date(text, "yyyy/mm/dd").alias("order_day"),
+                                         parse_date(iso).alias("iso_day"))
 
 
 @register("round_to_int",

@@ -139,6 +139,19 @@ def test_settle_two_due_on_one_car_and_null_drop(spark):
     assert rows(bad, "column_name", "n_nulls") == [("rental_location_id", 1)]
 
 
+def test_overdue_as_of_boundary(spark):
+    res = spark.createDataFrame([
+        (1, "Reserved", dt.date(2020, 1, 5), None), (2, "Reserved", dt.date(2020, 1, 4), None),
+        (3, "Reserved", dt.date(2020, 1, 4), dt.date(2020, 1, 4)),
+        (4, "Completed", dt.date(2020, 1, 1), None)],
+        "reservation_id int, status string, end_date date, actual_end_date date")
+    as_of = dt.date(2020, 1, 5)
+    assert rows(queries.overdue_reservations(res, as_of), "reservation_id") == [(2,)]
+    assert rows(queries.overdue_reservations(res, as_of, strict=False), "reservation_id") == [
+        (1,), (2,)]
+    assert queries.overdue_reservations(res).count() == 2   # today is long after 2020
+
+
 def test_ties_at_maximum(spark):
     res = spark.createDataFrame([(7, D("5.00")), (3, D("5.00")), (1, D("4.00"))],
                                 "reservation_id int, tot_amount decimal(8,2)")
