@@ -42,6 +42,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(largest_shuffle_bytes: int, target_partition_bytes: int = 128 << 20,
+                   cores: int | None = None) -> dict[str, str]:
+    """Suggested settings for a job whose largest shuffle moves
+    ``largest_shuffle_bytes``: enough shuffle partitions for ~128 MB each
+    (AQE coalesces smaller stages), at least two waves of the cluster's
+    cores, and AQE's skew split on. The caller decides whether to apply
+    them; the library never overrides a cluster's settings."""
+    parts = max(1, -(-largest_shuffle_bytes // target_partition_bytes))
+    if cores:
+        parts = max(parts, 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the session.
 

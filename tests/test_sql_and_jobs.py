@@ -86,3 +86,20 @@ def test_integrity_report_finds_each_rule(spark, seed):
     found = {(r.rule, r.table_name) for r in rep.collect()}
     assert {("primary_key", "car_type"), ("length", "car_user"), ("foreign_key", "payment"),
             ("unique", "car")} <= found
+
+
+def test_append_and_report_writers(spark, seed):
+    from fleetbook.operators.reports import promo_usage_report, write_report
+    from fleetbook.session import scale_settings
+    from fleetbook.sources.tables import append_rows, write_table
+
+    base = tempfile.mkdtemp(prefix="fb-w-", dir="/tmp")
+    path = table_path(base, "car_type")
+    write_table(seed["car_type"], path)
+    write_table(append_rows(seed["car_type"].limit(0), [("Compact", D("24.95"))]), path)
+    assert spark.read.parquet(path).count() == 6
+    write_report(promo_usage_report(seed["offer_details"], seed["reservation"]), f"{base}/report")
+    lines = sorted(r.value for r in spark.read.text(f"{base}/report").collect())
+    assert lines[0] == "Promo Code CHRISTMAS10 has been used 0 times."
+    conf = scale_settings(100 << 40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 819200
