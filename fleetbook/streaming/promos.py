@@ -89,11 +89,10 @@ class OneTimeOfferUse:
                                    F.col(self.code) == F.col("__oc"), "left")
             avail = (F.col("__st") == "Available") & F.when(
                 F.col("__one") == "Y", got_first).otherwise(F.lit(True))
-            flagged = flagged.drop("__oc", "__one", "__st")
         else:
             avail = got_first
         out = (flagged.withColumn(self.flag, F.when(avail, 1).otherwise(0))
-               .drop("__fc", "__fk"))
+               .drop("__fc", "__fk", "__oc", "__one", "__st"))
         out.write.mode("overwrite").parquet(os.path.join(self.output_path, f"batch_id={batch_id}"))
         grown = (used.select(F.col("__used").alias(self.code))
                  .unionByName(batch.select(self.code)).where(F.col(self.code).isNotNull())

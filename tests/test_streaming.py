@@ -66,3 +66,28 @@ def test_one_time_offer_batches_follow_arrival_order(spark):
     expect = spark.sql("select event_type, min_by(event_id, struct(ts, event_id)) "
                        "from ev_promo group by event_type")
     assert _sorted(firsts) == _sorted(expect)
+
+
+def test_one_time_offer_stream_with_offer_table(spark):
+    from fleetbook.sources.tables import rows_frame
+    from pyspark.sql import types as T
+
+    base = tempfile.mkdtemp(prefix="fb-promo2-", dir="/tmp")
+    src = os.path.join(base, "src")
+    schema = "rid bigint, day int, code string"
+    offers = rows_frame(spark, [("A", "Y", "Available"), ("B", "N", "Available"),
+                                ("C", "Y", "Expired")],
+                        T.StructType([T.StructField("code", T.StringType()),
+                                      T.StructField("is_one_time", T.StringType()),
+                                      T.StructField("status", T.StringType())]))
+    handler = promos.OneTimeOfferUse(f"{base}/out", f"{base}/state", ["day"], key="rid",
+                                     code="code", offers=offers)
+    batches = [[(1, 5, "A"), (2, 3, "A"), (3, 1, "B"), (4, 1, "C"), (5, 1, "D")],
+               [(6, 0, "A"), (7, 9, "B"), (8, 2, "C")]]
+    for rows_ in batches:
+        spark.createDataFrame(rows_, schema).write.parquet(src, mode="append")
+        promos.run_batches(spark.readStream.schema(schema).parquet(src), handler, f"{base}/ckpt")
+    got = dict(tuple(r) for r in spark.read.parquet(f"{base}/out").select(
+        "rid", "promo_available").collect())
+    # A: the earliest of the first batch wins; the later batch sees it used up
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0, 7: 1, 8: 0}
