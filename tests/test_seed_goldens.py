@@ -73,6 +73,14 @@ def test_settle(seed):
     assert cars["R908891209418173"] == (103, "Unavailable")
 
 
+def test_settle_reservations_both_inputs(seed):
+    res, pay = seed["reservation"], seed["payment"]
+    by_pay = settlement.settle_reservations(res, pay)
+    by_due = settlement.settle_reservations(res, due=settlement.due_reservations(res, pay))
+    assert rows(by_pay) == rows(by_due)
+    assert by_pay.columns == res.columns
+
+
 def test_settle_with_lineage_cut(seed):
     out = settlement.settle(seed["reservation"], seed["payment"], seed["offer_details"],
                             seed["car"], cut_lineage=True)
