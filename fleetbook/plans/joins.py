@@ -118,25 +118,22 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame,
 
     Planned as an ordinary anti join on the key (shuffled, or broadcast by
     AQE when the right side turns out small) plus a filter on the left rows
-    that reads one uncorrelated scalar subquery: the row and non-NULL key
-    counts of the right side, computed once with partial aggregation. The
-    filter sits below the join, so when the list holds a NULL the left side
-    is emptied before it is shuffled. Columns declared non-nullable skip the
-    parts of the test they cannot affect.
+    that reads one uncorrelated scalar subquery: a state code of the list
+    from its row and non-NULL key counts, computed once with partial
+    aggregation. The filter sits below the join, so when the list holds a
+    NULL the left side is emptied before it is shuffled. When neither key
+    column is nullable, the plain anti join is already exact.
     """
     rkey = right.select(F.col(right_key).alias("__nin_key"))
     keys = rkey.where(F.col("__nin_key").isNotNull())
     left_nullable = left.schema[left_key].nullable
     right_nullable = rkey.schema["__nin_key"].nullable
-    cond = None
-    if right_nullable or left_nullable:
-        counts = rkey.agg(F.struct(F.count(F.lit(1)).alias("n"),
-                                   F.count("__nin_key").alias("nn")).alias("s")).scalar()
-        if right_nullable:
-            cond = counts["n"] == counts["nn"]
-        if left_nullable:
-            keep_null = F.col(left_key).isNotNull() | (counts["n"] == 0)
-            cond = keep_null if cond is None else cond & keep_null
-    if cond is not None:
-        left = left.where(cond)
-    return left.join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")
+    if not (left_nullable or right_nullable):
+        return left.join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")
+    # One scalar for the list: 0 = holds a NULL, 1 = empty, 2 = non-empty
+    # without NULL. Referenced once, so it is computed once.
+    n, nn = F.count(F.lit(1)), F.count("__nin_key")
+    state = rkey.agg(F.when(n > nn, 0).when(n == 0, 1).otherwise(2).alias("s")).scalar()
+    keep = F.element_at(F.array(F.lit(False), F.lit(True), F.col(left_key).isNotNull()),
+                        state + 1)
+    return left.where(keep).join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")

@@ -61,3 +61,8 @@ def test_not_in_plan_has_no_forced_broadcast(no_static_broadcast):
     plan = physical(QUERIES["users_without_exact_payment"](no_static_broadcast, SF))
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
     assert "Subquery" in plan
+
+
+def test_not_in_list_state_is_one_subquery(no_static_broadcast):
+    plan = physical(QUERIES["users_without_exact_payment"](no_static_broadcast, SF))
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", plan))) == 1
