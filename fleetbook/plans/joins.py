@@ -39,16 +39,20 @@ def _plan_text(df: DataFrame) -> tuple[str, str]:
 
 
 def exact_row_count(df: DataFrame) -> int | None:
-    """The row count when Catalyst knows it exactly: a narrow plan over
-    literal rows (``LocalRelation``). None otherwise."""
-    qe = df._jdf.queryExecution()
-    logical = qe.optimizedPlan().toString()
+    """An exact upper bound on the rows of a narrow plan over literal rows
+    (``LocalRelation``): the leaf's own row count, which filters and
+    projections can only reduce. None for any other plan."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    logical = plan.toString()
     if ("LocalRelation" not in logical or "LogicalRDD" in logical
             or re.search(r"(?<!Local)Relation\b", logical)):
         return None
     if any(op in logical for op in ("Join", "Aggregate", "Generate", "Union", "Expand")):
         return None
-    rc = qe.optimizedPlan().stats().rowCount()
+    leaves = plan.collectLeaves()
+    if leaves.size() != 1:
+        return None
+    rc = leaves.apply(0).stats().rowCount()
     return int(str(rc.get())) if rc.isDefined() else None
 
 

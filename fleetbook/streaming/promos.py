@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.plans.aggregates import pick_per_group
-from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, has_at_most
+from fleetbook.plans.joins import bounded_broadcast
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -69,13 +69,12 @@ class OneTimeOfferUse:
             batch.unpersist()
 
     def _flag(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        used = self._state(spark, batch_id).select(F.col(self.code).alias("__used"))
-        small_state = has_at_most(used, DEFAULT_BROADCAST_ROWS)
+        used = bounded_broadcast(self._state(spark, batch_id).select(
+            F.col(self.code).alias("__used")))
         firsts = pick_per_group(batch.select(F.col(self.code).alias("__fc"), self.key,
                                              *self.order_by),
                                 "__fc", self.order_by, self.key, out="__fk")
-        firsts = firsts.join(F.broadcast(used) if small_state else used,
-                             F.col("__fc") == F.col("__used"), "left_anti")
+        firsts = firsts.join(used, F.col("__fc") == F.col("__used"), "left_anti")
         # One row per code; probing it reads the cached batch, not the source.
         firsts = bounded_broadcast(firsts)
         flagged = batch.join(firsts, (F.col(self.key) == F.col("__fk"))
@@ -85,8 +84,7 @@ class OneTimeOfferUse:
             o = self.offers.select(F.col(self.code).alias("__oc"),
                                    F.col("is_one_time").alias("__one"),
                                    F.col("status").alias("__st"))
-            flagged = flagged.join(F.broadcast(o) if has_at_most(o, DEFAULT_BROADCAST_ROWS) else o,
-                                   F.col(self.code) == F.col("__oc"), "left")
+            flagged = flagged.join(bounded_broadcast(o), F.col(self.code) == F.col("__oc"), "left")
             avail = (F.col("__st") == "Available") & F.when(
                 F.col("__one") == "Y", got_first).otherwise(F.lit(True))
         else:
