@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetbook.plans.materialize import materialize
-from fleetbook.sources.schemas import ForeignKey, cascade_order
+from fleetbook.sources.schemas import PRIMARY_KEYS, ForeignKey, cascade_order
 
 
 def check_primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,11 +89,14 @@ def _keys_match(child_cols: Sequence[str], parent_cols: Sequence[str]):
 
 def cascade_delete(tables: Mapping[str, DataFrame], deleted: Mapping[str, DataFrame],
                    foreign_keys: Iterable[ForeignKey], *,
+                   keys: Mapping[str, Sequence[str]] | None = PRIMARY_KEYS,
                    cut_lineage: bool = False) -> dict[str, DataFrame]:
     """Delete rows and everything that references them, transitively.
 
     ``deleted[t]`` holds the rows (or just the key columns) removed from
-    table ``t`` directly. Tables are visited parents first; a child loses
+    table ``t`` directly; they are matched on the table's key from ``keys``
+    when ``deleted[t]`` has it, else on all shared columns (NULL-safe).
+    Tables are visited parents first; a child loses
     the rows whose reference matches a removed parent row, then passes its
     own removed rows on to its children. Each step is a semi join (what is
     removed) and an anti join (what survives) on the reference columns;
@@ -110,10 +113,17 @@ def cascade_delete(tables: Mapping[str, DataFrame], deleted: Mapping[str, DataFr
         keep = df
         if name in deleted:
             root = deleted[name]
-            on = [c for c in root.columns if c in df.columns]
-            root_keys = root.select(*on).distinct()
-            gone_parts.append(df.join(root_keys, on, "left_semi"))
-            keep = keep.join(root_keys, on, "left_anti")
+            key = [c for c in (keys or {}).get(name, ()) if c in root.columns]
+            on = key or [c for c in root.columns if c in df.columns]
+            root_keys = root.select(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(on)])
+            root_keys = root_keys.distinct()
+            # whole rows may hold NULLs, which must still identify the row
+            match = None
+            for i, c in enumerate(on):
+                term = F.col(c).eqNullSafe(F.col(f"__r{i}"))
+                match = term if match is None else match & term
+            gone_parts.append(df.join(root_keys, match, "left_semi"))
+            keep = keep.join(root_keys, match, "left_anti")
         for fk in fks:
             if fk.child != name or fk.parent not in removed:
                 continue

@@ -103,3 +103,22 @@ def test_append_and_report_writers(spark, seed):
     assert lines[0] == "Promo Code CHRISTMAS10 has been used 0 times."
     conf = scale_settings(100 << 40, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 819200
+
+
+def test_cli_reports_and_jobs(spark, seed):
+    from fleetbook.cli import main
+
+    src = tempfile.mkdtemp(prefix="fb-cli-src-", dir="/tmp")
+    dst = tempfile.mkdtemp(prefix="fb-cli-dst-", dir="/tmp")
+    _write_seed(seed, src)
+    main(["overdue-report", "--src", src, "--dst", dst, "--as-of", "2016-01-01"], spark)
+    lines = [r.value for r in spark.read.text(f"{dst}/overdue_report").collect()]
+    assert lines == ["User Courtney  Rollins  whose email id is courtney.r@hotmail.com has not "
+                     "returned the car with VIN N892993994858292."]
+    main(["promo-report", "--src", src, "--dst", dst], spark)
+    assert spark.read.text(f"{dst}/promo_usage_report").count() == 3
+    main(["cascade-delete", "--src", src, "--dst", dst, "--table", "car_user",
+          "--where", "license_no = 'C11609103'"], spark)
+    assert spark.read.parquet(table_path(dst, "reservation")).count() == 2
+    main(["raise-rates", "--src", src, "--dst", dst, "--percent", "10"], spark)
+    assert spark.read.parquet(table_path(dst, "car_insurance")).count() == 10
