@@ -1,4 +1,4 @@
-"""Payments capped as they arrive.
+"""Payments capped and reservations priced as they arrive.
 
 A stateless stream: each micro-batch of new payments takes a stream-static
 left join to the reservation totals and is appended to a parquet sink. The
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetbook.operators.pricing import cap_payment
+from fleetbook.operators.pricing import cap_payment, insurance_amount, penalty_amount, rent_amount
 
 
 def capped_payments(payments: DataFrame, totals: DataFrame, *, key: str = "reservation_id",
@@ -33,3 +33,14 @@ def start_to_parquet(stream: DataFrame, output_path: str, checkpoint_path: str,
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def priced_rentals(reservations: DataFrame, prices: DataFrame, car_types: DataFrame,
+                   rates: DataFrame) -> DataFrame:
+    """Late fee, rent and insurance set on each arriving reservation, by
+    stream-static left joins to the price, car-type and rate tables (the
+    before-insert pricing without the promotion, which depends on arrival
+    order and is handled per batch by ``promos.OneTimeOfferUse``)."""
+    out = penalty_amount(reservations)
+    out = rent_amount(out, prices)
+    return insurance_amount(out, car_types, rates)

@@ -91,3 +91,23 @@ def test_one_time_offer_stream_with_offer_table(spark):
         "rid", "promo_available").collect())
     # A: the earliest of the first batch wins; the later batch sees it used up
     assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0, 7: 1, 8: 0}
+
+
+def test_priced_rentals_stream_equals_batch(spark, seed):
+    from fleetbook.operators.pricing import car_prices, insurance_amount, penalty_amount, rent_amount
+
+    base = tempfile.mkdtemp(prefix="fb-price-", dir="/tmp")
+    src = os.path.join(base, "src")
+    res = seed["reservation"]
+    res.write.parquet(src)
+    prices = car_prices(seed["car"], seed["car_type"])
+    types = seed["car"].select("vin", "car_type")
+    stream = spark.readStream.schema(res.schema).parquet(src)
+    out = payments.priced_rentals(stream, prices, types, seed["car_insurance"])
+    q = payments.start_to_parquet(out, f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    got = spark.read.parquet(f"{base}/out")
+    expect = insurance_amount(rent_amount(penalty_amount(res), prices), types,
+                              seed["car_insurance"])
+    cols = ["reservation_id", "penalty_amount", "rental_amount", "insurance_amount"]
+    assert _sorted(got.select(*cols)) == _sorted(expect.select(*cols))
