@@ -13,7 +13,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetbook.plans.materialize import materialize
+from fleetbook.plans.joins import small_side
 from fleetbook.sources.schemas import PRIMARY_KEYS, ForeignKey, cascade_order
 
 
@@ -101,8 +101,9 @@ def cascade_delete(tables: Mapping[str, DataFrame], deleted: Mapping[str, DataFr
     own removed rows on to its children. Each step is a semi join (what is
     removed) and an anti join (what survives) on the reference columns;
     NULL references never match and survive. With ``cut_lineage`` each
-    removed set is checkpointed to the shared folder before its children
-    read it. Returns the surviving rows of every table.
+    removed key set is written once to the shared checkpoint folder and,
+    when proven small (deleting a few users), broadcast, so no child table
+    is shuffled for it. Returns the surviving rows of every table.
     """
     fks = list(foreign_keys)
     removed: dict[str, DataFrame] = {}
@@ -116,7 +117,7 @@ def cascade_delete(tables: Mapping[str, DataFrame], deleted: Mapping[str, DataFr
             key = [c for c in (keys or {}).get(name, ()) if c in root.columns]
             on = key or [c for c in root.columns if c in df.columns]
             root_keys = root.select(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(on)])
-            root_keys = root_keys.distinct()
+            root_keys = small_side(root_keys.distinct(), cut_lineage)
             # whole rows may hold NULLs, which must still identify the row
             match = None
             for i, c in enumerate(on):
@@ -128,14 +129,19 @@ def cascade_delete(tables: Mapping[str, DataFrame], deleted: Mapping[str, DataFr
             if fk.child != name or fk.parent not in removed:
                 continue
             doomed = removed[fk.parent].select(
-                *[F.col(p).alias(f"__d{i}") for i, p in enumerate(fk.parent_cols)]).distinct()
+                *[F.col(p).alias(f"__d{i}") for i, p in enumerate(fk.parent_cols)])
+            if not cut_lineage:
+                doomed = doomed.distinct()
             cond = _keys_match(fk.child_cols, fk.parent_cols)
             gone_parts.append(df.join(doomed, cond, "left_semi"))
             keep = keep.join(doomed, cond, "left_anti")
         survivors[name] = keep
-        if gone_parts and any(fk.parent == name for fk in fks):
-            gone = gone_parts[0]
+        referenced = sorted({c for fk in fks if fk.parent == name for c in fk.parent_cols})
+        if gone_parts and referenced:
+            gone = gone_parts[0].select(*referenced)
             for part in gone_parts[1:]:
-                gone = gone.unionByName(part)
-            removed[name] = materialize(gone, cut_lineage)
+                gone = gone.unionByName(part.select(*referenced))
+            # only the columns children reference; written once and, when
+            # small, broadcast to every child join
+            removed[name] = small_side(gone.distinct(), cut_lineage)
     return survivors

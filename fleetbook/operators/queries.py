@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetbook.plans.joins import null_aware_anti_join
+from fleetbook.plans.joins import null_aware_anti_join, small_side
 
 
 def project_columns(df: DataFrame, columns: Sequence[str] | Mapping[str, str],
@@ -182,10 +182,17 @@ def overdue_with_user(res: DataFrame, users: DataFrame, *, user_key: str = "lice
                       res_user: str = "license_no",
                       user_cols: Sequence[str] = ("fname", "mname", "lname", "email"),
                       res_cols: Sequence[str] = ("reservation_id", "vin", "license_no"),
-                      **overdue_kwargs) -> DataFrame:
+                      materialize_late: bool = True, **overdue_kwargs) -> DataFrame:
     """Overdue reservations with their user's row (one join instead of a
-    lookup per cursor row)."""
-    late = overdue_reservations(res, **overdue_kwargs).select(*res_cols)
+    lookup per cursor row).
+
+    The overdue set is a selective filter of the reservations; with
+    ``materialize_late`` it is written once to the shared checkpoint folder
+    and, if proven small, broadcast, so the user table is read without a
+    shuffle.
+    """
+    late = small_side(overdue_reservations(res, **overdue_kwargs).select(*res_cols),
+                      materialize_late)
     u = users.select(F.col(user_key).alias("__uk"), *[c for c in user_cols if c != user_key])
     return late.join(u, F.col(res_user) == F.col("__uk"), "inner").drop("__uk")
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from fleetbook.functions.scalars import percent_increase
 from fleetbook.plans.aggregates import pick_per_group
+from fleetbook.plans.joins import small_side
 from fleetbook.plans.materialize import materialize
 
 
@@ -92,7 +93,8 @@ def settle_offers(offers: DataFrame, due: DataFrame, *, code: str = "promo_code"
 def settle_cars(cars: DataFrame, due_rentals: DataFrame, *, vin: str = "vin",
                 location: str = "rental_location_id", status: str = "status",
                 res_key: str = "reservation_id", res_vin: str = "vin",
-                drop: str = "drop_location_id", available: str = "Available") -> DataFrame:
+                drop: str = "drop_location_id", available: str = "Available",
+                small_winner: bool = False) -> DataFrame:
     """Car table with each car of a due reservation moved to the drop
     location and made available.
 
@@ -105,6 +107,9 @@ def settle_cars(cars: DataFrame, due_rentals: DataFrame, *, vin: str = "vin",
     per_res = (due_rentals.groupBy(F.col(res_vin).alias("__v"), F.col(res_key).alias("__k"))
                .agg(F.max(drop).alias("__d")))
     winner = pick_per_group(per_res, "__v", ["__k"], "__d", last=True, out="__drop")
+    # one row per moved car; when few cars move, broadcasting it keeps the
+    # car table from being shuffled
+    winner = small_side(winner, small_winner)
     out = cars.join(winner, F.col(vin) == F.col("__v"), "left")
     moved = F.col("__v").isNotNull()
     return (out.withColumn(location, F.when(moved, F.col("__drop")).otherwise(F.col(location)))
@@ -125,7 +130,7 @@ def settle(res: DataFrame, pay: DataFrame, offers: DataFrame, cars: DataFrame, *
             "status", F.when(F.col("__due"), F.lit("Completed")).otherwise(F.col("status")))
             .drop("__due"),
         "offer_details": settle_offers(offers, due),
-        "car": settle_cars(cars, due),
+        "car": settle_cars(cars, due, small_winner=cut_lineage),
     }
 
 
