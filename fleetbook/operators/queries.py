@@ -109,10 +109,13 @@ def left_join_lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str,
 def exists_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               right_filter: Column | None = None) -> DataFrame:
     """``where exists (select 1 from right where right_key = left_key)``:
-    a left semi join; left rows are kept once each."""
+    a left semi join; left rows are kept once each. The right keys are
+    de-duplicated first: the partial aggregate shrinks a key repeated many
+    times (a part on many lines) to one row per task before the shuffle,
+    and its output partitioning is the one the join needs."""
     if right_filter is not None:
         right = right.where(right_filter)
-    keys = right.select(F.col(right_key).alias("__k"))
+    keys = right.select(F.col(right_key).alias("__k")).distinct()
     return left.join(keys, F.col(left_key) == F.col("__k"), "left_semi")
 
 

@@ -129,7 +129,9 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame,
     column is nullable, the plain anti join is already exact.
     """
     rkey = right.select(F.col(right_key).alias("__nin_key"))
-    keys = rkey.where(F.col("__nin_key").isNotNull())
+    # de-duplicated with a partial aggregate before the shuffle; a user with
+    # many reservations is one row per task
+    keys = rkey.where(F.col("__nin_key").isNotNull()).distinct()
     left_nullable = left.schema[left_key].nullable
     right_nullable = rkey.schema["__nin_key"].nullable
     if not (left_nullable or right_nullable):
