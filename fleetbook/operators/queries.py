@@ -176,7 +176,7 @@ def top_reservations(res: DataFrame, *, key: str = "reservation_id",
     """All reservations at the maximum amount (ties kept), i.e.
     ``rank() over (order by amount desc) = 1`` without a single-task window:
     a global max (one row, broadcast) and an equi join on the amount."""
-    top = res.agg(F.max(amount).alias("__max"))
+    top = res.agg(F.max(amount).alias("__max"))   # a global aggregate: exactly one row
     return (res.join(F.broadcast(top), F.col(amount) == F.col("__max"), "inner")
             .select(key, amount))
 

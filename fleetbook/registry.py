@@ -17,6 +17,7 @@ from fleetbook import starmap as sm
 from fleetbook.functions.scalars import (char_pad, concat_null_as_empty, dec_lit, format_date,
                                          money, parse_date, round_to_int)
 from fleetbook.operators import integrity, pricing, queries, reports, settlement
+from fleetbook.plans.joins import bounded_broadcast
 from fleetbook.session import scratch_path
 from fleetbook.sources.schemas import ForeignKey
 from fleetbook.sources.tables import append_rows, read_table, scan_all
@@ -354,7 +355,8 @@ def one_time_promo_q(spark, d):
     offers = sm.offers(spark)
     flagged = pricing.offer_available_flag(_res(spark, d), offers, ARRIVAL)
     known = offers.select(F.col("promo_code").alias("__known"))
-    return (flagged.join(F.broadcast(known), F.col("promo_code") == F.col("__known"), "left_semi")
+    return (flagged.join(bounded_broadcast(known), F.col("promo_code") == F.col("__known"),
+                         "left_semi")
             .select("reservation_id", "promo_code",
                     F.when(F.col("promo_available"), 1).otherwise(0).alias("promo_available")))
 
