@@ -67,8 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; it is used as
-    is. Only when the setting is absent (local tests) is a folder chosen,
-    and it is then registered with both the conf and the SparkContext.
+    is, and a cluster session without it is an error. Only a local session
+    (tests, bench) without the setting gets a folder chosen here, registered
+    with both the conf and the SparkContext.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None)
     if not current:
@@ -77,6 +78,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # executors cannot share a folder on the driver's disk
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     base = fallback or tempfile.mkdtemp(prefix="fleetbook-ckpt-", dir="/tmp")
     spark.conf.set(CHECKPOINT_KEY, base)
     spark.sparkContext.setCheckpointDir(base)
