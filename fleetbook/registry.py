@@ -528,11 +528,9 @@ def stream_cap_payments_q(spark, d):
     totals = _t(spark, d, "customer").select(
         F.col("c_custkey").alias("reservation_id"), money("c_acctbal").alias("tot_amount"),
         "c_name")
-    capped = stream_payments.capped_payments(pay, totals, carry=("c_name",))
-    q = stream_payments.start_to_parquet(capped.select("event_id", "c_name", "amount_paid"),
-                                         f"{base}/out", f"{base}/checkpoint")
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    writer = stream_payments.CappedPaymentWriter(totals, f"{base}/out", carry=("c_name",))
+    stream_payments.run_foreach_batch(pay, writer, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select("event_id", "c_name", "amount_paid")
 
 
 STREAM_SLICES = 4

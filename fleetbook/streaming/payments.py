@@ -1,19 +1,24 @@
 """Payments capped and reservations priced as they arrive.
 
-A stateless stream: each micro-batch of new payments takes a stream-static
-left join to the reservation totals and is appended to a parquet sink. The
-file sink and the checkpoint together give exactly-once output: a restarted
-query resumes from its checkpoint and never writes a batch twice.
+Stateless streams. With lookup tables small enough to broadcast, each
+micro-batch takes a stream-static left join and is appended to a parquet
+sink; the file sink and the checkpoint together give exactly-once output.
+Against a reservation table too large to broadcast, ``CappedPaymentWriter``
+handles each batch in ``foreachBatch`` so that the big table is filtered by
+the batch's keys instead of being shuffled for every batch.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetbook.operators.pricing import cap_payment, insurance_amount, penalty_amount, rent_amount
+from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 
 
 def capped_payments(payments: DataFrame, totals: DataFrame, *, key: str = "reservation_id",
@@ -44,3 +49,53 @@ def priced_rentals(reservations: DataFrame, prices: DataFrame, car_types: DataFr
     out = penalty_amount(reservations)
     out = rent_amount(out, prices)
     return insurance_amount(out, car_types, rates)
+
+
+class CappedPaymentWriter:
+    """``foreachBatch`` handler: cap each batch of payments against a
+    reservation table too large to broadcast.
+
+    A stream-static join plans a sort-merge join per micro-batch, and AQE
+    does not re-plan streaming batches, so every batch would shuffle the
+    whole reservation table. Here the batch (small) is cached, its distinct
+    reservation keys are broadcast to a semi join that reads the
+    reservation table without a shuffle and keeps only the matching rows,
+    and the cap is applied between the two small sides. Output goes to
+    ``output/batch_id=N`` by overwrite, so a retried batch rewrites its own
+    files and is never counted twice.
+    """
+
+    def __init__(self, totals: DataFrame, output_path: str, *, key: str = "reservation_id",
+                 paid: str = "amount_paid", total: str = "tot_amount",
+                 carry: Sequence[str] = ()):
+        self.totals = totals
+        self.output_path = output_path
+        self.key, self.paid, self.total, self.carry = key, paid, total, tuple(carry)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            keys = batch.select(F.col(self.key).alias("__bk")).where(
+                F.col("__bk").isNotNull()).distinct().persist()
+            try:
+                if has_at_most(keys, DEFAULT_BROADCAST_ROWS):
+                    keys = F.broadcast(keys)
+                relevant = self.totals.join(keys, F.col(self.key) == F.col("__bk"), "left_semi")
+                out = cap_payment(batch, relevant, key=self.key, paid=self.paid,
+                                  total=self.total, carry=self.carry)
+                out.write.mode("overwrite").parquet(
+                    os.path.join(self.output_path, f"batch_id={batch_id}"))
+            finally:
+                keys.unpersist()
+        finally:
+            batch.unpersist()
+
+
+def run_foreach_batch(stream: DataFrame, handler, checkpoint_path: str) -> None:
+    """Process everything that has arrived with ``handler``, then stop."""
+    q = (stream.writeStream.foreachBatch(handler)
+         .option("checkpointLocation", checkpoint_path)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
