@@ -225,3 +225,11 @@ def test_declared_star_schemas_match_files(spark):
             inferred = spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet").schema
             declared = read_table(spark, f"/root/testdata/{sf}", name).schema
             assert inferred.simpleString() == declared.simpleString(), (sf, name)
+
+
+def test_cap_payment_unknown_reservation_and_exact_total(spark):
+    res = spark.createDataFrame([(1, D("50.00"))], "reservation_id int, tot_amount decimal(8,2)")
+    pay = spark.createDataFrame([(10, 1, D("50.00")), (11, 1, D("50.01")), (12, 99, D("70.00"))],
+                                "payment_id int, reservation_id int, amount_paid decimal(8,2)")
+    got = dict(rows(pricing.cap_payment(pay, res), "payment_id", "amount_paid"))
+    assert got == {10: D("50.00"), 11: D("50.00"), 12: D("70.00")}
