@@ -111,7 +111,8 @@ def _auto_threshold(df: DataFrame) -> int:
 
 
 def null_aware_anti_join(left: DataFrame, right: DataFrame,
-                         left_key: str, right_key: str) -> DataFrame:
+                         left_key: str, right_key: str,
+                         materialize_right: bool = True) -> DataFrame:
     """Rows of ``left`` whose ``left_key`` is ``NOT IN`` ``right.right_key``.
 
     Three-valued logic of ``x NOT IN (list)``:
@@ -120,26 +121,26 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame,
     * list contains NULL: no row qualifies;
     * otherwise: rows with non-NULL ``x`` absent from the list.
 
-    Planned as an ordinary anti join on the key (shuffled, or broadcast by
-    AQE when the right side turns out small) plus a filter on the left rows
-    that reads one uncorrelated scalar subquery: a state code of the list
-    from its row and non-NULL key counts, computed once with partial
-    aggregation. The filter sits below the join, so when the list holds a
-    NULL the left side is emptied before it is shuffled. When neither key
-    column is nullable, the plain anti join is already exact.
+    The list is reduced to its distinct values (a partial aggregate, NULL
+    kept as one row) and, with ``materialize_right``, written once to the
+    shared checkpoint folder and broadcast when proven small; so a list
+    that is itself a join is computed once. Its state (holds a NULL /
+    empty / plain) is one uncorrelated scalar subquery over those distinct
+    values, referenced once, filtering the left rows below an ordinary anti
+    join, so a list holding a NULL empties the left side before any
+    shuffle. Spark's own plan for ``NOT IN`` would broadcast the whole list
+    whatever its size.
     """
-    rkey = right.select(F.col(right_key).alias("__nin_key"))
-    # de-duplicated with a partial aggregate before the shuffle; a user with
-    # many reservations is one row per task
-    keys = rkey.where(F.col("__nin_key").isNotNull()).distinct()
+    distinct = right.select(F.col(right_key).alias("__nin_key")).distinct()
+    distinct = small_side(distinct, materialize_right)
+    keys = distinct.where(F.col("__nin_key").isNotNull())
     left_nullable = left.schema[left_key].nullable
-    right_nullable = rkey.schema["__nin_key"].nullable
+    right_nullable = distinct.schema["__nin_key"].nullable
     if not (left_nullable or right_nullable):
         return left.join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")
-    # One scalar for the list: 0 = holds a NULL, 1 = empty, 2 = non-empty
-    # without NULL. Referenced once, so it is computed once.
+    # 0 = holds a NULL, 1 = empty, 2 = non-empty without NULL
     n, nn = F.count(F.lit(1)), F.count("__nin_key")
-    state = rkey.agg(F.when(n > nn, 0).when(n == 0, 1).otherwise(2).alias("s")).scalar()
+    state = distinct.agg(F.when(n > nn, 0).when(n == 0, 1).otherwise(2).alias("s")).scalar()
     keep = F.element_at(F.array(F.lit(False), F.lit(True), F.col(left_key).isNotNull()),
                         state + 1)
     return left.where(keep).join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")

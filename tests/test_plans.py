@@ -58,9 +58,19 @@ def test_hot_promo_code_never_shuffles_reservations(no_static_broadcast):
 
 
 def test_not_in_plan_has_no_forced_broadcast(no_static_broadcast):
+    from fleetbook.plans.joins import null_aware_anti_join
+
     plan = physical(QUERIES["users_without_exact_payment"](no_static_broadcast, SF))
-    assert "SortMergeJoin" in plan and "LeftAnti" in plan
-    assert "Subquery" in plan
+    assert "LeftAnti" in plan and "Subquery" in plan
+    # the anti join is never Spark's null-aware variant (last flag of the node)
+    assert not re.search(r"BroadcastHashJoin [^\n]*LeftAnti[^\n]*, true\n", plan)
+    # without materializing, a list of unknown size stays a sort-merge join
+    spark = no_static_broadcast
+    left = spark.read.parquet(f"{SF}/customer.parquet")
+    right = spark.read.parquet(f"{SF}/orders.parquet")
+    plain = physical(null_aware_anti_join(left, right, "c_custkey", "o_custkey",
+                                          materialize_right=False))
+    assert "SortMergeJoin" in plain and "LeftAnti" in plain
 
 
 def test_not_in_list_state_is_one_subquery(no_static_broadcast):
