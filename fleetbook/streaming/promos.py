@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.plans.aggregates import pick_per_group
-from fleetbook.plans.joins import bounded_broadcast
+from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, has_at_most
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -75,8 +75,9 @@ class OneTimeOfferUse:
                                              *self.order_by),
                                 "__fc", self.order_by, self.key, out="__fk")
         firsts = firsts.join(used, F.col("__fc") == F.col("__used"), "left_anti")
-        # One row per code; probing it reads the cached batch, not the source.
-        firsts = bounded_broadcast(firsts)
+        # One row per code; the probe reads the cached batch, not the source.
+        if has_at_most(firsts, DEFAULT_BROADCAST_ROWS):
+            firsts = F.broadcast(firsts)
         flagged = batch.join(firsts, (F.col(self.key) == F.col("__fk"))
                              & (F.col(self.code) == F.col("__fc")), "left")
         got_first = F.col("__fk").isNotNull()
