@@ -6,8 +6,11 @@
 * ``null_aware_anti_join``: ``NOT IN`` without the forced broadcast. Spark
   plans ``x NOT IN (subquery)`` as a null-aware broadcast anti join even with
   broadcasting disabled, which cannot hold a large right side. Here the NULL
-  rules are resolved by one scalar subquery (two counts) and the join itself
-  is an ordinary ``left_anti`` that may shuffle.
+  rules are resolved by one scalar subquery over the list's distinct values
+  and the join itself is an ordinary ``left_anti`` that may shuffle.
+* ``small_side``: a side derived from a big table but expected small is
+  written once to the shared checkpoint folder, counted, and broadcast, so
+  the other (big) side is not shuffled.
 """
 
 from __future__ import annotations
