@@ -29,3 +29,29 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() >= 0
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+@pytest.fixture()
+def scale_like(spark):
+    """Plans as on a large cluster: no broadcast by estimate, and AQE told
+    to treat every partition as skewed, so sort-merge joins and skew splits
+    are what runs."""
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream")))
+def test_query_matches_oracle_with_scale_plans(scale_like, con, name):
+    r = compare(scale_like, name, QUERIES[name], ORACLE[name], SF, con)
+    assert r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
