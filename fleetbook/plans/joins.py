@@ -152,13 +152,15 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame,
 def small_side(df: DataFrame, enabled: bool = True,
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """For a side expected to be small but derived from a big table (a
-    selective filter, a set of doomed keys): write it once to the shared
-    checkpoint folder, then broadcast it if its row count is proven below
-    ``max_rows``. The big side of the join is then scanned without a
-    shuffle, which a sort-merge join re-planned by AQE at run time would
-    already have paid for. Disabled (or streaming) it is returned as is."""
-    from fleetbook.plans.materialize import materialize
+    selective filter, a set of doomed keys): write it once as a table in the
+    shared checkpoint folder, counting its rows in the same job, and
+    broadcast it if the count is at most ``max_rows``. The big side of the
+    join is then scanned without a shuffle, which a sort-merge join
+    re-planned by AQE at run time would already have paid for. Disabled (or
+    streaming) it is returned as is."""
+    from fleetbook.plans.materialize import write_counted
 
     if not enabled or df.isStreaming:
         return df
-    return bounded_broadcast(materialize(df), max_rows)
+    written, rows = write_counted(df)
+    return F.broadcast(written) if rows <= max_rows else written
