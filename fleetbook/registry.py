@@ -17,7 +17,7 @@ from fleetbook import starmap as sm
 from fleetbook.functions.scalars import (char_pad, concat_null_as_empty, dec_lit, format_date,
                                          money, parse_date, round_to_int)
 from fleetbook.operators import integrity, pricing, queries, reports, settlement
-from fleetbook.plans.joins import bounded_broadcast
+from fleetbook.plans.joins import bounded_broadcast, small_side
 from fleetbook.session import scratch_path
 from fleetbook.sources.schemas import ForeignKey
 from fleetbook.sources.tables import append_rows, read_table, scan_all
@@ -412,7 +412,10 @@ def settle_offers_q(spark, d):
     f"SELECT reservation_id FROM ({_DUE_SQL}) AS d)) AS x WHERE rn = 1) AS w ON w.vin = c.vin",
     "cars", "rentals", "reservations", "payments"))
 def settle_cars_q(spark, d):
-    due = settlement.due_reservations(_res(spark, d), _pay(spark, d)).select("reservation_id")
+    # the due keys are a subset of the orders: written once and, when small,
+    # broadcast into the line scan, so the lines are not shuffled for them
+    due = small_side(settlement.due_reservations(_res(spark, d), _pay(spark, d))
+                     .select("reservation_id"))
     due_rentals = sm.rental_lines(_t(spark, d, "lineitem")).join(due, "reservation_id",
                                                                   "left_semi")
     return settlement.settle_cars(sm.cars(_t(spark, d, "part")), due_rentals).select(
