@@ -202,3 +202,12 @@ def test_cascade_delete_user(seed):
         (2, "Green Taylor"), (2, "Robert Moore"), (4, "Brad Cook")]
     assert _removed(seed, kept, "accessory_reserved", "accessory_id", "reservation_id") == [
         (1, 4), (2, 4), (5, 2)]
+
+
+def test_users_without_exact_payment_in_whole_units(seed):
+    from fleetbook.functions.scalars import round_to_int
+
+    res = seed["reservation"].withColumn("tot_amount", round_to_int("tot_amount"))
+    pay = seed["payment"].withColumn("amount_paid", round_to_int("amount_paid"))
+    out = queries.users_without_exact_payment(seed["car_user"], res, pay)
+    assert rows(out) == sorted([("Glenn", "Tucker"), ("Ron", "Harper"), ("Manoj", "Punwani")])
