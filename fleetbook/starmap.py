@@ -90,6 +90,7 @@ def rentals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("o_orderkey").alias("reservation_id"),
         F.to_date("o_orderdate").alias("start_date"),
         F.to_date("o_orderdate").alias("end_date"),
+        F.col("o_orderpriority").alias("promo_code"),
     )
     return lines.join(heads, "reservation_id", "inner")
 
@@ -189,7 +190,8 @@ FROM lineitem"""
 RENTALS_SQL = """SELECT l_orderkey AS reservation_id, l_linenumber AS line_no, l_partkey AS vin,
        l_returnflag AS insurance_type, CAST(l_shipdate AS DATE) AS actual_end_date,
        l_suppkey AS drop_location_id, CAST(NULL AS DECIMAL(12,2)) AS penalty_amount,
-       CAST(o_orderdate AS DATE) AS start_date, CAST(o_orderdate AS DATE) AS end_date
+       CAST(o_orderdate AS DATE) AS start_date, CAST(o_orderdate AS DATE) AS end_date,
+       o_orderpriority AS promo_code
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 PRICES_SQL = """SELECT p_partkey AS vin, p_type AS car_type,
