@@ -102,18 +102,23 @@ def offer_available_flag(res: DataFrame, offers: DataFrame, order_by: Sequence[s
                          key: str = "reservation_id", code: str = "promo_code",
                          status: str = "status", one_time: str = "is_one_time",
                          flag: str = "promo_available",
-                         extra: Sequence[str] = ("percentage", "discounted_amount")) -> DataFrame:
+                         extra: Sequence[str] = ("percentage", "discounted_amount"),
+                         arrivals: DataFrame | None = None) -> DataFrame:
     """Attach the offer's terms and whether it was available when this
     reservation arrived.
 
     A one-time code expires on its first use, but that use still reads the
     status before it changes, so the first arrival gets the offer and the
     later ones see it expired. Offers absent from the table give NULL terms
-    and a NULL flag.
+    and a NULL flag. First uses are found among ``arrivals`` (default
+    ``res``): pass the reservation table when ``res`` holds several rows
+    per reservation (rental lines), so the order of arrival is decided once
+    per reservation and the line plan is not computed twice.
     """
     terms = offers.select(F.col(code).alias("__oc"), F.col(status).alias("__ostatus"),
                           F.col(one_time).alias("__oone"), *extra)
-    firsts = first_uses(res, offers, order_by, key=key, code=code, one_time=one_time)
+    firsts = first_uses(res if arrivals is None else arrivals, offers, order_by, key=key,
+                        code=code, one_time=one_time)
     firsts = firsts.select(F.col(key).alias("__fk"), F.lit(True).alias("__first"))
     # The first-use table has at most one row per offer, so one bounded probe
     # of the offer table covers both broadcasts.
@@ -141,11 +146,14 @@ def total_after_offer(base: Column, percentage: Column, discounted: Column,
 def price_total(res: DataFrame, offers: DataFrame, order_by: Sequence[str], *,
                 key: str = "reservation_id", code: str = "promo_code",
                 parts: Sequence[str] = ("rental_amount", "insurance_amount", "penalty_amount"),
-                total: str = "tot_amount", dtype: T.DataType = AMOUNT) -> DataFrame:
+                total: str = "tot_amount", dtype: T.DataType = AMOUNT,
+                arrivals: DataFrame | None = None) -> DataFrame:
     """Set the total: sum of ``parts`` (any NULL part makes it NULL), less
-    the promotion available at the reservation's arrival."""
+    the promotion available at the reservation's arrival (first uses found
+    among ``arrivals``, default ``res``)."""
     flagged = offer_available_flag(res, offers, order_by, key=key, code=code,
-                                   extra=("percentage", "discounted_amount"))
+                                   extra=("percentage", "discounted_amount"),
+                                   arrivals=arrivals)
     base = None
     for p in parts:
         base = F.col(p) if base is None else base + F.col(p)

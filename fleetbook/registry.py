@@ -363,10 +363,6 @@ def one_time_promo_q(spark, d):
 
 _LINE_DAYS = "date_diff('day', r.start_date, r.actual_end_date)"
 _LATE_DAYS = "date_diff('day', r.end_date, r.actual_end_date)"
-_LINE_FIRSTS_SQL = ("SELECT reservation_id FROM (SELECT r.reservation_id, row_number() OVER ("
-                    "PARTITION BY r.promo_code ORDER BY r.start_date, r.reservation_id) AS rn "
-                    "FROM rentals r JOIN offers o ON o.promo_code = r.promo_code "
-                    "WHERE o.is_one_time = 'Y') AS t WHERE rn = 1")
 _LINE_BASE_SQL = (
     f"(CASE WHEN {_LATE_DAYS} >= 0 THEN CAST({_LATE_DAYS} * 50 AS DECIMAL(12,2)) "
     "ELSE r.penalty_amount END) "
@@ -383,18 +379,18 @@ _LINE_BASE_SQL = (
     "FROM rentals r LEFT JOIN prices p ON p.vin = r.vin "
     "LEFT JOIN rates i ON i.car_type = p.car_type AND i.insurance_type = r.insurance_type "
     "LEFT JOIN offers o ON o.promo_code = r.promo_code "
-    f"LEFT JOIN (SELECT DISTINCT reservation_id FROM ({_LINE_FIRSTS_SQL}) AS f0) AS f "
-    "ON f.reservation_id = r.reservation_id",
-    "rentals", "prices", "rates", "offers"))
+    f"LEFT JOIN ({_FIRSTS_SQL}) AS f ON f.reservation_id = r.reservation_id",
+    "rentals", "prices", "rates", "offers", "reservations"))
 def price_reservations_q(spark, d):
     """Every rental line priced in dependency order: late fee, rent,
     insurance, then the total less the promotion available when its order
-    arrived (one-time codes go to the first order that used them)."""
+    arrived (one-time codes go to the first order that used them, decided
+    on the orders so the line join is not computed twice)."""
     prices = sm.prices(_t(spark, d, "part"))
     out = pricing.penalty_amount(_rentals(spark, d))
     out = pricing.rent_amount(out, prices)
     out = pricing.insurance_amount(out, prices.select("vin", "car_type"), sm.rates(spark))
-    return pricing.price_total(out, sm.offers(spark), ARRIVAL).select(
+    return pricing.price_total(out, sm.offers(spark), ARRIVAL, arrivals=_res(spark, d)).select(
         "reservation_id", "line_no", "tot_amount")
 
 
