@@ -3,7 +3,10 @@ would plan it: static broadcasting is switched off, so only sides proven
 small by the library (literal rows, files under the threshold, probed row
 counts) are broadcast; AQE may still convert joins at run time.
 
-Usage: python tools/plan_report.py [sf_dir] > PLANS_TABLE.md
+Usage: python tools/plan_report.py [sf_dir] [--write]
+
+Prints the table; with ``--write`` replaces the table at the end of
+PLANS.md (everything from its "| query | shuffles" header on).
 """
 
 from __future__ import annotations
@@ -42,18 +45,28 @@ def main() -> None:
     from fleetbook.registry import QUERIES
     from fleetbook.session import local_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if a != "--write"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
     spark = local_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    print("| query | shuffles (hash keys) | joins | partial aggs | global aggs | subqueries |")
-    print("| --- | --- | --- | --- | --- | --- |")
+    lines = ["| query | shuffles (hash keys) | joins | partial aggs | global aggs | subqueries |",
+             "| --- | --- | --- | --- | --- | --- |"]
     for name, fn in QUERIES.items():
         if name.startswith("stream"):
             continue
         s = summarize(fn(spark, sf)._jdf.queryExecution().executedPlan().toString())
-        print(f"| {name} | {len(s['shuffle_keys'])}: {', '.join(s['shuffle_keys']) or '-'} | "
-              f"{', '.join(s['joins']) or '-'} | {s['partial_aggs']} | {s['global_aggs']} | "
-              f"{s['subqueries']} |")
+        lines.append(f"| {name} | {len(s['shuffle_keys'])}: {', '.join(s['shuffle_keys']) or '-'} | "
+                     f"{', '.join(s['joins']) or '-'} | {s['partial_aggs']} | {s['global_aggs']} | "
+                     f"{s['subqueries']} |")
+    table = "\n".join(lines) + "\n"
+    if "--write" in sys.argv:
+        path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                            "PLANS.md")
+        text = open(path).read()
+        head = text[:text.index("| query | shuffles")]
+        with open(path, "w") as f:
+            f.write(head + table)
+    print(table, end="")
 
 
 if __name__ == "__main__":
