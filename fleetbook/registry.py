@@ -581,23 +581,24 @@ def stream_one_time_promo_q(spark, d):
     base = scratch_path(spark, "stream_one_time_promo")
     events = _t(spark, d, "events")
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
-    src, out, state, ckpt, staged = (f"{base}/{x}" for x in
-                                     ("source", "out", "state", "checkpoint", "staged"))
+    src, out, state, ckpt = (f"{base}/{x}" for x in ("source", "out", "state", "checkpoint"))
     handler = stream_promos.OneTimeOfferUse(out, state, ("ts",), key="event_id",
                                             code="event_type")
-    # One pass tags every event with its time slice (rows without a time go
-    # to the last slice, so none is dropped); the slices then arrive in time
-    # order, each read back by partition pruning.
-    slice_of = F.lit(STREAM_SLICES - 1)
-    if lo is not None:
-        step = (hi - lo) / STREAM_SLICES
-        for i in reversed(range(STREAM_SLICES - 1)):
-            bound = F.lit(lo + step * (i + 1)).cast("timestamp_ntz")
-            slice_of = F.when(F.col("ts") < bound, F.lit(i)).otherwise(slice_of)
-    events.withColumn("slice", slice_of).write.partitionBy("slice").parquet(staged)
+    # Time slices as range predicates, which reach the parquet reader (cheap
+    # when event files are laid out by time); rows without a time go to the
+    # last slice, so none is dropped.
+    step = (hi - lo) / STREAM_SLICES if lo is not None else None
     for i in range(STREAM_SLICES):
-        part = spark.read.parquet(staged).where(F.col("slice") == i).drop("slice")
-        part.write.mode("append").parquet(src)
+        cond = F.lit(True)
+        if step is not None and i > 0:
+            cond = F.col("ts") >= F.lit(lo + step * i).cast("timestamp_ntz")
+        if step is not None and i < STREAM_SLICES - 1:
+            cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)).cast("timestamp_ntz"))
+        if i == STREAM_SLICES - 1:
+            cond = cond | F.col("ts").isNull()
+        elif step is None:
+            continue
+        events.where(cond).write.mode("append").parquet(src)
         stream = spark.readStream.schema(events.schema).parquet(src)
         stream_promos.run_batches(stream, handler, ckpt)
     return (spark.read.parquet(out).select("event_id", "event_type", "promo_available"))
