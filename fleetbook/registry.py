@@ -580,25 +580,13 @@ def stream_one_time_promo_q(spark, d):
     four time-ordered micro-batches; each code is a one-time offer."""
     base = scratch_path(spark, "stream_one_time_promo")
     events = _t(spark, d, "events")
-    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
     src, out, state, ckpt = (f"{base}/{x}" for x in ("source", "out", "state", "checkpoint"))
     handler = stream_promos.OneTimeOfferUse(out, state, ("ts",), key="event_id",
                                             code="event_type")
-    # Time slices as range predicates, which reach the parquet reader (cheap
-    # when event files are laid out by time); rows without a time go to the
-    # last slice, so none is dropped.
-    step = (hi - lo) / STREAM_SLICES if lo is not None else None
-    for i in range(STREAM_SLICES):
-        cond = F.lit(True)
-        if step is not None and i > 0:
-            cond = F.col("ts") >= F.lit(lo + step * i).cast("timestamp_ntz")
-        if step is not None and i < STREAM_SLICES - 1:
-            cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)).cast("timestamp_ntz"))
-        if i == STREAM_SLICES - 1:
-            cond = cond | F.col("ts").isNull()
-        elif step is None:
-            continue
-        events.where(cond).write.mode("append").parquet(src)
+
+    def run(_):
         stream = spark.readStream.schema(events.schema).parquet(src)
         stream_promos.run_batches(stream, handler, ckpt)
+
+    stream_promos.replay_in_time_slices(events, "ts", STREAM_SLICES, src, run)
     return (spark.read.parquet(out).select("event_id", "event_type", "promo_available"))

@@ -107,3 +107,26 @@ def run_batches(stream: DataFrame, handler: OneTimeOfferUse, checkpoint_path: st
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
+
+
+def replay_in_time_slices(table: DataFrame, ts: str, slices: int, source_path: str,
+                          after_each) -> None:
+    """Feed ``table`` into the stream folder ``source_path`` as ``slices``
+    time-ordered appends, calling ``after_each(i)`` after each one (e.g. to
+    run the stream on what has arrived). Slices are range predicates on
+    ``ts``, which reach the parquet reader; rows without a time go to the
+    last slice, so every row is fed exactly once."""
+    lo, hi = table.agg(F.min(ts), F.max(ts)).first()
+    step = (hi - lo) / slices if lo is not None else None
+    for i in range(slices):
+        cond = F.lit(True)
+        if step is not None and i > 0:
+            cond = F.col(ts) >= F.lit(lo + step * i).cast(table.schema[ts].dataType)
+        if step is not None and i < slices - 1:
+            cond = cond & (F.col(ts) < F.lit(lo + step * (i + 1)).cast(table.schema[ts].dataType))
+        if i == slices - 1:
+            cond = cond | F.col(ts).isNull()
+        elif step is None:
+            continue
+        table.where(cond).write.mode("append").parquet(source_path)
+        after_each(i)
