@@ -4,8 +4,9 @@ parameters over whole tables, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetbook.llm import counts, wavelet
+from fleetbook.llm import counts, lines, neardup, topk, wavelet
 from fleetbook.llm.common import read
 from fleetbook.session import scratch_path
 
@@ -28,9 +29,60 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_shared_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=75)
+
+
 QUERIES = {
     "op2_token_shards": op2_token_shards,
     "op4_token_counts": op4_token_counts,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_top_k_search": op9_top_k_search,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLE: dict[str, str] = {}
+BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ASCII_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": f"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), line AS (
+    SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM split
+), keyed AS (
+    SELECT *, {ASCII_LOWER_SQL.format(f"trim(line, {BLANK_SQL})")} AS key FROM line
+), frequent AS (
+    SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), marked AS (
+    SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON f.key = k.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""",
+    "op9_top_k_search": """
+WITH v AS (
+    SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+}
