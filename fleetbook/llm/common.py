@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.session import scratch_path
 
 
+BROADCAST_IDS = 1_000_000  # ids of 8 bytes sent to every executor at most
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -24,6 +28,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_ids(ids: DataFrame) -> DataFrame:
+    """A table of one id column, written once; marked for broadcast when it
+    has at most ``BROADCAST_IDS`` rows, else left to a shuffled join."""
+    ids = written(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id is not in ``ids`` (one column), columns kept.
+    A row with a null id stays."""
+    gone = few_ids(ids.toDF("__gone_id").distinct())
+    return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], chunk_bytes: int
                  ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches (last column: text) into runs of rows of about
@@ -32,7 +50,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], chunk_bytes: int
     for batch in batches:
         texts = batch.column(batch.num_columns - 1)
         sizes = [0 if n is None else n
-                 for n in pa.compute.binary_length(texts).to_pylist()]
+                 for n in pc.binary_length(texts).to_pylist()]
         lo = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > chunk_bytes:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from fleetbook.llm.common import text_batches
@@ -30,7 +31,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
             n_tokens = pa.array(encode(texts), pa.int64())
             n_bytes = pa.array([len(t.encode()) for t in texts], pa.int64())
             yield pa.record_batch(
-                [rows.column(0), n_bytes, n_tokens, pa.compute.greater(n_tokens, limit)],
+                [rows.column(0), n_bytes, n_tokens, pc.greater(n_tokens, limit)],
                 names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(id_col, text_col).mapInArrow(count, schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetbook.llm.common import text_batches, written
+from fleetbook.llm.common import few_ids, text_batches, written
 from fleetbook.llm.components import components
 
 WORDS = 5
@@ -34,7 +34,6 @@ BANDS, ROWS = 36, 4        # a pair at 0.75 shares no band once in 900,000 times
 SKETCH_BITS = 512
 MARGIN = 0.145             # 4 standard deviations of the estimate at 0.75
 BLOCK = 1024               # members of a bucket compared in one task
-BROADCAST_ROWS = 1_000_000  # ids (8 bytes each) sent to every executor at most
 
 _RNG = np.random.default_rng(20)
 
@@ -44,6 +43,7 @@ def _odd(n: int) -> np.ndarray:
 
 
 _PLACE, _SAMPLES, _IN_BAND, _BAND = _odd(WORDS), _odd(BANDS * ROWS), _odd(ROWS), _odd(BANDS)
+_SHORT = _odd(WORDS)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 
 
@@ -63,7 +63,7 @@ def shingles(text: str) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     if n < WORDS:
-        return _mix((h * _PLACE[:n]).sum(keepdims=True, dtype=np.uint64) + _M1 * np.uint64(n))
+        return _mix((h * _PLACE[:n]).sum(keepdims=True, dtype=np.uint64) + _SHORT[n])
     out = h[:n - WORDS + 1] * _PLACE[0]
     for i in range(1, WORDS):
         out += h[i:n - WORDS + 1 + i] * _PLACE[i]
@@ -110,12 +110,6 @@ def similar_enough(differ, least: float):
     return differ <= expected
 
 
-def _few_ids(ids: DataFrame) -> DataFrame:
-    """Distinct ids, written once; marked for broadcast when few."""
-    ids = written(ids, "pair-ids")
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of class representatives that are links: sketch estimate
     first, then the full shingle sets."""
@@ -127,7 +121,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
     near = written(pairs.join(a, "a").join(b, "b")
                    .where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
                    .where(similar_enough(differ, percent / 100 - MARGIN)).select("a", "b"), "near-pairs")
-    ids = _few_ids(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
+    ids = few_ids(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
 
     def sets(batches):
         for rows, texts in text_batches(batches, 4 << 20):

@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetbook.llm import counts, lines, neardup, topk, wavelet
+from fleetbook.llm import counts, lines, mixing, neardup, pseudonyms, tiling, topk, wavelet
 from fleetbook.llm.common import read
 from fleetbook.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
+MIX_POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}  # below 1 lifts small margins
+MIX_FRACTION, MIX_SEED = 0.7, 1
+PSEUDONYM_KEY = "fleetbook"  # a deployment passes its own secret
 
 
 def tokenizer_path(name: str) -> str:
@@ -29,6 +32,19 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"), MIX_POWERS, MIX_FRACTION, MIX_SEED)
+    return mixed.withColumn("probability", F.round("probability", 6))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_shared_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -45,6 +61,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_shards": op2_token_shards,
     "op4_token_counts": op4_token_counts,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_decontamination": op6_decontamination,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_line_dedup": op8_line_dedup,
     "op9_top_k_search": op9_top_k_search,
     "op10_near_duplicates": op10_near_duplicates,
@@ -54,6 +73,7 @@ BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ASCII_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op5_source_mixing": mixing.mix_sql(MIX_POWERS, MIX_FRACTION, MIX_SEED),
     "op8_line_dedup": f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents

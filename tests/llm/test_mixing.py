@@ -1,0 +1,85 @@
+"""Raking, calibration and the draw against plain Python."""
+
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+
+from fleetbook.llm import mixing
+
+POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.6}
+
+
+def topic(text):
+    for name, marks in mixing.TOPIC_MARKERS:
+        if any(m in text for m in marks):
+            return name
+    return "prose"
+
+
+def brute(rows, fraction, seed):
+    docs = []
+    for d, t, s, g in rows:
+        t = t or ""
+        docs.append((d, s or "", g or "", topic(t), len(re.findall(r"[^\x20\x09-\x0D]+", t))))
+    tokens = Counter()
+    for r in docs:
+        if r[4]:
+            tokens[r[1:4]] += r[4]
+    total = sum(tokens.values())
+    weight = {c: n / total for c, n in tokens.items()}
+    for _ in range(mixing.ROUNDS):
+        for i, dim in enumerate(mixing.DIMS):
+            raised, now = Counter(), Counter()
+            for c, n in tokens.items():
+                raised[c[i]] += n
+                now[c[i]] += weight[c]
+            raised = {k: v ** POWERS[dim] for k, v in raised.items()}
+            weight = {c: w * raised[c[i]] / sum(raised.values()) / now[c[i]] for c, w in weight.items()}
+    capped = set()
+    while True:
+        free = sum(w for c, w in weight.items() if c not in capped)
+        scale = (fraction * total - sum(tokens[c] for c in capped)) / free if free else 0
+        new = {c for c, w in weight.items() if w * scale >= tokens[c]} | capped
+        if new == capped:
+            break
+        capped = new
+    chance = {c: 1.0 if c in capped else weight[c] * scale / tokens[c] for c in tokens}
+    out = []
+    for d, s, g, t, n in docs:
+        p = chance[(s, g, t)] if n else 1.0
+        u = int(hashlib.md5(f"{seed}:{'' if d is None else d}".encode()).hexdigest()[:12], 16) / 16 ** 12
+        out.append((d, s, g, t, n, round(p, 6), u < p))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, fraction, seed):
+    df = spark.createDataFrame([(*r, 1, 2.0, "c") for r in rows],
+                               "doc_id long, text string, source string, lang string, tokens int, weight double, topic string")
+    return sorted(((r.doc_id, r.source, r.lang, r.topic, r.tokens, round(r.probability, 6), r.sampled)
+                   for r in mixing.mix(df, POWERS, fraction, seed).collect()), key=str)
+
+
+def rows():
+    marks = ["plain", "a@b", "Licensed under X", 'k = "v"', "a | b"]
+    out = [(i, f"{marks[i % 5]} " * (1 + i % 13), f"src{0 if i % 3 == 0 else i % 7}", ["en", "de", "fr"][i % 11 % 3])
+           for i in range(200)]
+    return out + [(300, None, "src1", "en"), (301, "", "", None), (302, "x y", None, "en"), (None, "x", "src1", "en"),
+                  out[0], (303, "word " * 5000, "src9", "xx")]
+
+
+@pytest.mark.parametrize("fraction", [0.3, 0.9])
+def test_matches_brute_force(spark, fraction):
+    assert run(spark, rows(), fraction, 7) == brute(rows(), fraction, 7)
+
+
+def test_sampled_tokens_near_the_budget(spark):
+    many = [(i, "w " * 20, f"s{i % 4 if i % 2 else 0}", "en") for i in range(4000)]
+    got = run(spark, many, 0.4, 1)
+    assert abs(sum(r[4] for r in got if r[6]) / sum(r[4] for r in got) - 0.4) < 0.03
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], 0.5, 1) == []
+    assert run(spark, [(1, "", "s", "en")], 0.5, 1) == [(1, "s", "en", "prose", 0, 1.0, True)]
