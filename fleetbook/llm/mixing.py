@@ -88,6 +88,26 @@ def draw(id_col: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16 ** 12))
 
 
+def chances(docs: DataFrame, powers: dict[str, float], fraction: float) -> DataFrame:
+    """(source, lang, topic, probability) of every cell of rows as ``_rows``
+    gives them."""
+    cells = written(docs.where("tokens > 0").groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
+    raked = rake(cells, {dim: flattened(cells, dim, powers[dim]) for dim in DIMS})
+    return written(calibrated(raked, fraction).select(*DIMS, "probability"), "chances")
+
+
+def _cell(text_col: str, source_col: str, lang_col: str) -> list[Column]:
+    return [F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+            F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
+            topic_of(F.coalesce(F.col(text_col), F.lit(""))).alias("topic")]
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
+    return written(docs.select(
+        F.col(id_col).alias("doc_id"), *_cell(text_col, source_col, lang_col),
+        token_weight(F.coalesce(F.col(text_col), F.lit(""))).alias("tokens")), "mix-rows")
+
+
 def mix(docs: DataFrame, powers: dict[str, float], fraction: float, seed: int = 1,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         lang_col: str = "lang") -> DataFrame:
@@ -108,20 +128,25 @@ def mix(docs: DataFrame, powers: dict[str, float], fraction: float, seed: int =
     Rows that repeat an id are drawn alike; a null id is drawn as ''. An empty
     table gives no rows. Other columns are not read.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-                       F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-                       topic_of(text).alias("topic"), token_weight(text).alias("tokens"))
-    rows = written(rows, "mix-rows")
-    cells = written(rows.where("tokens > 0").groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
-    raked = rake(cells, {dim: flattened(cells, dim, powers[dim]) for dim in DIMS})
-    chances = written(calibrated(raked, fraction).select(*DIMS, "probability"), "chances")
-    out = rows.join(chances, list(DIMS), "left")
+    rows = _rows(docs, id_col, text_col, source_col, lang_col)
+    out = rows.join(chances(rows, powers, fraction), list(DIMS), "left")
     probability = F.when(F.col("tokens") > 0, F.col("probability")).otherwise(1.0)
     return out.select("doc_id", *DIMS, "tokens", probability.alias("probability"),
                       (draw(F.col("doc_id"), seed) < probability).alias("sampled"))
 
 
+def sampled(docs: DataFrame, powers: dict[str, float], fraction: float, seed: int = 1,
+            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+            lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``mix`` samples, with all their columns."""
+    cells = chances(_rows(docs, id_col, text_col, source_col, lang_col), powers, fraction)
+    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_cell(text_col, source_col, lang_col),
+                       draw(F.col(id_col), seed).alias("drawn"), worded.alias("worded"))
+    return (rows.join(cells, list(DIMS), "left")
+            .where(~F.col("worded") | (F.col("drawn") < F.col("probability"))).select("row.*"))
+
+
 def mix_sql(powers: dict[str, float], fraction: float, seed: int) -> str:
     """DuckDB SQL for ``mix`` over documents, with the rounds written out."""
     topic = " ".join(

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetbook.llm import counts, lines, mixing, neardup, pseudonyms, tiling, topk, wavelet
+from fleetbook.llm import counts, lines, mixing, neardup, pseudonyms, quality, secrets, tiling, topk, wavelet
 from fleetbook.llm.common import read
 from fleetbook.session import scratch_path
 
@@ -22,12 +22,29 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select(
+        "doc_id", *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"))
+
+
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
     wavelet.write_shards(read(spark, sf_dir, "documents"), path, tokenizer_path(BYTE_BPE))
     return wavelet.read_documents(spark, path)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
@@ -59,7 +76,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_token_shards": op2_token_shards,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_token_counts": op4_token_counts,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
