@@ -11,16 +11,17 @@
    samples differ; pairs whose estimate is clearly below the threshold go.
    The others are confirmed on their full shingle sets, and confirmed links
    give components.
-4. A bucket whose members now lie in one component needs no more. In the
-   others every two members of different components are compared by sketch,
-   in blocks of bounded size, and what passes is confirmed as before. Links
-   inside a component cannot change the result, so none is lost.
+4. A bucket whose members now lie in one component needs no more: links
+   inside a component cannot change the result. In the others members of
+   different components are compared by sketch, in blocks of bounded size. Two
+   rounds confirm each member's nearest one only, which joins most of what
+   belongs together; a last round confirms every pair that passes, so no link
+   is lost.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,10 +31,12 @@ from fleetbook.llm.common import few_ids, text_batches, written
 from fleetbook.llm.components import components
 
 WORDS = 5
-BANDS, ROWS = 36, 4        # a pair at 0.75 shares no band once in 900,000 times
-SKETCH_BITS = 512
-MARGIN = 0.145             # 4 standard deviations of the estimate at 0.75
-BLOCK = 1024               # members of a bucket compared in one task
+BANDS, ROWS = 36, 4   # a pair at 0.75 shares no band once in 900,000 times
+SAMPLES = 512         # MinHash samples in a sketch; the first BANDS * ROWS of them make the bands
+SKETCH_BITS = 2048
+MARGIN = 0.09         # 4 standard deviations of the estimate at 0.75
+BLOCK = 1024          # members of a bucket compared in one task
+NEAREST_ROUNDS = 2    # rounds that take each member's nearest only, before all are compared
 
 _RNG = np.random.default_rng(20)
 
@@ -42,7 +45,7 @@ def _odd(n: int) -> np.ndarray:
     return _RNG.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_PLACE, _SAMPLES, _IN_BAND, _BAND = _odd(WORDS), _odd(BANDS * ROWS), _odd(ROWS), _odd(BANDS)
+_PLACE, _SAMPLES, _IN_BAND, _BAND = _odd(WORDS), _odd(SAMPLES), _odd(ROWS), _odd(BANDS)
 _SHORT = _odd(WORDS)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 
@@ -72,8 +75,8 @@ def shingles(text: str) -> np.ndarray:
 
 def _samples(s: np.ndarray) -> np.ndarray:
     least = np.full(len(_SAMPLES), ~np.uint64(0))
-    for lo in range(0, len(s), 2048):
-        np.minimum(least, (s[lo:lo + 2048, None] * _SAMPLES).min(0), out=least)
+    for lo in range(0, len(s), 256):
+        np.minimum(least, (s[lo:lo + 256, None] * _SAMPLES).min(0), out=least)
     return least
 
 
@@ -82,7 +85,7 @@ def _signature(text: str) -> tuple:
     if not len(s):
         return 0, 0, 0, None, None
     least = _samples(s)
-    keys = _mix((least.reshape(BANDS, ROWS) * _IN_BAND).sum(1, dtype=np.uint64) + _BAND)
+    keys = _mix((least[:BANDS * ROWS].reshape(BANDS, ROWS) * _IN_BAND).sum(1, dtype=np.uint64) + _BAND)
     bits = _mix(least + _SAMPLES) % np.uint64(SKETCH_BITS)
     odd = np.packbits(np.bincount(bits.astype(np.int64), minlength=SKETCH_BITS) & 1).view(np.int64)
     f1, f2 = s.sum(dtype=np.uint64), _mix(s ^ _M2).sum(dtype=np.uint64)
@@ -106,7 +109,7 @@ def similar_enough(differ, least: float):
     """Whether ``differ`` bits between two odd sketches allow a similarity of
     ``least``: the share of samples that differ is (1 - similarity), each
     flips two bits, and flips that meet are expected to cancel."""
-    expected = SKETCH_BITS / 2 * (1 - np.exp(-4 * BANDS * ROWS * (1 - least) / SKETCH_BITS))
+    expected = SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - least) / SKETCH_BITS))
     return differ <= expected
 
 
@@ -143,26 +146,75 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
                    .select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"), "links")
 
 
-def _compare(group: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Pairs of one bucket block, or of two, that lie in different components
-    and pass by size and sketch."""
-    group = group.sort_values("n", kind="stable")
-    rep, n, comp, block = (group[c].to_numpy() for c in ("rep", "n", "component", "block"))
-    sketch = np.stack(group["sketch"].to_numpy()).view(np.uint64)
-    across = group["i"].iat[0] != group["j"].iat[0]
-    out = []
+def _compare(n, rep, component, block, across: bool, sketch, least: float, nearest: bool):
+    """Pairs (a, b) of one bucket block, or of two, that lie in different
+    components and pass by size and sketch; the best of each member only, if
+    ``nearest``."""
+    order = np.argsort(n, kind="stable")
+    n, rep, component, block, sketch = n[order], rep[order], component[order], block[order], sketch[order]
+    if (component == component[0]).all():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    xs, ys = [], []
     for lo in range(0, len(rep), 64):
         hi = min(lo + 64, len(rep))
+        first = int(np.searchsorted(n, n[lo] * (least + MARGIN), side="left")) if nearest else lo
         end = int(np.searchsorted(n, n[hi - 1] / (least + MARGIN), side="right"))
-        differ = np.bitwise_count(sketch[lo:hi, None] ^ sketch[None, lo:end]).sum(2, dtype=np.int64)
-        ok = similar_enough(differ, least) & (comp[lo:hi, None] != comp[None, lo:end])
+        differ = np.bitwise_count(sketch[lo:hi, None] ^ sketch[None, first:end]).sum(2, dtype=np.int64)
+        ok = similar_enough(differ, least) & (component[lo:hi, None] != component[None, first:end])
         if across:
-            ok &= block[lo:hi, None] != block[None, lo:end]
-        x, y = np.nonzero(ok)
-        x, y = x + lo, y + lo
+            ok &= block[lo:hi, None] != block[None, first:end]
+        if nearest:
+            x = np.flatnonzero(ok.any(1))
+            y = np.where(ok, differ, SKETCH_BITS + 1).argmin(1)[x]
+        else:
+            x, y = np.nonzero(ok)
+        xs.append(x + lo)
+        ys.append(y + first)
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    if not nearest:
         x, y = x[x < y], y[x < y]
-        out.append(pd.DataFrame({"a": np.maximum(rep[x], rep[y]), "b": np.minimum(rep[x], rep[y])}))
-    return pd.concat(out)
+    return np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
+
+
+def _crossing(members: DataFrame, found: DataFrame, classes: DataFrame, least: float, nearest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of members of a bucket in different components
+    that pass by size and sketch. A bucket of more than ``BLOCK`` members is
+    cut into hashed blocks, and each two blocks meet in a group of their own."""
+    placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", "size", F.coalesce("component", "rep").alias("component"))
+    open_ = written(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                    .where("lo != hi").select("key"), "open-buckets")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+    columns = ["key", "i", "j", "n", "rep", "component", "block"]
+    blocked = (placed.join(open_, "key").join(classes.select("rep", "n", "sketch"), "rep")
+               .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("long"))
+               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+               .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+               .select(*columns, "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+
+    def compare(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            numbers = np.stack([table.column(c).to_numpy() for c in columns])
+            starts = np.flatnonzero((numbers[:3, 1:] != numbers[:3, :-1]).any(0)) + 1
+            done = int(starts[-1]) if len(starts) else 0
+            yield from groups(table, numbers, np.concatenate([[0], starts[:-1]]) if len(starts) else starts, done)
+            held = table.slice(done).combine_chunks().to_batches()[0]
+        if held is not None and held.num_rows:
+            table = pa.Table.from_batches([held])
+            yield from groups(table, np.stack([table.column(c).to_numpy() for c in columns]), np.array([0]), held.num_rows)
+
+    def groups(table, numbers, starts, end):
+        if not end:
+            return
+        flat = table.column("sketch").combine_chunks().flatten().to_numpy()
+        sketch = flat.reshape(-1, SKETCH_BITS // 64).view(np.uint64)
+        out = [_compare(*numbers[3:, lo:hi], numbers[1, lo] != numbers[2, lo], sketch[lo:hi], least, nearest)
+               for lo, hi in zip(starts, [*starts[1:], end])]
+        yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+
+    return blocked.mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
@@ -188,28 +240,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     buckets = written(banded.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("hub"))
                       .where("size > 1"), "buckets")
     members = written(banded.join(buckets, "key"), "members")
-    first = _confirmed(members.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    links = _confirmed(members.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
                        .distinct(), classes, plain, percent)
 
-    found = written(components(first), "components")
-    placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "size", F.coalesce("component", "rep").alias("component"))
-    open_ = written(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo != hi").select("key"), "open-buckets")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    blocked = (placed.join(open_, "key").join(classes.select("rep", "n", "sketch"), "rep")
-               .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-               .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-               .drop("other", "size"))
-    least = percent / 100 - MARGIN
-    crossing = (blocked.groupBy("key", "i", "j")
-                .applyInPandas(lambda g: _compare(g, least), "a long, b long").distinct())
-    links = first.union(_confirmed(crossing, classes, plain, percent))
+    found = written(components(links), "components")
+    for last in [False] * NEAREST_ROUNDS + [True]:
+        crossing = _crossing(members, found, classes, percent / 100 - MARGIN, nearest=not last)
+        links = links.union(_confirmed(crossing, classes, plain, percent))
+        found = written(components(links), "components")
 
-    final = written(components(links), "components")
     class_of = written(
-        classes.join(final, F.col("rep") == F.col("node"), "left")
+        classes.join(found, F.col("rep") == F.col("node"), "left")
         .select("n", "f1", "f2", F.coalesce("component", "rep").alias("component")), "class-components")
     out = signed.select("id", "n", "f1", "f2").join(class_of, ["n", "f1", "f2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

@@ -11,6 +11,7 @@ QUERY_BLOCK = 2048
 SHARD_ROWS = 8192
 FIRST_ROWS = 256  # scored in full, to get a first threshold
 ROWS = 2048       # rows traversed between two threshold updates
+QUERIES_AT_ONCE = 256
 PROBE_TERMS = 8   # non-essential terms probed between two checks
 
 
@@ -76,18 +77,23 @@ def max_score(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, i
         essential = np.where(rank >= idle[:, None], queries, 0)
         rest = np.where(idle > 0, np.take_along_axis(sums, np.maximum(idle - 1, 0)[:, None], 1)[:, 0], 0)
         floor = np.where(rank < idle[:, None], least, 0).sum(1)
-        score = rows @ essential.T + floor
-        r, q = np.nonzero((score + rest > threshold) & (row_ids[:, None] != query_ids))
-        score = score[r, q]
-        left = idle[q]
-        while len(r) and left.max(initial=0) > 0:
-            to = np.maximum(left - PROBE_TERMS, 0)
-            probed = (rank[q] >= to[:, None]) & (rank[q] < left[:, None])
-            score = score + (np.where(probed, queries[q] * rows[r] - least[q], 0)).sum(1)
-            left = to
-            rest = np.where(left > 0, sums[q, np.maximum(left - 1, 0)], 0)
-            alive = score + rest > threshold[q]
-            r, q, score, left = r[alive], q[alive], score[alive], left[alive]
+        found = []
+        for at in range(0, len(queries), QUERIES_AT_ONCE):
+            some = slice(at, at + QUERIES_AT_ONCE)
+            score = rows @ essential[some].T + floor[some]
+            r, q = np.nonzero((score + rest[some] > threshold[some]) & (row_ids[:, None] != query_ids[some]))
+            score, q = score[r, q], q + at
+            left = idle[q]
+            while len(r) and left.max() > 0:
+                for place in range(1, PROBE_TERMS + 1):  # the largest bounds left
+                    term = by_bound[q, left - place]
+                    gain = queries[q, term] * rows[r, term] - least[q, term]
+                    score += np.where(left >= place, gain, 0)
+                left = np.maximum(left - PROBE_TERMS, 0)
+                alive = score + np.where(left > 0, sums[q, left - 1], 0) > threshold[q]
+                r, q, score, left = r[alive], q[alive], score[alive], left[alive]
+            found.append((r, q, score))
+        r, q, score = map(np.concatenate, zip(*found))
         new = pd.DataFrame({"q": q, "vec_id": row_ids[r], "score": score.astype(np.int64)})
         best = _best(pd.concat([best, new]), k)
     return best
