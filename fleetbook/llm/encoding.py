@@ -1,12 +1,15 @@
 """Exact token ids and counts of whole texts, a batch at a time.
 
 Byte-level BPE first cuts a text into pre-tokens and merges inside each one
-alone. A single space between two characters that are not white space always
-starts a pre-token, so a text may be cut there and the pieces encoded apart:
+alone. Between two characters that are not white space, a single space always
+starts a pre-token and a single line feed is one, so a text may be cut there
+and the pieces encoded apart:
 ids and counts are those of the whole text. That bounds the memory of a long
-text, and pieces repeat (they are mostly words), so each task keeps the
-results of short pieces in a bounded memo. Tokenizers of another kind get
-whole texts.
+text, and pieces repeat (they are mostly words), so each worker keeps the
+results of short pieces in a bounded memo. A new piece of Latin letters, with
+or without a comma or full stop at its end, is one pre-token (or two), which
+goes to the library's model without its text stages. Tokenizers of another
+kind get whole texts.
 """
 
 from __future__ import annotations
@@ -18,7 +21,13 @@ import re
 
 import numpy as np
 
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)")
+# Byte-level vocabularies spell a byte as the character of that number if it
+# prints, the others in turn from 256 on
+_PRINTS = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SPELLING = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 
 def _cuttable(spec: dict) -> bool:
@@ -52,18 +61,34 @@ class Encoder:
             tok = Tokenizer.from_file(path)
             tok.no_truncation()
             tok.no_padding()
+            self.model = tok.model
             self.library = lambda texts: [
                 e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+        self.feed = self._encode(["\n"])[0] if self.cut else None
+
     def _encode(self, texts: list[str]) -> list:
         found = self.library(texts)
         return [np.asarray(x, "<u4").tobytes() for x in found] if self.ids else [len(x) for x in found]
 
+    def _word(self, word: str) -> bytes | int:
+        """The result of one pre-token, by the library's model."""
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(_SPELLING))
+        return np.array([t.id for t in tokens], "<u4").tobytes() if self.ids else len(tokens)
+
     def _learn(self, memo: dict, pieces: set[str], prefix: str) -> dict:
         """Results of the pieces that ``memo`` lacks. Short ones enter it while
         there is room; the first seen are mostly the frequent ones."""
-        new = list(pieces.difference(memo))
-        found = dict(zip(new, self._encode([prefix + p for p in new]))) if new else {}
+        found, other = {}, []
+        for p in pieces.difference(memo):
+            word = _WORD.fullmatch(p)
+            if not word:
+                other.append(p)
+                continue
+            base = memo[word[1]] if word[1] in memo else self._word(prefix + word[1])
+            found[p] = base + self._word(word[2]) if word[2] else base
+        if other:
+            found.update(zip(other, self._encode([prefix + p for p in other])))
         if len(memo) < self.memo_entries:
             memo.update((p, r) for p, r in found.items() if len(p) <= self.memo_chars)
         return found
@@ -72,9 +97,9 @@ class Encoder:
         """One result per text: bytes of ids, or the count."""
         if not self.cut:
             return self._encode(texts)
-        split = [_CUT.split(t) for t in texts]
-        heads = self._learn(self.heads, {p[0] for p in split}, "")
-        tails = self._learn(self.tails, set().union(*(p[1:] for p in split)), " ")
+        split = [[_CUT.split(line) for line in _LINE.split(t)] for t in texts]
+        heads = self._learn(self.heads, {line[0] for text in split for line in text}, "")
+        tails = self._learn(self.tails, set().union(*(line[1:] for text in split for line in text)), " ")
 
         def head(p):
             return self.heads[p] if p in self.heads else heads[p]
@@ -82,11 +107,12 @@ class Encoder:
         def tail(p):
             return self.tails[p] if p in self.tails else tails[p]
 
-        if len(self.tails) < self.memo_entries and not any(len(p) > self.memo_chars for p in tails):
+        if all(p in self.tails for p in tails):
             tail = self.tails.__getitem__
         if self.ids:
-            return [b"".join([head(p[0]), *map(tail, p[1:])]) for p in split]
-        return [head(p[0]) + sum(map(tail, p[1:])) for p in split]
+            return [self.feed.join(b"".join([head(line[0]), *map(tail, line[1:])]) for line in text) for text in split]
+        return [sum(head(line[0]) + sum(map(tail, line[1:])) for line in text) + self.feed * (len(text) - 1)
+                for text in split]
 
 
 @functools.cache
