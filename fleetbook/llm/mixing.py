@@ -40,8 +40,8 @@ def flattened(cells: DataFrame, dim: str, power: float) -> DataFrame:
     """Target shares of one margin: today's shares raised to ``power`` (below
     1 lifts small values), made to sum to 1."""
     margin = cells.groupBy(dim).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias("raised"))
-    whole = margin.agg(F.sum("raised").alias("whole"))  # one row
-    return margin.crossJoin(F.broadcast(whole)).select(dim, (F.col("raised") / F.col("whole")).alias("share"))
+    whole = margin.agg(F.sum("raised")).first()[0] or 1.0
+    return margin.select(dim, (F.col("raised") / F.lit(whole)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
