@@ -12,6 +12,7 @@ SHARD_ROWS = 8192
 FIRST_ROWS = 256  # scored in full, to get a first threshold
 ROWS = 2048       # rows traversed between two threshold updates
 QUERIES_AT_ONCE = 256
+SLACK = 0.05      # share of the way to the threshold that non-essential terms may bridge
 PROBE_TERMS = 8   # non-essential terms probed between two checks
 
 
@@ -45,11 +46,12 @@ def max_score(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, i
 
     A query's terms are its components; the posting of a term is a column of
     the shard, and a term's contribution lies between its least product and
-    ``bound`` above that. Terms whose bounds together cannot lift the least
-    score above the query's threshold (its k-th score so far) are
-    non-essential. Essential columns are traversed for all rows; the rest is
-    probed, largest bound first, only for rows that can still beat the
-    threshold. Rows come in ascending id, so a later tie never wins.
+    ``bound`` above that. Terms of small bounds, which together bridge no more
+    than ``SLACK`` of the way from the least score to the query's threshold
+    (its k-th score so far), are non-essential: a row needs the others to
+    compete. Essential columns are traversed for all rows; the rest is probed,
+    largest bound first, only for rows that can still beat the threshold. Rows
+    come in ascending id, so a later tie never wins.
     """
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
@@ -73,7 +75,8 @@ def max_score(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, i
         full = counted[counted["size"] >= k]
         threshold = np.full(len(queries), lowest, queries.dtype)
         threshold[full.index] = full["min"]
-        idle = (base[:, None] + sums <= threshold[:, None]).sum(1)  # non-essential terms
+        gap = threshold.astype(np.float64) - base
+        idle = (sums <= SLACK * gap[:, None]).sum(1)  # non-essential terms
         essential = np.where(rank >= idle[:, None], queries, 0)
         rest = np.where(idle > 0, np.take_along_axis(sums, np.maximum(idle - 1, 0)[:, None], 1)[:, 0], 0)
         floor = np.where(rank < idle[:, None], least, 0).sum(1)
