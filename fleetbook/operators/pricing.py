@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from fleetbook.functions.scalars import days_between, percent_discount
 from fleetbook.plans.aggregates import pick_per_group
-from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, has_at_most
+from fleetbook.plans.joins import bounded_broadcast, is_small
 
 AMOUNT = T.DecimalType(12, 2)
 LONG_AMOUNT = T.DecimalType(18, 2)
@@ -82,6 +82,29 @@ def insurance_amount(res: DataFrame, car_types: DataFrame, rates: DataFrame, *,
     return out.withColumn(out_col, amount).drop("__vin", "__ctype", "__rt", "__ri", "__rate")
 
 
+def rent_and_insurance(res: DataFrame, cars: DataFrame, rates: DataFrame, *, vin: str = "vin",
+                       car_type: str = "car_type", price: str = "price_per_day",
+                       insurance_type: str = "insurance_type", rate: str = "insurance_price",
+                       start: str = "start_date", actual_end: str = "actual_end_date",
+                       rent: str = "rental_amount", insurance: str = "insurance_amount",
+                       dtype: T.DataType = LONG_AMOUNT) -> DataFrame:
+    """``rent_amount`` and ``insurance_amount`` from one join to ``cars`` (car,
+    type, daily price): one shuffle of the rows when the cars are too many to
+    broadcast, whose hot cars AQE can split."""
+    terms = bounded_broadcast(cars.select(F.col(vin).alias("__vin"), F.col(car_type).alias("__ctype"),
+                                          F.col(price).alias("__price")))
+    r = bounded_broadcast(rates.select(F.col(car_type).alias("__rt"),
+                                       F.col(insurance_type).alias("__ri"),
+                                       F.col(rate).alias("__rate")))
+    days = days_between(actual_end, start)
+    out = (res.join(terms, F.col(vin) == F.col("__vin"), "left")
+              .join(r, (F.col("__ctype") == F.col("__rt"))
+                    & (F.col(insurance_type) == F.col("__ri")), "left"))
+    return (out.withColumn(rent, (F.col("__price") * days).cast(dtype))
+            .withColumn(insurance, (F.col("__rate") * days).cast(dtype))
+            .drop("__vin", "__ctype", "__price", "__rt", "__ri", "__rate"))
+
+
 def first_uses(res: DataFrame, offers: DataFrame, order_by: Sequence[str], *,
                key: str = "reservation_id", code: str = "promo_code",
                one_time: str = "is_one_time") -> DataFrame:
@@ -122,7 +145,7 @@ def offer_available_flag(res: DataFrame, offers: DataFrame, order_by: Sequence[s
     firsts = firsts.select(F.col(key).alias("__fk"), F.lit(True).alias("__first"))
     # The first-use table has at most one row per offer, so one bounded probe
     # of the offer table covers both broadcasts.
-    if has_at_most(offers, DEFAULT_BROADCAST_ROWS):
+    if is_small(offers):
         terms, firsts = F.broadcast(terms), F.broadcast(firsts)
     out = (res.join(terms, F.col(code) == F.col("__oc"), "left")
               .join(firsts, F.col(key) == F.col("__fk"), "left"))
@@ -191,8 +214,5 @@ def cap_payment(pay: DataFrame, res: DataFrame, *, key: str = "reservation_id",
 def price_reservations(res: DataFrame, cars: DataFrame, car_types: DataFrame,
                        rates: DataFrame, offers: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Penalty, rent, insurance, then the total, on rental-table columns."""
-    prices = car_prices(cars, car_types)
-    out = penalty_amount(res)
-    out = rent_amount(out, prices)
-    out = insurance_amount(out, cars.select("vin", "car_type"), rates)
+    out = rent_and_insurance(penalty_amount(res), car_prices(cars, car_types), rates)
     return price_total(out, offers, order_by)

@@ -16,6 +16,14 @@ from fleetbook.operators.queries import overdue_with_user, promo_usage
 
 LINE = "line"
 
+# The texts of the report lines, around their values
+OVERDUE_TEXT = ("User ", " ", " ", "  whose email id is ", " has not returned the car with VIN ", ".")
+PROMO_TEXT = ("Promo Code ", " has been used ", " times.")
+
+
+def _around(texts, *values) -> list:
+    return [x for pair in zip(texts, values) for x in pair] + [texts[-1]]
+
 
 def overdue_report(res: DataFrame, users: DataFrame, **overdue_kwargs) -> DataFrame:
     """``User <first> <middle> <last>  whose email id is <email> has not
@@ -23,9 +31,8 @@ def overdue_report(res: DataFrame, users: DataFrame, **overdue_kwargs) -> DataFr
     A missing name part reads as empty text."""
     rows = overdue_with_user(res, users, **overdue_kwargs)
     text = concat_null_as_empty(
-        "User ", F.col("fname"), " ", F.col("mname"), " ", F.col("lname"), "  ",
-        "whose email id is ", F.col("email"),
-        " has not returned the car with VIN ", F.rtrim(F.col("vin")), ".")
+        *_around(OVERDUE_TEXT, F.col("fname"), F.col("mname"), F.col("lname"), F.col("email"),
+                 F.rtrim(F.col("vin"))))
     return rows.select(F.col("reservation_id"), text.alias(LINE))
 
 
@@ -34,8 +41,8 @@ def promo_usage_report(offers: DataFrame, res: DataFrame, **kwargs) -> DataFrame
     one-time."""
     usage = promo_usage(offers, res, **kwargs)
     code = kwargs.get("code", "promo_code")
-    text = concat_null_as_empty("Promo Code ", F.col(code), " has been used ",
-                                F.col("times_used").cast("string"), " times.")
+    text = concat_null_as_empty(
+        *_around(PROMO_TEXT, F.col(code), F.col("times_used").cast("string")))
     return usage.select(F.col(code), text.alias(LINE))
 
 

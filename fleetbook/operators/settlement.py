@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from fleetbook.functions.scalars import percent_increase
 from fleetbook.plans.aggregates import pick_per_group
 from fleetbook.plans.joins import small_side
-from fleetbook.plans.materialize import materialize
 
 
 def paid_per_reservation(pay: DataFrame, *, key: str = "reservation_id",
@@ -45,8 +44,8 @@ def flag_due(res: DataFrame, pay: DataFrame, *, key: str = "reservation_id",
 def due_reservations(res: DataFrame, pay: DataFrame, *, key: str = "reservation_id",
                      status: str = "status", reserved: str = "Reserved",
                      total: str = "tot_amount", paid: str = "amount_paid") -> DataFrame:
-    """``select R.* from reservation R where status = 'Reserved' and
-    tot_amount <= (select sum(amount_paid) from payment P where P.key = R.key)``.
+    """Reservations still reserved whose payments together cover the total,
+    with all their columns; without payments there is no sum to cover it.
 
     The status filter reaches the reservation scan before the inner join
     with the payment sums, which are partitioned on the key already.
@@ -60,7 +59,8 @@ def due_reservations(res: DataFrame, pay: DataFrame, *, key: str = "reservation_
 
 def settle_reservations(res: DataFrame, pay: DataFrame | None = None, *,
                         due: DataFrame | None = None, key: str = "reservation_id",
-                        status: str = "status", completed: str = "Completed") -> DataFrame:
+                        status: str = "status", reserved: str = "Reserved",
+                        completed: str = "Completed") -> DataFrame:
     """Reservation table with the due rows marked completed.
 
     Given the payments, this is one left join of the reservations to the
@@ -68,7 +68,7 @@ def settle_reservations(res: DataFrame, pay: DataFrame | None = None, *,
     joined back.
     """
     if due is None:
-        flagged = flag_due(res, pay, key=key, status=status)
+        flagged = flag_due(res, pay, key=key, status=status, reserved=reserved)
     else:
         due_keys = due.select(F.col(key).alias("__dk"), F.lit(True).alias("__due"))
         flagged = res.join(due_keys, F.col(key) == F.col("__dk"), "left").drop("__dk")
@@ -120,15 +120,14 @@ def settle_cars(cars: DataFrame, due_rentals: DataFrame, *, vin: str = "vin",
 def settle(res: DataFrame, pay: DataFrame, offers: DataFrame, cars: DataFrame, *,
            cut_lineage: bool = False) -> dict[str, DataFrame]:
     """All three settlement outputs from one pass over reservations and
-    payments. With ``cut_lineage`` the flagged reservations are checkpointed
-    to the shared folder first, so the three outputs read them rather than
-    recompute the payment aggregate."""
-    flagged = materialize(flag_due(res, pay), cut_lineage)
-    due = flagged.where(F.col("__due")).select(*res.columns)
+    payments. With ``cut_lineage`` the due rows are written first, only the
+    columns that the outputs need (key, car, code, drop location), so the
+    outputs read those instead of summing the payments again; the
+    reservation table is then one join, written once."""
+    due = due_reservations(res, pay).select("reservation_id", "vin", "promo_code", "drop_location_id")
+    due = small_side(due, cut_lineage)
     return {
-        "reservation": flagged.withColumn(
-            "status", F.when(F.col("__due"), F.lit("Completed")).otherwise(F.col("status")))
-            .drop("__due"),
+        "reservation": settle_reservations(res, due=due),
         "offer_details": settle_offers(offers, due),
         "car": settle_cars(cars, due, small_winner=cut_lineage),
     }

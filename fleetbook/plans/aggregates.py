@@ -24,18 +24,21 @@ def pick_per_group(df: DataFrame, group: str, order_by: Sequence[str], value: st
                    last: bool = False, out: str | None = None) -> DataFrame:
     """``(group, out)``: the ``value`` of the first row per group in
     ``(order_by..., value)`` order, or of the last row with ``last=True``.
-    Rows whose order columns are NULL are not considered."""
+    A NULL order value comes after all others (before them with
+    ``last=True``, so it is never preferred): such a row is picked only when
+    its group has no other."""
     out = out or value
     order_by = list(order_by)
     best = F.max if last else F.min
-    rows = df
-    for c in order_by:
-        rows = rows.where(F.col(c).isNotNull())
     if len(order_by) == 1:
         o = order_by[0]
-        per_order = rows.groupBy(group, o).agg(best(value).alias("__pick_v"))
-        pick = F.max_by if last else F.min_by
-        return per_order.groupBy(group).agg(pick("__pick_v", o).alias(out))
-    ordered = F.struct(*[F.col(c) for c in order_by], F.col(value).alias("__pick_v"))
-    return rows.groupBy(group).agg(best(ordered).alias("__pick_s")).select(
+        per_order = df.groupBy(group, o).agg(best(value).alias("__pick_v"))
+        pick = F.max_by if last else F.min_by  # both skip NULL orders
+        unordered = best(F.when(F.col(o).isNull(), F.col("__pick_v")))
+        return per_order.groupBy(group).agg(
+            F.when(F.count(o) > 0, pick("__pick_v", o)).otherwise(unordered).alias(out))
+    known = [F.col(c).isNotNull() if last else F.col(c).isNull() for c in order_by]
+    ordered = F.struct(*[x.alias(f"__o{i}_{j}") for i, (k, c) in enumerate(zip(known, order_by))
+                         for j, x in enumerate((k, F.col(c)))], F.col(value).alias("__pick_v"))
+    return df.groupBy(group).agg(best(ordered).alias("__pick_s")).select(
         group, F.col("__pick_s.__pick_v").alias(out))

@@ -1,7 +1,7 @@
 """Join strategies the optimizer cannot choose safely on its own.
 
-* ``bounded_broadcast``: broadcast a side only after its row count has been
-  proven below a bound; otherwise leave the join to the shuffle planner
+* ``bounded_broadcast``: broadcast a side only after its rows and bytes have
+  been proven below a bound; otherwise leave the join to the shuffle planner
   (sort-merge or shuffled hash, re-planned by AQE from measured sizes).
 * ``null_aware_anti_join``: ``NOT IN`` without the forced broadcast. Spark
   plans ``x NOT IN (subquery)`` as a null-aware broadcast anti join even with
@@ -11,106 +11,118 @@
 * ``small_side``: a side derived from a big table but expected small is
   written once to the shared checkpoint folder, counted, and broadcast, so
   the other (big) side is not shuffled.
+
+The bounds are the session settings ``spark.fleetbook.broadcastRows`` and
+``spark.fleetbook.broadcastBytes``. Where ``spark.sql.autoBroadcastJoinThreshold``
+is -1 nothing but literal rows is broadcast.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Bounds of a broadcast side; dimension tables of the rental system (types,
+# rates, offers, locations) are far below them.
+ROWS_KEY, DEFAULT_BROADCAST_ROWS = "spark.fleetbook.broadcastRows", 2_000_000
+BYTES_KEY, DEFAULT_BROADCAST_BYTES = "spark.fleetbook.broadcastBytes", 256 << 20
+
+# Logical operators that keep rows where they are and make no new ones
+_NARROW = {"Project", "Filter", "SubqueryAlias", "LocalRelation", "LogicalRelation", "LogicalRDD",
+           "ResolvedHint"}
+_STRING_BYTES = 64
+
+
+def _limits(spark: SparkSession) -> tuple[int, int]:
+    return (int(spark.conf.get(ROWS_KEY, str(DEFAULT_BROADCAST_ROWS))),
+            int(spark.conf.get(BYTES_KEY, str(DEFAULT_BROADCAST_BYTES))))
 
-# Rows allowed on a broadcast side; dimension tables of the rental system
-# (types, rates, offers, locations) are far below this.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# A file-backed side whose size estimate exceeds this is not probed at all.
-DEFAULT_ESTIMATE_CEILING = 256 << 20
 
+def _auto_threshold(spark: SparkSession) -> int:
+    """Spark's own broadcast threshold in bytes, -1 if broadcasting is off."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return DEFAULT_ESTIMATE_CEILING + 1
 
+def _operators(df: DataFrame) -> set[str]:
+    """Names of the nodes of the optimized plan."""
+    names, todo = set(), [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        names.add(node.nodeName())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return names
 
-def _plan_text(df: DataFrame) -> tuple[str, str]:
-    qe = df._jdf.queryExecution()
-    return qe.optimizedPlan().toString(), qe.executedPlan().toString()
 
+def row_bytes(schema: T.StructType) -> int:
+    """Bytes of a row, text and nested values at a flat guess."""
+    def width(t):
+        if isinstance(t, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            return _STRING_BYTES
+        return 16 if isinstance(t, T.DecimalType) else 8
 
-def exact_row_count(df: DataFrame) -> int | None:
+    return 16 + sum(width(f.dataType) for f in schema.fields)
+
+
+def _within(df: DataFrame, rows: int) -> bool:
+    max_rows, max_bytes = _limits(df.sparkSession)
+    return rows <= max_rows and rows * row_bytes(df.schema) <= max_bytes
+
+
+def literal_rows(df: DataFrame) -> int | None:
     """An exact upper bound on the rows of a narrow plan over literal rows
     (``LocalRelation``): the leaf's own row count, which filters and
     projections can only reduce. None for any other plan."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    logical = plan.toString()
-    if ("LocalRelation" not in logical or "LogicalRDD" in logical
-            or re.search(r"(?<!Local)Relation\b", logical)):
-        return None
-    if any(op in logical for op in ("Join", "Aggregate", "Generate", "Union", "Expand")):
+    if not _operators(df) <= _NARROW - {"LogicalRelation", "LogicalRDD"}:
         return None
-    leaves = plan.collectLeaves()
-    if leaves.size() != 1:
-        return None
-    rc = leaves.apply(0).stats().rowCount()
-    return int(str(rc.get())) if rc.isDefined() else None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    count = leaves.apply(0).stats().rowCount()
+    return int(str(count.get())) if count.isDefined() else None
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True if ``df`` has no more than ``n`` rows. Uses the exact count of
-    literal rows when known; otherwise runs a probe in which each task stops
-    reading after n+1 rows."""
-    known = exact_row_count(df)
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` is within the bounds: by the exact count of literal
+    rows, else by counting (one partial row per task). Unless the rows are
+    literal, never when broadcasting is off."""
+    known = literal_rows(df)
     if known is not None:
-        return known <= n
-    return df.limit(n + 1).count() <= n
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      estimate_ceiling: int = DEFAULT_ESTIMATE_CEILING) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
-    rows, else the unchanged ``df``.
-
-    A narrow plan over files smaller than Spark's own broadcast threshold
-    is broadcast as the planner would. Otherwise the row probe is only run
-    where it is cheap and bounded: on a narrow plan (no shuffle) over rows
-    held by the driver, or over files whose total size is below
-    ``estimate_ceiling``. A side derived through a
-    shuffle is left to the planner: AQE measures its shuffle output and
-    converts the join to a broadcast at run time when it is small, so no
-    plan is run twice just to size it.
+        return _within(df, known)
+    return _auto_threshold(df.sparkSession) >= 0 and _within(df, df.count())
+
+
+def broadcast_counted(df: DataFrame) -> DataFrame:
+    """``F.broadcast(df)`` if a count proves it within the bounds; for frames
+    that are cheap to read again (cached, literal)."""
+    return F.broadcast(df) if is_small(df) else df
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` is proven to be within the bounds, else
+    the unchanged ``df``.
+
+    Only a narrow plan (no shuffle) is looked at: literal rows by their own
+    count, files below Spark's own broadcast threshold as the planner would,
+    files below the byte bound by a count. A side derived through a shuffle
+    is left to the planner: AQE measures its shuffle output and converts the
+    join to a broadcast at run time when it is small, so no plan is run twice
+    just to size it.
     """
     if df.isStreaming:
         return df
-    logical, physical = _plan_text(df)
-    if "Exchange" in physical:
+    known = literal_rows(df)
+    if known is not None:
+        return F.broadcast(df) if _within(df, known) else df
+    threshold = _auto_threshold(df.sparkSession)
+    if threshold < 0 or not _operators(df) <= _NARROW:
         return df
-    files = re.search(r"(?<!Local)Relation\b", logical) is not None
-    local = not files and ("LogicalRDD" in logical or "LocalRelation" in logical)
-    if not local:
-        est = estimated_bytes(df)
-        if est <= _auto_threshold(df):
-            # Below Spark's own broadcast threshold on file sizes of a narrow
-            # plan: the planner would broadcast it too; no probe needed.
-            return F.broadcast(df)
-        if est > estimate_ceiling:
-            return df
-    if has_at_most(df, max_rows):
+    plan = df._jdf.queryExecution().optimizedPlan()
+    estimate = int(str(plan.stats().sizeInBytes()))
+    if estimate <= threshold:
         return F.broadcast(df)
-    return df
-
-
-def _auto_threshold(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(raw)
-    except ValueError:
-        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        raw = raw.strip().lower().rstrip("b") or "0"
-        return int(float(raw[:-1]) * units[raw[-1]]) if raw[-1] in units else int(raw)
+    if estimate > _limits(df.sparkSession)[1]:
+        return df
+    return broadcast_counted(df)
 
 
 def null_aware_anti_join(left: DataFrame, right: DataFrame,
@@ -149,18 +161,19 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame,
     return left.where(keep).join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")
 
 
-def small_side(df: DataFrame, enabled: bool = True,
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, enabled: bool = True) -> DataFrame:
     """For a side expected to be small but derived from a big table (a
     selective filter, a set of doomed keys): write it once as a table in the
     shared checkpoint folder, counting its rows in the same job, and
-    broadcast it if the count is at most ``max_rows``. The big side of the
-    join is then scanned without a shuffle, which a sort-merge join
-    re-planned by AQE at run time would already have paid for. Disabled (or
-    streaming) it is returned as is."""
+    broadcast it if it is within the bounds. The big side of the join is then
+    scanned without a shuffle, which a sort-merge join re-planned by AQE at
+    run time would already have paid for. If it is too large, the join reads
+    a plain scan, so that AQE can split a hot key of the other side. Disabled
+    (or streaming) it is returned as is."""
     from fleetbook.plans.materialize import write_counted
 
     if not enabled or df.isStreaming:
         return df
     written, rows = write_counted(df)
-    return F.broadcast(written) if rows <= max_rows else written
+    small = _auto_threshold(df.sparkSession) >= 0 and _within(written, rows)
+    return F.broadcast(written) if small else written

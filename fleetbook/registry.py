@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook import starmap as sm
-from fleetbook.functions.scalars import (char_pad, concat_null_as_empty, dec_lit, format_date,
-                                         money, parse_date, round_to_int)
+from fleetbook.functions.scalars import (char_pad, concat_null_as_empty, format_date, money,
+                                         parse_date, round_to_int)
 from fleetbook.operators import integrity, pricing, queries, reports, settlement
 from fleetbook.plans.joins import bounded_broadcast, small_side
 from fleetbook.session import scratch_path
 from fleetbook.sources.schemas import ForeignKey
-from fleetbook.sources.tables import append_rows, read_table, scan_all
+from fleetbook.sources.tables import append_rows, read_table, scan_all, stream_table
 from fleetbook.streaming import payments as stream_payments
 from fleetbook.streaming import promos as stream_promos
 
@@ -32,6 +32,12 @@ ARRIVAL = ("start_date",)
 OVERDUE_SQL = (f"r.status = 'Reserved' AND r.end_date < {AS_OF_SQL} "
                "AND r.actual_end_date IS NULL")
 
+
+def _sql_concat(texts, *values: str) -> str:
+    """Texts around values as SQL; NULL reads as empty."""
+    parts = [x for t, v in zip(texts, values) for x in (f"'{t}'", f"coalesce({v}, '')")]
+    return " || ".join([*parts, f"'{texts[-1]}'"])
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
@@ -49,8 +55,14 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, d, name)
 
 
-def _res(spark, d):
-    return sm.reservations(_t(spark, d, "orders"))
+def _res(spark, d, coded=False):
+    return sm.reservations(_t(spark, d, "orders"), coded)
+
+
+def _open(spark, d):
+    """Reservations with the order's own status, and the code of an open one,
+    so that the status filter reaches the reader."""
+    return _res(spark, d, coded=True), sm.RESERVED
 
 
 def _pay(spark, d):
@@ -92,7 +104,18 @@ def filter_price_q(spark, d):
     f"SELECT r.reservation_id, r.license_no, r.end_date FROM reservations r WHERE {OVERDUE_SQL}",
     "reservations"))
 def filter_overdue_q(spark, d):
-    return queries.overdue_reservations(_res(spark, d), AS_OF).select(
+    res, reserved = _open(spark, d)
+    return queries.overdue_reservations(res, AS_OF, reserved=reserved).select(
+        "reservation_id", "license_no", "end_date")
+
+
+@register("filter_overdue_today", sm.with_views(
+    "SELECT reservation_id, license_no, end_date FROM reservations WHERE actual_end_date IS NULL "
+    "AND end_date <= current_date AND status = 'Reserved'", "reservations"))
+def filter_overdue_today_q(spark, d):
+    """By today's date, the rentals that are due today included."""
+    res, reserved = _open(spark, d)
+    return queries.overdue_reservations(res, reserved=reserved).select(
         "reservation_id", "license_no", "end_date")
 
 
@@ -114,15 +137,15 @@ def filter_not_one_time_q(spark, d):
 # ------------------------------------------------------------------- joins
 
 @register("join_payments", sm.with_views(
-    "SELECT r.reservation_id, r.tot_amount, p.amount_paid FROM reservations r, payments p "
-    "WHERE r.reservation_id = p.reservation_id", "reservations", "payments"))
+    "SELECT reservation_id, tot_amount, amount_paid "
+    "FROM payments JOIN reservations USING (reservation_id)", "reservations", "payments"))
 def join_payments_q(spark, d):
     return queries.join_payments(_res(spark, d), _pay(spark, d))
 
 
 @register("rented_types_over_price",
-          "SELECT DISTINCT p_type, p_brand FROM part, lineitem, orders "
-          "WHERE l_orderkey = o_orderkey AND l_partkey = p_partkey AND p_retailprice > 910")
+          "SELECT DISTINCT p_type, p_brand FROM part WHERE p_retailprice > 910 AND p_partkey IN "
+          "(SELECT l_partkey FROM lineitem SEMI JOIN orders ON l_orderkey = o_orderkey)")
 def rented_types_over_price_q(spark, d):
     return queries.rented_types_over_price(
         _t(spark, d, "part"), _t(spark, d, "lineitem"), _t(spark, d, "orders"), 910,
@@ -157,19 +180,35 @@ def reserved_models_q(spark, d):
                              right_filter=F.col("l_quantity") > 49).select("p_name")
 
 
+# A completed order counts as paid at once, by one payment of its total
+_FIRST_BY_AMOUNT = ("SELECT tot_amount AS amount, min(reservation_id) AS first_id FROM reservations "
+                    "WHERE status = 'Completed' GROUP BY tot_amount")
+
+
+def _full_payments(spark, d):
+    res = _res(spark, d, coded=True).where(F.col("status") == sm.COMPLETED)
+    return res.select("reservation_id", F.col("tot_amount").alias("amount_paid"))
+
+
 @register("users_without_exact_payment", sm.with_views(
-    "SELECT u.license_no, u.fname FROM users u WHERE u.license_no NOT IN ("
-    "SELECT r.license_no FROM reservations r WHERE r.reservation_id = ("
-    "SELECT min(p.reservation_id) FROM payments p WHERE p.reservation_id = r.reservation_id "
-    "AND p.amount_paid >= r.tot_amount * 0.9))", "users", "reservations", "payments"))
+    "SELECT license_no, fname FROM users ANTI JOIN (SELECT license_no FROM reservations JOIN "
+    f"({_FIRST_BY_AMOUNT}) AS f ON amount = tot_amount AND first_id = reservation_id) AS paid "
+    "USING (license_no)", "users", "reservations"))
 def users_without_exact_payment_q(spark, d):
-    res, pay = _res(spark, d), _pay(spark, d)
-    p = pay.select(F.col("reservation_id").alias("__pk"), "amount_paid")
-    covered = res.join(p, (F.col("reservation_id") == F.col("__pk"))
-                       & (F.col("amount_paid") >= F.col("tot_amount") * dec_lit(Decimal("0.9"))),
-                       "left_semi")
-    users = sm.users(_t(spark, d, "customer"))
-    return queries.users_not_in(users, covered).select("license_no", "fname")
+    """Users none of whose orders is paid by one payment of its total; of
+    several payments of one amount that for the smallest order counts."""
+    return queries.users_without_exact_payment(
+        sm.users(_t(spark, d, "customer")), _res(spark, d), _full_payments(spark, d),
+        output=("license_no", "fname"), on_many="min")
+
+
+@register("exactly_paid_reservations", sm.with_views(
+    f"SELECT reservation_id, license_no FROM reservations JOIN ({_FIRST_BY_AMOUNT}) AS f "
+    "ON amount = tot_amount AND first_id = reservation_id", "reservations"))
+def exactly_paid_reservations_q(spark, d):
+    return queries.exactly_paid_reservations(
+        _res(spark, d), _full_payments(spark, d), on_many="min").select(
+        "reservation_id", "license_no")
 
 
 @register("not_in_with_null",
@@ -182,27 +221,34 @@ def not_in_with_null_q(spark, d):
         "c_custkey", "c_name")
 
 
-_DUE_SQL = ("SELECT r.* FROM reservations r WHERE r.status = 'Reserved' AND r.tot_amount <= ("
-            "SELECT sum(p.amount_paid) FROM payments p WHERE p.reservation_id = r.reservation_id)")
+_DUE_SQL = ("SELECT r.* FROM reservations r JOIN (SELECT reservation_id AS paid_id, "
+            "sum(amount_paid) AS paid FROM payments GROUP BY reservation_id) AS s "
+            "ON s.paid_id = r.reservation_id AND s.paid >= r.tot_amount WHERE r.status = 'Reserved'")
+
+
+def _due(spark, d):
+    res, reserved = _open(spark, d)
+    return settlement.due_reservations(res, _pay(spark, d), reserved=reserved)
 
 
 @register("settle_due", sm.with_views(_DUE_SQL, "reservations", "payments"))
 def settle_due_q(spark, d):
-    return settlement.due_reservations(_res(spark, d), _pay(spark, d))
+    return _due(spark, d).withColumn("status", sm.status_name("status"))
 
 
 @register("overdue_lookup", sm.with_views(
     "SELECT r.reservation_id, r.license_no, u.fname FROM reservations r "
     f"JOIN users u ON u.license_no = r.license_no WHERE {OVERDUE_SQL}", "reservations", "users"))
 def overdue_lookup_q(spark, d):
+    res, reserved = _open(spark, d)
     return queries.overdue_with_user(
-        _res(spark, d), sm.users(_t(spark, d, "customer")), as_of=AS_OF,
+        res, sm.users(_t(spark, d, "customer")), as_of=AS_OF, reserved=reserved,
         user_cols=("fname",), res_cols=("reservation_id", "license_no"))
 
 
-_PROMO_USAGE_SQL = ("SELECT o.promo_code, CAST((SELECT count(*) FROM reservations r "
-                    "WHERE r.promo_code = o.promo_code) AS BIGINT) AS times_used "
-                    "FROM offers o WHERE o.is_one_time <> 'Y'")
+_PROMO_USAGE_SQL = ("SELECT promo_code, count(reservation_id) AS times_used FROM offers "
+                    "LEFT JOIN (SELECT promo_code, reservation_id FROM reservations) AS r "
+                    "USING (promo_code) WHERE is_one_time <> 'Y' GROUP BY promo_code")
 
 
 @register("promo_usage", sm.with_views(_PROMO_USAGE_SQL, "offers", "reservations"))
@@ -231,18 +277,19 @@ def top1_reservation_q(spark, d):
 # ----------------------------------------------------------------- reports
 
 @register("overdue_report", sm.with_views(
-    "SELECT r.reservation_id, 'User ' || coalesce(u.fname, '') || ' ' || coalesce(u.mname, '') "
-    "|| ' ' || coalesce(u.lname, '') || '  ' || 'whose email id is ' || coalesce(u.email, '') "
-    "|| ' has not returned the car with VIN ' || coalesce(rtrim(r.vin), '') || '.' AS line "
+    "SELECT r.reservation_id, "
+    f"{_sql_concat(reports.OVERDUE_TEXT, 'u.fname', 'u.mname', 'u.lname', 'u.email', 'rtrim(r.vin)')} AS line "
     f"FROM reservations r JOIN users u ON u.license_no = r.license_no WHERE {OVERDUE_SQL}",
     "reservations", "users"))
 def overdue_report_q(spark, d):
-    return reports.overdue_report(_res(spark, d), sm.users(_t(spark, d, "customer")), as_of=AS_OF)
+    res, reserved = _open(spark, d)
+    return reports.overdue_report(res, sm.users(_t(spark, d, "customer")), as_of=AS_OF,
+                                  reserved=reserved)
 
 
 @register("promo_usage_report", sm.with_views(
-    "SELECT promo_code, 'Promo Code ' || promo_code || ' has been used ' "
-    f"|| CAST(times_used AS VARCHAR) || ' times.' AS line FROM ({_PROMO_USAGE_SQL}) AS u",
+    f"SELECT promo_code, {_sql_concat(reports.PROMO_TEXT, 'promo_code', 'times_used::VARCHAR')} AS line "
+    f"FROM ({_PROMO_USAGE_SQL}) AS u",
     "offers", "reservations"))
 def promo_usage_report_q(spark, d):
     return reports.promo_usage_report(sm.offers(spark), _res(spark, d))
@@ -310,6 +357,18 @@ def rent_amount_q(spark, d):
         "reservation_id", "line_no", "vin", "rental_amount")
 
 
+@register("type_rent_amount", sm.with_views(
+    "SELECT r.reservation_id, r.line_no, r.vin, CAST(t.price_per_day * "
+    "date_diff('day', r.start_date, r.actual_end_date) AS DECIMAL(18,2)) AS rental_amount "
+    "FROM rentals r LEFT JOIN part ON p_partkey = r.vin LEFT JOIN type_prices t "
+    "ON t.car_type = p_type", "rentals", "type_prices"))
+def type_rent_amount_q(spark, d):
+    """The price by two lookups: line to car type, type to daily price."""
+    cars = sm.prices(_t(spark, d, "part")).select("vin", "car_type")
+    return pricing.rent_amount(_rentals(spark, d), pricing.car_prices(cars, sm.type_prices(spark))).select(
+        "reservation_id", "line_no", "vin", "rental_amount")
+
+
 @register("insurance_amount", sm.with_views(
     "SELECT r.reservation_id, r.line_no, r.insurance_type, CAST(i.insurance_price * "
     "date_diff('day', r.start_date, r.actual_end_date) AS DECIMAL(18,2)) AS insurance_amount "
@@ -323,7 +382,7 @@ def insurance_amount_q(spark, d):
 
 
 _FIRSTS_SQL = ("SELECT reservation_id FROM (SELECT r.reservation_id, row_number() OVER ("
-               "PARTITION BY r.promo_code ORDER BY r.start_date, r.reservation_id) AS rn "
+               "PARTITION BY r.promo_code ORDER BY r.start_date NULLS LAST, r.reservation_id) AS rn "
                "FROM reservations r JOIN offers o ON o.promo_code = r.promo_code "
                "WHERE o.is_one_time = 'Y') AS t WHERE rn = 1")
 _AVAIL_SQL = ("(o.status = 'Available' AND CASE WHEN o.is_one_time = 'Y' "
@@ -386,10 +445,8 @@ def price_reservations_q(spark, d):
     insurance, then the total less the promotion available when its order
     arrived (one-time codes go to the first order that used them, decided
     on the orders so the line join is not computed twice)."""
-    prices = sm.prices(_t(spark, d, "part"))
-    out = pricing.penalty_amount(_rentals(spark, d))
-    out = pricing.rent_amount(out, prices)
-    out = pricing.insurance_amount(out, prices.select("vin", "car_type"), sm.rates(spark))
+    out = pricing.rent_and_insurance(pricing.penalty_amount(_rentals(spark, d)),
+                                     sm.prices(_t(spark, d, "part")), sm.rates(spark))
     return pricing.price_total(out, sm.offers(spark), ARRIVAL, arrivals=_res(spark, d)).select(
         "reservation_id", "line_no", "tot_amount")
 
@@ -422,8 +479,10 @@ def cap_payment_q(spark, d):
     f"ELSE r.status END AS status FROM reservations r LEFT JOIN ({_DUE_SQL}) AS d "
     "ON d.reservation_id = r.reservation_id", "reservations", "payments"))
 def settle_reservations_q(spark, d):
-    return settlement.settle_reservations(_res(spark, d), _pay(spark, d)).select(
-        "reservation_id", "status")
+    res, reserved = _open(spark, d)
+    done = settlement.settle_reservations(res, _pay(spark, d), reserved=reserved,
+                                          completed=sm.COMPLETED)
+    return done.select("reservation_id", sm.status_name("status").alias("status"))
 
 
 @register("settle_offers", sm.with_views(
@@ -431,8 +490,7 @@ def settle_reservations_q(spark, d):
     f"({_DUE_SQL}) AS d WHERE d.promo_code = o.promo_code) THEN 'Expired' ELSE o.status END "
     "AS status FROM offers o", "offers", "reservations", "payments"))
 def settle_offers_q(spark, d):
-    due = settlement.due_reservations(_res(spark, d), _pay(spark, d))
-    return settlement.settle_offers(sm.offers(spark), due)
+    return settlement.settle_offers(sm.offers(spark), _due(spark, d))
 
 
 @register("settle_cars", sm.with_views(
@@ -447,8 +505,7 @@ def settle_offers_q(spark, d):
 def settle_cars_q(spark, d):
     # the due keys are a subset of the orders: written once and, when small,
     # broadcast into the line scan, so the lines are not shuffled for them
-    due = small_side(settlement.due_reservations(_res(spark, d), _pay(spark, d))
-                     .select("reservation_id"))
+    due = small_side(_due(spark, d).select("reservation_id"))
     due_rentals = sm.rental_lines(_t(spark, d, "lineitem")).join(due, "reservation_id",
                                                                   "left_semi")
     return settlement.settle_cars(sm.cars(_t(spark, d, "part")), due_rentals).select(
@@ -511,7 +568,9 @@ def check_foreign_key_composite_q(spark, d):
     child = li.select("l_orderkey", "l_linenumber", "l_partkey",
                       F.when(F.col("l_returnflag") == "A", F.lit(None))
                        .otherwise(F.col("l_suppkey")).alias("l_suppkey_ref"))
-    parent = li.where(F.col("l_returnflag") == "A").select("l_partkey", "l_suppkey").distinct()
+    # distinct pairs, written so that the join reads a scan and AQE can split a hot pair
+    parent = small_side(li.where(F.col("l_returnflag") == "A")
+                        .select("l_partkey", "l_suppkey").distinct())
     return integrity.check_foreign_key(child, parent, ["l_partkey", "l_suppkey_ref"],
                                        ["l_partkey", "l_suppkey"])
 
@@ -545,12 +604,6 @@ def cascade_delete_q(spark, d):
 
 # ---------------------------------------------------------------- streaming
 
-def _events_stream(spark: SparkSession, src_dir: str, name: str = "events") -> DataFrame:
-    schema = read_table(spark, src_dir, name).schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(src_dir))
-
-
 @register("stream_cap_payments",
           "SELECT e.event_id, c.c_name, CASE WHEN CAST(e.value AS DECIMAL(12,2)) > "
           "CAST(c.c_acctbal AS DECIMAL(12,2)) THEN CAST(c.c_acctbal AS DECIMAL(12,2)) "
@@ -559,7 +612,7 @@ def _events_stream(spark: SparkSession, src_dir: str, name: str = "events") -> D
 def stream_cap_payments_q(spark, d):
     """Events replayed as payments by user, capped at the user's balance."""
     base = scratch_path(spark, "stream_cap_payments")
-    pay = _events_stream(spark, d).select(
+    pay = stream_table(spark, d, "events").select(
         "event_id", F.col("user_id").alias("reservation_id"), money("value").alias("amount_paid"))
     totals = _t(spark, d, "customer").select(
         F.col("c_custkey").alias("reservation_id"), money("c_acctbal").alias("tot_amount"),
@@ -569,12 +622,35 @@ def stream_cap_payments_q(spark, d):
     return spark.read.parquet(f"{base}/out").select("event_id", "c_name", "amount_paid")
 
 
+@register("stream_price_rentals", sm.with_views(
+    "SELECT r.reservation_id, r.line_no, CASE WHEN date_diff('day', end_date, actual_end_date) >= 0 "
+    "THEN CAST(date_diff('day', end_date, actual_end_date) * 50 AS DECIMAL(12,2)) "
+    "ELSE penalty_amount END AS penalty_amount, CAST(p.price_per_day * "
+    "date_diff('day', r.start_date, r.actual_end_date) AS DECIMAL(18,2)) AS rental_amount, "
+    "CAST(i.insurance_price * date_diff('day', r.start_date, r.actual_end_date) AS DECIMAL(18,2)) "
+    "AS insurance_amount FROM rentals r LEFT JOIN prices p ON p.vin = r.vin LEFT JOIN rates i "
+    "ON i.car_type = p.car_type AND i.insurance_type = r.insurance_type",
+    "rentals", "prices", "rates"))
+def stream_price_rentals_q(spark, d):
+    """Rental lines priced as they arrive: late fee, rent, insurance."""
+    base = scratch_path(spark, "stream_price_rentals")
+    _rentals(spark, d).write.parquet(f"{base}/rentals.parquet")
+    lines = stream_table(spark, base, "rentals")
+    prices = sm.prices(_t(spark, d, "part"))
+    priced = stream_payments.priced_rentals(lines, prices, prices.select("vin", "car_type"),
+                                            sm.rates(spark))
+    query = stream_payments.start_to_parquet(priced, f"{base}/out", f"{base}/checkpoint")
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        "reservation_id", "line_no", "penalty_amount", "rental_amount", "insurance_amount")
+
+
 STREAM_SLICES = 4
 
 
 @register("stream_one_time_promo",
           "SELECT event_id, event_type, CASE WHEN row_number() OVER (PARTITION BY event_type "
-          "ORDER BY ts, event_id) = 1 THEN 1 ELSE 0 END AS promo_available FROM events")
+          "ORDER BY ts NULLS LAST, event_id) = 1 THEN 1 ELSE 0 END AS promo_available FROM events")
 def stream_one_time_promo_q(spark, d):
     """Events replayed as reservations using code ``event_type``, arriving in
     four time-ordered micro-batches; each code is a one-time offer."""

@@ -9,6 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -90,7 +93,23 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, for derived tables,
     stream sinks and stream checkpoints."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "fleetbook", f"{name}-{uuid.uuid4().hex[:12]}")
+    root = _scope.get() or os.path.join(ensure_checkpoint_dir(spark), "fleetbook")
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """One folder for all scratch tables written inside the block, removed at
+    its end: for a job whose last write is done by then."""
+    from fleetbook.sources.tables import delete_path
+
+    root = scratch_path(spark, "job")
+    token = _scope.set(root)
+    try:
+        yield root
+    finally:
+        _scope.reset(token)
+        delete_path(spark, root)

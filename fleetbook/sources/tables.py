@@ -58,6 +58,36 @@ def read_table(spark: SparkSession, base_dir: str, name: str,
     return reader.parquet(table_path(base_dir, name))
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in the file system that Spark reads it from."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of derived data and all it holds."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def stream_table(spark: SparkSession, base_dir: str, name: str,
+                 max_files: int = 1000) -> DataFrame:
+    """The table as a stream of its files, at most ``max_files`` a
+    micro-batch. A table that is a folder of part files is the source
+    folder itself; a table that is one file is picked out of its folder."""
+    schema = read_table(spark, base_dir, name).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    p, fs = _hadoop_path(spark, table_path(base_dir, name))
+    if fs.getFileStatus(p).isDirectory():
+        return reader.parquet(table_path(base_dir, name))
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base_dir)
+
+
 def scan_all(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """``select * from t``."""
     return read_table(spark, base_dir, name)

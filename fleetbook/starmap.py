@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,7 @@ from fleetbook.functions.scalars import money
 from fleetbook.sources.tables import rows_frame
 
 AMOUNT = T.DecimalType(12, 2)
+RESERVED, COMPLETED = "O", "F"  # order statuses
 
 
 def users(customer: DataFrame) -> DataFrame:
@@ -44,14 +45,21 @@ def users(customer: DataFrame) -> DataFrame:
     )
 
 
-def reservations(orders: DataFrame) -> DataFrame:
+def status_name(code) -> Column:
+    """The reservation status that an order status stands for."""
+    code = F.col(code) if isinstance(code, str) else code
+    return F.when(code == RESERVED, "Reserved").when(code == COMPLETED, "Completed").otherwise("Pending")
+
+
+def reservations(orders: DataFrame, coded: bool = False) -> DataFrame:
+    """``coded`` keeps the order status itself (``RESERVED``, ``COMPLETED``),
+    so that a filter on the status reaches the parquet reader."""
     status = F.col("o_orderstatus")
     day = F.to_date("o_orderdate")
     return orders.select(
         F.col("o_orderkey").alias("reservation_id"),
         F.col("o_custkey").alias("license_no"),
-        F.when(status == "O", "Reserved").when(status == "F", "Completed")
-         .otherwise("Pending").alias("status"),
+        (status if coded else status_name(status)).alias("status"),
         day.alias("start_date"),
         day.alias("end_date"),
         F.when(status == "F", day).alias("actual_end_date"),
@@ -139,6 +147,19 @@ RATE_SCHEMA = T.StructType([
 ])
 
 
+# Daily prices keyed by part type (the other types have none).
+TYPE_PRICE_ROWS = [("ECONOMY", Decimal("19.95")), ("STANDARD", Decimal("29.95")),
+                   ("PROMO", Decimal("85.95"))]
+TYPE_PRICE_SCHEMA = T.StructType([
+    T.StructField("car_type", T.StringType(), False),
+    T.StructField("price_per_day", T.DecimalType(8, 2), False),
+])
+
+
+def type_prices(spark: SparkSession) -> DataFrame:
+    return rows_frame(spark, TYPE_PRICE_ROWS, TYPE_PRICE_SCHEMA)
+
+
 def offers(spark: SparkSession) -> DataFrame:
     return rows_frame(spark, OFFER_ROWS, OFFER_SCHEMA)
 
@@ -168,6 +189,9 @@ OFFERS_SQL = ("SELECT * FROM " + _sql_values(
 RATES_SQL = ("SELECT * FROM " + _sql_values(
     RATE_ROWS, RATE_SCHEMA, ["VARCHAR", "VARCHAR", "DECIMAL(8,2)"]))
 
+TYPE_PRICES_SQL = ("SELECT * FROM " + _sql_values(
+    TYPE_PRICE_ROWS, TYPE_PRICE_SCHEMA, ["VARCHAR", "DECIMAL(8,2)"]))
+
 # The same views for the DuckDB oracle, over the pre-registered tables.
 USERS_SQL = """SELECT c_custkey AS license_no, c_name AS fname,
        CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE substr(c_mktsegment, 1, 1) END AS mname,
@@ -208,7 +232,7 @@ def with_views(body: str, *names: str) -> str:
     views = {
         "users": USERS_SQL, "reservations": RESERVATIONS_SQL, "payments": PAYMENTS_SQL,
         "rentals": RENTALS_SQL, "prices": PRICES_SQL, "cars": CARS_SQL,
-        "offers": OFFERS_SQL, "rates": RATES_SQL,
+        "offers": OFFERS_SQL, "rates": RATES_SQL, "type_prices": TYPE_PRICES_SQL,
     }
     ctes = ",\n".join(f"{n} AS (\n{views[n]}\n)" for n in names)
     return f"WITH {ctes}\n{body}" if names else body

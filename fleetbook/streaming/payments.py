@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetbook.operators.pricing import cap_payment, insurance_amount, penalty_amount, rent_amount
-from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most
+from fleetbook.plans.joins import broadcast_counted
 
 
 def capped_payments(payments: DataFrame, totals: DataFrame, *, key: str = "reservation_id",
@@ -78,9 +78,7 @@ class CappedPaymentWriter:
             keys = batch.select(F.col(self.key).alias("__bk")).where(
                 F.col("__bk").isNotNull()).distinct().persist()
             try:
-                if has_at_most(keys, DEFAULT_BROADCAST_ROWS):
-                    keys = F.broadcast(keys)
-                relevant = self.totals.join(keys, F.col(self.key) == F.col("__bk"), "left_semi")
+                relevant = self.totals.join(broadcast_counted(keys), F.col(self.key) == F.col("__bk"), "left_semi")
                 out = cap_payment(batch, relevant, key=self.key, paid=self.paid,
                                   total=self.total, carry=self.carry)
                 out.write.mode("overwrite").parquet(

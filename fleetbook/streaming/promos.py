@@ -25,13 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.plans.aggregates import pick_per_group
-from fleetbook.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, has_at_most
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+from fleetbook.plans.joins import bounded_broadcast, broadcast_counted
+from fleetbook.sources.tables import delete_path, path_exists
 
 
 class OneTimeOfferUse:
@@ -54,8 +49,12 @@ class OneTimeOfferUse:
         self.offers = offers
 
     def _state(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The codes used before this batch. A missing version is an error:
+        reading it as empty would give every code out again."""
         prev = os.path.join(self.state_path, f"batch_id={batch_id - 1}")
-        if batch_id > 0 and _exists(spark, prev):
+        if batch_id > 0:
+            if not path_exists(spark, prev):
+                raise RuntimeError(f"no state of the batch before: {prev}")
             return spark.read.parquet(prev)
         return spark.createDataFrame([], f"{self.code} string").select(
             F.col(self.code).cast("string"))
@@ -76,8 +75,7 @@ class OneTimeOfferUse:
                                 "__fc", self.order_by, self.key, out="__fk")
         firsts = firsts.join(used, F.col("__fc") == F.col("__used"), "left_anti")
         # One row per code; the probe reads the cached batch, not the source.
-        if has_at_most(firsts, DEFAULT_BROADCAST_ROWS):
-            firsts = F.broadcast(firsts)
+        firsts = broadcast_counted(firsts)
         flagged = batch.join(firsts, (F.col(self.key) == F.col("__fk"))
                              & (F.col(self.code) == F.col("__fc")), "left")
         got_first = F.col("__fk").isNotNull()
@@ -94,9 +92,12 @@ class OneTimeOfferUse:
                .drop("__fc", "__fk", "__oc", "__one", "__st"))
         out.write.mode("overwrite").parquet(os.path.join(self.output_path, f"batch_id={batch_id}"))
         grown = (used.select(F.col("__used").alias(self.code))
-                 .unionByName(batch.select(self.code)).where(F.col(self.code).isNotNull())
+                 .unionByName(firsts.where(F.col("__fk").isNotNull() & F.col("__fc").isNotNull())
+                              .select(F.col("__fc").cast("string").alias(self.code)))
                  .distinct())
         grown.write.mode("overwrite").parquet(os.path.join(self.state_path, f"batch_id={batch_id}"))
+        # a retry of this batch reads the version before it; older ones are done with
+        delete_path(spark, os.path.join(self.state_path, f"batch_id={batch_id - 2}"))
 
 
 def run_batches(stream: DataFrame, handler: OneTimeOfferUse, checkpoint_path: str) -> None:

@@ -46,6 +46,29 @@ def test_pushdown_and_pruning(spark):
     assert "o_orderpriority" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
+@pytest.mark.parametrize("name", ["filter_overdue", "filter_overdue_today", "settle_due", "settle_offers"])
+def test_status_filter_reaches_the_reader(spark, name):
+    assert "EqualTo(o_orderstatus,O)" in physical(QUERIES[name](spark, SF))
+
+
+def test_status_filter_of_written_sides_reaches_the_reader(spark, monkeypatch):
+    """Queries that write the filtered side first: its own plan."""
+    from fleetbook.plans import materialize
+
+    seen, write = [], materialize.write_counted
+    monkeypatch.setattr(materialize, "write_counted",
+                        lambda df, *a: (seen.append(physical(df)), write(df, *a))[1])
+    for name in ("overdue_lookup", "overdue_report", "settle_cars"):
+        seen.clear()
+        QUERIES[name](spark, SF)
+        assert any("EqualTo(o_orderstatus,O)" in p for p in seen), name
+
+
+def test_price_reservations_joins_the_cars_once(no_static_broadcast):
+    plan = physical(QUERIES["price_reservations"](no_static_broadcast, SF))
+    assert plan.count("part.parquet") == 1
+
+
 def test_hot_promo_code_never_shuffles_reservations(no_static_broadcast):
     """Five promo codes key all orders: the orders must reach the code level
     only through partial aggregates or broadcast joins."""

@@ -4,12 +4,14 @@ skewed partitions."""
 
 import datetime as dt
 import random
+import re
 from decimal import Decimal as D
 
 import pytest
 
 from fleetbook.operators import pricing, queries, settlement
 from fleetbook.sources.tables import rows_frame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 N = 3000
@@ -53,6 +55,55 @@ def _data(spark):
     return res_rows, pay_rows, res, pay, offers
 
 
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def _hot(spark, columns, n=N):
+    """``n`` rows (key, second, id): a third has key 7 and second 70."""
+    rnd = random.Random(5)
+    rows = [(7, 70, i) if i < n // 3 else (rnd.randrange(1000, 1400), rnd.randrange(50), i) for i in range(n)]
+    return spark.createDataFrame(rows, ", ".join(f"{c} int" for c in columns))
+
+
+def test_hot_keys_are_split(skew_conf):
+    """A third of the rows on one key: the final plan splits it."""
+    from fleetbook.operators import integrity
+    from fleetbook.plans.joins import small_side
+
+    spark = skew_conf
+    cars = _hot(spark, ["vin", "car_type", "car_id"])
+    res = _hot(spark, ["vin", "license_no", "reservation_id"])
+    types = spark.createDataFrame([(i, 100) for i in range(80)], "car_type int, price_per_day int")
+    rented = queries.rented_types_over_price(types, cars, res, 85)
+    assert "skew=true" in _final_plan(rented)
+
+    child = _hot(spark, ["a", "b", "id"])
+    parent = small_side(_hot(spark, ["a", "b", "id"]).select("a", "b").distinct())
+    bad = integrity.check_foreign_key(child, parent, ["a", "b"], ["a", "b"])
+    assert "skew=true" in _final_plan(bad)
+
+    lines = res.select("vin", F.lit("Basic").alias("insurance_type"), "reservation_id",
+                       F.lit(dt.date(2020, 1, 1)).alias("start_date"), F.lit(dt.date(2020, 1, 9)).alias("actual_end_date"))
+    one = spark.createDataFrame([(v, 1, 10) for v in [7, *range(1000, 1400)]], "vin int, car_type int, price_per_day int")
+    rates = rows_frame(spark, [(1, "Basic", 3)], T.StructType([
+        T.StructField("car_type", T.IntegerType()), T.StructField("insurance_type", T.StringType()),
+        T.StructField("insurance_price", T.IntegerType())]))
+    cars_table = small_side(one)
+    assert "skew=true" in _final_plan(pricing.rent_and_insurance(lines, cars_table, rates))
+
+
+def test_popular_amount_gathers_no_reservations(skew_conf):
+    spark = skew_conf
+    res = _hot(spark, ["tot_amount", "license_no", "reservation_id"])
+    pay = _hot(spark, ["amount_paid", "x", "reservation_id"])
+    plan = _final_plan(queries.exactly_paid_reservations(res, pay, on_many="min"))
+    # rows meet by the pair; amounts alone key partial aggregates only
+    for keys in re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan):
+        assert "tot_amount" not in keys or "reservation_id" in keys
+
+
 def test_hot_keys_match_brute_force(skew_conf):
     spark = skew_conf
     res_rows, pay_rows, res, pay, offers = _data(spark)
