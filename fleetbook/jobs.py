@@ -4,7 +4,7 @@ Each job reads ``<src>/<table>.parquet``, runs operators, and writes whole
 new table versions to ``<dst>/<table>.parquet``. Writing whole tables to a
 new folder (never rewriting the input in place) makes every job safe to
 re-run after a failure: a retry overwrites its own partial output and the
-input is untouched.
+input is untouched. Scratch tables of a job are removed after its last write.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.operators import integrity, settlement
+from fleetbook.session import scratch_scope
 from fleetbook.sources.schemas import (FOREIGN_KEYS, LENGTHS, PRIMARY_KEYS, SCHEMAS,
                                        UNIQUE_COLUMNS, ForeignKey, not_null_columns)
 from fleetbook.sources.tables import read_table, table_path
@@ -32,9 +33,10 @@ def write_all(tables: Mapping[str, DataFrame], dst: str) -> None:
 def settle_job(spark: SparkSession, src: str, dst: str, cut_lineage: bool = True) -> None:
     """Settle paid reservations: new reservation, offer and car tables."""
     t = load(spark, src, ["reservation", "payment", "offer_details", "car"])
-    out = settlement.settle(t["reservation"], t["payment"], t["offer_details"], t["car"],
-                            cut_lineage=cut_lineage)
-    write_all(out, dst)
+    with scratch_scope(spark):
+        out = settlement.settle(t["reservation"], t["payment"], t["offer_details"], t["car"],
+                                cut_lineage=cut_lineage)
+        write_all(out, dst)
 
 
 def raise_rates_job(spark: SparkSession, src: str, dst: str, percentage) -> None:
@@ -48,11 +50,41 @@ def cascade_delete_job(spark: SparkSession, src: str, dst: str,
     """Delete the given rows and all that reference them; write every
     table's survivors."""
     tables = load(spark, src)
-    write_all(integrity.cascade_delete(tables, deleted, foreign_keys, cut_lineage=True), dst)
+    with scratch_scope(spark):
+        write_all(integrity.cascade_delete(tables, deleted, foreign_keys, cut_lineage=True), dst)
+
+
+# Columns whose values a report shows masked but for the last four characters
+MASKED = {"card_no", "saved_card_no"}
+
+
+def _shown(column: str) -> F.Column:
+    if column not in MASKED:
+        return F.col(column)
+    text = F.rtrim(F.col(column).cast("string"))
+    hidden = F.greatest(F.length(text) - 4, F.lit(0))
+    return F.concat(F.repeat(F.lit("*"), hidden), F.substr(text, hidden + 1)).alias(column)
 
 
 def _describe(df: DataFrame, cols: Iterable[str]) -> F.Column:
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+    return F.to_json(F.struct(*[_shown(c) for c in cols]))
+
+
+def _row_rules(df: DataFrame, table: str) -> DataFrame:
+    """NOT NULL and length violations in one pass over a table, as (rule,
+    detail): a count per column with NULLs, a row per value too long."""
+    nulls = [F.when(F.col(c).isNull(), F.struct(
+        F.lit("not_null").alias("rule"), F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("detail")))
+        for c in not_null_columns(table)]
+    long = [F.when(F.length(F.col(c)) > n, F.struct(
+        F.lit("length").alias("rule"), F.lit(c).alias("column_name"),
+        F.to_json(F.struct(*[_shown(k) for k in PRIMARY_KEYS[table]], F.lit(c).alias("column_name"),
+                           F.length(F.col(c)).alias("length"))).alias("detail")))
+        for c, (n, _) in LENGTHS.get(table, {}).items()]
+    broken = F.filter(F.array(*nulls, *long), lambda v: v.isNotNull())
+    counted = (df.select(F.explode(broken).alias("v")).select("v.*")
+               .groupBy("rule", "column_name", "detail").agg(F.count(F.lit(1)).alias("n_nulls")))
+    return counted.select("rule", F.coalesce("detail", F.to_json(F.struct("column_name", "n_nulls"))).alias("detail"))
 
 
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -77,8 +109,8 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
             add("unique", t, cols, dup, _describe(dup, [*cols, "n"]))
     for t in tables:
         if t in SCHEMAS:
-            nn = integrity.not_null_violations(tables[t], not_null_columns(t))
-            add("not_null", t, [], nn, _describe(nn, ["column_name", "n_nulls"]))
+            found = _row_rules(tables[t], t)
+            parts.append(found.select("rule", F.lit(t).alias("table_name"), F.lit("").alias("columns"), "detail"))
     for fk in FOREIGN_KEYS:
         if fk.child in tables and fk.parent in tables:
             bad = integrity.check_foreign_key(tables[fk.child], tables[fk.parent],
@@ -86,12 +118,6 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
             keys = PRIMARY_KEYS[fk.child]
             add("foreign_key", fk.child, fk.child_cols, bad,
                 _describe(bad, [*keys, *[c for c in fk.child_cols if c not in keys]]))
-    for t, limits in LENGTHS.items():
-        if t in tables:
-            keys = PRIMARY_KEYS[t]
-            over = integrity.check_length(tables[t], {c: n for c, (n, _) in limits.items()},
-                                          keep=keys)
-            add("length", t, [], over, _describe(over, [*keys, "column_name", "length"]))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

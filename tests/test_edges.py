@@ -200,21 +200,42 @@ def test_append_rows(spark, seed):
 
 
 def test_bounded_broadcast_falls_back(spark):
-    from fleetbook.plans.joins import exact_row_count
+    from fleetbook.plans.joins import BYTES_KEY, ROWS_KEY, literal_rows, small_side
     from fleetbook.sources.tables import rows_frame
 
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     small = rows_frame(spark, [(i,) for i in range(10)], schema)
     big = rows_frame(spark, [(i,) for i in range(100)], schema)
-    assert exact_row_count(big) == 100
+    assert literal_rows(big) == 100
+    files = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    assert literal_rows(files) is None
 
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
 
-    assert hinted(bounded_broadcast(small, max_rows=50))
-    assert not hinted(bounded_broadcast(big, max_rows=50))
-    # a side derived through a shuffle is left to AQE
-    assert not hinted(bounded_broadcast(small.groupBy("k").count(), max_rows=50))
+    spark.conf.set(ROWS_KEY, "50")
+    try:
+        assert hinted(bounded_broadcast(small))
+        assert not hinted(bounded_broadcast(big))
+        assert hinted(small_side(small)) and not hinted(small_side(big))
+    finally:
+        spark.conf.unset(ROWS_KEY)
+    spark.conf.set(BYTES_KEY, "1000")
+    try:
+        assert hinted(bounded_broadcast(small)) and not hinted(bounded_broadcast(big))
+    finally:
+        spark.conf.unset(BYTES_KEY)
+    # a side derived through a shuffle is left to AQE; a column of that name changes nothing
+    assert hinted(bounded_broadcast(files.withColumnRenamed("p_name", "Exchange Join")))
+    assert not hinted(bounded_broadcast(files.groupBy("p_type").count()))
+    # broadcasting switched off holds for everything but literal rows
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert hinted(bounded_broadcast(small))
+        assert not hinted(bounded_broadcast(files)) and not hinted(small_side(files))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_declared_star_schemas_match_files(spark):

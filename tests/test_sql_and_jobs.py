@@ -73,7 +73,8 @@ def test_jobs_round_trip(spark, seed):
 def test_integrity_report_finds_each_rule(spark, seed):
     t = dict(seed)
     t["car_type"] = t["car_type"].unionByName(
-        spark.createDataFrame([("SUV", D("1.00"))], SCHEMAS["car_type"]))
+        spark.createDataFrame([("SUV", D("1.00"))], SCHEMAS["car_type"])).unionByName(
+        spark.createDataFrame([("Van", None)], "car_type string, price_per_day decimal(8,2)"))
     t["car_user"] = t["car_user"].withColumn(
         "email", F.when(F.col("license_no") == "G30921561", F.lit("x" * 26))
         .otherwise(F.col("email")))
@@ -85,7 +86,34 @@ def test_integrity_report_finds_each_rule(spark, seed):
     rep = jobs.integrity_report(t)
     found = {(r.rule, r.table_name) for r in rep.collect()}
     assert {("primary_key", "car_type"), ("length", "car_user"), ("foreign_key", "payment"),
-            ("unique", "car")} <= found
+            ("unique", "car"), ("not_null", "car_type")} <= found
+    details = {r.rule: r.detail for r in rep.collect() if r.rule in ("length", "not_null")}
+    assert '"column_name":"email"' in details["length"] and '"length":26' in details["length"]
+    assert details["not_null"] == '{"column_name":"price_per_day","n_nulls":1}'
+
+
+def test_report_masks_card_numbers(spark, seed):
+    t = dict(seed)
+    cards = t["card_details"]
+    t["card_details"] = cards.unionByName(cards)
+    found = [r.detail for r in jobs.integrity_report(t).collect() if r.table_name == "card_details"]
+    numbers = [r.card_no.strip() for r in cards.collect()]
+    assert found and not any(n in d for n in numbers for d in found)
+    assert all("*" in d for d in found)
+
+
+def test_jobs_leave_no_scratch(spark, seed):
+    from fleetbook.session import ensure_checkpoint_dir
+    from fleetbook.sources.tables import path_exists
+    import os
+
+    src, dst = (tempfile.mkdtemp(prefix=f"fb-{x}-", dir="/tmp") for x in ("src", "dst"))
+    _write_seed(seed, src)
+    root = os.path.join(ensure_checkpoint_dir(spark), "fleetbook")
+    before = set(os.listdir(root)) if path_exists(spark, root) else set()
+    jobs.settle_job(spark, src, dst)
+    jobs.cascade_delete_job(spark, src, dst, {"car_type": seed["car_type"].where("car_type = 'SUV'").select("car_type")})
+    assert set(os.listdir(root)) <= before
 
 
 def test_append_and_report_writers(spark, seed):
