@@ -24,7 +24,7 @@ from fleetbook.llm.common import text_batches, written
 
 GOOD, BAD, NONE = 2, 0, 1  # digits of a vote row
 BUCKETS = 1 << 14
-SAMPLE_ROWS = 20_000       # documents that train the scorer, at most
+SAMPLE_ROWS = 4_000        # documents that train the scorer, at most
 
 _SYMBOLS = np.frombuffer(b"#$%&*<>\\^`{|}~", np.uint8)
 # Letters by case, digits; other bytes as they are, those of non-ASCII letters as small ones
@@ -227,9 +227,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
               .join(F.broadcast(sample), "id").select("id", "votes", "text")
               .mapInArrow(feature_rows, f"id {kind}, votes int, at array<int>, x array<float>"))
-    rows = chosen.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
-    labels = model.posterior(np.array([r.votes for r in rows]))
-    return model, fit_scorer([(np.array(r["at"]), np.array(r["x"])) for r in rows], labels)
+    table = chosen.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample_rows).toArrow()
+    labels = model.posterior(table.column("votes").to_numpy())
+    rows = [(at.values.to_numpy(), x.values.to_numpy().astype(float))
+            for at, x in zip(table.column("at"), table.column("x"))]
+    return model, fit_scorer(rows, labels)
 
 
 def classify(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
