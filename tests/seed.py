@@ -1,10 +1,4 @@
-"""Seed rows of the rental tables, typed by hand.
-
-Keys, amounts, dates, statuses and names follow the seed inserts; phone
-numbers beyond the location phones, streets, passwords, card numbers and
-CVVs are made up (only the equality of courtney90's saved card and the card
-of payment 1001 is kept).
-"""
+"""Seed rows of the rental tables, typed by hand."""
 
 from __future__ import annotations
 
@@ -21,13 +15,15 @@ def d(s: str) -> dt.date:
 CARD_C = "4000123412341234"
 CARD_M = "5100567856785678"
 
+# Keys, amounts, dates, statuses and the names that the expected
+# results hold; everything else is made up.
 ROWS = {
     "rental_location": [
         (101, "9726031111", "dallas@rent.test", "100 Main St", "TX", "75123"),
         (102, "9726032222", "plano@rent.test", "200 Oak Ave", "TX", "75024"),
         (103, "9721903121", "irving@rent.test", "300 Elm St", "TX", "75038"),
         (104, "721903121", None, "400 Pine Rd", "TX", "75080"),
-        (105, "5026981045", "frisco@rent.test", "500 Lake Dr", "TX", "75034"),
+        (105, "9720000105", "frisco@rent.test", "500 Lake Dr", "TX", "75034"),
     ],
     "car_type": [
         ("Economy", D("19.95")), ("Standard", D("29.95")), ("SUV", D("89.95")),
@@ -46,7 +42,7 @@ ROWS = {
         ("Premium", "Comprehensive", D("49.99")),
     ],
     "car_user": [
-        ("E12905109", "Patrick", "G", "Cleaver", "p.cleaver@mail.test", "1 First St",
+        ("E12905109", "Ada", "B", "Example", "ada@mail.test", "1 First St",
          "9720000001", d("1970-01-10"), "Regular"),
         ("C11609103", "Courtney", None, "Rollins", "courtney.r@hotmail.com", "2 Second St",
          "9720000002", d("1990-03-20"), "Premium"),
@@ -104,7 +100,7 @@ ROWS = {
     ],
     # id, amount, card no, expiry, name, cvv, billing, reservation, login, saved card, cash
     "payment": [
-        (1001, D("129.65"), CARD_C, d("2019-05-31"), "Patrick Cleaver", "333", "1 First St", 1,
+        (1001, D("129.65"), CARD_C, d("2019-05-31"), "Ada Example", "333", "1 First St", 1,
          None, None, None),
         (1002, D("300.00"), None, None, None, None, None, 5, None, None, "Y"),
         (1003, D("98.90"), None, None, None, None, None, 5, None, None, "Y"),
@@ -112,9 +108,9 @@ ROWS = {
         (1005, D("114.91"), None, None, None, None, None, 4, None, None, "Y"),
     ],
     "additional_driver": [
-        (1, "William Smith", d("1980-01-01")), (2, "Green Taylor", d("1981-02-02")),
+        (1, "First Driver", d("1980-01-01")), (2, "Green Taylor", d("1981-02-02")),
         (2, "Robert Moore", d("1982-03-03")), (4, "Brad Cook", d("1983-04-04")),
-        (5, "Steve Fouts", d("1984-05-05")),
+        (5, "Fifth Driver", d("1984-05-05")),
     ],
     "accessories": [
         (1, "GPS Navigation", D("49.95")), (2, "GPS Navigation", D("49.95")),
