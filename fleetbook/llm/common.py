@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetbook.plans.materialize import write_counted
 from fleetbook.session import scratch_path
 
 
@@ -31,8 +32,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def few_ids(ids: DataFrame) -> DataFrame:
     """A table of one id column, written once; marked for broadcast when it
     has at most ``BROADCAST_IDS`` rows, else left to a shuffled join."""
-    ids = written(ids, "ids")
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    ids, n = write_counted(ids, "ids")
+    return F.broadcast(ids) if n <= BROADCAST_IDS else ids
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -13,8 +13,8 @@
    give components.
 4. A bucket whose members now lie in one component needs no more: links
    inside a component cannot change the result. In the others members of
-   different components are compared by sketch, in blocks of bounded size. Two
-   rounds confirm each member's nearest one only, which joins most of what
+   different components are compared by sketch, in blocks of bounded size. One
+   round confirms each member's nearest one only, which joins most of what
    belongs together; a last round confirms every pair that passes, so no link
    is lost.
 """
@@ -36,7 +36,7 @@ SAMPLES = 512         # MinHash samples in a sketch; the first BANDS * ROWS of t
 SKETCH_BITS = 2048
 MARGIN = 0.09         # 4 standard deviations of the estimate at 0.75
 BLOCK = 1024          # members of a bucket compared in one task
-NEAREST_ROUNDS = 2    # rounds that take each member's nearest only, before all are compared
+NEAREST_ROUNDS = 1    # rounds that take each member's nearest only, before all are compared
 
 _RNG = np.random.default_rng(20)
 
@@ -176,14 +176,18 @@ def _compare(n, rep, component, block, across: bool, sketch, least: float, neare
     return np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
 
 
-def _crossing(members: DataFrame, found: DataFrame, classes: DataFrame, least: float, nearest: bool) -> DataFrame:
+def _crossing(members: DataFrame, found: DataFrame, classes: DataFrame, least: float,
+              nearest: bool) -> DataFrame | None:
     """Distinct pairs (a, b) of members of a bucket in different components
-    that pass by size and sketch. A bucket of more than ``BLOCK`` members is
+    that pass by size and sketch; None if every bucket lies in one component.
+    A bucket of more than ``BLOCK`` members is
     cut into hashed blocks, and each two blocks meet in a group of their own."""
     placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
         "key", "rep", "size", F.coalesce("component", "rep").alias("component"))
     open_ = written(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                     .where("lo != hi").select("key"), "open-buckets")
+    if open_.isEmpty():
+        return None
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     columns = ["key", "i", "j", "n", "rep", "component", "block"]
     blocked = (placed.join(open_, "key").join(classes.select("rep", "n", "sketch"), "rep")
@@ -246,6 +250,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     found = written(components(links), "components")
     for last in [False] * NEAREST_ROUNDS + [True]:
         crossing = _crossing(members, found, classes, percent / 100 - MARGIN, nearest=not last)
+        if crossing is None:
+            break
         links = links.union(_confirmed(crossing, classes, plain, percent))
         found = written(components(links), "components")
 
