@@ -32,9 +32,10 @@ from fleetbook.llm.components import components
 
 WORDS = 5
 BANDS, ROWS = 36, 4   # a pair at 0.75 shares no band once in 900,000 times
-SAMPLES = 512         # MinHash samples in a sketch; the first BANDS * ROWS of them make the bands
-SKETCH_BITS = 2048
-MARGIN = 0.09         # 4 standard deviations of the estimate at 0.75
+# Sketches as (MinHash samples, bits, margin): the margin is 4 standard deviations
+# of the estimate at 0.75. Every class has a rough one, whose first samples make
+# the bands; classes in buckets that stay open get a fine one.
+ROUGH, FINE = (256, 1024, 0.125), (2048, 8192, 0.045)
 BLOCK = 1024          # members of a bucket compared in one task
 NEAREST_ROUNDS = 1    # rounds that take each member's nearest only, before all are compared
 
@@ -45,7 +46,7 @@ def _odd(n: int) -> np.ndarray:
     return _RNG.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_PLACE, _SAMPLES, _IN_BAND, _BAND = _odd(WORDS), _odd(SAMPLES), _odd(ROWS), _odd(BANDS)
+_PLACE, _SAMPLES, _IN_BAND, _BAND = _odd(WORDS), _odd(FINE[0]), _odd(ROWS), _odd(BANDS)
 _SHORT = _odd(WORDS)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 
@@ -73,23 +74,28 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(_mix(out))
 
 
-def _samples(s: np.ndarray) -> np.ndarray:
-    least = np.full(len(_SAMPLES), ~np.uint64(0))
+def _samples(s: np.ndarray, n: int) -> np.ndarray:
+    least = np.full(n, ~np.uint64(0))
     for lo in range(0, len(s), 256):
-        np.minimum(least, (s[lo:lo + 256, None] * _SAMPLES).min(0), out=least)
+        np.minimum(least, (s[lo:lo + 256, None] * _SAMPLES[:n]).min(0), out=least)
     return least
 
 
+def _fold(least: np.ndarray, bits: int) -> np.ndarray:
+    """The odd sketch of MinHash samples: a bit is set if an odd number of
+    them hash to it."""
+    at = _mix(least + _SAMPLES[:len(least)]) % np.uint64(bits)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=bits) & 1).view(np.int64)
+
+
 def _signature(text: str) -> tuple:
     s = shingles(text)
     if not len(s):
         return 0, 0, 0, None, None
-    least = _samples(s)
+    least = _samples(s, ROUGH[0])
     keys = _mix((least[:BANDS * ROWS].reshape(BANDS, ROWS) * _IN_BAND).sum(1, dtype=np.uint64) + _BAND)
-    bits = _mix(least + _SAMPLES) % np.uint64(SKETCH_BITS)
-    odd = np.packbits(np.bincount(bits.astype(np.int64), minlength=SKETCH_BITS) & 1).view(np.int64)
     f1, f2 = s.sum(dtype=np.uint64), _mix(s ^ _M2).sum(dtype=np.uint64)
-    return len(s), int(f1.view(np.int64)), int(f2.view(np.int64)), keys.view(np.int64), odd
+    return len(s), int(f1.view(np.int64)), int(f2.view(np.int64)), keys.view(np.int64), _fold(least, ROUGH[1])
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -105,25 +111,28 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .mapInArrow(sign, "id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>"))
 
 
-def similar_enough(differ, least: float):
-    """Whether ``differ`` bits between two odd sketches allow a similarity of
-    ``least``: the share of samples that differ is (1 - similarity), each
-    flips two bits, and flips that meet are expected to cancel."""
-    expected = SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - least) / SKETCH_BITS))
-    return differ <= expected
+def similar_enough(differ, similarity: float, kind: tuple[int, int, float]):
+    """Whether ``differ`` bits between two odd sketches of a kind allow
+    ``similarity``, less the kind's margin: the share of samples that differ
+    is (1 - similarity), each flips two bits, and flips that meet are expected
+    to cancel."""
+    samples, bits, margin = kind
+    return differ <= bits / 2 * (1 - np.exp(-4 * samples * (1 - similarity + margin) / bits))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of class representatives that are links: sketch estimate
-    first, then the full shingle sets."""
+def _pass_by_sketch(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that pass by set sizes and rough sketches."""
     sketches = classes.select("rep", "n", "sketch")
-    a = sketches.toDF("a", "a_n", "a_sketch")
-    b = sketches.toDF("b", "b_n", "b_sketch")
-    differ = sum(F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i]))
-                 for i in range(SKETCH_BITS // 64))
-    near = written(pairs.join(a, "a").join(b, "b")
-                   .where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-                   .where(similar_enough(differ, percent / 100 - MARGIN)).select("a", "b"), "near-pairs")
+    differ = sum(F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(ROUGH[1] // 64))
+    return (pairs.join(sketches.toDF("a", "a_n", "a_sketch"), "a").join(sketches.toDF("b", "b_n", "b_sketch"), "b")
+            .where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+            .where(similar_enough(differ, percent / 100, ROUGH)).select("a", "b"))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of class representatives that are links by their full
+    shingle sets."""
+    near = written(pairs, "near-pairs")
     ids = few_ids(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
 
     def sets(batches):
@@ -146,26 +155,26 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
                    .select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"), "links")
 
 
-def _compare(n, rep, component, block, across: bool, sketch, least: float, nearest: bool):
+def _compare(n, rep, component, block, across: bool, sketch, similarity: float, nearest: bool):
     """Pairs (a, b) of one bucket block, or of two, that lie in different
-    components and pass by size and sketch; the best of each member only, if
-    ``nearest``."""
+    components and pass by size and fine sketch; the best of each member only,
+    if ``nearest``."""
     order = np.argsort(n, kind="stable")
     n, rep, component, block, sketch = n[order], rep[order], component[order], block[order], sketch[order]
     if (component == component[0]).all():
         return np.empty(0, np.int64), np.empty(0, np.int64)
     xs, ys = [], []
-    for lo in range(0, len(rep), 64):
-        hi = min(lo + 64, len(rep))
-        first = int(np.searchsorted(n, n[lo] * (least + MARGIN), side="left")) if nearest else lo
-        end = int(np.searchsorted(n, n[hi - 1] / (least + MARGIN), side="right"))
+    for lo in range(0, len(rep), 16):
+        hi = min(lo + 16, len(rep))
+        first = int(np.searchsorted(n, n[lo] * similarity, side="left")) if nearest else lo
+        end = int(np.searchsorted(n, n[hi - 1] / similarity, side="right"))
         differ = np.bitwise_count(sketch[lo:hi, None] ^ sketch[None, first:end]).sum(2, dtype=np.int64)
-        ok = similar_enough(differ, least) & (component[lo:hi, None] != component[None, first:end])
+        ok = similar_enough(differ, similarity, FINE) & (component[lo:hi, None] != component[None, first:end])
         if across:
             ok &= block[lo:hi, None] != block[None, first:end]
         if nearest:
             x = np.flatnonzero(ok.any(1))
-            y = np.where(ok, differ, SKETCH_BITS + 1).argmin(1)[x]
+            y = np.where(ok, differ, FINE[1] + 1).argmin(1)[x]
         else:
             x, y = np.nonzero(ok)
         xs.append(x + lo)
@@ -176,21 +185,37 @@ def _compare(n, rep, component, block, across: bool, sketch, least: float, neare
     return np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
 
 
-def _crossing(members: DataFrame, found: DataFrame, classes: DataFrame, least: float,
-              nearest: bool) -> DataFrame | None:
-    """Distinct pairs (a, b) of members of a bucket in different components
-    that pass by size and sketch; None if every bucket lies in one component.
-    A bucket of more than ``BLOCK`` members is
-    cut into hashed blocks, and each two blocks meet in a group of their own."""
+def _open_members(members: DataFrame, found: DataFrame) -> DataFrame | None:
+    """Members of buckets that do not lie in one component, with their
+    component; None if there is no such bucket."""
     placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
         "key", "rep", "size", F.coalesce("component", "rep").alias("component"))
-    open_ = written(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo != hi").select("key"), "open-buckets")
-    if open_.isEmpty():
-        return None
+    keys = written(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                   .where("lo != hi").select("key"), "open-buckets")
+    return None if keys.isEmpty() else written(placed.join(keys, "key"), "open-members")
+
+
+def _fine_sketches(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, n, sketch) with fine sketches for a table of ids."""
+    def sketch(batches):
+        for rows, texts in text_batches(batches, 4 << 20):
+            sets = [shingles(t) for t in texts]
+            yield pa.record_batch(
+                [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_fold(_samples(s, FINE[0]), FINE[1]) for s in sets], pa.list_(pa.int64()))],
+                names=["rep", "n", "sketch"])
+
+    return written(docs.join(few_ids(ids.toDF("id").distinct()), "id", "left_semi")
+                   .mapInArrow(sketch, "rep long, n long, sketch array<long>").distinct(), "fine-sketches")
+
+
+def _crossing(open_: DataFrame, sketches: DataFrame, similarity: float, nearest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of members of a bucket in different components
+    that pass by size and sketch. A bucket of more than ``BLOCK`` members is
+    cut into hashed blocks, and each two blocks meet in a group of their own."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     columns = ["key", "i", "j", "n", "rep", "component", "block"]
-    blocked = (placed.join(open_, "key").join(classes.select("rep", "n", "sketch"), "rep")
+    blocked = (open_.join(sketches, "rep")
                .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("long"))
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
                .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
@@ -213,8 +238,8 @@ def _crossing(members: DataFrame, found: DataFrame, classes: DataFrame, least: f
         if not end:
             return
         flat = table.column("sketch").combine_chunks().flatten().to_numpy()
-        sketch = flat.reshape(-1, SKETCH_BITS // 64).view(np.uint64)
-        out = [_compare(*numbers[3:, lo:hi], numbers[1, lo] != numbers[2, lo], sketch[lo:hi], least, nearest)
+        sketch = flat.reshape(-1, FINE[1] // 64).view(np.uint64)
+        out = [_compare(*numbers[3:, lo:hi], numbers[1, lo] != numbers[2, lo], sketch[lo:hi], similarity, nearest)
                for lo, hi in zip(starts, [*starts[1:], end])]
         yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
 
@@ -244,15 +269,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     buckets = written(banded.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("hub"))
                       .where("size > 1"), "buckets")
     members = written(banded.join(buckets, "key"), "members")
-    links = _confirmed(members.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-                       .distinct(), classes, plain, percent)
-
-    found = written(components(links), "components")
+    first = members.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    links = _confirmed(_pass_by_sketch(first, classes, percent), plain, percent)
+    found, sketches = written(components(links), "components"), None
     for last in [False] * NEAREST_ROUNDS + [True]:
-        crossing = _crossing(members, found, classes, percent / 100 - MARGIN, nearest=not last)
-        if crossing is None:
+        open_ = _open_members(members, found)
+        if open_ is None:
             break
-        links = links.union(_confirmed(crossing, classes, plain, percent))
+        # buckets only close, so the first round's members have all that is needed later
+        if sketches is None:
+            sketches = _fine_sketches(open_.select("rep"), plain)
+        crossing = _crossing(open_, sketches, percent / 100, nearest=not last)
+        links = links.union(_confirmed(crossing, plain, percent))
         found = written(components(links), "components")
 
     class_of = written(

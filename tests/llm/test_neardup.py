@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from fleetbook.llm import neardup
 from fleetbook.llm.components import components
 
@@ -88,12 +90,14 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 100: 90}
 
 
-def test_sketch_bound_keeps_pairs_at_the_threshold():
+@pytest.mark.parametrize("kind", [neardup.ROUGH, neardup.FINE])
+def test_sketch_bound_keeps_pairs_at_the_threshold(kind):
     rng = random.Random(4)
     kept = 0
     for _ in range(200):
         words = [str(rng.random()) for _ in range(704)]
-        other = words[:604] + [str(rng.random()) for _ in range(100)]
-        x, y = neardup._signature(" ".join(words)), neardup._signature(" ".join(other))
-        kept += bool(neardup.similar_enough(neardup.np.bitwise_count((x[4] ^ y[4]).view("uint64")).sum(), 0.75 - neardup.MARGIN))
+        other = words[:604] + [str(rng.random()) for _ in range(100)]  # similarity 0.75
+        x, y = (neardup._fold(neardup._samples(neardup.shingles(" ".join(w)), kind[0]), kind[1]).view("uint64")
+                for w in (words, other))
+        kept += bool(neardup.similar_enough(neardup.np.bitwise_count(x ^ y).sum(), 0.75, kind))
     assert kept == 200
