@@ -76,26 +76,35 @@ def kind_of(value: Column) -> Column:
             .when(luhn_sum(digits_of(value)) == 0, "card"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once: an expression that a lambda
+    refers to would else be evaluated anew for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def feistel(values: Column, tweak: Column, key: str, forward: bool = True) -> Column:
     """Permute an array of (x, m), each 0 <= x < m, keyed by ``key`` and
     ``tweak``: ``ROUNDS`` rounds, the left half first; backwards undoes it."""
-    half = F.floor(F.size(values) / 2)
     order = F.sequence(F.lit(0), F.lit(ROUNDS - 1)) if forward else F.sequence(F.lit(ROUNDS - 1), F.lit(0))
 
-    def one(state, r):
-        left = r % 2 == 0  # the half that moves
+    def one(state, r, tweak):
+        left, half = r % 2 == 0, F.floor(F.size(state) / 2)  # whether the left half moves
+        other = F.filter(state, lambda _, j: (j < half) != left)
+        seen = F.array_join(F.transform(other, lambda o: o["x"].cast("string")), ".")
 
-        def move(e, i):
-            other = F.filter(state, lambda _, j: (j < half) != left)
-            seen = F.array_join(F.transform(other, lambda o: o["x"].cast("string")), ".")
-            mark = F.sha2(F.concat_ws("|", F.lit(key), tweak, r.cast("string"), i.cast("string"), seen), 256)
-            shift = F.conv(F.substring(mark, 1, 12), 16, 10).cast("long")
-            moved = F.pmod(e["x"] + shift if forward else e["x"] - shift, e["m"])
-            return F.when((i < half) == left, F.struct(moved.alias("x"), e["m"].alias("m"))).otherwise(e)
+        def move(seen):
+            def shifted(e, i):
+                mark = F.sha2(F.concat_ws("|", F.lit(key), tweak, r.cast("string"), i.cast("string"), seen), 256)
+                shift = F.conv(F.substring(mark, 1, 12), 16, 10).cast("long")
+                moved = F.pmod(e["x"] + shift if forward else e["x"] - shift, e["m"])
+                return F.when((i < half) == left, F.struct(moved.alias("x"), e["m"].alias("m"))).otherwise(e)
 
-        return F.transform(state, move)
+            return F.transform(state, shifted)
 
-    return F.aggregate(order, values, one)
+        return _let(seen, move)
+
+    return _let(F.struct(values.alias("values"), tweak.alias("tweak")),
+                lambda b: F.aggregate(order, b["values"], lambda state, r: one(state, r, b["tweak"])))
 
 
 def _pair(x: Column, m) -> Column:
@@ -105,13 +114,14 @@ def _pair(x: Column, m) -> Column:
 def _refilled(value: Column, pattern: str, new: Column) -> Column:
     """``value`` with its characters that match ``pattern`` replaced, in order,
     by the strings of ``new``."""
-    chars = F.split(value, "")
+    def fill(b):
+        def put(c, i):
+            before = F.length(F.regexp_replace(F.substring(b["value"], F.lit(1), i), f"[^{pattern}]", ""))
+            return F.when(c.rlike(f"^[{pattern}]$"), b["new"][before]).otherwise(c)
 
-    def put(c, i):
-        before = F.length(F.regexp_replace(F.substring(value, F.lit(1), i), f"[^{pattern}]", ""))
-        return F.when(c.rlike(f"^[{pattern}]$"), new[before]).otherwise(c)
+        return F.array_join(F.transform(F.split(b["value"], ""), put), "")
 
-    return F.array_join(F.transform(chars, put), "")
+    return _let(F.struct(value.alias("value"), new.alias("new")), fill)
 
 
 def _characters(value: Column, tweak: str, key: str, forward: bool, pattern: str = "A-Za-z0-9") -> Column:
@@ -123,12 +133,15 @@ def _characters(value: Column, tweak: str, key: str, forward: bool, pattern: str
     def first(c):
         return F.when(c.rlike("[0-9]"), 48).when(c.rlike("[A-Z]"), 65).otherwise(97)
 
-    pairs = F.transform(chars, lambda c: F.struct((F.ascii(c) - first(c)).cast("long").alias("x"),
-                                                  F.when(first(c) == 48, 10).otherwise(26).cast("long").alias("m")))
-    classes = F.array_join(F.transform(chars, lambda c: F.char(first(c))), "")  # part of the format
-    moved = feistel(pairs, F.concat(F.lit(f"{tweak}:"), classes), key, forward)
-    new = F.zip_with(moved, chars, lambda p, c: F.char(p["x"] + first(c)))
-    return _refilled(value, pattern, new)
+    def permuted(chars):
+        pairs = F.transform(chars, lambda c: F.struct(
+            (F.ascii(c) - first(c)).cast("long").alias("x"),
+            F.when(first(c) == 48, 10).otherwise(26).cast("long").alias("m")))
+        classes = F.array_join(F.transform(chars, lambda c: F.char(first(c))), "")  # part of the format
+        moved = feistel(pairs, F.concat(F.lit(f"{tweak}:"), classes), key, forward)
+        return F.zip_with(moved, chars, lambda p, c: F.char(p["x"] + first(c)))
+
+    return _refilled(value, pattern, _let(chars, permuted))
 
 
 def _email(value: Column, key: str, forward: bool) -> Column:
@@ -143,9 +156,12 @@ def _phone(value: Column, key: str, forward: bool) -> Column:
 
 def _card(value: Column, key: str, forward: bool) -> Column:
     payload = F.regexp_replace(value, r"\d$", "")
-    moved = _characters(payload, "card", key, forward, "0-9")
-    check = F.pmod(10 - luhn_sum(F.concat(digits_of(moved), F.lit("0"))), F.lit(10))
-    return F.concat(moved, check.cast("string"))
+
+    def checked(moved):
+        check = F.pmod(10 - luhn_sum(F.concat(digits_of(moved), F.lit("0"))), F.lit(10))
+        return F.concat(moved, check.cast("string"))
+
+    return _let(_characters(payload, "card", key, forward, "0-9"), checked)
 
 
 def _ip(value: Column, key: str, forward: bool) -> Column:
@@ -160,7 +176,12 @@ def _date(value: Column, key: str, forward: bool) -> Column:
     a, b = DAY_RADICES
     moved = feistel(F.array(_pair(F.floor(day / b), a), _pair(day % b, b)), F.concat(F.lit("date:"), cycle.cast("string")),
                     key, forward)
-    new = F.date_add(start, (cycle * CYCLE_DAYS + moved[0]["x"] * b + moved[1]["x"]).cast("int"))
+    number = _let(moved, lambda m: m[0]["x"] * b + m[1]["x"])
+    return _let(F.date_add(start, (cycle * CYCLE_DAYS + number).cast("int")), lambda new: _written(value, new))
+
+
+def _written(value: Column, new: Column) -> Column:
+    """The day ``new`` in the format of ``value``."""
     year = F.lpad(F.year(new).cast("string"), 4, "0")
 
     def padded(part, sign, at):  # as wide as it was, or wider
