@@ -81,6 +81,11 @@ def _samples(s: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
+def _band_keys(least: np.ndarray) -> np.ndarray:
+    rows = least[:BANDS * ROWS].reshape(BANDS, ROWS)
+    return _mix((rows * _IN_BAND).sum(1, dtype=np.uint64) + _BAND).view(np.int64)
+
+
 def _fold(least: np.ndarray, bits: int) -> np.ndarray:
     """The odd sketch of MinHash samples: a bit is set if an odd number of
     them hash to it."""
@@ -93,9 +98,9 @@ def _signature(text: str) -> tuple:
     if not len(s):
         return 0, 0, 0, None, None
     least = _samples(s, ROUGH[0])
-    keys = _mix((least[:BANDS * ROWS].reshape(BANDS, ROWS) * _IN_BAND).sum(1, dtype=np.uint64) + _BAND)
+    keys = _band_keys(least)
     f1, f2 = s.sum(dtype=np.uint64), _mix(s ^ _M2).sum(dtype=np.uint64)
-    return len(s), int(f1.view(np.int64)), int(f2.view(np.int64)), keys.view(np.int64), _fold(least, ROUGH[1])
+    return len(s), int(f1.view(np.int64)), int(f2.view(np.int64)), keys, _fold(least, ROUGH[1])
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -155,12 +160,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                    .select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"), "links")
 
 
-def _compare(n, rep, component, block, across: bool, sketch, similarity: float, nearest: bool):
+def _compare(key, n, rep, component, block, across: bool, sketch, bands, similarity: float, nearest: bool):
     """Pairs (a, b) of one bucket block, or of two, that lie in different
     components and pass by size and fine sketch; the best of each member only,
-    if ``nearest``."""
+    if ``nearest``, else each pair in the first bucket that it shares (which
+    is open too, as the pair is)."""
     order = np.argsort(n, kind="stable")
-    n, rep, component, block, sketch = n[order], rep[order], component[order], block[order], sketch[order]
+    n, rep, component, block = n[order], rep[order], component[order], block[order]
+    sketch, bands = sketch[order], bands[order]
     if (component == component[0]).all():
         return np.empty(0, np.int64), np.empty(0, np.int64)
     xs, ys = [], []
@@ -182,6 +189,9 @@ def _compare(n, rep, component, block, across: bool, sketch, similarity: float,
     x, y = np.concatenate(xs), np.concatenate(ys)
     if not nearest:
         x, y = x[x < y], y[x < y]
+        shared = bands[x] == bands[y]
+        here = bands[x, shared.argmax(1)] == key
+        x, y = x[here], y[here]
     return np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
 
 
@@ -196,17 +206,20 @@ def _open_members(members: DataFrame, found: DataFrame) -> DataFrame | None:
 
 
 def _fine_sketches(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(rep, n, sketch) with fine sketches for a table of ids."""
+    """(rep, n, sketch, bands) with fine sketches for a table of ids."""
     def sketch(batches):
         for rows, texts in text_batches(batches, 4 << 20):
             sets = [shingles(t) for t in texts]
+            least = [_samples(s, FINE[0]) for s in sets]
             yield pa.record_batch(
                 [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_fold(_samples(s, FINE[0]), FINE[1]) for s in sets], pa.list_(pa.int64()))],
-                names=["rep", "n", "sketch"])
+                 pa.array([_fold(x, FINE[1]) for x in least], pa.list_(pa.int64())),
+                 pa.array([_band_keys(x) for x in least], pa.list_(pa.int64()))],
+                names=["rep", "n", "sketch", "bands"])
 
     return written(docs.join(few_ids(ids.toDF("id").distinct()), "id", "left_semi")
-                   .mapInArrow(sketch, "rep long, n long, sketch array<long>").distinct(), "fine-sketches")
+                   .mapInArrow(sketch, "rep long, n long, sketch array<long>, bands array<long>").distinct(),
+                   "fine-sketches")
 
 
 def _crossing(open_: DataFrame, sketches: DataFrame, similarity: float, nearest: bool) -> DataFrame:
@@ -219,7 +232,7 @@ def _crossing(open_: DataFrame, sketches: DataFrame, similarity: float, nearest:
                .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("long"))
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
                .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-               .select(*columns, "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+               .select(*columns, "sketch", "bands").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
 
     def compare(batches):
         held = None
@@ -237,9 +250,10 @@ def _crossing(open_: DataFrame, sketches: DataFrame, similarity: float, nearest:
     def groups(table, numbers, starts, end):
         if not end:
             return
-        flat = table.column("sketch").combine_chunks().flatten().to_numpy()
-        sketch = flat.reshape(-1, FINE[1] // 64).view(np.uint64)
-        out = [_compare(*numbers[3:, lo:hi], numbers[1, lo] != numbers[2, lo], sketch[lo:hi], similarity, nearest)
+        sketch, bands = (table.column(c).combine_chunks().flatten().to_numpy().reshape(-1, width)
+                         for c, width in (("sketch", FINE[1] // 64), ("bands", BANDS)))
+        out = [_compare(numbers[0, lo], *numbers[3:, lo:hi], numbers[1, lo] != numbers[2, lo],
+                        sketch[lo:hi].view(np.uint64), bands[lo:hi], similarity, nearest)
                for lo, hi in zip(starts, [*starts[1:], end])]
         yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
 
