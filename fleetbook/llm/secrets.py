@@ -13,9 +13,12 @@ can decide. Decoding is Viterbi.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ NAMES = ("password", "passwd", "secret", "token", "api")
 B, I, O = 0, 1, 2
 BUCKETS = 1 << 14
 SAMPLE_DOCS, SAMPLE_CHAINS, CHAIN_PIECES = 20_000, 20_000, 64  # bounds of the training sample
+DOC_CHAINS = 64  # chains of a class that one document stands for, at most
 
 _CHAIN = re.compile(r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{8,}")
 _PIECE = re.compile(r"[A-Za-z0-9]+")
@@ -105,13 +109,27 @@ def _rows(text: str, chains) -> list[list[list[int]]]:
     return [[_features(text, c, p, len(pieces), file) for p in pieces] for c, pieces in chains]
 
 
+def _owners(base, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """The first of ``base`` whose secret meets each piece, -1 for none."""
+    owner = np.full(len(lows), -1)
+    for k in range(len(base) - 1, -1, -1):
+        lo, hi = np.searchsorted(highs, base[k][3], "right"), np.searchsorted(lows, base[k][2], "left")
+        owner[lo:hi] = k
+    return owner
+
+
 def _tags(base, chain: re.Match, pieces: list[re.Match]) -> list[int]:
-    out, owner = [], None
-    for p in pieces:
-        lo, hi = chain.start() + p.start(), chain.start() + p.end()
-        hit = next((s for s in base if s[3] < hi and lo < s[2]), None)
-        out.append(O if hit is None else I if hit is owner else B)
-        owner = hit
+    return _chain_tags(base, [(chain, pieces)])[0].tolist()
+
+
+def _chain_tags(base, chains) -> list[np.ndarray]:
+    """The tags of every chain's pieces, by the patterns."""
+    spans = np.array([(c.start() + p.start(), c.start() + p.end()) for c, pieces in chains for p in pieces]).reshape(-1, 2)
+    owner, out, at = _owners(base, spans[:, 0], spans[:, 1]), [], 0
+    for _, pieces in chains:
+        own, at = owner[at:at + len(pieces)], at + len(pieces)
+        same = np.concatenate([[False], own[1:] == own[:-1]])[:len(own)]
+        out.append(np.where(own < 0, O, np.where(same, I, B)))
     return out
 
 
@@ -167,9 +185,11 @@ def viterbi(field: Field, features: np.ndarray, batch: Batch) -> np.ndarray:
     return best
 
 
-def _gradient(field: Field, features: np.ndarray, tags: np.ndarray, batch: Batch) -> tuple[np.ndarray, np.ndarray]:
+def _gradient(field: Field, features: np.ndarray, tags: np.ndarray, batch: Batch,
+              weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Gradient of the log-likelihood by forward and backward sums: per piece
-    and tag, and per pair of neighbouring tags."""
+    and tag, and per pair of neighbouring tags; ``weights`` are per piece."""
+    weights = np.ones(len(features)) if weights is None else weights
     emit, move = field.emit[features].sum(1), field.move + Field.BAR
     forward, n = np.empty((len(features), 3)), len(batch.at)
     for t, at in enumerate(batch.at):
@@ -184,26 +204,31 @@ def _gradient(field: Field, features: np.ndarray, tags: np.ndarray, batch: Batch
         backward[at - 1] = _logsum(ahead, 2)
         joint = forward[at - 1][:, :, None] + ahead
         joint -= _logsum(joint.reshape(len(at), 9), 1)[:, None, None]
-        pairs -= np.exp(joint).sum(0)
-        np.add.at(pairs, (tags[at - 1], tags[at]), 1)
+        pairs -= np.tensordot(weights[at], np.exp(joint), 1)
+        np.add.at(pairs, (tags[at - 1], tags[at]), weights[at])
     both = forward + backward
     unary = np.eye(3)[tags] - np.exp(both - _logsum(both, 1)[:, None])
-    return unary, pairs
+    return unary * weights[:, None], pairs
 
 
-def fit(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.3, l2: float = 0.05) -> Field:
+def fit(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.3, l2: float = 0.05,
+        weights: np.ndarray | None = None) -> Field:
     """A field from (features, tags) chains, each also without its context, by
-    AdaGrad on the whole sample with a Gaussian prior."""
+    AdaGrad on the whole sample with a Gaussian prior. ``weights`` say how many
+    chains each stands for. Without chains everything is outside."""
     field = Field(np.zeros((BUCKETS, 3)), np.zeros((3, 3)))
     if not chains:
+        field.emit[:, O] = 1
         return field
     bare = [(np.hstack([f[:, :-N_CONTEXT], np.tile(NO_CONTEXT, (len(f), 1))]), t) for f, t in chains]
     features = np.vstack([f for f, _ in chains + bare])
     tags = np.concatenate([t for _, t in chains + bare])
-    batch = Batch(np.array([len(t) for _, t in chains + bare]))
+    lengths = np.array([len(t) for _, t in chains + bare])
+    batch = Batch(lengths)
+    weights = np.repeat(np.ones(len(lengths)) if weights is None else np.tile(weights, 2), lengths)
     squares, move_squares = np.full((BUCKETS, 3), 1e-3), np.full((3, 3), 1e-3)
     for _ in range(rounds):
-        unary, pairs = _gradient(field, features, tags, batch)
+        unary, pairs = _gradient(field, features, tags, batch, weights)
         grad = np.stack([np.bincount(features.ravel(), np.repeat(unary[:, k], N_FEATURES), BUCKETS) for k in range(3)], 1)
         grad -= l2 * field.emit
         pairs -= l2 * field.move
@@ -220,6 +245,13 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
     bases = [base_spans(t) for t in texts]
     found = [(i, c, pieces) for i, t in enumerate(texts) for c, pieces in chains_of(t)]
     out = [[s[:3] for s in base] for base in bases]
+    starts = [[b[0] for b in base] for base in bases]
+    ends = [list(accumulate((b[2] for b in base), max)) for base in bases]  # furthest so far
+
+    def meets(i, lo, hi):
+        n = bisect_left(starts[i], hi)
+        return n > 0 and ends[i][n - 1] > lo
+
     if not found:
         return out
     by_text: dict[int, list] = {}
@@ -234,7 +266,7 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
         for k, tag in enumerate([*own, O]):
             if tag != I and lo is not None:
                 span = (c.start() + pieces[lo].start(), c.start() + pieces[k - 1].end())
-                if not any(b[0] < span[1] and span[0] < b[2] for b in bases[i]):
+                if not meets(i, *span):
                     out[i].append((span[0], 3, span[1]))
                 lo = None
             if tag == B:
@@ -242,35 +274,81 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
     return [sorted(s) for s in out]
 
 
+def training_chains(text: str) -> list[tuple[int, np.ndarray, list]]:
+    """(place, tags, features) of every chain, a long one in cuts of
+    ``CHAIN_PIECES``; the features are made by calling the last with none."""
+    chains, out = chains_of(text), []
+    for n, ((c, pieces), tags) in enumerate(zip(chains, _chain_tags(base_spans(text), chains))):
+        for lo in range(0, len(pieces), CHAIN_PIECES):
+            cut = tags[lo:lo + CHAIN_PIECES].copy()
+            if cut[0] == I:
+                cut[0] = B
+            out.append((c.start() + lo, cut, (n, lo)))
+    return out
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """The field, from chains of the ``SAMPLE_DOCS`` documents of least hashed
     id, ``SAMPLE_CHAINS`` chains of ``CHAIN_PIECES`` pieces at most (a longer
-    chain is cut for training). Only hashed features leave the executors."""
+    chain is cut for training). At most half of them hold a secret. A document
+    gives the same bounded number of each class, those of least hash, and
+    stands for ``DOC_CHAINS`` chains of a class at most, so that one document
+    cannot fill the sample; weights restore the ratio of the classes. Of an id
+    with several texts the one of least hash trains. Only hashed features
+    leave the executors."""
     sample = written(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))
                      .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).distinct(), "secret-sample")
+    per_doc = max(4, SAMPLE_CHAINS // max(1, sample.count()))
     kind = docs.schema[id_col].dataType.simpleString()
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+             .join(F.broadcast(sample), "id").select("id", F.xxhash64("text").alias("version"), "text"))
+    chain_type = pa.list_(pa.struct([("at", pa.int64()), ("secret", pa.bool_()), ("stands", pa.float64())]))
 
-    def label(batches):
-        for batch, texts in text_batches(batches, 4 << 20):
+    def choose(batches):
+        for batch, got in text_batches(batches, 4 << 20):
+            out = []
+            for text in got:
+                classes, chosen = ([], []), []
+                for at, tags, _ in training_chains(text):
+                    classes[int((tags != O).any())].append((zlib.crc32(f"{len(text)}:{at}".encode()), at))
+                for secret, own in enumerate(classes):
+                    stands = min(len(own), max(DOC_CHAINS, per_doc)) / max(1, min(len(own), per_doc))
+                    chosen += [{"at": at, "secret": bool(secret), "stands": stands} for _, at in heapq.nsmallest(per_doc, own)]
+                out.append(chosen)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, chain_type)], names=["id", "version", "chains"])
+
+    chains = written(
+        texts.mapInArrow(choose, f"id {kind}, version long, chains array<struct<at:long,secret:boolean,stands:double>>")
+        .groupBy("id").agg(F.min(F.struct("version", "chains")).alias("m"))
+        .select("id", "m.version", F.explode("m.chains").alias("c")).select("id", "version", "c.*"), "secret-chains")
+    totals = {r.secret: r.n for r in chains.groupBy("secret").agg(F.sum("stands").alias("n")).collect()}
+    if not totals:
+        return fit([])
+    order = (F.xxhash64("id", "at"), "id", "at")
+    secret = written(chains.where("secret").orderBy(*order).limit(SAMPLE_CHAINS // 2), "secret-half")
+    outside = chains.where("NOT secret").orderBy(*order).limit(SAMPLE_CHAINS - secret.count())
+    picked = written(secret.unionByName(outside).groupBy("id", "version").agg(
+        F.collect_list(F.struct("at", "secret", "stands")).alias("chains")), "secret-picked")
+
+    def features(batches):
+        for batch, got in text_batches(batches, 4 << 20):
             out = []
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
-                chains, base = chains_of(text), base_spans(text)
-                for (c, pieces), rows in zip(chains, _rows(text, chains)):
-                    tags = _tags(base, c, pieces)
-                    for lo in range(0, len(rows), CHAIN_PIECES):
-                        cut = tags[lo:lo + CHAIN_PIECES]
-                        out.append({"id": doc, "at": c.start() + lo, "tags": [B if k == 0 and t == I else t for k, t in enumerate(cut)],
-                                    "features": [f for r in rows[lo:lo + CHAIN_PIECES] for f in r]})
+            for doc, chains, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), got):
+                wanted, rows = {c["at"]: c for c in chains}, _rows(text, chains_of(text))
+                for at, tags, (n, lo) in training_chains(text):
+                    if at in wanted:
+                        cut = np.array(rows[n][lo:lo + CHAIN_PIECES], np.uint16)
+                        out.append({"id": doc, **wanted[at], "tags": tags.astype(np.int8).tobytes(), "features": cut.tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                ("id", batch.schema.field(0).type), ("at", pa.int64()), ("tags", pa.list_(pa.int32())),
-                ("features", pa.list_(pa.int32()))]))
-
-    chosen = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(sample), "id")
-              .mapInArrow(label, f"id {kind}, at long, tags array<int>, features array<int>").dropDuplicates(["id", "at"]))
-    secret = F.exists("tags", lambda t: t != O)  # rare, so they come first under the bound
-    rows = chosen.orderBy(F.when(secret, 0).otherwise(1), F.xxhash64("id"), "id", "at").limit(SAMPLE_CHAINS).collect()
-    return fit([(np.array(r.features).reshape(-1, N_FEATURES), np.array(r.tags)) for r in rows])
+                ("id", batch.schema.field(0).type), *chain_type.value_type, ("tags", pa.binary()), ("features", pa.binary())]))
+
+    rows = (texts.join(F.broadcast(picked), ["id", "version"]).select("id", "chains", "text")
+            .mapInArrow(features, f"id {kind}, at long, secret boolean, stands double, tags binary, features binary")
+            .dropDuplicates(["id", "at"]).orderBy(*order).drop("id", "at").collect())
+    held = {c: sum(r.stands for r in rows if r.secret == c) for c in totals}
+    weights = np.array([r.stands * totals[r.secret] / held[r.secret] for r in rows])
+    return fit([(np.frombuffer(r.features, np.uint16).reshape(-1, N_FEATURES), np.frombuffer(r.tags, np.int8)) for r in rows],
+               weights=weights / weights.mean())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

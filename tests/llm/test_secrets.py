@@ -115,3 +115,22 @@ def test_field_finds_unnamed_secrets_and_leaves_numbers():
         hit += any(text[a:b] == k for a, _, b in got)
         wrong += sum(text[a:b] != k for a, _, b in got)
     assert hit >= 90 and wrong <= 5
+
+
+NUMBERS = ["on 2020-03-04 at 10:22", "host 192.168.10.41 port 8080", "card 4111-1111-1111-1111 paid", "call +1-555-123-4567 now",
+           "see https://files7.example.com/v2/item-20931.html", "node web-017.example.org up"]
+
+
+def test_one_hot_document_leaves_outside_chains(spark):
+    """25,000 hexadecimal lines in one text must not be the whole sample."""
+    rng = random.Random(5)
+    hot = "\n".join("%064x" % rng.getrandbits(256) for _ in range(25_000))
+
+    def number(text):
+        return re.sub(r"\d", lambda m: str(rng.randrange(10)), text)
+
+    rows = [(0, hot)] + [(i, "\n".join(number(x) for x in rng.sample(NUMBERS, 3))) for i in range(1, 301)]
+    field = s.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    clean = [number(x) for x in NUMBERS * 20]
+    assert sum(map(len, s.spans_of(clean, field))) == 0
+    assert sum(k == 2 for _, k, _ in s.spans_of([hot], field)[0]) == 25_000
