@@ -1,23 +1,23 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field.
 
 Patterns find assignments to secret-like names, access keys and long
-hexadecimal strings. The field adds what they miss. It reads strings that
-could be credentials (runs of letters, digits and ``+/_.=-`` of 8 or more with
-a digit; every other token can only be outside) as chains of their
-alphanumeric pieces, and tags each piece as begin, inside or outside from its
-shape, the neighbouring words and signs, and features of the whole text.
-Pieces found by the patterns in a bounded sample of documents are its training
-labels; each chain is also learnt without its neighbours, so that shape alone
-can decide. Decoding is Viterbi.
+hexadecimal strings. The field adds what they miss. It reads every line as a
+chain of all its tokens (runs of letters and digits, and each other sign that
+is not blank) and tags each token as begin, inside or outside from its shape,
+the neighbouring words and signs, and features of the whole text. Tokens found
+by the patterns in a bounded sample of documents are its training labels; each
+chain is also learnt without its neighbours, so that shape alone can decide.
+Decoding is Viterbi, over the parts of the lines that can hold a secret under
+the field (``_undecided``); all else is outside on the best path.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -37,12 +37,13 @@ NAMES = ("password", "passwd", "secret", "token", "api")
 B, I, O = 0, 1, 2
 BUCKETS = 1 << 14
 SAMPLE_DOCS, SAMPLE_CHAINS, CHAIN_PIECES = 20_000, 20_000, 64  # bounds of the training sample
+CHUNK = 2 << 20  # bytes of text tokenised at once
 DOC_CHAINS = 64  # chains of a class that one document stands for, at most
 
-_CHAIN = re.compile(r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{8,}")
-_PIECE = re.compile(r"[A-Za-z0-9]+")
-_WORDS_BEFORE = re.compile(r"(\w*)\W+(\w+)\W*$")
-_WORD_AFTER = re.compile(r"\W*(\w+)")
+_LINE = re.compile(r"[^\n]+")
+_PIECE = re.compile(r"[^\W_]+|[^\w\s]|_")
+_TILE = re.compile(r" ?(?:[^\W_]+|[^\w\s]|_)|\s+")  # the same and blanks: covers every text
+WORD, SIGN, BLANK, BREAK = range(4)
 _SHAPE = str.maketrans({**{c: "a" for c in "abcdefghijklmnopqrstuvwxyz"},
                         **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "9" for c in "0123456789"}})
 
@@ -67,70 +68,208 @@ def _hashed(*parts) -> int:
     return zlib.crc32("\x1f".join(map(str, parts)).encode()) % BUCKETS
 
 
-N_FEATURES, N_CONTEXT = 14, 5  # the context comes last
-
-
-def _features(text: str, chain: re.Match, piece: re.Match, n_pieces: int, file: tuple) -> list[int]:
-    word = piece[0]
-    shape = word.translate(_SHAPE)
-    runs = 1 + sum(map(str.__ne__, shape, shape[1:]))
-    kinds = "".join(sorted(set(shape)))
-    n, digits, distinct = len(word), shape.count("9"), len(set(word))
+N_FEATURES, N_CONTEXT, N_OWN = 14, 5, 6  # the word's own come first, the context last
+NO_CONTEXT = [_hashed("none", i) for i in range(N_CONTEXT)]
+_SIZES = np.array([_size(n) for n in range(1024)], np.uint32)  # the same from 1024 on
+
+
+def _word(tile: str) -> tuple:
+    """What is known of a tile alone: kind, length, whether it has a blank in
+    front, code of the word, code of its characters' classes, its features as
+    the word before and after, and its own."""
+    if tile.isspace():
+        return (BREAK if "\n" in tile else BLANK, len(tile), 0, *[0] * (4 + N_OWN))
+    word = tile.removeprefix(" ")
+    code = zlib.crc32(word.lower().encode("utf-8", "surrogatepass"))
+    front = (len(tile), len(tile) - len(word), code)
+    if not word.isalnum():
+        return (SIGN, *front, code, *_NO_WORD, *(_hashed(i, word) for i in range(N_OWN)))
+    shape = word.translate(_SHAPE) if word.isascii() else "".join(
+        c.translate(_SHAPE) if c.isascii() else "9" if c.isdigit() else "e" for c in word)
     hexa = not word.strip("0123456789abcdef")
-    at = chain.start()
-    before = text[max(0, at - 40):at]
-    words = _WORDS_BEFORE.search(" " + before + " ")
-    last, second = (words[2].lower(), words[1].lower()) if words else ("", "")
-    sign = text[at - 2:at] if at > 1 else text[:at]
-    after = _WORD_AFTER.match(text[chain.end():chain.end() + 40])
-    joined = chain[0][piece.start() - 1] if piece.start() else "^"
-    return [
-        _hashed("shape", kinds, _size(n)), _hashed("hex", hexa, _size(n)), _hashed("digits", kinds, 8 * digits // n),
-        _hashed("runs", _size(runs), _size(n)), _hashed("distinct", 8 * distinct // n, _size(n)),
-        _hashed("joined", joined, kinds), _hashed("chain", n_pieces if n_pieces < 8 else 8, _size(len(chain[0]))),
-        _hashed("start", shape[:4]), _hashed("file", *file),
-        _hashed("last", last), _hashed("last+", last, sign), _hashed("second", second, last),
-        _hashed("sign", sign, text[chain.end():chain.end() + 1]), _hashed("after", after[1].lower() if after else ""),
-    ]
+    return (WORD, *front, *_shaped(shape, hexa, len(set(word)), code % BUCKETS, (code >> 16 ^ code * 31) % BUCKETS))
 
 
+def _shaped(shape: str, hexa: bool, distinct: int, last: int, after: int) -> tuple:
+    kinds, *own = (_own if len(shape) <= 32 else _own.__wrapped__)(shape, hexa, distinct)
+    return (kinds, last, after, *own)
 
-NO_CONTEXT = [_hashed("none", i) for i in range(N_CONTEXT)]
+
+@lru_cache(1 << 16)
+def _own(shape: str, hexa: bool, distinct: int) -> tuple:
+    runs = 1 + sum(map(str.__ne__, shape, shape[1:]))
+    kinds = "".join(sorted(set(shape)))
+    n, digits = len(shape), shape.count("9")
+    size = _size(n)
+    return (zlib.crc32(kinds.encode()),
+            _hashed("shape", kinds, size), _hashed("hex", hexa, size), _hashed("digits", kinds, 8 * digits // n),
+            _hashed("runs", _size(runs), size), _hashed("distinct", 8 * distinct // n, size),
+            _hashed("start", shape[:4]))
+
+
+_NO_WORD = _hashed("last", 0), _hashed("after", 0)
+
+
+class Vocabulary(dict):
+    """The tiles seen by this process, with a row of ``_word`` each; begun anew
+    when it grows large."""
+
+    table, field, own = np.zeros((0, 7 + N_OWN), np.int64), None, None
+
+    def __missing__(self, tile: str) -> int:
+        n = self[tile] = len(self)
+        self.new.append(_word(tile))
+        return n
+
+    def ids(self, tiles: list[str]) -> np.ndarray:
+        if len(self) > 400_000 or self.table[:, 1].sum() > 1 << 25:
+            self.clear()
+            self.table, self.field = Vocabulary.table, None
+        self.new = []
+        ids = np.fromiter(map(self.__getitem__, tiles), np.int64, len(tiles))
+        if self.new:
+            self.table = np.concatenate([self.table, np.array(self.new, np.int64)])
+        return ids
+
+    def scores(self, field: Field, pairs: np.ndarray) -> np.ndarray:
+        """The sums of the tiles' own features."""
+        if self.field is not field:
+            self.field, self.own = field, np.zeros(0, complex)
+        new = self.table[len(self.own):, -N_OWN:]
+        self.own = np.concatenate([self.own, pairs[new].sum(1)])
+        return self.own
+
+
+_VOCABULARY = Vocabulary()
+
+
+def _mixed(tag: int, *codes: np.ndarray) -> np.ndarray:
+    """Buckets of rows of codes."""
+    x = np.full(len(codes[0]), tag * 0x85EBCA6B & 0xFFFFFFFF, np.uint32)
+    for c in codes:
+        x ^= c.astype(np.uint32, copy=False)
+        x *= np.uint32(0x9E3779B1)
+        x ^= x >> np.uint32(15)
+    return (x & np.uint32(BUCKETS - 1)).astype(np.uint16)
+
+
+class Tokens:
+    """All tokens of some texts, in order, as arrays with an entry each."""
+
+    def __init__(self, texts: list[str]):
+        tiles, counts = [], []
+        for t in texts:
+            got = _TILE.findall(t)
+            tiles += got
+            counts.append(len(got))
+        ids = _VOCABULARY.ids(tiles)
+        self.table = _VOCABULARY.table
+        kind, sizes, text = self.table[ids, 0], self.table[ids, 1], np.repeat(np.arange(len(texts)), counts)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        end = np.cumsum(sizes) - (np.cumsum(lengths) - lengths)[text]
+        at = np.flatnonzero(kind < BLANK)
+        line = np.cumsum(kind == BREAK) + text
+        self.id, self.text, self.kind, self.end = ids[at], text[at], kind[at], end[at]
+        blank = self.table[self.id, 2]
+        self.start = self.end - sizes[at] + blank
+        n = len(at)
+        self.first = np.ones(n, bool)       # of its line
+        self.first[1:] = np.diff(line[at]) > 0
+        self.glued = np.zeros(n, bool)      # to the token before
+        self.glued[1:] = (np.diff(at) == 1) & ~self.first[1:] & (blank[1:] == 0)
+        self.bounds = np.searchsorted(self.text, np.arange(len(texts) + 1))  # of each text's tokens
+        marks = np.fromiter(("=" in t for t in texts), np.uint32, len(texts))
+        lines = np.bincount(self.text[self.first], minlength=len(texts))
+        self.file = (_SIZES[np.minimum(lengths, 1023)], _SIZES[np.minimum(lines, 1023)], marks)
+
+    def _near(self, i: np.ndarray, values: np.ndarray, none: int = 0) -> np.ndarray:
+        """``values`` at ``i``, ``none`` where that is no token of the same text."""
+        ok = (i >= self.low) & (i < self.high)
+        return np.where(ok, values.take(i, mode="clip"), values.dtype.type(none))
+
+    def columns(self):
+        """The features but the words' own, one array at a time."""
+        n = len(self.id)
+        if not n:
+            return
+        self.low, self.high = self.bounds[self.text], self.bounds[self.text + 1]
+        code, kinds = (self.table[:, j].astype(np.uint32)[self.id] for j in (3, 4))
+        here, is_word = np.arange(n), self.kind == WORD
+        sign = np.where(is_word, np.uint32(1), code)
+        before, further, next_ = (self._near(here + d, sign) for d in (-1, -2, 1))
+        unit = np.cumsum(~self.glued) - 1   # tokens without a blank between them
+        edges = np.append(np.flatnonzero(~self.glued), n)
+        count = np.minimum(np.diff(edges), 8)[unit]
+        size = np.minimum(self.end[edges[1:] - 1] - self.start[edges[:-1]], 1023)[unit]
+        last = np.concatenate([[-1], np.maximum.accumulate(np.where(is_word, here, -1))[:-1]])
+        after = np.concatenate([np.minimum.accumulate(np.where(is_word, here, n)[::-1])[::-1][1:], [n]])
+        one = self._near(last, code)
+        two = self._near(np.where(last >= 0, last.take(last, mode="clip"), -1), code)
+        file = _mixed(3, *self.file)
+        yield _mixed(1, np.where(self.glued, before, np.uint32(2)), kinds)
+        yield _mixed(2, count, _SIZES[size])
+        yield file[self.text]
+        yield self._near(last, self.table[:, 5].astype(np.uint16)[self.id], _NO_WORD[0])
+        yield _mixed(5, one, before)
+        yield _mixed(6, two, one)
+        yield _mixed(7, before, further, next_)
+        yield self._near(after, self.table[:, 6].astype(np.uint16)[self.id], _NO_WORD[1])
+
+    def features(self) -> np.ndarray:
+        return np.hstack([self.table[self.id, -N_OWN:].astype(np.uint16), *(c[:, None] for c in self.columns())])
+
+    def emissions(self, field: Field) -> np.ndarray:
+        """Scores of begin and inside over outside; that of outside is 0."""
+        pairs = np.ascontiguousarray(field.emit[:, :O] - field.emit[:, O:]).view(complex)[:, 0]
+        own = (_VOCABULARY.scores(field, pairs) if _VOCABULARY.table is self.table
+               else pairs[self.table[:, -N_OWN:]].sum(1))
+        out = own[self.id]
+        for column in self.columns():
+            out += pairs[column]
+        return np.column_stack([out.real, out.imag, np.zeros(len(out))])
+
+    def tags(self, bases: list) -> np.ndarray:
+        """The tags of all tokens, by the patterns' spans of each text."""
+        owner = np.concatenate([_owners(base, self.start[lo:hi], self.end[lo:hi])
+                                for base, lo, hi in zip(bases, self.bounds, self.bounds[1:])] or [np.empty(0, int)])
+        same = np.zeros(len(owner), bool)
+        same[1:] = (owner[1:] == owner[:-1]) & ~self.first[1:]
+        return np.where(owner < 0, O, np.where(same, I, B))
+
+    def cuts(self) -> np.ndarray:
+        """The first tokens of the lines' cuts of ``CHAIN_PIECES``."""
+        here = np.arange(len(self.id))
+        since = here - np.maximum.accumulate(np.where(self.first, here, 0))
+        return np.flatnonzero(since % CHAIN_PIECES == 0)
 
 
 def chains_of(text: str) -> list[tuple[re.Match, list[re.Match]]]:
-    if not any(d in text for d in "0123456789"):
-        return []
-    return [(c, list(_PIECE.finditer(c[0]))) for c in _CHAIN.finditer(text)]
+    """Every line that is not blank, with its tokens."""
+    return [(c, pieces) for c in _LINE.finditer(text) if (pieces := list(_PIECE.finditer(c[0])))]
 
 
-def _rows(text: str, chains) -> list[list[list[int]]]:
-    file = (_size(len(text)), _size(len(chains)), "=" in text)
-    return [[_features(text, c, p, len(pieces), file) for p in pieces] for c, pieces in chains]
+def _rows(text: str, chains) -> list[np.ndarray]:
+    if not chains:
+        return []
+    return np.split(Tokens([text]).features(), np.cumsum([len(pieces) for _, pieces in chains])[:-1])
 
 
 def _owners(base, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
-    """The first of ``base`` whose secret meets each piece, -1 for none."""
+    """The first of ``base`` whose secret meets each token, -1 for none."""
     owner = np.full(len(lows), -1)
-    for k in range(len(base) - 1, -1, -1):
-        lo, hi = np.searchsorted(highs, base[k][3], "right"), np.searchsorted(lows, base[k][2], "left")
-        owner[lo:hi] = k
+    if base:
+        edges = np.array([(b[3], b[2]) for b in base])
+        los, his = np.searchsorted(highs, edges[:, 0], "right"), np.searchsorted(lows, edges[:, 1], "left")
+        for k in range(len(base) - 1, -1, -1):
+            owner[los[k]:his[k]] = k
     return owner
 
 
 def _tags(base, chain: re.Match, pieces: list[re.Match]) -> list[int]:
-    return _chain_tags(base, [(chain, pieces)])[0].tolist()
-
-
-def _chain_tags(base, chains) -> list[np.ndarray]:
-    """The tags of every chain's pieces, by the patterns."""
-    spans = np.array([(c.start() + p.start(), c.start() + p.end()) for c, pieces in chains for p in pieces]).reshape(-1, 2)
-    owner, out, at = _owners(base, spans[:, 0], spans[:, 1]), [], 0
-    for _, pieces in chains:
-        own, at = owner[at:at + len(pieces)], at + len(pieces)
-        same = np.concatenate([[False], own[1:] == own[:-1]])[:len(own)]
-        out.append(np.where(own < 0, O, np.where(same, I, B)))
-    return out
+    at = chain.start()
+    owner = _owners(base, np.array([at + p.start() for p in pieces]), np.array([at + p.end() for p in pieces]))
+    same = np.concatenate([[False], owner[1:] == owner[:-1]])
+    return np.where(owner < 0, O, np.where(same, I, B)).tolist()
 
 
 @dataclass
@@ -161,12 +300,22 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
+def _emissions(emit: np.ndarray, features: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(features), 3))
+    for k in range(features.shape[1]):
+        out += emit[features[:, k]]
+    return out
+
+
 def viterbi(field: Field, features: np.ndarray, batch: Batch) -> np.ndarray:
-    """The best tags of every piece."""
-    emit = field.emit[features].sum(1)
+    """The best tags of every token."""
+    return _decoded(field, _emissions(field.emit, features), batch)
+
+
+def _decoded(field: Field, emit: np.ndarray, batch: Batch) -> np.ndarray:
     move = field.move + Field.BAR
     back, score = [], None
-    best = np.zeros(len(features), np.int8)
+    best = np.zeros(len(emit), np.int8)
     finals = np.empty((len(batch.at[0]) if batch.at else 0, 3))
     for t, at in enumerate(batch.at):
         if t == 0:
@@ -190,7 +339,7 @@ def _gradient(field: Field, features: np.ndarray, tags: np.ndarray, batch: Batch
     """Gradient of the log-likelihood by forward and backward sums: per piece
     and tag, and per pair of neighbouring tags; ``weights`` are per piece."""
     weights = np.ones(len(features)) if weights is None else weights
-    emit, move = field.emit[features].sum(1), field.move + Field.BAR
+    emit, move = _emissions(field.emit, features), field.move + Field.BAR
     forward, n = np.empty((len(features), 3)), len(batch.at)
     for t, at in enumerate(batch.at):
         if t == 0:
@@ -211,27 +360,69 @@ def _gradient(field: Field, features: np.ndarray, tags: np.ndarray, batch: Batch
     return unary * weights[:, None], pairs
 
 
+def _undecided(field: Field, emit: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The tokens that Viterbi must read; on the best path all others are
+    outside, and so are the ends of every run of those returned, unless a run
+    ends with its line or at a token that may be in a secret.
+
+    Scores are taken relative to the path that is outside throughout. Every
+    token in a secret adds ``most`` or less, its moves included. Where that is
+    below 0 the token is cold. A secret (or several that touch) of cold tokens
+    alone loses against outside. One that reaches from a warm token over cold
+    ones to the right can be cut off behind the warm token for ``cut`` at
+    worst; one that reaches over them from the left can begin at the warm token
+    instead, for ``begin`` at worst. So neither reaches past the cold token
+    where the sum of ``most`` falls below that bound."""
+    move = field.move - field.move[O, O]
+    most = (emit[:, :O] - emit[:, O:]).max(1) + max(0, move[:, B].max(), move[B, I], move[I, I]) + max(0, move[:O, O].max())
+    warm = most >= -1e-6
+    cut = min(0, move[:O, O].min())
+    begin = np.minimum(move[O, B] - max(move[B, B], move[I, B]),
+                       emit[:, B] - emit[:, I] + move[O, B] - max(move[B, I], move[I, I]) + min(0, (move[B] - move[I]).min()))
+    need = warm.copy()
+    ends = np.concatenate([first[1:], [True]])[:len(first)]
+    for step, barred, bound in ((1, ends, np.full(len(emit), cut)), (-1, first, np.minimum(0, begin))):
+        at = np.flatnonzero(warm)
+        left = bound[at] - 1e-6
+        while len(at):
+            go = ~barred[at]
+            at, left = at[go] + step, left[go]
+            go = ~warm[at]
+            at, left = at[go], left[go]
+            need[at] = True
+            left = left - most[at]  # at or below 0: the sum is not yet below the bound
+            go = left <= 0
+            at, left = at[go], left[go]
+    return need
+
+
 def fit(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.3, l2: float = 0.05,
         weights: np.ndarray | None = None) -> Field:
     """A field from (features, tags) chains, each also without its context, by
-    AdaGrad on the whole sample with a Gaussian prior. ``weights`` say how many
-    chains each stands for. Without chains everything is outside."""
+    AdaGrad with a Gaussian prior; from 2,500 chains on each round reads the
+    next of several equal parts of them. ``weights`` say how many chains each
+    stands for. Without chains everything is outside."""
     field = Field(np.zeros((BUCKETS, 3)), np.zeros((3, 3)))
     if not chains:
         field.emit[:, O] = 1
         return field
-    bare = [(np.hstack([f[:, :-N_CONTEXT], np.tile(NO_CONTEXT, (len(f), 1))]), t) for f, t in chains]
-    features = np.vstack([f for f, _ in chains + bare])
-    tags = np.concatenate([t for _, t in chains + bare])
-    lengths = np.array([len(t) for _, t in chains + bare])
-    batch = Batch(lengths)
-    weights = np.repeat(np.ones(len(lengths)) if weights is None else np.tile(weights, 2), lengths)
+    weights = np.ones(len(chains)) if weights is None else weights
+    n_parts, parts = max(1, len(chains) // 1250), []
+    for k in range(n_parts):
+        own = chains[k::n_parts]
+        full = np.vstack([f for f, _ in own]).astype(np.uint16)
+        bare = full.copy()
+        bare[:, -N_CONTEXT:] = NO_CONTEXT
+        lengths = np.tile([len(t) for _, t in own], 2)
+        parts.append((np.vstack([full, bare]), np.tile(np.concatenate([t for _, t in own]), 2), Batch(lengths),
+                      np.repeat(np.tile(weights[k::n_parts], 2), lengths)))
     squares, move_squares = np.full((BUCKETS, 3), 1e-3), np.full((3, 3), 1e-3)
-    for _ in range(rounds):
-        unary, pairs = _gradient(field, features, tags, batch, weights)
-        grad = np.stack([np.bincount(features.ravel(), np.repeat(unary[:, k], N_FEATURES), BUCKETS) for k in range(3)], 1)
-        grad -= l2 * field.emit
-        pairs -= l2 * field.move
+    for r in range(rounds):
+        features, tags, batch, weight = parts[r % n_parts]
+        unary, pairs = _gradient(field, features, tags, batch, weight)
+        grad = np.stack([sum(np.bincount(features[:, j], unary[:, k], BUCKETS) for j in range(N_FEATURES)) for k in range(3)], 1)
+        grad -= l2 / n_parts * field.emit
+        pairs -= l2 / n_parts * field.move
         squares += grad ** 2
         move_squares += pairs ** 2
         field.emit += rate * grad / np.sqrt(squares)
@@ -243,7 +434,6 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
     """Per text, all spans as (start, kind index, end), in order: the patterns'
     and the field's that meet none of them."""
     bases = [base_spans(t) for t in texts]
-    found = [(i, c, pieces) for i, t in enumerate(texts) for c, pieces in chains_of(t)]
     out = [[s[:3] for s in base] for base in bases]
     starts = [[b[0] for b in base] for base in bases]
     ends = [list(accumulate((b[2] for b in base), max)) for base in bases]  # furthest so far
@@ -252,45 +442,28 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
         n = bisect_left(starts[i], hi)
         return n > 0 and ends[i][n - 1] > lo
 
-    if not found:
+    tokens = Tokens(texts)
+    emit = tokens.emissions(field)
+    need = _undecided(field, emit, tokens.first)
+    at = np.flatnonzero(need)
+    if not len(at):
         return out
-    by_text: dict[int, list] = {}
-    for i, c, pieces in found:
-        by_text.setdefault(i, []).append((c, pieces))
-    rows = [r for i, chains in by_text.items() for r in _rows(texts[i], chains)]
-    tags = viterbi(field, np.array([f for r in rows for f in r]), Batch(np.array([len(r) for r in rows])))
-    at = 0
-    for i, c, pieces in found:
-        own, at = tags[at:at + len(pieces)], at + len(pieces)
-        lo = None
-        for k, tag in enumerate([*own, O]):
-            if tag != I and lo is not None:
-                span = (c.start() + pieces[lo].start(), c.start() + pieces[k - 1].end())
-                if not meets(i, *span):
-                    out[i].append((span[0], 3, span[1]))
-                lo = None
-            if tag == B:
-                lo = k
+    begins = np.flatnonzero(np.concatenate([[True], (np.diff(at) > 1) | tokens.first[at[1:]]]))
+    tags = np.full(len(need), O, np.int8)
+    tags[at] = _decoded(field, emit[at], Batch(np.diff(np.append(begins, len(at)))))
+    opened = np.flatnonzero(tags == B)
+    closed = np.flatnonzero((tags != O) & np.append((tags[1:] != I) | tokens.first[1:], True))
+    for lo, hi in zip(opened.tolist(), closed.tolist()):
+        i, span = int(tokens.text[lo]), (int(tokens.start[lo]), int(tokens.end[hi]))
+        if not meets(i, *span):
+            out[i].append((span[0], 3, span[1]))
     return [sorted(s) for s in out]
 
 
-def training_chains(text: str) -> list[tuple[int, np.ndarray, list]]:
-    """(place, tags, features) of every chain, a long one in cuts of
-    ``CHAIN_PIECES``; the features are made by calling the last with none."""
-    chains, out = chains_of(text), []
-    for n, ((c, pieces), tags) in enumerate(zip(chains, _chain_tags(base_spans(text), chains))):
-        for lo in range(0, len(pieces), CHAIN_PIECES):
-            cut = tags[lo:lo + CHAIN_PIECES].copy()
-            if cut[0] == I:
-                cut[0] = B
-            out.append((c.start() + lo, cut, (n, lo)))
-    return out
-
-
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """The field, from chains of the ``SAMPLE_DOCS`` documents of least hashed
-    id, ``SAMPLE_CHAINS`` chains of ``CHAIN_PIECES`` pieces at most (a longer
-    chain is cut for training). At most half of them hold a secret. A document
+    """The field, from lines of the ``SAMPLE_DOCS`` documents of least hashed
+    id, ``SAMPLE_CHAINS`` chains of ``CHAIN_PIECES`` tokens at most (a longer
+    line is cut for training). At most half of them hold a secret. A document
     gives the same bounded number of each class, those of least hash, and
     stands for ``DOC_CHAINS`` chains of a class at most, so that one document
     cannot fill the sample; weights restore the ratio of the classes. Of an id
@@ -305,16 +478,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
     chain_type = pa.list_(pa.struct([("at", pa.int64()), ("secret", pa.bool_()), ("stands", pa.float64())]))
 
     def choose(batches):
-        for batch, got in text_batches(batches, 4 << 20):
-            out = []
-            for text in got:
-                classes, chosen = ([], []), []
-                for at, tags, _ in training_chains(text):
-                    classes[int((tags != O).any())].append((zlib.crc32(f"{len(text)}:{at}".encode()), at))
-                for secret, own in enumerate(classes):
-                    stands = min(len(own), max(DOC_CHAINS, per_doc)) / max(1, min(len(own), per_doc))
-                    chosen += [{"at": at, "secret": bool(secret), "stands": stands} for _, at in heapq.nsmallest(per_doc, own)]
-                out.append(chosen)
+        for batch, got in text_batches(batches, CHUNK):
+            tokens = Tokens(got)
+            cuts, out = tokens.cuts(), [[] for _ in got]
+            if len(cuts):
+                secret = np.logical_or.reduceat(tokens.tags([base_spans(t) for t in got]) != O, cuts)
+                text, at = tokens.text[cuts], tokens.start[cuts]
+                order = np.lexsort((at, _mixed(9, at, at >> 32), secret, text))
+                edges = np.flatnonzero(np.diff(text[order] * 2 + secret[order], prepend=-1))
+                for lo, hi in zip(edges, np.append(edges[1:], len(order))):
+                    stands = min(hi - lo, max(DOC_CHAINS, per_doc)) / min(hi - lo, per_doc)
+                    out[text[order[lo]]] += [{"at": int(at[j]), "secret": bool(secret[j]), "stands": float(stands)}
+                                             for j in order[lo:min(hi, lo + per_doc)]]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, chain_type)], names=["id", "version", "chains"])
 
     chains = written(
@@ -331,14 +506,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
         F.collect_list(F.struct("at", "secret", "stands")).alias("chains")), "secret-picked")
 
     def features(batches):
-        for batch, got in text_batches(batches, 4 << 20):
-            out = []
-            for doc, chains, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), got):
-                wanted, rows = {c["at"]: c for c in chains}, _rows(text, chains_of(text))
-                for at, tags, (n, lo) in training_chains(text):
-                    if at in wanted:
-                        cut = np.array(rows[n][lo:lo + CHAIN_PIECES], np.uint16)
-                        out.append({"id": doc, **wanted[at], "tags": tags.astype(np.int8).tobytes(), "features": cut.tobytes()})
+        for batch, got in text_batches(batches, CHUNK):
+            tokens = Tokens(got)
+            tags, rows, cuts, out = tokens.tags([base_spans(t) for t in got]), tokens.features(), tokens.cuts(), []
+            ids, wanted = batch.column(0).to_pylist(), [{c["at"]: c for c in x} for x in batch.column(1).to_pylist()]
+            for lo, hi in zip(cuts, np.append(cuts[1:], len(tags))):
+                i, at = int(tokens.text[lo]), int(tokens.start[lo])
+                if at in wanted[i]:
+                    own = tags[lo:hi].astype(np.int8)
+                    own[0] = B if own[0] == I else own[0]
+                    out.append({"id": ids[i], **wanted[i][at], "tags": own.tobytes(), "features": rows[lo:hi].tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
                 ("id", batch.schema.field(0).type), *chain_type.value_type, ("tags", pa.binary()), ("features", pa.binary())]))
 
@@ -366,7 +543,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def find(batches):
-        for batch, texts in text_batches(batches, 4 << 20):
+        for batch, texts in text_batches(batches, CHUNK):
             spans = [[{"kind": KINDS[k], "start": lo, "end": hi} for lo, k, hi in s] for s in spans_of(texts, shared.value)]
             yield pa.record_batch([batch.column(0), pa.array(spans, span)], names=["id", "spans"])
 

@@ -134,3 +134,48 @@ def test_one_hot_document_leaves_outside_chains(spark):
     clean = [number(x) for x in NUMBERS * 20]
     assert sum(map(len, s.spans_of(clean, field))) == 0
     assert sum(k == 2 for _, k, _ in s.spans_of([hot], field)[0]) == 25_000
+
+
+def test_every_token_is_in_a_chain():
+    """Letters only, signs, short ones and pass phrases: all reach the field."""
+    for text, want in (("credential kJhGfDsAqWeRtYuIoPzX x", "kJhGfDsAqWeRtYuIoPzX"), ("pwd P@ssw0rd!23", "P@ssw0rd!23"),
+                       ("key sk_live_abcdEFGHijkl", "sk_live_abcdEFGHijkl"), ("passphrase hunter2", "hunter2"),
+                       ("a\n  correct-horse-battery staple é", "correct-horse-battery staple")):
+        tokens = [text[c.start() + p.start():c.start() + p.end()] for c, pieces in s.chains_of(text) for p in pieces]
+        assert "".join(tokens) == "".join(text.split())
+        both = s.Tokens([text, text])
+        assert [text[a:b] for a, b in zip(both.start, both.end)] == tokens * 2
+        low = text.index(want)
+        chosen = (both.start >= low) & (both.end <= low + len(want))
+        field = s.Field(np.zeros((s.BUCKETS, 3)), np.zeros((3, 3)))
+        emit = np.where(chosen[:, None], [0, 1, -1], [-9, -9, 0]).astype(float)
+        emit[both.start == low, s.B] = 2
+        both.emissions = lambda _: emit
+        made, s.Tokens = s.Tokens, lambda texts: both
+        try:
+            assert [[text[a:b] for a, _, b in x] for x in s.spans_of([text, text], field)] == [[want]] * 2
+        finally:
+            s.Tokens = made
+
+
+def test_prefilter_leaves_the_best_path():
+    rng = np.random.default_rng(4)
+    skipped = 0
+    for trial in range(300):
+        lengths = rng.integers(1, 30, 20)
+        n = int(lengths.sum())
+        first = np.zeros(n, bool)
+        first[np.cumsum(lengths) - lengths] = True
+        field = s.Field(np.zeros((s.BUCKETS, 3)), rng.normal(size=(3, 3)) * rng.choice([0.2, 1, 3]))
+        emit = rng.normal(size=(n, 3)) * 3
+        emit[:, s.O] += rng.choice([0, 4, 8, 12])
+        whole = s._decoded(field, emit, s.Batch(lengths))
+        need = s._undecided(field, emit, first)
+        at = np.flatnonzero(need)
+        tags = np.full(n, s.O)
+        if len(at):
+            begins = np.flatnonzero(np.concatenate([[True], (np.diff(at) > 1) | first[at[1:]]]))
+            tags[at] = s._decoded(field, emit[at], s.Batch(np.diff(np.append(begins, len(at)))))
+        assert (tags == whole).all()
+        skipped += int((~need).sum())
+    assert skipped > 10_000
