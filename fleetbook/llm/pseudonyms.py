@@ -11,10 +11,10 @@ different, and the key gives them back.
 
 | kind | found | valid if | permuted | kept |
 | email | name@host.tld | host has a dot | ASCII letters and digits of the name | the rest |
-| phone | + country code and groups | 8 to 15 digits | digits after the country code | signs |
+| phone | + and digits with single signs between; national 3-3-4 and (area) forms | 8 to 15 digits | digits after the country code | signs |
 | card | 13 to 19 digits, plain or in card groups | Luhn | all but the last digit | Luhn sum |
 | ip | dotted quad | each at most 255 | the four bytes | dots |
-| date | y-m-d, d/m/y, d.m.y | calendar day | day within its 400 years | order, signs |
+| date | y-m-d, y/m/d, d/m/y, d.m.y | calendar day | day within its 400 years | order, signs |
 """
 
 from __future__ import annotations
@@ -26,16 +26,23 @@ ROUNDS = 10
 KINDS = ("email", "phone", "card", "ip", "date")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+# Between digits of a phone number: a blank, dot or hyphen, a bracket, or a bracket with one of them outside
+_SIGN = r"(?:[ .-]?\(|\)[ .-]?|[ .-])"
+# A blank after a whole number does not lead on into a date, address or card (by format alone, so that pseudonyms are found alike)
+_OTHER = (r"\d{4}[-/]\d{1,2}[-/]\d{1,2}(?!\d)|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
+          r"|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}(?!\d)|\d{4}[ -]\d{6}[ -]\d{5}(?!\d)|\(?\d{3}[ .)-]{1,2}\d{3}[ .-]\d{4}(?!\d)")
 FOUND = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-    r"\+\d{1,3} ?\(\d{1,4}\) ?\d{2,4}(?:[ -]?\d{2,4}){1,2}(?!\d)",
-    r"\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)",
-    r"\+\d{8,15}(?!\d)",
+    r"\+(?:1[ .-]?|\d{1,3}[ .-]?(?=\())\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?![.-]?\d)",
+    rf"\+\(?\d(?:{_SIGN}?\d){{7}}(?:(?! (?:{_OTHER})){_SIGN}?\d){{0,7}}(?!\d)",
+    r"(?<![\d+])(?<!\d[.-])(?:1[ .-])?\(\d{2,5}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![.-]?\d)",
+    r"(?<![\d+])(?<!\d[.-])(?:1[ .-])?\d{3}(?:-\d{3}-|\.\d{3}\.| \d{3} )\d{4}(?![.-]?\d)",
     r"(?<![\d+])\d{13,19}(?!\d)",
     r"(?<![\d+])\d{4}(?:[ -]\d{4}){3}(?!\d)",
     r"(?<![\d+])\d{4}[ -]\d{6}[ -]\d{5}(?!\d)",
     rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])",
+    r"(?<![\d/])\d{4}/\d{1,2}/\d{1,2}(?![\d/])",
     r"(?<![\d/])\d{1,2}/\d{1,2}/\d{4}(?![\d/])",
     r"(?<![\d.])\d{1,2}\.\d{1,2}\.\d{4}(?!\.?\d)",
 ))
@@ -62,6 +69,7 @@ def _parsed(value: Column) -> Column:
     """The calendar day of a date string, null if there is none."""
     iso = F.try_to_date(value, "yyyy-MM-dd")
     return F.when(value.rlike("^\\d{4}-"), iso).when(
+        value.rlike("^\\d{4}/"), F.try_to_date(value, "yyyy/M/d")).when(
         F.contains(value, F.lit("/")), F.try_to_date(value, "d/M/yyyy")).otherwise(F.try_to_date(value, "d.M.yyyy"))
 
 
@@ -71,8 +79,9 @@ def kind_of(value: Column) -> Column:
     return (F.when(F.contains(value, F.lit("@")), "email")
             .when(F.startswith(value, F.lit("+")), F.when((n >= 8) & (n <= 15), "phone"))
             .when(value.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
-            .when(value.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})$"),
+            .when(value.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})$"),
                   F.when(_parsed(value).isNotNull(), "date"))
+            .when(value.rlike(r"^(1[ .-])?(\(|\d{3}[ .-])"), F.when((n >= 8) & (n <= 15), "phone"))
             .when(luhn_sum(digits_of(value)) == 0, "card"))
 
 
@@ -150,7 +159,7 @@ def _email(value: Column, key: str, forward: bool) -> Column:
 
 
 def _phone(value: Column, key: str, forward: bool) -> Column:
-    code = F.regexp_extract(value, r"^\+(?:\d{1,3}(?=[ .(-])|\d)", 0)
+    code = F.regexp_extract(value, r"^(?:\+(?:\d{1,3}(?=[ .(-])|\d)|1[ .-])", 0)
     return F.concat(code, _characters(F.substr(value, F.length(code) + 1), "phone", key, forward, "0-9"))
 
 
@@ -193,6 +202,8 @@ def _written(value: Column, new: Column) -> Column:
         return F.concat(padded(F.dayofmonth(new), regex, 0), F.lit(sign), padded(F.month(new), regex, 1), F.lit(sign), year)
 
     return (F.when(value.rlike("^\\d{4}-"), F.date_format(new, "yyyy-MM-dd"))
+            .when(value.rlike("^\\d{4}/"), F.concat(year, F.lit("/"), padded(F.month(new), "/", 1), F.lit("/"),
+                                                    padded(F.dayofmonth(new), "/", 2)))
             .when(F.contains(value, F.lit("/")), day_first("/", "/")).otherwise(day_first(".", r"\.")))
 
 

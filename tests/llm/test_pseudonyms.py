@@ -96,3 +96,23 @@ def test_edge_rows(spark):
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, TEXT)], "doc_id long, text string")
     assert "Python" not in ps.pseudonymise(df, KEY)._jdf.queryExecution().executedPlan().toString()
+
+
+PHONES = ["+33 1 23 45 67 89", "+91 98765 43210", "+44 7911 123456", "+49 30 1234567", "+1 5551234567", "(555) 123-4567",
+          "555-123-4567", "555.123.4567", "1-555-123-4567", "+44 (0)20 7946 0958", "+33 (1) 23 45 67 89", "+1.555.123.4567",
+          "+(33) 1 23 45 67 89", "(020) 7946 0958", "+33 1.23.45.67.89", "+15551234567", "+1(555)123-4567"]
+
+
+def test_phone_forms_and_year_first_dates(spark):
+    rows = run(spark, [(i, f"call {p}, or not") for i, p in enumerate(PHONES)])
+    for r, p in zip(rows, PHONES):
+        assert (r.n_phone, r.n_values) == (1, 1) and r.pseudonyms[0] != p, p
+        assert r.text == f"call {r.pseudonyms[0]}, or not"
+        assert re.sub(r"\d", "9", r.pseudonyms[0]) == re.sub(r"\d", "9", p)
+    assert [r.text for r in run(spark, [(r.doc_id, r.text) for r in rows], forward=False)] == [
+        f"call {p}, or not" for p in PHONES]
+    text = "2024/01/05 and 2024/13/05; +33 1 23 45 67 89 2024-01-05; +33 1 23 45 67 89 4111 1111 1111 1111; 2020-555-123-4567"
+    row = run(spark, [(1, text)])[0]
+    assert (row.n_date, row.n_phone, row.n_card, row.n_values) == (2, 2, 1, 5)
+    assert " and 2024/13/05; " in row.text and row.text.endswith("; 2020-555-123-4567")
+    assert re.fullmatch(r"\d{4}/\d\d/\d\d", row.pseudonyms[0]) and run(spark, [(1, row.text)], forward=False)[0].text == text
