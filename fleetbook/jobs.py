@@ -82,8 +82,9 @@ def _row_rules(df: DataFrame, table: str) -> DataFrame:
                            F.length(F.col(c)).alias("length"))).alias("detail")))
         for c, (n, _) in LENGTHS.get(table, {}).items()]
     broken = F.filter(F.array(*nulls, *long), lambda v: v.isNotNull())
-    counted = (df.select(F.explode(broken).alias("v")).select("v.*")
-               .groupBy("rule", "column_name", "detail").agg(F.count(F.lit(1)).alias("n_nulls")))
+    each = F.when(F.col("rule") == "length", F.monotonically_increasing_id())  # equal details are rows of their own
+    counted = (df.select(F.explode(broken).alias("v")).select("v.*").withColumn("each", each)
+               .groupBy("rule", "column_name", "detail", "each").agg(F.count(F.lit(1)).alias("n_nulls")))
     return counted.select("rule", F.coalesce("detail", F.to_json(F.struct("column_name", "n_nulls"))).alias("detail"))
 
 

@@ -150,3 +150,11 @@ def test_cli_reports_and_jobs(spark, seed):
     assert spark.read.parquet(table_path(dst, "reservation")).count() == 2
     main(["raise-rates", "--src", src, "--dst", dst, "--percent", "10"], spark)
     assert spark.read.parquet(table_path(dst, "car_insurance")).count() == 10
+
+
+def test_equal_length_violations_are_a_row_each(spark, seed):
+    t = dict(seed)
+    users = t["car_user"].withColumn("email", F.when(F.col("license_no") == "G30921561", F.lit("x" * 26)).otherwise(F.col("email")))
+    t["car_user"] = users.unionByName(users)
+    found = [r.detail for r in jobs.integrity_report(t).collect() if r.rule == "length"]
+    assert len(found) == 2 and len(set(found)) == 1
