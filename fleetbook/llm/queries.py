@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetbook.llm import counts, lines, mixing, neardup, pseudonyms, quality, secrets, tiling, topk, wavelet
+from fleetbook.llm import counts, divergence, lines, mixing, neardup, polytope, pseudonyms, quality, secrets, tiling, topk, trie, wavelet
 from fleetbook.llm.common import read
 from fleetbook.session import scratch_path
 
@@ -75,6 +75,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=75)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"), group=100, heads=6)
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_shards": op2_token_shards,
@@ -86,10 +98,17 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_top_k_search": op9_top_k_search,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ASCII_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# CRC-32 of an ASCII text, bit by bit
+CRC32_SQL = ("xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split({}, '')]), "
+             "lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+             "lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295)")
 
 ORACLE: dict[str, str] = {
     "op5_source_mixing": mixing.mix_sql(MIX_POWERS, MIX_FRACTION, MIX_SEED),
@@ -123,5 +142,76 @@ WITH v AS (
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op11_conversation_trie": f"""
+WITH turns AS (
+    SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+    SELECT c, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS own FROM turns GROUP BY c
+), shared AS (
+    SELECT c, own, {CRC32_SQL.format("CAST(c AS VARCHAR)")} % 6 AS h FROM conv
+), made AS (
+    SELECT s.c, list_concat(coalesce(b.own[1:s.h], []), s.own[s.h + 1:]) AS path
+    FROM shared s LEFT JOIN conv b ON b.c = s.c - s.c % 100
+), prefix AS (
+    SELECT c, unnest(range(0, len(path) + 1)) AS depth, path FROM made
+), node AS (
+    SELECT path[1:depth] AS path, depth, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(prefix.path) = depth), '')) AS ends_sha256
+    FROM prefix GROUP BY path[1:depth], depth
+), child AS (
+    SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY path[1:depth - 1]
+), weighed AS (
+    SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+           CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * length(n.path[n.depth].text) ELSE 0 END AS saved
+    FROM node n LEFT JOIN child k ON k.path = n.path
+), below AS (
+    SELECT path[1:d] AS path, sum(saved) AS saved, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+    FROM (SELECT path, saved, n_children, unnest(range(0, depth + 1)) AS d FROM weighed) GROUP BY path[1:d]
+)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM weighed w JOIN below b ON b.path = w.path
+LEFT JOIN node p ON w.depth > 0 AND p.path = w.path[1:w.depth - 1]
+""",
+    "op13_source_divergence": f"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all({ASCII_LOWER_SQL.format("coalesce(text, '')")},
+                              '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), word AS (
+    SELECT r, lang, source, unnest(terms) AS term FROM doc
+), kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM word GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), whole AS (
+    SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), held AS (
+    SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), grp AS (
+    SELECT lang, source, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM doc) LEFT JOIN held USING (lang, source) GROUP BY lang, source
+), p AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n,
+           CAST(1 + (1000000000 * (coalesce(n, 0) + 1)) // (total + v) AS BIGINT) AS p,
+           CAST(1 + (1000000000 * (lang_n + 1)) // (lang_total + v) AS BIGINT) AS q
+    FROM grp JOIN whole USING (lang) JOIN kept USING (lang) LEFT JOIN held USING (lang, source, term)
+), summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), item AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM item
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """,
 }
