@@ -9,13 +9,16 @@ input is untouched. Scratch tables of a job are removed after its last write.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.operators import integrity, settlement
+from fleetbook.plans.joins import broadcast_counted
+from fleetbook.plans.materialize import write_counted
 from fleetbook.session import scratch_scope
+from fleetbook.sources import partitioned
 from fleetbook.sources.schemas import (FOREIGN_KEYS, LENGTHS, PRIMARY_KEYS, SCHEMAS,
                                        UNIQUE_COLUMNS, ForeignKey, not_null_columns)
 from fleetbook.sources.tables import read_table, table_path
@@ -35,10 +38,52 @@ def settle_job(spark: SparkSession, src: str, dst: str, cut_lineage: bool = True
     t = load(spark, src, ["reservation", "payment", "offer_details", "car"])
     with scratch_scope(spark):
         out = settlement.settle(t["reservation"], t["payment"], t["offer_details"], t["car"],
-                                cut_lineage=cut_lineage)
+                                cut_lineage=cut_lineage, few_open=None if cut_lineage else False)
         write_all(out, dst)
 
 
+def settle_partitions(spark: SparkSession, path: str, part: str, payments: DataFrame,
+                      of: Callable[[DataFrame], DataFrame] = lambda table: table) -> list:
+    """Settle a reservation table kept in partitions, in place: only the
+    partitions that hold a due reservation are written. ``of`` narrows the
+    open reservations looked at (some months). Returns the partitions
+    written; a job that failed can be run again (see ``partitioned``)."""
+    with scratch_scope(spark):
+        found: dict[str, DataFrame] = {}
+
+        def changed(table: DataFrame) -> DataFrame:
+            due = settlement.due_reservations(of(table), payments, few_open=None).select("reservation_id", part)
+            found["due"] = write_counted(due, "due")[0]
+            return found["due"]
+
+        def update(table: DataFrame) -> DataFrame:
+            return settlement.settle_reservations(table, due=broadcast_counted(found["due"].select("reservation_id")))
+
+        return partitioned.update_partitions(spark, path, part, changed, update)
+
+
+def cascade_delete_partitions(spark: SparkSession, parent: str, child: str, part: str, doomed: Callable[[DataFrame], DataFrame],
+                              key: str = "reservation_id") -> tuple[list, list]:
+    """Delete rows of a partitioned parent table and the rows of a partitioned
+    child table that refer to them, in place: only partitions that lose a row
+    are written, or removed when they lose all. The child goes first, so a
+    job that failed in between finds the parent's rows again. Returns the
+    partitions touched in parent and child."""
+    partitioned.recover(spark, parent, part)
+    with scratch_scope(spark):
+        gone = write_counted(doomed(spark.read.parquet(parent)).select(F.col(key).alias("__gone"), part), "gone")[0]
+        keys = broadcast_counted(gone.select("__gone").where(F.col("__gone").isNotNull()).distinct())
+
+        def hit(table: DataFrame) -> DataFrame:
+            return table.join(keys, F.col(key) == F.col("__gone"), "left_semi")
+
+        def kept(table: DataFrame) -> DataFrame:
+            return table.join(keys, F.col(key) == F.col("__gone"), "left_anti")
+
+        in_child = partitioned.delete_from_partitions(spark, child, part, hit, kept)
+        return partitioned.delete_from_partitions(spark, parent, part, hit, kept), in_child
+
+
 def raise_rates_job(spark: SparkSession, src: str, dst: str, percentage) -> None:
     rates = read_table(spark, src, "car_insurance")
     write_all({"car_insurance": settlement.raise_rates(rates, percentage)}, dst)

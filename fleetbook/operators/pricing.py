@@ -157,13 +157,12 @@ def offer_available_flag(res: DataFrame, offers: DataFrame, order_by: Sequence[s
 
 def total_after_offer(base: Column, percentage: Column, discounted: Column,
                       available: Column) -> Column:
-    """Total for one reservation: percentage off if the offer has one,
-    else the fixed amount off, both only while the offer is available;
-    otherwise the full amount. An available offer with neither discount
-    gives NULL, as subtracting a NULL amount does."""
-    return (F.when(percentage.isNotNull(),
-                   F.when(available, percent_discount(base, percentage)).otherwise(base))
-            .otherwise(F.when(available, base - discounted).otherwise(base)))
+    """``base`` less the offer's discount: its share of ``base``, or its fixed
+    amount where it has no percentage. An offer that is unknown or not
+    available takes nothing off; one that is available but has neither gives
+    NULL."""
+    reduced = F.coalesce(percent_discount(base, percentage), base - discounted)
+    return F.when(available, reduced).otherwise(base)
 
 
 def price_total(res: DataFrame, offers: DataFrame, order_by: Sequence[str], *,

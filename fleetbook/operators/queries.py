@@ -3,7 +3,7 @@ aggregates and top-k.
 
 Every function takes DataFrames plus the column names it works on (the
 defaults are the rental table columns), and returns a DataFrame. They are
-lazy but for those that write a small side first (``rented_types_over_price``,
+lazy but for those that may write a small side first (``rented_types_over_price``,
 ``not_in``, ``users_not_in``, ``users_without_exact_payment`` and
 ``overdue_with_user``), which run a job when called.
 """
@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetbook.plans.joins import null_aware_anti_join, small_side
+from fleetbook.plans.joins import bounded_broadcast, distinct_side, null_aware_anti_join, small_side
 
 
 def project_columns(df: DataFrame, columns: Sequence[str] | Mapping[str, str],
@@ -76,16 +76,19 @@ def rented_types_over_price(types: DataFrame, cars: DataFrame, reservations: Dat
                             threshold, *, type_key: str = "car_type",
                             price: str = "price_per_day", car_type: str = "car_type",
                             car_vin: str = "vin", res_vin: str = "vin",
-                            output: Sequence[str] = ("car_type", "price_per_day")) -> DataFrame:
+                            output: Sequence[str] = ("car_type", "price_per_day"),
+                            one_per_car: bool = False) -> DataFrame:
     """Distinct car types dearer than ``threshold`` that have been rented.
 
     The reservation and car tables contribute existence only, so they enter
     as semi joins instead of multiplying rows before a DISTINCT. The rented
     cars are a distinct key set (partially aggregated, so a car that is
-    rented all the time is one row per task) written once; the join then has
-    a plain shuffle on both sides, and AQE can split a hot key of the cars.
+    rented all the time is one row per task; see ``distinct_side``). Where a
+    car has one reservation at most (``one_per_car``) they are distinct as
+    they are read.
     """
-    rented = small_side(reservations.select(F.col(res_vin).alias("__vin")).distinct())
+    rented = reservations.select(F.col(res_vin).alias("__vin"))
+    rented = rented if one_per_car else distinct_side(rented)
     rented_cars = (cars.select(F.col(car_vin).alias("__vin"), F.col(car_type).alias("__type"))
                    .join(rented, "__vin", "left_semi"))
     rented_types = rented_cars.select("__type").distinct()
@@ -217,6 +220,13 @@ def overdue_with_user(res: DataFrame, users: DataFrame, *, user_key: str = "lice
     return late.join(u, F.col(res_user) == F.col("__uk"), "inner").drop("__uk")
 
 
+def look_up_in_months(table: DataFrame, heads: DataFrame, month: str, key: str) -> DataFrame:
+    """Rows of a table kept by ``month`` whose (month, key) is among ``heads``.
+    The months of the heads prune the table's folders at run time, where
+    the heads come from a filter and are small enough to be sent to all."""
+    return table.join(bounded_broadcast(heads.select(month, key)), [month, key], "left_semi")
+
+
 def promo_usage(offers: DataFrame, res: DataFrame, *, code: str = "promo_code",
                 one_time: str = "is_one_time", res_code: str = "promo_code") -> DataFrame:
     """For each offer that is not one-time (``is_one_time <> 'Y'``, NULL flags

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from fleetbook.functions.scalars import percent_increase
 from fleetbook.plans.aggregates import pick_per_group
 from fleetbook.plans.joins import small_side
+from fleetbook.plans.runtime_filters import few, known_size
 
 
 def paid_per_reservation(pay: DataFrame, *, key: str = "reservation_id",
@@ -41,17 +42,32 @@ def flag_due(res: DataFrame, pay: DataFrame, *, key: str = "reservation_id",
             .withColumn(flag, F.coalesce(due, F.lit(False))).drop("__paid"))
 
 
+def open_reservations(res: DataFrame, *, status: str = "status", reserved: str = "Reserved",
+                      few_open: bool | None = False) -> DataFrame:
+    """Reservations still reserved. Where they are few they are written once
+    and filtered again, so that the planner knows their size and puts a Bloom
+    filter of their keys on the other side of a join (see
+    ``plans.runtime_filters``). ``few_open=None`` counts them first."""
+    is_open = F.col(status) == reserved
+    if few_open is None:
+        few_open = few(res, is_open)
+    return known_size(res.where(is_open)).where(is_open) if few_open else res.where(is_open)
+
+
 def due_reservations(res: DataFrame, pay: DataFrame, *, key: str = "reservation_id",
                      status: str = "status", reserved: str = "Reserved",
-                     total: str = "tot_amount", paid: str = "amount_paid") -> DataFrame:
+                     total: str = "tot_amount", paid: str = "amount_paid",
+                     few_open: bool | None = False) -> DataFrame:
     """Reservations still reserved whose payments together cover the total,
     with all their columns; without payments there is no sum to cover it.
 
     The status filter reaches the reservation scan before the inner join
-    with the payment sums, which are partitioned on the key already.
+    with the payment sums, which are partitioned on the key already. With
+    ``few_open`` the open keys prune the payments before the sum and its
+    shuffle.
     """
     sums = paid_per_reservation(pay, key=key, paid=paid)
-    return (res.where(F.col(status) == reserved)
+    return (open_reservations(res, status=status, reserved=reserved, few_open=few_open)
             .join(sums, key, "inner")
             .where(F.col(total) <= F.col("__paid"))
             .select(*res.columns))
@@ -60,15 +76,23 @@ def due_reservations(res: DataFrame, pay: DataFrame, *, key: str = "reservation_
 def settle_reservations(res: DataFrame, pay: DataFrame | None = None, *,
                         due: DataFrame | None = None, key: str = "reservation_id",
                         status: str = "status", reserved: str = "Reserved",
-                        completed: str = "Completed") -> DataFrame:
+                        completed: str = "Completed", total: str = "tot_amount",
+                        paid: str = "amount_paid", few_open: bool | None = False) -> DataFrame:
     """Reservation table with the due rows marked completed.
 
     Given the payments, this is one left join of the reservations to the
-    payment sums. Given a precomputed ``due`` set instead, its keys are
-    joined back.
+    payment sums. With ``few_open`` the due keys are found first, from the
+    payments of open reservations alone, and written; so the payments are
+    not all summed and the reservations not shuffled. Given a precomputed
+    ``due`` set instead, its keys are joined back.
     """
+    if due is None and few_open is None:
+        few_open = few(res, F.col(status) == reserved)
+    if due is None and few_open:
+        due = small_side(due_reservations(res, pay, key=key, status=status, reserved=reserved, total=total,
+                                          paid=paid, few_open=True).select(key))
     if due is None:
-        flagged = flag_due(res, pay, key=key, status=status, reserved=reserved)
+        flagged = flag_due(res, pay, key=key, status=status, reserved=reserved, total=total, paid=paid)
     else:
         due_keys = due.select(F.col(key).alias("__dk"), F.lit(True).alias("__due"))
         flagged = res.join(due_keys, F.col(key) == F.col("__dk"), "left").drop("__dk")
@@ -118,13 +142,14 @@ def settle_cars(cars: DataFrame, due_rentals: DataFrame, *, vin: str = "vin",
 
 
 def settle(res: DataFrame, pay: DataFrame, offers: DataFrame, cars: DataFrame, *,
-           cut_lineage: bool = False) -> dict[str, DataFrame]:
+           cut_lineage: bool = False, few_open: bool | None = False) -> dict[str, DataFrame]:
     """All three settlement outputs from one pass over reservations and
     payments. With ``cut_lineage`` the due rows are written first, only the
     columns that the outputs need (key, car, code, drop location), so the
     outputs read those instead of summing the payments again; the
     reservation table is then one join, written once."""
-    due = due_reservations(res, pay).select("reservation_id", "vin", "promo_code", "drop_location_id")
+    due = due_reservations(res, pay, few_open=few_open).select(
+        "reservation_id", "vin", "promo_code", "drop_location_id")
     due = small_side(due, cut_lineage)
     return {
         "reservation": settle_reservations(res, due=due),

@@ -177,3 +177,14 @@ def small_side(df: DataFrame, enabled: bool = True) -> DataFrame:
     written, rows = write_counted(df)
     small = _auto_threshold(df.sparkSession) >= 0 and _within(written, rows)
     return F.broadcast(written) if small else written
+
+
+def distinct_side(df: DataFrame) -> DataFrame:
+    """The distinct rows of a join's existence side. Where the planner can
+    broadcast ``df`` by its size they are left to it. Otherwise they are
+    written first, so that the join reads plain shuffles and AQE can split a
+    hot key of the other side, which it cannot when this side is an
+    aggregate."""
+    threshold = _auto_threshold(df.sparkSession)
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.distinct() if 0 <= estimate <= threshold else small_side(df.distinct())

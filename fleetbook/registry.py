@@ -7,20 +7,26 @@ plain SQL over the pre-registered views.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetbook import jobs
 from fleetbook import starmap as sm
 from fleetbook.functions.scalars import (char_pad, concat_null_as_empty, format_date, money,
                                          parse_date, round_to_int)
 from fleetbook.operators import integrity, pricing, queries, reports, settlement
-from fleetbook.plans.joins import bounded_broadcast, small_side
+from fleetbook.plans import statistics
+from fleetbook.plans.joins import bounded_broadcast, distinct_side, small_side
 from fleetbook.session import scratch_path
+from fleetbook.sources import catalog, partitioned
+from fleetbook.sources.bucketed import read_bucketed, write_bucketed
 from fleetbook.sources.schemas import ForeignKey
-from fleetbook.sources.tables import append_rows, read_table, scan_all, stream_table
+from fleetbook.sources.tables import append_rows, read_table, rows_frame, scan_all, stream_table, table_path
+from fleetbook.streaming import arrivals, first_uses, state
 from fleetbook.streaming import payments as stream_payments
 from fleetbook.streaming import promos as stream_promos
 
@@ -150,7 +156,7 @@ def rented_types_over_price_q(spark, d):
     return queries.rented_types_over_price(
         _t(spark, d, "part"), _t(spark, d, "lineitem"), _t(spark, d, "orders"), 910,
         type_key="p_partkey", price="p_retailprice", car_type="l_partkey",
-        car_vin="l_orderkey", res_vin="o_orderkey", output=("p_type", "p_brand"))
+        car_vin="l_orderkey", res_vin="o_orderkey", output=("p_type", "p_brand"), one_per_car=True)
 
 
 @register("left_join_insurance",
@@ -180,34 +186,35 @@ def reserved_models_q(spark, d):
                              right_filter=F.col("l_quantity") > 49).select("p_name")
 
 
-# A completed order counts as paid at once, by one payment of its total
-_FIRST_BY_AMOUNT = ("SELECT tot_amount AS amount, min(reservation_id) AS first_id FROM reservations "
-                    "WHERE status = 'Completed' GROUP BY tot_amount")
+# Payments as they are stored: each capped at its order's total
+_STORED_SQL = ("SELECT reservation_id, least(amount_paid, tot_amount) AS amount_paid "
+               "FROM payments JOIN reservations USING (reservation_id)")
+_FIRST_BY_AMOUNT = (f"SELECT amount_paid AS amount, min(reservation_id) AS first_id FROM ({_STORED_SQL}) AS stored "
+                    "GROUP BY amount_paid")
 
 
-def _full_payments(spark, d):
-    res = _res(spark, d, coded=True).where(F.col("status") == sm.COMPLETED)
-    return res.select("reservation_id", F.col("tot_amount").alias("amount_paid"))
+def _stored_payments(spark, d):
+    return pricing.cap_payment(_pay(spark, d), _res(spark, d)).select("reservation_id", "amount_paid")
 
 
 @register("users_without_exact_payment", sm.with_views(
     "SELECT license_no, fname FROM users ANTI JOIN (SELECT license_no FROM reservations JOIN "
     f"({_FIRST_BY_AMOUNT}) AS f ON amount = tot_amount AND first_id = reservation_id) AS paid "
-    "USING (license_no)", "users", "reservations"))
+    "USING (license_no)", "users", "reservations", "payments"))
 def users_without_exact_payment_q(spark, d):
     """Users none of whose orders is paid by one payment of its total; of
     several payments of one amount that for the smallest order counts."""
     return queries.users_without_exact_payment(
-        sm.users(_t(spark, d, "customer")), _res(spark, d), _full_payments(spark, d),
+        sm.users(_t(spark, d, "customer")), _res(spark, d), _stored_payments(spark, d),
         output=("license_no", "fname"), on_many="min")
 
 
 @register("exactly_paid_reservations", sm.with_views(
     f"SELECT reservation_id, license_no FROM reservations JOIN ({_FIRST_BY_AMOUNT}) AS f "
-    "ON amount = tot_amount AND first_id = reservation_id", "reservations"))
+    "ON amount = tot_amount AND first_id = reservation_id", "reservations", "payments"))
 def exactly_paid_reservations_q(spark, d):
     return queries.exactly_paid_reservations(
-        _res(spark, d), _full_payments(spark, d), on_many="min").select(
+        _res(spark, d), _stored_payments(spark, d), on_many="min").select(
         "reservation_id", "license_no")
 
 
@@ -236,6 +243,40 @@ def settle_due_q(spark, d):
     return _due(spark, d).withColumn("status", sm.status_name("status"))
 
 
+MONTH = ("1996-01-01", "1996-02-01")
+_MONTH_SQL = f"(r.start_date >= DATE '{MONTH[0]}' AND r.start_date < DATE '{MONTH[1]}')"
+
+
+def _month_orders(spark, d):
+    """The orders of one month: few of all, by a range that reaches the reader."""
+    day = F.col("o_orderdate")
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in MONTH)
+    return _t(spark, d, "orders").where((day >= lo) & (day < hi))
+
+
+@register("settle_due_month", sm.with_views(f"{_DUE_SQL} AND {_MONTH_SQL}", "reservations", "payments"))
+def settle_due_month_q(spark, d):
+    """Due among the open orders of one month: those are few, so their keys
+    prune the payments before the sum."""
+    due = settlement.due_reservations(sm.reservations(_month_orders(spark, d), coded=True), _pay(spark, d),
+                                      reserved=sm.RESERVED, few_open=True)
+    return due.withColumn("status", sm.status_name("status"))
+
+
+@register("settle_reservations_month", sm.with_views(
+    "SELECT r.reservation_id, CASE WHEN d.reservation_id IS NOT NULL THEN 'Completed' ELSE r.status END AS status "
+    f"FROM reservations r LEFT JOIN ({_DUE_SQL} AND {_MONTH_SQL}) AS d ON d.reservation_id = r.reservation_id",
+    "reservations", "payments"))
+def settle_reservations_month_q(spark, d):
+    """The whole reservation table after one month's open orders are settled."""
+    due = small_side(settlement.due_reservations(
+        sm.reservations(_month_orders(spark, d), coded=True), _pay(spark, d), reserved=sm.RESERVED,
+        few_open=True).select("reservation_id"))
+    done = settlement.settle_reservations(_res(spark, d, coded=True), due=due, reserved=sm.RESERVED,
+                                          completed=sm.COMPLETED)
+    return done.select("reservation_id", sm.status_name("status").alias("status"))
+
+
 @register("overdue_lookup", sm.with_views(
     "SELECT r.reservation_id, r.license_no, u.fname FROM reservations r "
     f"JOIN users u ON u.license_no = r.license_no WHERE {OVERDUE_SQL}", "reservations", "users"))
@@ -266,6 +307,16 @@ def max_reservation_q(spark, d):
     return queries.max_reservation(_res(spark, d))
 
 
+def _orders_file(spark, d):
+    return spark, table_path(d, "orders"), _t(spark, d, "orders").schema, "o_totalprice"
+
+
+@register("max_reservation_from_statistics", ORACLE["max_reservation"])
+def max_reservation_from_statistics_q(spark, d):
+    """The maximum from the footers, the smallest of its reservations."""
+    return queries.max_reservation(sm.reservations(statistics.rows_at_maximum(*_orders_file(spark, d))))
+
+
 @register("top1_reservation", sm.with_views(
     "SELECT reservation_id, tot_amount FROM (SELECT reservation_id, tot_amount, "
     "rank() OVER (ORDER BY tot_amount DESC) AS rk FROM reservations) AS t WHERE rk = 1",
@@ -274,6 +325,12 @@ def top1_reservation_q(spark, d):
     return queries.top_reservations(_res(spark, d))
 
 
+@register("top1_reservation_from_statistics", ORACLE["top1_reservation"])
+def top1_reservation_from_statistics_q(spark, d):
+    return sm.reservations(statistics.rows_at_maximum(*_orders_file(spark, d))).select(
+        "reservation_id", "tot_amount")
+
+
 # ----------------------------------------------------------------- reports
 
 @register("overdue_report", sm.with_views(
@@ -389,12 +446,14 @@ _AVAIL_SQL = ("(o.status = 'Available' AND CASE WHEN o.is_one_time = 'Y' "
               "THEN f.reservation_id IS NOT NULL ELSE TRUE END)")
 
 
+def _less_offer_sql(base: str) -> str:
+    """``base`` less what an available offer takes off: its share, or without one its amount."""
+    off = f"coalesce(({base}) * o.percentage * 0.01, o.discounted_amount)"
+    return f"CAST(({base}) - if({_AVAIL_SQL}, {off}, 0) AS DECIMAL(12,2))"
+
+
 @register("price_total", sm.with_views(
-    "SELECT r.reservation_id, r.promo_code, CAST(CASE WHEN o.percentage IS NOT NULL THEN "
-    f"(CASE WHEN {_AVAIL_SQL} THEN r.tot_amount - r.tot_amount * o.percentage * 0.01 "
-    "ELSE r.tot_amount END) "
-    f"ELSE (CASE WHEN {_AVAIL_SQL} THEN r.tot_amount - o.discounted_amount ELSE r.tot_amount END) "
-    "END AS DECIMAL(12,2)) AS tot_amount FROM reservations r "
+    f"SELECT r.reservation_id, r.promo_code, {_less_offer_sql('r.tot_amount')} AS tot_amount FROM reservations r "
     "LEFT JOIN offers o ON o.promo_code = r.promo_code "
     f"LEFT JOIN ({_FIRSTS_SQL}) AS f ON f.reservation_id = r.reservation_id",
     "reservations", "offers"))
@@ -430,11 +489,7 @@ _LINE_BASE_SQL = (
 
 
 @register("price_reservations", sm.with_views(
-    "SELECT r.reservation_id, r.line_no, CAST(CASE WHEN o.percentage IS NOT NULL THEN "
-    f"(CASE WHEN {_AVAIL_SQL} THEN ({_LINE_BASE_SQL}) - ({_LINE_BASE_SQL}) * o.percentage * 0.01 "
-    f"ELSE ({_LINE_BASE_SQL}) END) "
-    f"ELSE (CASE WHEN {_AVAIL_SQL} THEN ({_LINE_BASE_SQL}) - o.discounted_amount "
-    f"ELSE ({_LINE_BASE_SQL}) END) END AS DECIMAL(12,2)) AS tot_amount "
+    f"SELECT r.reservation_id, r.line_no, {_less_offer_sql(_LINE_BASE_SQL)} AS tot_amount "
     "FROM rentals r LEFT JOIN prices p ON p.vin = r.vin "
     "LEFT JOIN rates i ON i.car_type = p.car_type AND i.insurance_type = r.insurance_type "
     "LEFT JOIN offers o ON o.promo_code = r.promo_code "
@@ -472,6 +527,129 @@ def cap_payment_q(spark, d):
         "reservation_id", "line_no", "amount_paid")
 
 
+# --------------------------------------------------- partitions by month
+
+def _by_month(spark, df, date):
+    path = scratch_path(spark, "by_month")
+    partitioned.write_by_month(df, path, date, f"{date}_month")
+    return path
+
+
+@register("filter_overdue_by_month", ORACLE["filter_overdue"])
+def filter_overdue_by_month_q(spark, d):
+    """Overdue among the months up to the date: other months are not read."""
+    res, reserved = _open(spark, d)
+    table = spark.read.parquet(_by_month(spark, res, "end_date"))
+    return queries.overdue_reservations(
+        partitioned.between_months(table, "end_date_month", hi=AS_OF), AS_OF, reserved=reserved).select(
+        "reservation_id", "license_no", "end_date")
+
+
+@register("payments_of_due_months", sm.with_views(
+    "SELECT p.reservation_id, p.line_no, p.amount_paid FROM payments p JOIN reservations r "
+    f"ON r.reservation_id = p.reservation_id WHERE r.status = 'Reserved' AND {_MONTH_SQL}",
+    "reservations", "payments"))
+def payments_of_due_months_q(spark, d):
+    """Payments kept by the month of their reservation, looked up for the open
+    reservations of one month: the months come from the other side of the
+    join at run time, and other folders are not read."""
+    months = _res(spark, d).select("reservation_id", "start_date")
+    pay = spark.read.parquet(_by_month(spark, _pay(spark, d).join(months, "reservation_id"), "start_date"))
+    path = scratch_path(spark, "open")
+    sm.reservations(_month_orders(spark, d)).select("reservation_id", "status", "start_date").write.parquet(path)
+    heads = spark.read.parquet(path).where(F.col("status") == "Reserved").select(
+        "reservation_id", partitioned.month_of("start_date").alias("start_date_month"))
+    return queries.look_up_in_months(pay, heads, "start_date_month", "reservation_id").select(
+        "reservation_id", "line_no", "amount_paid")
+
+
+@register("settle_month_partitions", ORACLE["settle_reservations_month"])
+def settle_month_partitions_q(spark, d):
+    """The reservation table kept by month and settled in place for one month:
+    the other months' files stay."""
+    path = _by_month(spark, _res(spark, d), "start_date")
+    lo = dt.date.fromisoformat(MONTH[0])
+    jobs.settle_partitions(spark, path, "start_date_month", _pay(spark, d),
+                           lambda t: partitioned.between_months(t, "start_date_month", lo, lo))
+    return spark.read.parquet(path).select("reservation_id", "status")
+
+
+@register("append_load_twice", ORACLE["append_rows"])
+def append_load_twice_q(spark, d):
+    """Rows loaded, and the load repeated as after a failure: they are there once."""
+    region = _t(spark, d, "region")
+    path = scratch_path(spark, "loads")
+    rows = rows_frame(spark, [(5, "A"), (6, "B")], region.schema)
+    for df, load in ((region, "first"), (rows, "second"), (rows, "second"), (region, "first")):
+        partitioned.append_load(df, path, load)
+    return partitioned.read_loads(spark, path, region.schema)
+
+
+# -------------------------------------------------------- SQL functions
+
+@register("raise_rates_by_name", "SELECT car_type, insurance_type, CAST(price_per_day + price_per_day * 7.5 * 0.01 "
+          f"AS DECIMAL(8,2)) AS insurance_price FROM ({sm.RENTED_PRICES_SQL}) AS t")
+def raise_rates_by_name_q(spark, d):
+    """The rate of every car and cover raised by calling the procedure in SQL."""
+    sm.rented_prices(_t(spark, d, "part")).createOrReplaceTempView("fleetbook_car_rates")
+    catalog.register_functions(spark, {"car_insurance": "fleetbook_car_rates"})
+    return spark.sql("SELECT * FROM raise_rates(7.5)")
+
+
+@register("price_lines_by_name", sm.with_views(
+    "SELECT r.reservation_id, r.line_no, "
+    f"{_less_offer_sql(_LINE_BASE_SQL)} AS tot_amount "
+    "FROM rentals r LEFT JOIN prices p ON p.vin = r.vin "
+    "LEFT JOIN rates i ON i.car_type = p.car_type AND i.insurance_type = r.insurance_type "
+    "LEFT JOIN offers o ON o.promo_code = r.promo_code "
+    f"LEFT JOIN ({_FIRSTS_SQL}) AS f ON f.reservation_id = r.reservation_id",
+    "rentals", "prices", "rates", "offers", "reservations"))
+def price_lines_by_name_q(spark, d):
+    """Every rental line priced with the SQL functions."""
+    catalog.register_functions(spark)
+    terms = pricing.offer_available_flag(_rentals(spark, d), sm.offers(spark), ARRIVAL, arrivals=_res(spark, d))
+    for name, df in (("lines", terms), ("prices", sm.prices(_t(spark, d, "part"))), ("rates", sm.rates(spark))):
+        df.createOrReplaceTempView(f"fleetbook_{name}")
+    return spark.sql("""
+        SELECT l.reservation_id, l.line_no, total_after_offer(
+                   late_fee(l.end_date, l.actual_end_date, l.penalty_amount)
+                   + rental_price(p.price_per_day, l.start_date, l.actual_end_date)
+                   + rental_price(r.insurance_price, l.start_date, l.actual_end_date),
+                   l.percentage, l.discounted_amount, l.promo_available) AS tot_amount
+        FROM fleetbook_lines l LEFT JOIN fleetbook_prices p ON p.vin = l.vin
+             LEFT JOIN fleetbook_rates r ON r.car_type = p.car_type AND r.insurance_type = l.insurance_type""")
+
+
+# ------------------------------------------------------- co-located joins
+
+def _bucketed(spark, name: str, df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in the catalogue, bucketed by reservation."""
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table = f"fleetbook_{name}_{uuid.uuid4().hex[:12]}"
+    return read_bucketed(spark, table, write_bucketed(df, table, "reservation_id", buckets))
+
+
+@register("join_payments_bucketed", ORACLE["join_payments"])
+def join_payments_bucketed_q(spark, d):
+    return queries.join_payments(_bucketed(spark, "totals", _res(spark, d).select("reservation_id", "tot_amount")),
+                                 _bucketed(spark, "payments", _pay(spark, d).select("reservation_id", "amount_paid")))
+
+
+@register("cap_payment_bucketed", ORACLE["cap_payment"])
+def cap_payment_bucketed_q(spark, d):
+    totals = _bucketed(spark, "totals", _res(spark, d).select("reservation_id", "tot_amount"))
+    return pricing.cap_payment(_bucketed(spark, "payments", _pay(spark, d)), totals).select(
+        "reservation_id", "line_no", "amount_paid")
+
+
+@register("settle_due_bucketed", ORACLE["settle_due"])
+def settle_due_bucketed_q(spark, d):
+    """The sum and the join read the buckets: no exchange of either table."""
+    res = _bucketed(spark, "reservations", _res(spark, d, coded=True))
+    pay = _bucketed(spark, "payments", _pay(spark, d).select("reservation_id", "amount_paid"))
+    return settlement.due_reservations(res, pay, reserved=sm.RESERVED).withColumn("status", sm.status_name("status"))
+
+
 # --------------------------------------------------------------- settlement
 
 @register("settle_reservations", sm.with_views(
@@ -568,9 +746,7 @@ def check_foreign_key_composite_q(spark, d):
     child = li.select("l_orderkey", "l_linenumber", "l_partkey",
                       F.when(F.col("l_returnflag") == "A", F.lit(None))
                        .otherwise(F.col("l_suppkey")).alias("l_suppkey_ref"))
-    # distinct pairs, written so that the join reads a scan and AQE can split a hot pair
-    parent = small_side(li.where(F.col("l_returnflag") == "A")
-                        .select("l_partkey", "l_suppkey").distinct())
+    parent = distinct_side(li.where(F.col("l_returnflag") == "A").select("l_partkey", "l_suppkey"))
     return integrity.check_foreign_key(child, parent, ["l_partkey", "l_suppkey_ref"],
                                        ["l_partkey", "l_suppkey"])
 
@@ -636,11 +812,8 @@ def stream_price_rentals_q(spark, d):
     base = scratch_path(spark, "stream_price_rentals")
     _rentals(spark, d).write.parquet(f"{base}/rentals.parquet")
     lines = stream_table(spark, base, "rentals")
-    prices = sm.prices(_t(spark, d, "part"))
-    priced = stream_payments.priced_rentals(lines, prices, prices.select("vin", "car_type"),
-                                            sm.rates(spark))
-    query = stream_payments.start_to_parquet(priced, f"{base}/out", f"{base}/checkpoint")
-    query.awaitTermination()
+    writer = stream_payments.PricedRentalWriter(sm.prices(_t(spark, d, "part")), sm.rates(spark), f"{base}/out")
+    stream_payments.run_foreach_batch(lines, writer, f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out").select(
         "reservation_id", "line_no", "penalty_amount", "rental_amount", "insurance_amount")
 
@@ -661,8 +834,58 @@ def stream_one_time_promo_q(spark, d):
                                             code="event_type")
 
     def run(_):
-        stream = spark.readStream.schema(events.schema).parquet(src)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1000).parquet(src)
         stream_promos.run_batches(stream, handler, ckpt)
 
     stream_promos.replay_in_time_slices(events, "ts", STREAM_SLICES, src, run)
     return (spark.read.parquet(out).select("event_id", "event_type", "promo_available"))
+
+
+WAIT_DAYS, RECORDED_AFTER = 400, 45
+
+
+@register("stream_cap_on_arrival",
+          "SELECT l_orderkey AS reservation_id, l_linenumber AS line_no, CASE WHEN o_totalprice < l_extendedprice "
+          "THEN CAST(o_totalprice AS DECIMAL(12,2)) ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS amount_paid "
+          "FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND "
+          f"abs(date_diff('day', o_orderdate, l_shipdate) - {RECORDED_AFTER}) <= {WAIT_DAYS}")
+def stream_cap_on_arrival_q(spark, d):
+    """Lines paid on their ship date, orders recorded 45 days after their
+    date, both arriving: a payment is capped when its order comes within 400
+    days on either side, whichever is first, and kept as it is otherwise."""
+    base = scratch_path(spark, "stream_cap_on_arrival")
+    pay = _t(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("reservation_id"), F.col("l_linenumber").alias("line_no"),
+        money("l_extendedprice").alias("amount_paid"), F.col("l_shipdate").cast("timestamp").alias("paid_at"))
+    made = F.col("o_orderdate").cast("timestamp") + F.expr(f"INTERVAL {RECORDED_AFTER} DAYS")
+    res = _t(spark, d, "orders").select(F.col("o_orderkey").alias("reservation_id"),
+                                        money("o_totalprice").alias("tot_amount"), made.alias("made_at"))
+    for name, table, time, row in (("pay", pay, "paid_at", {}), ("res", res, "made_at", {"reservation_id": -1})):
+        state.write_time_slices(table, time, STREAM_SLICES, f"{base}/{name}.parquet", "20 YEARS", row)
+    out = arrivals.capped_on_arrival(
+        stream_table(spark, base, "pay"), stream_table(spark, base, "res"), pay_time="paid_at", res_time="made_at",
+        wait=f"{WAIT_DAYS} DAYS", delay="800 DAYS", salt_by="line_no")
+    state.finish(state.start_with_state(
+        out.writeStream.format("parquet").option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), spark))
+    handed_on = spark.read.schema(pay.schema).parquet(f"{base}/out")
+    rest = arrivals.missing_payments(pay, handed_on, res, ["reservation_id", "line_no"])
+    return handed_on.unionByName(rest).select("reservation_id", "line_no", "amount_paid")
+
+
+@register("stream_first_uses", ORACLE["stream_one_time_promo"])
+def stream_first_uses_q(spark, d):
+    """The one-time codes of ``stream_one_time_promo``, used up in keyed state."""
+    base = scratch_path(spark, "stream_first_uses")
+    events = _t(spark, d, "events")
+    kept = events.select("event_id", "event_type", "ts")
+
+    def run(_):
+        stream = spark.readStream.schema(kept.schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/source")
+        uses = first_uses.first_uses(stream, key="event_id", code="event_type", order_by=["ts"])
+        state.finish(state.start_with_state(
+            uses.writeStream.format("parquet").option("path", f"{base}/out")
+            .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), spark))
+
+    stream_promos.replay_in_time_slices(kept, "ts", STREAM_SLICES, f"{base}/source", run)
+    return spark.read.parquet(f"{base}/out").select("event_id", "event_type", "promo_available")

@@ -111,6 +111,12 @@ def prices(part: DataFrame) -> DataFrame:
     )
 
 
+def rented_prices(part: DataFrame) -> DataFrame:
+    """A rate per car (as its type) and brand (as its cover)."""
+    return part.select(F.col("p_name").alias("car_type"), F.col("p_brand").alias("insurance_type"),
+                       money("p_retailprice", 8).alias("insurance_price"))
+
+
 def cars(part: DataFrame) -> DataFrame:
     return part.select(
         F.col("p_partkey").alias("vin"),
@@ -136,9 +142,9 @@ OFFER_SCHEMA = T.StructType([
 
 # Insurance rates keyed by (part type, return flag).
 RATE_ROWS = [
-    ("ECONOMY", "A", Decimal("9.99")), ("ECONOMY", "N", Decimal("19.99")),
-    ("STANDARD", "A", Decimal("10.99")), ("STANDARD", "N", Decimal("19.99")),
-    ("PROMO", "R", Decimal("12.99")),
+    ("ECONOMY", "A", Decimal("7.25")), ("ECONOMY", "N", Decimal("14.50")),
+    ("STANDARD", "A", Decimal("8.75")), ("STANDARD", "N", Decimal("16.05")),
+    ("PROMO", "R", Decimal("11.40")),
 ]
 RATE_SCHEMA = T.StructType([
     T.StructField("car_type", T.StringType(), False),
@@ -148,8 +154,8 @@ RATE_SCHEMA = T.StructType([
 
 
 # Daily prices keyed by part type (the other types have none).
-TYPE_PRICE_ROWS = [("ECONOMY", Decimal("19.95")), ("STANDARD", Decimal("29.95")),
-                   ("PROMO", Decimal("85.95"))]
+TYPE_PRICE_ROWS = [("ECONOMY", Decimal("21.50")), ("STANDARD", Decimal("33.25")),
+                   ("PROMO", Decimal("78.10"))]
 TYPE_PRICE_SCHEMA = T.StructType([
     T.StructField("car_type", T.StringType(), False),
     T.StructField("price_per_day", T.DecimalType(8, 2), False),
@@ -222,6 +228,10 @@ PRICES_SQL = """SELECT p_partkey AS vin, p_type AS car_type,
        CAST(p_retailprice AS DECIMAL(12,2)) AS price_per_day
 FROM part"""
 
+RENTED_PRICES_SQL = """SELECT p_name AS car_type, p_brand AS insurance_type,
+       CAST(p_retailprice AS DECIMAL(8,2)) AS price_per_day
+FROM part"""
+
 CARS_SQL = """SELECT p_partkey AS vin, CAST(p_size AS BIGINT) AS rental_location_id,
        'Unavailable' AS status
 FROM part"""

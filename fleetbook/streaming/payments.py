@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetbook.operators.pricing import cap_payment, insurance_amount, penalty_amount, rent_amount
+from fleetbook.operators.pricing import cap_payment, penalty_amount, rent_and_insurance
 from fleetbook.plans.joins import broadcast_counted
 
 
@@ -40,15 +40,36 @@ def start_to_parquet(stream: DataFrame, output_path: str, checkpoint_path: str,
     return writer.start()
 
 
-def priced_rentals(reservations: DataFrame, prices: DataFrame, car_types: DataFrame,
-                   rates: DataFrame) -> DataFrame:
+def priced_rentals(reservations: DataFrame, cars: DataFrame, rates: DataFrame) -> DataFrame:
     """Late fee, rent and insurance set on each arriving reservation, by
-    stream-static left joins to the price, car-type and rate tables (the
-    before-insert pricing without the promotion, which depends on arrival
-    order and is handled per batch by ``promos.OneTimeOfferUse``)."""
-    out = penalty_amount(reservations)
-    out = rent_amount(out, prices)
-    return insurance_amount(out, car_types, rates)
+    left joins to the cars (car, type, daily price) and the rates, one each
+    (the before-insert pricing without the promotion, which depends on
+    arrival order, see ``first_uses``)."""
+    return rent_and_insurance(penalty_amount(reservations), cars, rates)
+
+
+class PricedRentalWriter:
+    """``foreachBatch`` handler: price each batch against a car table too large
+    to broadcast. The batch's cars are broadcast into a semi join that reads
+    the car table without a shuffle; the batch is then joined once to the few
+    cars that it needs. Output as for ``CappedPaymentWriter``."""
+
+    def __init__(self, cars: DataFrame, rates: DataFrame, output_path: str, *, vin: str = "vin"):
+        self.cars, self.rates, self.output_path, self.vin = cars, rates, output_path, vin
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            keys = (batch.select(F.col(self.vin).alias("__bk")).where(F.col("__bk").isNotNull())
+                    .distinct().persist())
+            try:
+                needed = self.cars.join(broadcast_counted(keys), F.col(self.vin) == F.col("__bk"), "left_semi")
+                priced_rentals(batch, needed, self.rates).write.mode("overwrite").parquet(
+                    os.path.join(self.output_path, f"batch_id={batch_id}"))
+            finally:
+                keys.unpersist()
+        finally:
+            batch.unpersist()
 
 
 class CappedPaymentWriter:

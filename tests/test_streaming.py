@@ -102,15 +102,18 @@ def test_priced_rentals_stream_equals_batch(spark, seed):
     res.write.parquet(src)
     prices = car_prices(seed["car"], seed["car_type"])
     types = seed["car"].select("vin", "car_type")
+    cars = types.join(prices.select("vin", "price_per_day"), "vin")
     stream = spark.readStream.schema(res.schema).parquet(src)
-    out = payments.priced_rentals(stream, prices, types, seed["car_insurance"])
-    q = payments.start_to_parquet(out, f"{base}/out", f"{base}/ckpt")
+    q = payments.start_to_parquet(payments.priced_rentals(stream, cars, seed["car_insurance"]),
+                                  f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
-    got = spark.read.parquet(f"{base}/out")
+    writer = payments.PricedRentalWriter(cars, seed["car_insurance"], f"{base}/out2")
+    payments.run_foreach_batch(stream, writer, f"{base}/ckpt2")
     expect = insurance_amount(rent_amount(penalty_amount(res), prices), types,
                               seed["car_insurance"])
     cols = ["reservation_id", "penalty_amount", "rental_amount", "insurance_amount"]
-    assert _sorted(got.select(*cols)) == _sorted(expect.select(*cols))
+    for out in ("out", "out2"):
+        assert _sorted(spark.read.parquet(f"{base}/{out}").select(*cols)) == _sorted(expect.select(*cols))
 
 
 def test_capped_payment_writer_matches_batch_and_replays_safely(spark):
@@ -155,3 +158,120 @@ def test_replay_in_time_slices_feeds_every_row_once(spark):
     assert seen[-1][1] == 22
     got = sorted(r[0] for r in spark.read.parquet(f"{base}/src").collect())
     assert got == sorted(r[0] for r in rows_)
+
+
+def _arrivals(spark, base, payments, reservations, **kw):
+    """The stream over two folders, run until what has arrived is done."""
+    from fleetbook.streaming import arrivals, state
+
+    schema_p, schema_r = "pid long, reservation_id long, amount_paid decimal(12,2), paid_at timestamp", \
+        "reservation_id long, tot_amount decimal(12,2), made_at timestamp"
+    for name, rows, schema in (("p", payments, schema_p), ("r", reservations, schema_r)):
+        if rows is not None:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+    out = arrivals.capped_on_arrival(
+        spark.readStream.schema(schema_p).parquet(f"{base}/p"), spark.readStream.schema(schema_r).parquet(f"{base}/r"),
+        pay_time="paid_at", res_time="made_at", wait="10 days", delay="2 days", **kw)
+    state.finish(state.start_with_state(
+        out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True), spark))
+    return sorted((r[0], r[2]) for r in spark.read.schema(schema_p).parquet(f"{base}/out").collect())
+
+
+def test_payment_before_its_reservation_is_capped_when_that_comes(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    def day(n):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+
+    base = tempfile.mkdtemp(prefix="fb-arrive-", dir="/tmp")
+    early = [(1, 7, D(90), day(3)), (2, 8, D(5), day(3)), (3, 99, D(50), day(1))]
+    assert _arrivals(spark, base, early, [(5, D(1), day(2))], salt_by="pid") == []   # all wait for their reservations
+    got = _arrivals(spark, base, [(4, 7, D(10), day(5)), (5, 7, D(70), day(5))],
+                    [(7, D(60), day(4)), (8, D(60), day(5))], salt_by="pid")
+    assert got == [(1, D(60)), (2, D(5)), (4, D(10)), (5, D(60))]   # a restart in between, capped when it came
+    # the watermark passes the time in which 99 might have come: handed on as it is
+    got = _arrivals(spark, base, [(6, None, None, day(400))], [(-1, None, day(400))], salt_by="pid")
+    assert got == [(1, D(60)), (2, D(5)), (3, D(50)), (4, D(10)), (5, D(60))]
+
+
+def test_late_payments_are_capped_in_batch_and_none_is_lost(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from fleetbook.streaming.arrivals import missing_payments
+
+    def day(n):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+
+    base = tempfile.mkdtemp(prefix="fb-late-", dir="/tmp")
+    _arrivals(spark, base, [(1, 7, D(90), day(100))], [(7, D(60), day(100)), (8, D(60), day(100))])
+    _arrivals(spark, base, [(2, 8, D(90), day(102))], [(9, D(1), day(102))])
+    late = [(3, 8, D(80), day(1)), (4, 8, D(80), None), (5, None, D(80), day(102)), (6, 55, D(80), day(2))]
+    got = _arrivals(spark, base, late, [(10, D(1), day(103))])
+    assert got == [(1, D(60)), (2, D(60))]   # 5 has no key and waits until the watermark has passed
+    every = spark.read.parquet(f"{base}/p")
+    rest = missing_payments(every, spark.read.parquet(f"{base}/out"), spark.read.parquet(f"{base}/r"), ["pid"])
+    assert sorted((r[0], r[2]) for r in rest.collect()) == [(3, D(60)), (4, D(60)), (5, D(80)), (6, D(80))]
+
+
+def _uses(spark, base, rows=None, offers=None):
+    from fleetbook.streaming import first_uses, state
+
+    schema = "id long, day int, code string, note string"
+    if rows:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{base}/src")
+    stream = spark.readStream.schema(schema).parquet(f"{base}/src")
+    if offers is None:
+        out = first_uses.first_uses(stream, key="id", code="code", order_by=["day"])
+    else:
+        out = first_uses.offer_uses(stream, offers, key="id", code="code", order_by=["day"])
+    state.finish(state.start_with_state(
+        out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True), spark))
+    return {r["id"]: r["promo_available"] for r in spark.read.parquet(f"{base}/out").collect()}
+
+
+def test_first_uses_in_keyed_state(spark):
+    base = tempfile.mkdtemp(prefix="fb-uses-", dir="/tmp")
+    first = [(5, 2, "A", "x"), (3, 1, "A", "y"), (4, 1, "A", None), (6, None, "B", "x"), (7, 9, "B", "x"),
+             (8, 1, None, "x"), (9, None, "C", "x")]
+    assert _uses(spark, base, first) == {5: 0, 3: 1, 4: 0, 6: 0, 7: 1, 8: 0, 9: 1}
+    again = _uses(spark, base)   # a restart with nothing new
+    assert again == {5: 0, 3: 1, 4: 0, 6: 0, 7: 1, 8: 0, 9: 1}
+    got = _uses(spark, base, [(1, 0, "A", "x"), (2, 0, "D", "x"), (10, 1, "D", "x")])   # earlier, but a later batch
+    assert got == {**again, 1: 0, 2: 1, 10: 0}
+
+
+def test_first_uses_by_offer_terms(spark):
+    from pyspark.sql import types as T
+
+    from fleetbook.sources.tables import rows_frame
+
+    offers = rows_frame(spark, [("A", "Y", "Available"), ("B", "N", "Available"), ("C", "Y", "Expired")],
+                        T.StructType([T.StructField(c, T.StringType()) for c in ("code", "is_one_time", "status")]))
+    base = tempfile.mkdtemp(prefix="fb-uses2-", dir="/tmp")
+    rows = [(1, 1, "A", ""), (2, 2, "A", ""), (3, 1, "B", ""), (4, 2, "B", ""), (5, 1, "C", ""), (6, 1, "Z", "")]
+    assert _uses(spark, base, rows, offers) == {1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0}
+
+
+def test_state_written_per_batch_does_not_grow_with_the_codes_used(spark):
+    import glob
+
+    base = tempfile.mkdtemp(prefix="fb-uses3-", dir="/tmp")
+    _uses(spark, base, [(i, 1, f"code-{i}-{'x' * 40}", "") for i in range(4000)])
+    _uses(spark, base, [(5000, 1, "new", ""), (5001, 1, "code-7-" + "x" * 40, "")])
+
+    def written(version):
+        return sum(os.path.getsize(f) for f in glob.glob(f"{base}/ckpt/state/0/*/{version}.changelog"))
+
+    assert 0 < written(2) < written(1) / 10
+
+
+def test_a_hot_code_sends_one_row_per_run_to_the_state(spark):
+    from fleetbook.streaming import first_uses
+
+    rows = spark.range(30_000).select("id", F.lit(1).alias("day"), F.lit("hot").alias("code"))
+    marked = first_uses._marked(rows.repartition(4), "code", ["day", "id"])
+    assert marked.where(first_uses.CANDIDATE).count() <= 8
