@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetbook.llm import mixing, neardup, quality, tiling, wavelet
-from fleetbook.llm.common import read, without_ids, written
+from fleetbook.llm.common import read, without_ids
 from fleetbook.llm.queries import BYTE_BPE, MIX_FRACTION, MIX_POWERS, MIX_SEED, tokenizer_path
-from fleetbook.session import scratch_path
+from fleetbook.session import scratch_path, scratch_scope
+from fleetbook.sources.tables import delete_path
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +61,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """All stages in turn over documents. What a stage writes on its way goes
+    when its result is written, and that result when the next one is."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
+    shards = STAGES[-1][1](spark, docs, sf_dir)
+    delete_path(spark, before)
+    return shards
