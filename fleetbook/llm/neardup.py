@@ -260,6 +260,16 @@ def _crossing(open_: DataFrame, sketches: DataFrame, similarity: float, nearest:
     return blocked.mapInArrow(compare, "a long, b long").distinct()
 
 
+def _own_links(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between a repeated id and the representative of each of its
+    texts' classes, which make its texts one document."""
+    worded = signed.where("id is not null and n > 0")
+    again = few_ids(signed.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id"))
+    return written(worded.join(again, "id").select("id", "n", "f1", "f2").distinct()
+                   .join(classes.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"])
+                   .select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "own-links")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_shingles`` (distinct word 5-grams of the whole
@@ -284,7 +294,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
                       .where("size > 1"), "buckets")
     members = written(banded.join(buckets, "key"), "members")
     first = members.where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    links = _confirmed(_pass_by_sketch(first, classes, percent), plain, percent)
+    own = _own_links(signed, classes)
+    links = own.union(_confirmed(_pass_by_sketch(first, classes, percent), plain, percent))
     found, sketches = written(components(links), "components"), None
     for last in [False] * NEAREST_ROUNDS + [True]:
         open_ = _open_members(members, found)
@@ -300,8 +311,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     class_of = written(
         classes.join(found, F.col("rep") == F.col("node"), "left")
         .select("n", "f1", "f2", F.coalesce("component", "rep").alias("component")), "class-components")
-    out = signed.select("id", "n", "f1", "f2").join(class_of, ["n", "f1", "f2"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    # an id with several texts has their component in each of its rows, those without words too
+    of_id = few_ids(own.join(found, F.col("a") == F.col("node")).select(
+        F.col("a").alias("id"), F.col("component").alias("shared")).distinct())
+    out = (signed.select("id", "n", "f1", "f2").join(class_of, ["n", "f1", "f2"], "left")
+           .join(of_id, "id", "left"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("shared", "component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

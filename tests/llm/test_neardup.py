@@ -101,3 +101,18 @@ def test_sketch_bound_keeps_pairs_at_the_threshold(kind):
                 for w in (words, other))
         kept += bool(neardup.similar_enough(neardup.np.bitwise_count(x ^ y).sum(), 0.75, kind))
     assert kept == 200
+
+
+def test_an_id_with_several_texts_is_one_document(spark):
+    t, u, v = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white")
+    rows = [(5, t), (9, t), (9, u), (11, u), (11, v), (20, v), (9, ""), (30, "lone words that match nothing else"),
+            (31, "x y"), (31, None), (40, ""), (40, "p q r s t")]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert {r[2] for r in got if r[0] in (5, 9, 11, 20)} == {5}
+
+
+def test_repeated_ids_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(20), t) for t in texts(9, 14)]
+    assert run(spark, rows) == brute(rows)
