@@ -7,12 +7,16 @@ is not blank) and tags each token as begin, inside or outside from its shape,
 the neighbouring words and signs, and features of the whole text. Tokens found
 by the patterns in a bounded sample of documents are its training labels; each
 chain is also learnt without its neighbours, so that shape alone can decide.
+So that it knows more than the patterns do, every secret found is also learnt
+in made-up variants (``variants``: re-cased, re-cut, of other alphabets), each
+put between the words of a line that holds no secret.
 Decoding is Viterbi, over the parts of the lines that can hold a secret under
 the field (``_undecided``); all else is outside on the best path.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from bisect import bisect_left
@@ -39,6 +43,13 @@ BUCKETS = 1 << 14
 SAMPLE_DOCS, SAMPLE_CHAINS, CHAIN_PIECES = 20_000, 20_000, 64  # bounds of the training sample
 CHUNK = 2 << 20  # bytes of text tokenised at once
 DOC_CHAINS = 64  # chains of a class that one document stands for, at most
+VARIANTS, SAMPLE_VARIANTS = 48, 6_000  # of one secret, and of all, at most
+AROUND = 12      # words on either side of a variant
+# Alphabets of variants: hexadecimal, capitals with digits, letters with digits, the same with signs
+ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+LENGTHS = (16, 18, 20, 24, 32, 40, 52, 64, 80)  # of a variant, or up to 6 characters more
 
 _LINE = re.compile(r"[^\n]+")
 _PIECE = re.compile(r"[^\W_]+|[^\w\s]|_")
@@ -460,17 +471,44 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
     return [sorted(s) for s in out]
 
 
+def variants(secret: str, n: int, seed: int) -> list[str]:
+    """``n`` strings like a secret and unlike it: its case swapped, then random
+    ones of other lengths and alphabets in turn, fixed by ``seed``."""
+    rng, out = random.Random(seed), [secret.swapcase()]
+    for i in range(n - 1):
+        out.append("".join(rng.choices(ALPHABETS[(seed + i) % len(ALPHABETS)], k=rng.choice(LENGTHS) + rng.randrange(7))))
+    return out[:n]
+
+
+def _placed(secrets: list[tuple[str, int]], lines: list[tuple[int, str]], n: int) -> tuple[list[str], list[list], list[int]]:
+    """New lines for (secret, seed) pairs: ``n`` variants of each between the
+    words of one of ``lines`` (text, line); with the place of the variant in
+    each as a span, and the text that the words are from."""
+    made, spans, source = [], [], []
+    for secret, seed in secrets:
+        for j, v in enumerate(variants(secret, n, seed)):
+            i, line = lines[(seed >> 3) * 31 % len(lines) - j % len(lines)] if lines else (-1, "")
+            words = line.split()
+            at = (seed >> 7) % (len(words) + 1) if words else 0
+            before = " ".join([*words[max(0, at - AROUND):at], ""])
+            made.append(before + " ".join([v, *words[at:at + AROUND]]))
+            spans.append([(len(before), 0, len(before) + len(v), len(before))])
+            source.append(i)
+    return made, spans, source
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """The field, from lines of the ``SAMPLE_DOCS`` documents of least hashed
     id, ``SAMPLE_CHAINS`` chains of ``CHAIN_PIECES`` tokens at most (a longer
     line is cut for training). At most half of them hold a secret. A document
     gives the same bounded number of each class, those of least hash, and
     stands for ``DOC_CHAINS`` chains of a class at most, so that one document
-    cannot fill the sample; weights restore the ratio of the classes. Of an id
+    cannot fill the sample; weights restore the ratio of the classes. Variants
+    of the secrets come on top, ``SAMPLE_VARIANTS`` at most. Of an id
     with several texts the one of least hash trains. Only hashed features
     leave the executors."""
-    sample = written(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))
-                     .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).distinct(), "secret-sample")
+    sample = written(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
+                     .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS), "secret-sample")
     per_doc = max(4, SAMPLE_CHAINS // max(1, sample.count()))
     kind = docs.schema[id_col].dataType.simpleString()
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -501,29 +539,48 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
         return fit([])
     order = (F.xxhash64("id", "at"), "id", "at")
     secret = written(chains.where("secret").orderBy(*order).limit(SAMPLE_CHAINS // 2), "secret-half")
-    outside = chains.where("NOT secret").orderBy(*order).limit(SAMPLE_CHAINS - secret.count())
+    n_secret = secret.count()
+    outside = chains.where("NOT secret").orderBy(*order).limit(SAMPLE_CHAINS - n_secret)
+    n_variants = min(VARIANTS, SAMPLE_VARIANTS // max(1, n_secret))
     picked = written(secret.unionByName(outside).groupBy("id", "version").agg(
         F.collect_list(F.struct("at", "secret", "stands")).alias("chains")), "secret-picked")
 
     def features(batches):
         for batch, got in text_batches(batches, CHUNK):
-            tokens = Tokens(got)
-            tags, rows, cuts, out = tokens.tags([base_spans(t) for t in got]), tokens.features(), tokens.cuts(), []
+            tokens, bases = Tokens(got), [base_spans(t) for t in got]
+            tags, rows, cuts, out = tokens.tags(bases), tokens.features(), tokens.cuts(), []
             ids, wanted = batch.column(0).to_pylist(), [{c["at"]: c for c in x} for x in batch.column(1).to_pylist()]
+            found, lines = [], []
             for lo, hi in zip(cuts, np.append(cuts[1:], len(tags))):
                 i, at = int(tokens.text[lo]), int(tokens.start[lo])
                 if at in wanted[i]:
                     own = tags[lo:hi].astype(np.int8)
                     own[0] = B if own[0] == I else own[0]
-                    out.append({"id": ids[i], **wanted[i][at], "tags": own.tobytes(), "features": rows[lo:hi].tobytes()})
+                    out.append({"id": ids[i], "made": False, **wanted[i][at], "tags": own.tobytes(), "features": rows[lo:hi].tobytes()})
+                    end = int(tokens.end[hi - 1])
+                    if not wanted[i][at]["secret"]:
+                        lines.append((i, got[i][at:end]))
+                    elif of := [b for b in bases[i] if b[3] >= at and b[2] <= end]:
+                        found.append((i, at, got[i][of[0][3]:of[0][2]]))
+            if found and n_variants:
+                seeds = [zlib.crc32(f"{ids[i]}:{at}".encode()) for i, at, _ in found]
+                texts_, spans, source = _placed([(x, n) for (_, _, x), n in zip(found, seeds)], lines, n_variants)
+                new = Tokens(texts_)
+                new.file = tuple(np.where(np.array(source) >= 0, column[source], own) for column, own in zip(tokens.file, new.file))
+                own, made = new.tags(spans), new.features()
+                for k, (lo, hi) in enumerate(zip(new.bounds, new.bounds[1:])):
+                    i, at, _ = found[k // n_variants]
+                    out.append({"id": ids[i], "made": True, "at": -(at * VARIANTS + k % n_variants) - 1, "secret": True,
+                                "stands": 1.0, "tags": own[lo:hi].astype(np.int8).tobytes(), "features": made[lo:hi].tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                ("id", batch.schema.field(0).type), *chain_type.value_type, ("tags", pa.binary()), ("features", pa.binary())]))
+                ("id", batch.schema.field(0).type), ("made", pa.bool_()), *chain_type.value_type, ("tags", pa.binary()),
+                ("features", pa.binary())]))
 
     rows = (texts.join(F.broadcast(picked), ["id", "version"]).select("id", "chains", "text")
-            .mapInArrow(features, f"id {kind}, at long, secret boolean, stands double, tags binary, features binary")
+            .mapInArrow(features, f"id {kind}, made boolean, at long, secret boolean, stands double, tags binary, features binary")
             .dropDuplicates(["id", "at"]).orderBy(*order).drop("id", "at").collect())
-    held = {c: sum(r.stands for r in rows if r.secret == c) for c in totals}
-    weights = np.array([r.stands * totals[r.secret] / held[r.secret] for r in rows])
+    held = {c: sum(r.stands for r in rows if r.secret == c and not r.made) for c in totals}
+    weights = np.array([r.stands if r.made else r.stands * totals[r.secret] / held[r.secret] for r in rows])
     return fit([(np.frombuffer(r.features, np.uint16).reshape(-1, N_FEATURES), np.frombuffer(r.tags, np.int8)) for r in rows],
                weights=weights / weights.mean())
 

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from fleetbook.llm import secrets as s
 from fleetbook.llm.queries import op1_secret_scan
@@ -136,6 +137,57 @@ def test_one_hot_document_leaves_outside_chains(spark):
     assert sum(k == 2 for _, k, _ in s.spans_of([hot], field)[0]) == 25_000
 
 
+def test_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(s, "SAMPLE_DOCS", 40)
+    rng = random.Random(6)
+    rows = [(i, f"token: {rng.getrandbits(160):040x} is set" if i % 2 else NUMBERS[i % 6]) for i in range(60)]
+    least = spark.createDataFrame(rows, "doc_id long, text string").orderBy(F.xxhash64("doc_id")).first().doc_id
+
+    def drawn(extra):
+        field = s.train(spark.createDataFrame(rows + extra, "doc_id long, text string"))
+        return s.spans_of([t for _, t in rows], field)
+
+    assert drawn([(least, rows[least][1])] * 50) == drawn([])
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HELD_OUT = {"HEX 40": (LETTERS[:6].upper() + "0123456789", 40, ""), "HEX 22": (LETTERS[:6].upper() + "0123456789", 22, ""),
+            "hex 20": (LETTERS[:6] + "0123456789", 20, ""), "letters 30": (LETTERS + LETTERS.upper() + "0123456789", 30, ""),
+            "access 20": (LETTERS.upper() + "0123456789", 16, "AKIA"), "access 28": (LETTERS.upper() + "0123456789", 24, "AKIA")}
+
+
+def test_field_finds_strings_that_no_pattern_taught(spark, monkeypatch):
+    """The access pattern is left out of training; strings of its form, and
+    others that no pattern finds, stand in new lines of the corpus."""
+    from fleetbook.llm.common import read
+
+    monkeypatch.setattr(s, "ACCESS", re.compile("(?!)"))
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    field = s.train(docs.where("doc_id % 2 = 0"))
+    texts = [r.text or "" for r in docs.where("doc_id % 2 = 1").select("text").collect()]
+    clean = [t for t in texts if not s.base_spans(t) and "AKIA" not in t]
+    assert sum(map(len, s.spans_of(clean, field))) <= len(clean) // 100
+    rng = random.Random(11)
+    lines = [x.split() for t in clean for x in t.split("\n") if 4 < len(x.split()) < 40]
+    for name, (alphabet, n, prefix) in HELD_OUT.items():
+        found = 0
+        for _ in range(150):
+            secret, words = prefix + "".join(rng.choices(alphabet, k=n)), list(rng.choice(lines))
+            words.insert(rng.randrange(len(words) + 1), secret)
+            text = " ".join(words)
+            found += any(text[a:b] == secret for a, _, b in s.spans_of([text], field)[0])
+        assert found >= 135, name
+
+
+def test_variants_are_bounded_and_fixed():
+    got = s.variants("ab12" * 10, 48, 7)
+    assert got == s.variants("ab12" * 10, 48, 7) and got[0] == "AB12" * 10 and len(got) == 48
+    assert s.variants("x1y2z3", 1, 7) == ["X1Y2Z3"] and s.variants("x", 0, 7) == []
+    made, spans, source = s._placed([("ab12cd34", 12345)], [(0, "one two three"), (4, "four")], 5)
+    assert all(m[b[0]:b[2]] == v for m, (b,), v in zip(made, spans, s.variants("ab12cd34", 5, 12345)))
+    assert set(source) <= {0, 4} and s._placed([("ab12cd34", 1)], [], 2)[2] == [-1, -1]
+
+
 def test_every_token_is_in_a_chain():
     """Letters only, signs, short ones and pass phrases: all reach the field."""
     for text, want in (("credential kJhGfDsAqWeRtYuIoPzX x", "kJhGfDsAqWeRtYuIoPzX"), ("pwd P@ssw0rd!23", "P@ssw0rd!23"),
