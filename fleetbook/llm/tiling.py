@@ -2,9 +2,12 @@
 
 1. Each benchmark item gives its word n-grams as seeds. A pass over the
    documents keeps the runs of words that seeds cover; a bitmap of seed
-   hashes, of fixed size, drops the rest inside the scan.
-2. The runs' seeds are joined to the items'. A pair of a document and an item
-   goes on when its shared seeds could cover enough of the item.
+   hashes, sized by the seeds, drops the rest inside the scan.
+2. A document that holds only an item's most frequent seeds, which do not
+   cover enough of it, cannot hold enough: only the other seeds are joined to
+   the runs', and a word run that very many documents hold makes no pairs.
+   A pair of a document and an item goes on when its shared seeds cover
+   enough of the item.
 3. Greedy string tiling of the pair: the longest common runs of words not yet
    marked are found by running Karp-Rabin hashes, marked, and so on down to
    the least length. Every tile is made of seeds, so the runs are all it needs.
@@ -26,7 +29,8 @@ from fleetbook.llm.common import text_batches, written
 
 MIN_MATCH = 4          # least tile, in words
 PERCENT = 50           # of an item's words that tiles must cover
-BITMAP_BITS = 1 << 22  # 512 KB for any benchmark
+BITMAP_LOG2 = (22, 27)  # bits of the bitmap: 512 KB at least, 16 MB at most
+BITS_A_SEED = 16
 
 _SPACED = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))  # ASCII marks as blanks
 _BASE = 0x9E3779B97F4A7C15
@@ -47,8 +51,18 @@ def _seeds(words: list[bytes], size: int) -> np.ndarray:
     return out * np.uint64(_BASE)
 
 
-def _bucket(seeds: np.ndarray) -> np.ndarray:
-    return (seeds >> np.uint64(40)) & np.uint64(BITMAP_BITS - 1)
+def _bitmap(seeds: DataFrame) -> tuple[int, np.ndarray]:
+    """(k, bitmap): the leading ``k`` bits of every seed, as a bitmap of 2^k
+    bits; its words, not the seeds, come to the driver."""
+    least, most = BITMAP_LOG2
+    k = min(most, max(least, (BITS_A_SEED * seeds.count()).bit_length()))
+    at = F.shiftrightunsigned("seed", 64 - k)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    words = (seeds.select(F.shiftright(at, 6).alias("word"), bit.alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas())
+    bitmap = np.zeros((1 << k) // 64, np.int64)
+    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return k, bitmap
 
 
 def _scan(pattern: list[int], text: list[int], p_marked: bytearray, t_marked: bytearray, size: int) -> list:
@@ -130,6 +144,32 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, min_match: int) ->
             .mapInArrow(cut, "item long, item_id long, words array<binary>, size int"))
 
 
+def _rarest(seeds: DataFrame, items: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """(item, seed): the seeds of each item but its most frequent positions
+    among the documents' runs, as many of those as do not cover ``percent``
+    hundredths of it together: a document that holds no other seed of the
+    item cannot cover enough."""
+    often = held.join(seeds.select("seed").distinct(), "seed", "left_semi").groupBy("seed").agg(F.count("*").alias("runs"))
+    by_item = (seeds.join(often, "seed", "left")
+               .groupBy("item").agg(F.collect_list(F.struct(F.coalesce("runs", F.lit(0)).alias("runs"), "seed", "pos")).alias("all"))
+               .join(items.select("item", "size", F.size("words").alias("len")), "item"))
+
+    def rest(batches):
+        for batch in batches:
+            item, found, size, length = (c.to_pylist() for c in batch.columns)
+            for i, positions, k, n in zip(item, found, size, length):
+                covered, keep = set(), set()
+                for x in sorted(positions, key=lambda x: (-x["runs"], x["seed"], x["pos"])):
+                    if not keep and 100 * len(covered.union(range(x["pos"], x["pos"] + k))) < percent * n:
+                        covered.update(range(x["pos"], x["pos"] + k))
+                    else:
+                        keep.add(x["seed"])
+                yield pa.record_batch([pa.array([i] * len(keep), pa.int64()), pa.array(list(keep), pa.int64())],
+                                      names=["item", "seed"])
+
+    return by_item.select("item", "all", "size", "len").mapInArrow(rest, "item long, seed long")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
                  percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -156,13 +196,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     seeds = written(items.select("item", "words", "size")
                     .mapInArrow(item_seeds, "item long, pos int, seed long"), "seeds")
     sizes = [r.size for r in items.select(F.col("size").alias("size")).distinct().collect()]  # 1 to min_match
-    used = seeds.select((F.shiftrightunsigned("seed", 40) % BITMAP_BITS).cast("int").alias("b")).distinct()
-    bitmap = np.zeros(BITMAP_BITS, bool)
-    bitmap[used.toPandas()["b"].to_numpy(np.int64)] = True  # at most BITMAP_BITS rows
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
+    shared = spark.sparkContext.broadcast(_bitmap(seeds))
 
     def runs(batches):
-        bits = shared.value
+        k, words_of_bits = shared.value
+        bits = words_of_bits.view(np.uint64)
         for rows, texts in text_batches(batches, 4 << 20):
             out = []
             for doc, text in zip(rows.column(0).to_pylist(), texts):
@@ -170,8 +208,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
                 covered, hits = np.zeros(len(words) + 1, bool), {}
                 for size in sizes:
                     h = _seeds(words, size)
-                    b = _bucket(h)
-                    at = np.flatnonzero((bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1)
+                    b = h >> np.uint64(64 - k)
+                    at = np.flatnonzero(bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1))
                     hits[size] = (at, h[at].view(np.int64))
                     for i in range(size):
                         covered[at + i] = True
@@ -188,11 +226,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     found = written(docs.where(F.col(id_col).isNotNull())
                     .select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string"))
                     .mapInArrow(runs, "doc long, start int, words array<binary>, seeds array<long>"), "runs")
-    hits = written(found.select("doc", "start", F.explode("seeds").alias("seed")).join(seeds, "seed")
+    held = found.select("doc", "start", F.explode("seeds").alias("seed"))
+    rare = _rarest(seeds, items, held, percent)
+    near = written(held.select("doc", "seed").join(rare, "seed").select("doc", "item").distinct(), "near-items")
+    hits = written(held.join(near, "doc").join(seeds, ["item", "seed"])
                    .select("doc", "start", "item", "pos").distinct(), "hits")
-    reach = (hits.groupBy("doc", "item").agg(F.count_distinct("pos").alias("n"))
+    words = F.flatten(F.transform("pos", lambda p: F.sequence(p, p + F.col("size") - 1)))
+    reach = (hits.groupBy("doc", "item").agg(F.collect_set("pos").alias("pos"))
              .join(items.select("item", F.size("words").alias("len"), "size"), "item")
-             .where(100 * F.col("n") * F.col("size") >= percent * F.col("len")).select("doc", "item"))
+             .where(100 * F.size(F.array_distinct(words)) >= percent * F.col("len")).select("doc", "item"))
     pairs = (hits.select("doc", "item", "start").distinct().join(reach, ["doc", "item"])
              .join(found.select("doc", "start", "words").distinct(), ["doc", "start"])
              .join(items.select("item", "item_id", F.col("words").alias("pattern"), "size"), "item"))

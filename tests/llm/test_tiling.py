@@ -93,3 +93,28 @@ def test_matches_brute_force(spark):
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b c d e")]) == []
     assert run(spark, [(1, "a b c d e")], []) == []
+
+
+def test_a_run_that_all_documents_hold_makes_no_pairs(spark, monkeypatch):
+    rng = random.Random(7)
+    common = "this run of words is everywhere"
+    items = [(i, f"{common} " + " ".join(f"i{i}w{j}" for j in range(14))) for i in range(12)]
+    items.append((90, common))  # an item of nothing else is in all of them
+    docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(20)) + f" {common} end") for i in range(50)]
+    docs += [(100 + i, " ".join(t.split()[6:]) + f" and {common}") for i, t in items[:4]]
+    docs += [(200, " ".join(items[5][1].split()[10:17])), (201, items[6][1])]
+    seen, write = {}, tiling.written
+    monkeypatch.setattr(tiling, "written", lambda df, name: seen.setdefault(name, write(df, name)))
+    assert run(spark, docs, items) == brute(docs, items, 4, 50)
+    pairs = {tuple(r) for r in seen["near-items"].collect()}
+    assert len(pairs) <= 55 + 5 + 4
+
+
+def test_the_bitmap_grows_with_the_seeds(spark, monkeypatch):
+    monkeypatch.setattr(tiling, "BITMAP_LOG2", (6, 27))
+    seeds = spark.range(1000).selectExpr("xxhash64(id) as seed")
+    k, bitmap = tiling._bitmap(seeds)
+    assert k == 14 and len(bitmap) == (1 << 14) // 64
+    have = tiling.np.unpackbits(bitmap.view("uint8"), bitorder="little")
+    at = [(r.seed & (1 << 64) - 1) >> 50 for r in seeds.collect()]
+    assert have[at].all() and have.sum() == len(set(at))
