@@ -32,7 +32,7 @@ _SIGN = r"(?:[ .-]?\(|\)[ .-]?|[ .-])"
 _OTHER = (r"\d{4}[-/]\d{1,2}[-/]\d{1,2}(?!\d)|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
           r"|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}(?!\d)|\d{4}[ -]\d{6}[ -]\d{5}(?!\d)|\(?\d{3}[ .)-]{1,2}\d{3}[ .-]\d{4}(?!\d)")
 FOUND = "|".join((
-    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
+    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     r"\+(?:1[ .-]?|\d{1,3}[ .-]?(?=\())\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?![.-]?\d)",
     rf"\+\(?\d(?:{_SIGN}?\d){{7}}(?:(?! (?:{_OTHER})){_SIGN}?\d){{0,7}}(?!\d)",
     r"(?<![\d+])(?<!\d[.-])(?:1[ .-])?\(\d{2,5}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![.-]?\d)",
@@ -158,9 +158,23 @@ def _email(value: Column, key: str, forward: bool) -> Column:
     return F.concat(_characters(name, "email", key, forward), F.lit("@"), F.substring_index(value, "@", -1))
 
 
+# Country calling codes of one and of two digits; the others have three.
+ONE_DIGIT_CODES = "17"
+TWO_DIGIT_CODES = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                   "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98").split()
+
+
 def _phone(value: Column, key: str, forward: bool) -> Column:
-    code = F.regexp_extract(value, r"^(?:\+(?:\d{1,3}(?=[ .(-])|\d)|1[ .-])", 0)
-    return F.concat(code, _characters(F.substr(value, F.length(code) + 1), "phone", key, forward, "0-9"))
+    """A number keeps its country code, told by its digits alone, so that one
+    number has one pseudonym however it is grouped."""
+    def permuted(digits):
+        code = F.when(F.substring(digits, 1, 1).isin(*ONE_DIGIT_CODES), 1).when(
+            F.substring(digits, 1, 2).isin(TWO_DIGIT_CODES), 2).otherwise(3)
+        code = F.when(F.startswith(value, F.lit("+")), code).when(value.rlike(r"^1[ .-]"), 1).otherwise(0)
+        moved = _characters(F.substr(digits, code + 1), "phone", key, forward, "0-9")
+        return F.split(F.concat(F.substr(digits, F.lit(1), code), moved), "")
+
+    return _refilled(value, "0-9", _let(digits_of(value), permuted))
 
 
 def _card(value: Column, key: str, forward: bool) -> Column:

@@ -116,3 +116,19 @@ def test_phone_forms_and_year_first_dates(spark):
     assert (row.n_date, row.n_phone, row.n_card, row.n_values) == (2, 2, 1, 5)
     assert " and 2024/13/05; " in row.text and row.text.endswith("; 2020-555-123-4567")
     assert re.fullmatch(r"\d{4}/\d\d/\d\d", row.pseudonyms[0]) and run(spark, [(1, row.text)], forward=False)[0].text == text
+
+
+def test_one_number_in_any_grouping_has_one_pseudonym(spark):
+    for forms in (["+44 7911 123456", "+447911123456", "+44 (79) 11-123456", "+4479 111 234 56"],
+                  ["+1 555 123 4567", "+15551234567", "+1 (555) 123-4567"], ["+353 1 234 5678", "+35312345678"]):
+        rows = run(spark, [(i, f"call {p} now") for i, p in enumerate(forms)])
+        new = {re.sub(r"\D", "", r.pseudonyms[0]) for r in rows}
+        assert len(new) == 1 and new != {re.sub(r"\D", "", forms[0])}, forms
+        assert all(re.sub(r"\d", "9", r.pseudonyms[0]) == re.sub(r"\d", "9", p) for r, p in zip(rows, forms))
+        assert [r.text for r in run(spark, [(r.doc_id, r.text) for r in rows], forward=False)] == [f"call {p} now" for p in forms]
+
+
+def test_long_addresses_are_found(spark):
+    mail = "a" * 300 + "@" + ".".join(["b" * 70] * 12) + ".museum"
+    row = run(spark, [(1, f"to {mail} now")])[0]
+    assert row.n_email == 1 and mail.split("@")[0] not in row.text and row.text.endswith(mail.split("@")[1] + " now")
