@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUERY_BLOCK = 2048
-SHARD_ROWS = 8192
+SHARD_ROWS = 8192      # up to LEAST_SHARDS shards; more rows make them larger first
+LEAST_SHARDS = 64
+MOST_ROWS = 1 << 16    # rows of a shard
 FIRST_ROWS = 256  # scored in full, to get a first threshold
 ROWS = 2048       # rows traversed between two threshold updates
 QUERIES_AT_ONCE = 256
@@ -107,9 +109,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     """Each query row's ``k`` highest integer inner products over all other
     rows: query_id, rank (from 1), vec_id, score; ties to the smaller vec_id.
 
-    Rows go into hashed shards of about ``SHARD_ROWS`` and queries into hashed
-    blocks of about ``QUERY_BLOCK``; every block meets every shard in a task
-    of bounded size, which runs MaxScore, and a window merges the shards'
+    Rows go into hashed shards of ``SHARD_ROWS`` to ``MOST_ROWS`` and queries into
+    hashed blocks of about ``QUERY_BLOCK``; every block meets every shard in a
+    task of bounded size, which runs MaxScore, and a window merges the shards'
     lists of at most ``k`` rows.
 
     A row whose id is the query's own is no candidate. Vectors that are null
@@ -122,15 +124,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     queries = (integer_vectors(vectors.where(is_query), id_col, vec_col, scale)
                .groupBy("vec_id").agg(F.min("vec").alias("vec")))
     n_rows, n_queries = rows.count(), queries.count()
-    shards, blocks = -(-max(n_rows, 1) // SHARD_ROWS), -(-max(n_queries, 1) // QUERY_BLOCK)
+    shards = max(min(-(-max(n_rows, 1) // SHARD_ROWS), LEAST_SHARDS), -(-n_rows // MOST_ROWS))
+    blocks = -(-max(n_queries, 1) // QUERY_BLOCK)
 
     def each(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     left = queries.select("vec_id", "vec", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
                           each(shards).alias("shard"))
-    right = rows.select("vec_id", "vec", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
-                        each(blocks).alias("block"))
+    # rows of one id, and equal rows, are dealt apart
+    place = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
+    right = rows.select("vec_id", "vec", place.alias("shard")).select("vec_id", "vec", "shard", each(blocks).alias("block"))
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):

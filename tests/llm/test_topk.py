@@ -51,3 +51,9 @@ def test_fewer_than_k_and_empty(spark):
 def test_large_scores_stay_exact(spark):
     rows = [(i, [float(2**21 + i), float(-(2**20) - 3 * i), 3.0]) for i in range(30)]
     assert run(spark, rows, 5, 10) == brute(rows, 5, 10)
+
+
+def test_one_id_in_a_third_of_the_rows_is_dealt_apart(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 20)
+    rows = vectors(200, 6, 9) + [(7, [1.0, 0.5, 0.0, 2.0, 1.0, 0.0])] * 100
+    assert run(spark, rows, 20, 20) == brute(rows, 20, 20)
