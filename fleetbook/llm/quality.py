@@ -25,6 +25,7 @@ from fleetbook.llm.common import text_batches, written
 GOOD, BAD, NONE = 2, 0, 1  # digits of a vote row
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 4_000        # documents that train the scorer, at most
+SAMPLE_FEATURES = 1 << 22  # and their features, which come to the driver
 
 _SYMBOLS = np.frombuffer(b"#$%&*<>\\^`{|}~", np.uint8)
 # Letters by case, digits; other bytes as they are, those of non-ASCII letters as small ones
@@ -203,8 +204,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sample_rows: int = SAMPLE_ROWS) -> tuple[LabelModel, np.ndarray]:
     """The label model from the votes of all documents, and the scorer's
     weights from the ``sample_rows`` documents of least hashed id among those
-    with words (the only part fitted on a sample). Texts stay on the
-    executors: features come back, at most ``BUCKETS`` numbers a document."""
+    with words (the only part fitted on a sample), fewer where their features
+    are more than ``SAMPLE_FEATURES``. Texts stay on the executors: features
+    come back. Of an id with several texts one trains."""
     voted = written(votes(docs, id_col, text_col), "votes")
     table = (voted.where(F.col("votes") != EMPTY_ROW).groupBy("votes").agg(F.count("*").alias("n"))
              .orderBy("votes").collect())  # at most 3 ** labellers rows
@@ -212,8 +214,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return no_labels(), np.zeros(BUCKETS + 1)
     model = fit_labels(np.array([r.votes for r in table]), np.array([r.n for r in table], float))
     sample = written(voted.where(F.col("id").isNotNull() & (F.col("votes") != EMPTY_ROW))
-                     .orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("id", "votes").dropDuplicates(["id"]),
-                     "quality-sample")
+                     .groupBy("id").agg(F.min("votes").alias("votes"))  # an id once, however often it is there
+                     .orderBy(F.xxhash64("id"), "id").limit(sample_rows), "quality-sample")
 
     def feature_rows(batches):
         for rows, texts in text_batches(batches, 4 << 20):
@@ -227,7 +229,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
               .join(F.broadcast(sample), "id").select("id", "votes", "text")
               .mapInArrow(feature_rows, f"id {kind}, votes int, at array<int>, x array<float>"))
-    table = chosen.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample_rows).toArrow()
+    order = (F.xxhash64("id"), "id")
+    drawn = written(chosen.dropDuplicates(["id"]).withColumn("size", F.size("at")), "quality-features")
+    sizes = drawn.select("id", "size").orderBy(*order).limit(sample_rows).toArrow()
+    fit = np.cumsum(sizes.column("size").to_numpy()) <= SAMPLE_FEATURES
+    bound = int(fit.sum()) or 1
+    table = drawn.orderBy(*order).limit(bound).drop("size").toArrow()
     labels = model.posterior(table.column("votes").to_numpy())
     rows = [(at.values.to_numpy(), x.values.to_numpy().astype(float))
             for at, x in zip(table.column("at"), table.column("x"))]

@@ -57,3 +57,23 @@ def test_empty_and_wordless_tables(spark):
     docs = spark.createDataFrame([(1, "")], "doc_id long, text string")
     assert [r.kept for r in q.classify(docs).collect()] == [False]
     assert q.classify(docs.where("false")).count() == q.keep_good(docs.where("false")).count() == 0
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    plain = {r.doc_id: r.kept for r in q.classify(docs).collect()}
+    first = docs.where(F.length("text") > 200).orderBy(F.xxhash64("doc_id"), "doc_id").limit(1)
+    copies = first.crossJoin(spark.range(q.SAMPLE_ROWS + 500)).select(docs.columns)
+    again = q.classify(docs.union(copies)).select("doc_id", "kept").distinct().collect()
+    changed = sum(plain[r.doc_id] != r.kept for r in again)
+    assert len(again) == len(plain) and changed <= 0.01 * len(plain)
+
+
+def test_features_brought_to_the_driver_are_bounded(spark, monkeypatch):
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    seen, fit = [], q.fit_scorer
+    monkeypatch.setattr(q, "fit_scorer", lambda rows, labels: (seen.append(rows), fit(rows, labels))[1])
+    for bound in (5_000, 1):
+        monkeypatch.setattr(q, "SAMPLE_FEATURES", bound)
+        q.train(docs)
+        assert len(seen[-1]) == 1 or sum(len(at) for at, _ in seen[-1]) <= bound
