@@ -1,6 +1,8 @@
 """Command line for the maintenance jobs and reports.
 
     spark-submit fleetbook/cli.py settle --src DIR --dst DIR
+    spark-submit fleetbook/cli.py settle-in-place --src DIR --reservation-part COL --car-part COL
+    spark-submit fleetbook/cli.py append --src FILE --dst DIR --table payment --load 2024-05-01
     spark-submit fleetbook/cli.py raise-rates --src DIR --dst DIR --percent 10
     spark-submit fleetbook/cli.py integrity --src DIR --dst DIR
     spark-submit fleetbook/cli.py cascade-delete --src DIR --dst DIR --table car_type \\
@@ -33,11 +35,18 @@ from fleetbook.sources.tables import read_table  # noqa: E402
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="fleetbook")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("settle", "raise-rates", "integrity", "cascade-delete", "overdue-report",
+    s = sub.add_parser("settle-in-place")
+    s.add_argument("--src", required=True)
+    s.add_argument("--reservation-part", required=True, help="partition column of the reservation table")
+    s.add_argument("--car-part", required=True, help="partition column of the car table")
+    for name in ("settle", "append", "raise-rates", "integrity", "cascade-delete", "overdue-report",
                  "promo-report"):
         s = sub.add_parser(name)
         s.add_argument("--src", required=True)
         s.add_argument("--dst", required=True)
+        if name == "append":
+            s.add_argument("--table", required=True)
+            s.add_argument("--load", required=True, help="name of the load; the same name replaces it")
         if name == "raise-rates":
             s.add_argument("--percent", required=True, type=Decimal)
         if name == "cascade-delete":
@@ -53,6 +62,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.appName(f"fleetbook-{args.cmd}").getOrCreate()
     if args.cmd == "settle":
         jobs.settle_job(spark, args.src, args.dst)
+    elif args.cmd == "settle-in-place":
+        jobs.settle_in_place(spark, args.src, {"reservation": args.reservation_part, "car": args.car_part})
+    elif args.cmd == "append":
+        jobs.append_job(spark, args.src, args.dst, args.table, args.load)
     elif args.cmd == "raise-rates":
         jobs.raise_rates_job(spark, args.src, args.dst, args.percent)
     elif args.cmd == "integrity":

@@ -62,6 +62,39 @@ def settle_partitions(spark: SparkSession, path: str, part: str, payments: DataF
         return partitioned.update_partitions(spark, path, part, changed, update)
 
 
+def settle_in_place(spark: SparkSession, src: str, parts: Mapping[str, str]) -> dict[str, list]:
+    """Settle a folder of tables in place. ``parts`` names the partition
+    columns of ``reservation`` and ``car``; only their partitions with a
+    changed row are written, and ``offer_details`` only when an offer expires.
+    Returns what was written per table.
+
+    The reservations come last: until they are marked completed the due set
+    is found again, so a job that failed on the way is simply run again, and
+    what it had already written stays as it is.
+    """
+    res, car, offer = (table_path(src, n) for n in ("reservation", "car", "offer_details"))
+    partitioned.recover(spark, res, parts["reservation"])
+    partitioned.recover(spark, offer, None)
+    with scratch_scope(spark):
+        table = spark.read.parquet(res)
+        due = write_counted(settlement.due_reservations(table, read_table(spark, src, "payment"), few_open=None).select(
+            "reservation_id", "vin", "promo_code", "drop_location_id", parts["reservation"]), "due")[0]
+        offers = spark.read.parquet(offer)
+        settled = write_counted(settlement.settle_offers(offers, due), "offers")[0]
+        expired = settled.exceptAll(offers).count()
+        if expired:
+            partitioned.replace_table(settled, offer)
+        vins = broadcast_counted(due.select(F.col("vin").alias("__due_vin")).distinct())
+        cars = partitioned.update_partitions(
+            spark, car, parts["car"], lambda t: t.join(vins, F.col("vin") == F.col("__due_vin"), "left_semi"),
+            lambda t: settlement.settle_cars(t, due, small_winner=True))
+        keys = broadcast_counted(due.select("reservation_id"))
+        done = partitioned.update_partitions(
+            spark, res, parts["reservation"], lambda t: due,
+            lambda t: settlement.settle_reservations(t, due=keys))
+    return {"offer_details": [expired] if expired else [], "car": cars, "reservation": done}
+
+
 def cascade_delete_partitions(spark: SparkSession, parent: str, child: str, part: str, doomed: Callable[[DataFrame], DataFrame],
                               key: str = "reservation_id") -> tuple[list, list]:
     """Delete rows of a partitioned parent table and the rows of a partitioned
@@ -84,6 +117,14 @@ def cascade_delete_partitions(spark: SparkSession, parent: str, child: str, part
         return partitioned.delete_from_partitions(spark, parent, part, hit, kept), in_child
 
 
+def append_job(spark: SparkSession, src: str, dst: str, table: str, load: str) -> None:
+    """Append the rows of ``src`` (parquet) to a rental table kept by load,
+    matched by column name; running it again replaces the same load."""
+    rows = spark.read.parquet(src).select(*SCHEMAS[table].fieldNames())
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[table].fields])
+    partitioned.append_load(rows, table_path(dst, table), load)
+
+
 def raise_rates_job(spark: SparkSession, src: str, dst: str, percentage) -> None:
     rates = read_table(spark, src, "car_insurance")
     write_all({"car_insurance": settlement.raise_rates(rates, percentage)}, dst)

@@ -527,64 +527,6 @@ def cap_payment_q(spark, d):
         "reservation_id", "line_no", "amount_paid")
 
 
-# --------------------------------------------------- partitions by month
-
-def _by_month(spark, df, date):
-    path = scratch_path(spark, "by_month")
-    partitioned.write_by_month(df, path, date, f"{date}_month")
-    return path
-
-
-@register("filter_overdue_by_month", ORACLE["filter_overdue"])
-def filter_overdue_by_month_q(spark, d):
-    """Overdue among the months up to the date: other months are not read."""
-    res, reserved = _open(spark, d)
-    table = spark.read.parquet(_by_month(spark, res, "end_date"))
-    return queries.overdue_reservations(
-        partitioned.between_months(table, "end_date_month", hi=AS_OF), AS_OF, reserved=reserved).select(
-        "reservation_id", "license_no", "end_date")
-
-
-@register("payments_of_due_months", sm.with_views(
-    "SELECT p.reservation_id, p.line_no, p.amount_paid FROM payments p JOIN reservations r "
-    f"ON r.reservation_id = p.reservation_id WHERE r.status = 'Reserved' AND {_MONTH_SQL}",
-    "reservations", "payments"))
-def payments_of_due_months_q(spark, d):
-    """Payments kept by the month of their reservation, looked up for the open
-    reservations of one month: the months come from the other side of the
-    join at run time, and other folders are not read."""
-    months = _res(spark, d).select("reservation_id", "start_date")
-    pay = spark.read.parquet(_by_month(spark, _pay(spark, d).join(months, "reservation_id"), "start_date"))
-    path = scratch_path(spark, "open")
-    sm.reservations(_month_orders(spark, d)).select("reservation_id", "status", "start_date").write.parquet(path)
-    heads = spark.read.parquet(path).where(F.col("status") == "Reserved").select(
-        "reservation_id", partitioned.month_of("start_date").alias("start_date_month"))
-    return queries.look_up_in_months(pay, heads, "start_date_month", "reservation_id").select(
-        "reservation_id", "line_no", "amount_paid")
-
-
-@register("settle_month_partitions", ORACLE["settle_reservations_month"])
-def settle_month_partitions_q(spark, d):
-    """The reservation table kept by month and settled in place for one month:
-    the other months' files stay."""
-    path = _by_month(spark, _res(spark, d), "start_date")
-    lo = dt.date.fromisoformat(MONTH[0])
-    jobs.settle_partitions(spark, path, "start_date_month", _pay(spark, d),
-                           lambda t: partitioned.between_months(t, "start_date_month", lo, lo))
-    return spark.read.parquet(path).select("reservation_id", "status")
-
-
-@register("append_load_twice", ORACLE["append_rows"])
-def append_load_twice_q(spark, d):
-    """Rows loaded, and the load repeated as after a failure: they are there once."""
-    region = _t(spark, d, "region")
-    path = scratch_path(spark, "loads")
-    rows = rows_frame(spark, [(5, "A"), (6, "B")], region.schema)
-    for df, load in ((region, "first"), (rows, "second"), (rows, "second"), (region, "first")):
-        partitioned.append_load(df, path, load)
-    return partitioned.read_loads(spark, path, region.schema)
-
-
 # -------------------------------------------------------- SQL functions
 
 @register("raise_rates_by_name", "SELECT car_type, insurance_type, CAST(price_per_day + price_per_day * 7.5 * 0.01 "
@@ -698,6 +640,105 @@ def raise_rates_q(spark, d):
                                   price="price_per_day").select("vin", "price_per_day")
 
 
+# --------------------------------------------------- partitions by month
+
+_LINE_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+def _by_month(spark, df, date):
+    path = scratch_path(spark, "by_month")
+    partitioned.write_by_month(df, path, date, f"{date}_month")
+    return path
+
+
+@register("filter_overdue_by_month", ORACLE["filter_overdue"])
+def filter_overdue_by_month_q(spark, d):
+    """Overdue among the months up to the date: other months are not read."""
+    res, reserved = _open(spark, d)
+    table = spark.read.parquet(_by_month(spark, res, "end_date"))
+    return queries.overdue_reservations(
+        partitioned.between_months(table, "end_date_month", hi=AS_OF), AS_OF, reserved=reserved).select(
+        "reservation_id", "license_no", "end_date")
+
+
+@register("payments_of_due_months", sm.with_views(
+    "SELECT p.reservation_id, p.line_no, p.amount_paid FROM payments p JOIN reservations r "
+    f"ON r.reservation_id = p.reservation_id WHERE r.status = 'Reserved' AND {_MONTH_SQL}",
+    "reservations", "payments"))
+def payments_of_due_months_q(spark, d):
+    """Payments kept by the month of their reservation, looked up for the open
+    reservations of one month: the months come from the other side of the
+    join at run time, and other folders are not read."""
+    months = _res(spark, d).select("reservation_id", "start_date")
+    pay = spark.read.parquet(_by_month(spark, _pay(spark, d).join(months, "reservation_id"), "start_date"))
+    path = scratch_path(spark, "open")
+    sm.reservations(_month_orders(spark, d)).select("reservation_id", "status", "start_date").write.parquet(path)
+    heads = spark.read.parquet(path).where(F.col("status") == "Reserved").select(
+        "reservation_id", partitioned.month_of("start_date").alias("start_date_month"))
+    return queries.look_up_in_months(pay, heads, "start_date_month", "reservation_id").select(
+        "reservation_id", "line_no", "amount_paid")
+
+
+@register("settle_month_partitions", ORACLE["settle_reservations_month"])
+def settle_month_partitions_q(spark, d):
+    """The reservation table kept by month and settled in place for one month:
+    the other months' files stay."""
+    path = _by_month(spark, _res(spark, d), "start_date")
+    lo = dt.date.fromisoformat(MONTH[0])
+    jobs.settle_partitions(spark, path, "start_date_month", _pay(spark, d),
+                           lambda t: partitioned.between_months(t, "start_date_month", lo, lo))
+    return spark.read.parquet(path).select("reservation_id", "status")
+
+
+@register("settle_cars_partitions", ORACLE["settle_cars"])
+def settle_cars_partitions_q(spark, d):
+    """The cars kept by brand, and moved in place: brands without a due car stay."""
+    due = small_side(_due(spark, d).select("reservation_id"))
+    due_rentals = sm.rental_lines(_t(spark, d, "lineitem")).join(due, "reservation_id", "left_semi")
+    moved = small_side(due_rentals.select(F.col("vin").alias("__due_vin")).distinct())
+    part = _t(spark, d, "part")
+    path = scratch_path(spark, "cars")
+    brands = part.select(F.col("p_partkey").alias("vin"), F.col("p_brand").alias("brand"))
+    sm.cars(part).join(brands, "vin").write.partitionBy("brand").parquet(path)
+    partitioned.update_partitions(
+        spark, path, "brand", lambda t: t.join(moved, F.col("vin") == F.col("__due_vin"), "left_semi"),
+        lambda t: settlement.settle_cars(t, due_rentals))
+    return spark.read.parquet(path).select("vin", "rental_location_id", "status")
+
+
+@register("cascade_delete_month",
+          f"SELECT {', '.join(_LINE_COLS)} FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o "
+          "JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderkey = l.l_orderkey "
+          f"AND c.c_mktsegment = 'BUILDING' AND o.o_orderdate >= DATE '{MONTH[0]}' AND o.o_orderdate < DATE '{MONTH[1]}')")
+def cascade_delete_month_q(spark, d):
+    """One month's orders of some customers deleted in place, with their
+    lines: both tables are kept by the order's month, and no other month is
+    written."""
+    orders = _t(spark, d, "orders").select(F.col("o_orderkey").alias("reservation_id"), "o_custkey",
+                                           F.to_date("o_orderdate").alias("start_date"))
+    lines = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("reservation_id"), *_LINE_COLS)
+    parent = _by_month(spark, orders, "start_date")
+    child = _by_month(spark, lines.join(orders.select("reservation_id", "start_date"), "reservation_id"), "start_date")
+    building = _t(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    lo = dt.date.fromisoformat(MONTH[0])
+    jobs.cascade_delete_partitions(
+        spark, parent, child, "start_date_month",
+        lambda t: partitioned.between_months(t, "start_date_month", lo, lo).join(
+            building, F.col("o_custkey") == F.col("c_custkey"), "left_semi"))
+    return spark.read.parquet(child).select(*_LINE_COLS)
+
+
+@register("append_load_twice", ORACLE["append_rows"])
+def append_load_twice_q(spark, d):
+    """Rows loaded, and the load repeated as after a failure: they are there once."""
+    region = _t(spark, d, "region")
+    path = scratch_path(spark, "loads")
+    rows = rows_frame(spark, [(5, "A"), (6, "B")], region.schema)
+    for df, load in ((region, "first"), (rows, "second"), (rows, "second"), (region, "first")):
+        partitioned.append_load(df, path, load)
+    return partitioned.read_loads(spark, path, region.schema)
+
+
 # ---------------------------------------------------------------- integrity
 
 @register("check_primary_key",
@@ -761,9 +802,6 @@ def check_length_q(spark, d):
                                   keep=["p_partkey"])
 
 
-_LINE_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-
-
 @register("cascade_delete",
           f"SELECT {', '.join(_LINE_COLS)} FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o "
           "JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderkey = l.l_orderkey "
@@ -842,6 +880,7 @@ def stream_one_time_promo_q(spark, d):
 
 
 WAIT_DAYS, RECORDED_AFTER = 400, 45
+LISTED_FROM, LISTED_DAYS = "1995-01-01", 2400
 
 
 @register("stream_cap_on_arrival",
@@ -889,3 +928,36 @@ def stream_first_uses_q(spark, d):
 
     stream_promos.replay_in_time_slices(kept, "ts", STREAM_SLICES, f"{base}/source", run)
     return spark.read.parquet(f"{base}/out").select("event_id", "event_type", "promo_available")
+
+
+@register("stream_price_on_arrival", sm.with_views(
+    "SELECT r.reservation_id, r.line_no, CASE WHEN date_diff('day', end_date, actual_end_date) >= 0 "
+    "THEN CAST(date_diff('day', end_date, actual_end_date) * 50 AS DECIMAL(12,2)) "
+    "ELSE penalty_amount END AS penalty_amount, CAST(p.price_per_day * "
+    "date_diff('day', r.start_date, r.actual_end_date) AS DECIMAL(18,2)) AS rental_amount, "
+    "CAST(i.insurance_price * date_diff('day', r.start_date, r.actual_end_date) AS DECIMAL(18,2)) "
+    "AS insurance_amount FROM rentals r LEFT JOIN prices p ON p.vin = r.vin "
+    f"AND abs(date_diff('day', DATE '{LISTED_FROM}', r.start_date) - p.vin % {LISTED_DAYS}) <= {WAIT_DAYS} "
+    "LEFT JOIN rates i ON i.car_type = p.car_type AND i.insurance_type = r.insurance_type",
+    "rentals", "prices", "rates"))
+def stream_price_on_arrival_q(spark, d):
+    """Rental lines booked on their order's date and cars listed on a day
+    fixed by their id, both arriving: a line is priced when its car comes
+    within 400 days on either side, and has no rent otherwise."""
+    base = scratch_path(spark, "stream_price_on_arrival")
+    _rentals(spark, d).withColumn("booked_at", F.col("start_date").cast("timestamp")).write.parquet(f"{base}/lines")
+    lines = spark.read.parquet(f"{base}/lines")
+    listed = F.date_add(F.lit(LISTED_FROM).cast("date"), (F.col("vin") % LISTED_DAYS).cast("int")).cast("timestamp")
+    cars = sm.prices(_t(spark, d, "part")).withColumn("listed_at", listed)
+    state.write_time_slices(lines, "booked_at", STREAM_SLICES, f"{base}/rentals.parquet", "20 YEARS")
+    state.write_time_slices(cars, "listed_at", STREAM_SLICES, f"{base}/cars.parquet", "20 YEARS", {"vin": -1})
+    priced = arrivals.priced_on_arrival(
+        stream_table(spark, base, "rentals"), stream_table(spark, base, "cars"), sm.rates(spark),
+        rent_time="booked_at", car_time="listed_at", wait=f"{WAIT_DAYS} DAYS", delay="800 DAYS", salt_by="reservation_id")
+    state.finish(state.start_with_state(
+        priced.writeStream.format("parquet").option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), spark))
+    handed_on = spark.read.schema(priced.schema).parquet(f"{base}/out")
+    rest = arrivals.missing_rentals(lines, handed_on, cars, sm.rates(spark), ["reservation_id", "line_no"])
+    return handed_on.unionByName(rest).select(
+        "reservation_id", "line_no", "penalty_amount", "rental_amount", "insurance_amount")

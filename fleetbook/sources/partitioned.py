@@ -50,7 +50,7 @@ def between_months(table: DataFrame, month: str, lo: dt.date | None = None, hi:
 
 # ------------------------------------------------------ rewriting what changed
 
-def replace_partitions(df: DataFrame, path: str, part: str) -> None:
+def replace_partitions(df: DataFrame, path: str, part: str | None) -> None:
     """Replace the partitions of ``path`` that ``df`` has rows of; the others
     keep their files.
 
@@ -61,20 +61,28 @@ def replace_partitions(df: DataFrame, path: str, part: str) -> None:
     """
     spark, pending = df.sparkSession, path.rstrip("/") + _PENDING
     recover(spark, path, part)
-    df.write.mode("overwrite").partitionBy(part).parquet(pending)
+    writer = df.write.mode("overwrite")
+    (writer if part is None else writer.partitionBy(part)).parquet(pending)
     mark, fs = _hadoop_path(spark, f"{pending}/{_COMPLETE}")
     fs.create(mark).close()
     recover(spark, path, part)
 
 
-def recover(spark: SparkSession, path: str, part: str) -> None:
+def replace_table(df: DataFrame, path: str) -> None:
+    """``replace_partitions`` for a table without partitions."""
+    replace_partitions(df, path, None)
+
+
+def recover(spark: SparkSession, path: str, part: str | None) -> None:
     """Finish or undo a replacement that was cut short."""
     pending = path.rstrip("/") + _PENDING
     if not path_exists(spark, pending):
         return
     if path_exists(spark, f"{pending}/{_COMPLETE}"):
-        (spark.read.parquet(pending).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).parquet(path))
+        writer = spark.read.parquet(pending).write.mode("overwrite")
+        if part is not None:
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(part)
+        writer.parquet(path)
     delete_path(spark, pending)
 
 

@@ -1,4 +1,4 @@
-"""Payments capped while payments and reservations both arrive.
+"""Payments capped, and rentals priced, while both sides arrive.
 
 A payment may come before the reservation that it pays. Both are streams
 here, joined on the reservation key in a state store: a row of either side
@@ -14,7 +14,9 @@ which it may come.
   rows without a time cannot be kept by it. None is lost: ``missing_payments``
   finds every payment that the stream did not hand on, and caps it in batch.
 
-The reservations are keyed by their id, one row each.
+The same holds for rentals and the cars that they rent: a rental may be
+booked before its car is listed, and is priced when that comes.
+Reservations and cars are keyed by their ids, one row each.
 """
 
 from __future__ import annotations
@@ -24,11 +26,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetbook.operators.pricing import cap_payment
+from fleetbook.functions.scalars import days_between
+from fleetbook.operators.pricing import LONG_AMOUNT, cap_payment, penalty_amount
+from fleetbook.plans.joins import bounded_broadcast
+from fleetbook.streaming.payments import priced_rentals
 
 SALTS = 4
 
 
+def _met(left: DataFrame, right: DataFrame, left_key: str, left_time: str, wait: str, delay: str,
+         salt_by: str | None, salts: int) -> DataFrame:
+    """Stream-stream left outer join of ``left`` to ``right`` (key ``__rk``, time
+    ``__rt``) where the times are at most ``wait`` apart. The left rows of a
+    key are spread over ``salts`` tasks by a hash of ``salt_by``, and the right
+    row is kept in each."""
+    left = left.where(F.col(left_time).isNotNull()).withWatermark(left_time, delay)
+    right = right.where(F.col("__rt").isNotNull()).withWatermark("__rt", delay)
+    gap = F.expr(f"INTERVAL {wait}")
+    match = ((F.col(left_key) == F.col("__rk")) & (F.col("__rt") >= F.col(left_time) - gap)
+             & (F.col("__rt") <= F.col(left_time) + gap))
+    if salt_by is not None:
+        left = left.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+        right = right.withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        match = match & (F.col("__salt") == F.col("__rsalt"))
+    return left.join(right, match, "leftOuter")
+
+
 def capped_on_arrival(payments: DataFrame, reservations: DataFrame, *, pay_time: str, res_time: str,
                       wait: str, delay: str, key: str = "reservation_id", paid: str = "amount_paid",
                       total: str = "tot_amount", salt_by: str | None = None, salts: int = SALTS) -> DataFrame:
@@ -41,20 +64,10 @@ def capped_on_arrival(payments: DataFrame, reservations: DataFrame, *, pay_time:
     in each, so that a reservation with very many payments does not fill one
     task and its state store.
     """
-    p = payments.where(F.col(pay_time).isNotNull()).withWatermark(pay_time, delay)
-    r = reservations.where(F.col(res_time).isNotNull()).select(
-        F.col(key).alias("__rk"), F.col(total).alias("__tot"), F.col(res_time).alias("__rt")).withWatermark("__rt", delay)
-    gap = F.expr(f"INTERVAL {wait}")
-    match = ((F.col(key) == F.col("__rk")) & (F.col("__rt") >= F.col(pay_time) - gap)
-             & (F.col("__rt") <= F.col(pay_time) + gap))
-    if salt_by is not None:
-        p = p.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-        r = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        match = match & (F.col("__salt") == F.col("__rsalt"))
+    totals = reservations.select(F.col(key).alias("__rk"), F.col(total).alias("__tot"), F.col(res_time).alias("__rt"))
+    met = _met(payments, totals, key, pay_time, wait, delay, salt_by, salts)
     capped = F.when(F.col(paid) > F.col("__tot"), F.col("__tot")).otherwise(F.col(paid))
-    return (p.join(r, match, "leftOuter")
-            .withColumn(paid, capped.cast(payments.schema[paid].dataType))
-            .select(*payments.columns))
+    return met.withColumn(paid, capped.cast(payments.schema[paid].dataType)).select(*payments.columns)
 
 
 def missing_payments(payments: DataFrame, handed_on: DataFrame, reservations: DataFrame, ids: Sequence[str],
@@ -65,3 +78,32 @@ def missing_payments(payments: DataFrame, handed_on: DataFrame, reservations: Da
     payments apart. Run it when the stream has passed the payments given."""
     rest = payments.join(handed_on.select(*ids).distinct(), list(ids), "left_anti")
     return cap_payment(rest, reservations, key=key, paid=paid, total=total).select(*payments.columns)
+
+
+def priced_on_arrival(rentals: DataFrame, cars: DataFrame, rates: DataFrame, *, rent_time: str, car_time: str,
+                      wait: str, delay: str, vin: str = "vin", salt_by: str | None = None,
+                      salts: int = SALTS) -> DataFrame:
+    """Late fee, rent and insurance of every rental once, as the rentals and
+    the ``cars`` (vin, car_type, price_per_day) both arrive: a stream-stream
+    left outer join; the rates are a static table. A rental whose car has not
+    come within ``wait`` is handed on without rent and insurance, as one of an
+    unknown car. ``salt_by`` as for ``capped_on_arrival``: a car may be in a
+    third of the rentals."""
+    terms = cars.select(F.col(vin).alias("__rk"), F.col("car_type").alias("__ctype"),
+                        F.col("price_per_day").alias("__price"), F.col(car_time).alias("__rt"))
+    met = penalty_amount(_met(rentals, terms, vin, rent_time, wait, delay, salt_by, salts))
+    covers = bounded_broadcast(rates.select(F.col("car_type").alias("__rct"), F.col("insurance_type").alias("__rit"),
+                                            F.col("insurance_price").alias("__rate")))
+    days = days_between("actual_end_date", "start_date")
+    out = met.join(covers, (F.col("__ctype") == F.col("__rct")) & (F.col("insurance_type") == F.col("__rit")), "left")
+    return (out.withColumn("rental_amount", (F.col("__price") * days).cast(LONG_AMOUNT))
+            .withColumn("insurance_amount", (F.col("__rate") * days).cast(LONG_AMOUNT))
+            .drop("__rk", "__rt", "__salt", "__rsalt", "__ctype", "__price", "__rct", "__rit", "__rate"))
+
+
+def missing_rentals(rentals: DataFrame, handed_on: DataFrame, cars: DataFrame, rates: DataFrame,
+                    ids: Sequence[str]) -> DataFrame:
+    """Rentals that the stream did not hand on, priced in batch against all
+    cars (see ``missing_payments``)."""
+    rest = rentals.join(handed_on.select(*ids).distinct(), list(ids), "left_anti")
+    return priced_rentals(rest, cars, rates).select(*handed_on.columns)

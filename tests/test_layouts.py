@@ -362,3 +362,65 @@ def test_a_filter_asked_of_a_table_function_reaches_the_reader(spark):
     with settings(spark, {"spark.sql.maxMetadataStringLength": "5000"}):
         text = plan(spark.sql("SELECT reservation_id FROM overdue_on(DATE '2024-02-01') WHERE reservation_id > 5"))
     assert "GreaterThan(reservation_id,5)" in text and "tot_amount" not in text
+
+
+# ------------------------------------------------------- a folder settled in place
+
+def _settled_folder(spark, seed, src):
+    """The seed tables, reservations and cars in partitions."""
+    parted = {"reservation": ("start_month", partitioned.month_of("start_date")), "car": ("kind", F.col("car_type"))}
+    for name, df in seed.items():
+        path = f"{src}/{name}.parquet"
+        if name in parted:
+            part, value = parted[name]
+            df.withColumn(part, value).write.partitionBy(part).parquet(path)
+        else:
+            df.write.parquet(path)
+
+
+def test_settling_a_folder_in_place_equals_the_whole_rewrite(spark, seed, monkeypatch):
+    expected = settlement.settle(seed["reservation"], seed["payment"], seed["offer_details"], seed["car"])
+    parts = {"reservation": "start_month", "car": "kind"}
+    src = folder()
+    _settled_folder(spark, seed, src)
+    before = {n: files(f"{src}/{n}.parquet") for n in ("reservation", "car")}
+    # dies when the offers and cars are done and the reservations are not: run again
+    real, seen = partitioned.update_partitions, []
+
+    def dies(spark, path, *a):
+        if "reservation" in path and not seen:
+            seen.append(path)
+            raise RuntimeError("lost")
+        return real(spark, path, *a)
+
+    monkeypatch.setattr(partitioned, "update_partitions", dies)
+    with pytest.raises(RuntimeError):
+        jobs.settle_in_place(spark, src, parts)
+    written = jobs.settle_in_place(spark, src, parts)
+    assert written["reservation"] and written["car"]
+    for name, df in expected.items():
+        assert rows(spark.read.parquet(f"{src}/{name}.parquet").select(df.columns)) == rows(df), name
+    for name in before:
+        n_parts = {os.path.dirname(f) for f in before[name]}
+        kept = {f: s for f, s in before[name].items()
+                if not any(f"{parts[name]}={v}/" in f for v in written[name])}
+        assert len(written[name]) < len(n_parts) and kept
+        assert {f: files(f"{src}/{name}.parquet").get(f) for f in kept} == kept
+    assert jobs.settle_in_place(spark, src, parts) == {"offer_details": [], "car": [], "reservation": []}
+
+
+def test_command_line_loads_and_settles_in_place(spark, seed):
+    from fleetbook.cli import main
+    from fleetbook.sources.schemas import SCHEMAS
+
+    base = folder()
+    seed["payment"].write.parquet(f"{base}/new")
+    for _ in range(2):   # a retried append
+        main(["append", "--src", f"{base}/new", "--dst", f"{base}/loads", "--table", "payment", "--load", "day-1"], spark)
+    got = partitioned.read_loads(spark, f"{base}/loads/payment.parquet", SCHEMAS["payment"])
+    assert rows(got) == rows(seed["payment"].select(got.columns))
+    src = f"{base}/tables"
+    _settled_folder(spark, seed, src)
+    main(["settle-in-place", "--src", src, "--reservation-part", "start_month", "--car-part", "kind"], spark)
+    expected = settlement.settle(seed["reservation"], seed["payment"], seed["offer_details"], seed["car"])["reservation"]
+    assert rows(spark.read.parquet(f"{src}/reservation.parquet").select(expected.columns)) == rows(expected)
