@@ -6,10 +6,10 @@ starts a pre-token and a single line feed is one, so a text may be cut there
 and the pieces encoded apart:
 ids and counts are those of the whole text. That bounds the memory of a long
 text, and pieces repeat (they are mostly words), so each worker keeps the
-results of short pieces in a bounded memo. A new piece of Latin letters, with
-or without a comma or full stop at its end, is one pre-token (or two), which
-goes to the library's model without its text stages. Tokenizers of another
-kind get whole texts.
+results of short pieces in a bounded memo. New pieces without white space go to
+the library many at once, joined by line feeds, and their ids are cut at the
+line feed's: a call a piece would cost several times the encoding itself.
+Tokenizers of another kind get whole texts.
 """
 
 from __future__ import annotations
@@ -23,27 +23,31 @@ import numpy as np
 
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)")
-# Byte-level vocabularies spell a byte as the character of that number if it
-# prints, the others in turn from 256 on
-_PRINTS = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_SPELLING = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_MARKED = re.compile("([^\\W\\d_]+)([.,])")
+_BLANK = re.compile(r"\s")
+JOINED_CHARS = 1 << 15  # of new pieces encoded in one go
 
 
 def _cuttable(spec: dict) -> bool:
     pre = spec.get("pre_tokenizer") or {}
     plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"]) and " " not in t["content"]
-                for t in spec.get("added_tokens", ()))
+                and "\n" not in t["content"] and not t["content"].isalpha() for t in spec.get("added_tokens", ()))
     return (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and plain
             and not pre.get("add_prefix_space") and spec.get("normalizer") is None)
 
 
+def _pieces(line: str) -> list[str]:
+    """``_CUT.split(line)``; single spaces alone, the usual case, need no search."""
+    words = line.split()
+    return words if words and " ".join(words) == line else _CUT.split(line)
+
+
 class Encoder:
     """Ids (as little-endian unsigned 32-bit bytes) or counts of texts by the
     library of the tokenizer file: tokenizers for .json, sentencepiece for
     .model; no begin, end or added special tokens, no truncation or padding."""
 
-    def __init__(self, path: str, ids: bool, memo_entries: int = 600_000, memo_chars: int = 64):
+    def __init__(self, path: str, ids: bool, memo_entries: int = 1_200_000, memo_chars: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         self.ids, self.memo_entries, self.memo_chars = ids, memo_entries, memo_chars
         self.heads: dict[str, bytes | int] = {}  # pieces as they are
@@ -61,34 +65,65 @@ class Encoder:
             tok = Tokenizer.from_file(path)
             tok.no_truncation()
             tok.no_padding()
-            self.model = tok.model
             self.library = lambda texts: [
                 e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-        self.feed = self._encode(["\n"])[0] if self.cut else None
+        self.feed, self.mark, self.joins = None, {}, False
+        if self.cut:
+            self.feed = self._encode(["\n"])[0]
+            feed = self.library(["\n"])[0]
+            self.joins, self.feed_id = len(feed) == 1, feed[0]  # a line feed is a token of its own
+            self.mark = dict(zip(".,", self._encode([".", ","])))
 
     def _encode(self, texts: list[str]) -> list:
         found = self.library(texts)
         return [np.asarray(x, "<u4").tobytes() for x in found] if self.ids else [len(x) for x in found]
 
-    def _word(self, word: str) -> bytes | int:
-        """The result of one pre-token, by the library's model."""
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(_SPELLING))
-        return np.array([t.id for t in tokens], "<u4").tobytes() if self.ids else len(tokens)
+    def _joined(self, pieces: list[str]) -> list:
+        """Results of pieces without white space but at their front: encoded as
+        lines of a text. A piece that holds the line feed's id itself makes the
+        lines too many, and the pieces are encoded apart."""
+        ids = np.asarray(self.library(["\n".join(pieces)])[0], "<u4")
+        feeds = np.flatnonzero(ids == self.feed_id)
+        if len(feeds) != len(pieces) - 1:
+            return self._encode(pieces)
+        lows, highs = [0, *(feeds + 1).tolist()], [*feeds.tolist(), len(ids)]
+        if not self.ids:
+            return [hi - lo for lo, hi in zip(lows, highs)]
+        data = ids.tobytes()
+        return [data[4 * lo:4 * hi] for lo, hi in zip(lows, highs)]
+
+    def _results(self, pieces: list[str]) -> list:
+        """Results of any pieces, those without inner white space many at once."""
+        out: dict[str, bytes | int] = {}
+        plain = [p for p in pieces if not _BLANK.search(p, 1)] if self.joins else []
+        lo = size = 0
+        for hi, p in enumerate(plain, 1):
+            size += len(p) + 1
+            if size >= JOINED_CHARS or hi == len(plain):
+                out.update(zip(plain[lo:hi], self._joined(plain[lo:hi])))
+                lo, size = hi, 0
+        other = [p for p in pieces if p not in out]
+        if other:
+            out.update(zip(other, self._encode(other)))
+        return [out[p] for p in pieces]
 
     def _learn(self, memo: dict, pieces: set[str], prefix: str) -> dict:
         """Results of the pieces that ``memo`` lacks. Short ones enter it while
-        there is room; the first seen are mostly the frequent ones."""
-        found, other = {}, []
+        there is room; the first seen are mostly the frequent ones. A word with
+        a comma or full stop is the word and the mark."""
+        found, marked, wanted = {}, [], {}
         for p in pieces.difference(memo):
-            word = _WORD.fullmatch(p)
-            if not word:
-                other.append(p)
-                continue
-            base = memo[word[1]] if word[1] in memo else self._word(prefix + word[1])
-            found[p] = base + self._word(word[2]) if word[2] else base
-        if other:
-            found.update(zip(other, self._encode([prefix + p for p in other])))
+            split = _MARKED.fullmatch(p)
+            if split:
+                marked.append((p, split[1], split[2]))
+                p = split[1]
+            if p not in memo:
+                wanted[p] = None
+        new = list(wanted)
+        found.update(zip(new, self._results([prefix + p for p in new])))
+        for p, word, mark in marked:
+            found[p] = (memo[word] if word in memo else found[word]) + self.mark[mark]
         if len(memo) < self.memo_entries:
             memo.update((p, r) for p, r in found.items() if len(p) <= self.memo_chars)
         return found
@@ -97,7 +132,7 @@ class Encoder:
         """One result per text: bytes of ids, or the count."""
         if not self.cut:
             return self._encode(texts)
-        split = [[_CUT.split(line) for line in _LINE.split(t)] for t in texts]
+        split = [[_pieces(line) for line in (_LINE.split(t) if "\n" in t else (t,))] for t in texts]
         heads = self._learn(self.heads, {line[0] for text in split for line in text}, "")
         tails = self._learn(self.tails, set().union(*(line[1:] for text in split for line in text)), " ")
 
