@@ -2,10 +2,11 @@
 
 A shard holds the ids of a run of documents in document order as bit planes,
 highest bit first; each plane keeps the order of the one before with the
-zeros moved to the front. With a running count of ones per block, a plane
-answers rank and select, so one file gives back any token, counts of a token
-in any range, and where its occurrences are, without listing the ids. Every
-section of a file is zstd-compressed.
+zeros moved to the front. The file also holds the ones of each block of a
+plane, so a plane answers rank and select, and one file gives back any token,
+counts of a token in any range, and where its occurrences are, without
+listing the ids. Sections are zstd-compressed, planes in chunks of their own,
+and a query decompresses only the chunks that it looks at.
 
 Files are written by Spark's own parquet writer, one shard (one row) a file:
 commits are atomic, a retried task replaces its own output, and the files are
@@ -16,6 +17,9 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
+from collections.abc import Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,46 +31,91 @@ from pyspark.sql import functions as F
 from fleetbook.llm.common import text_batches
 from fleetbook.llm.encoding import encoder
 
-MAGIC = b"FBWM"
-BLOCK = 512  # bits between two running counts
+MAGIC = b"FBW2"
+BLOCK = 512        # bits between two running counts
+CHUNK = 1 << 14    # bytes of a plane that are compressed together, whole blocks
+CHUNKS_KEPT = 64   # decompressed chunks of a plane that a reader keeps
+
+
+class Plane:
+    """The bits of a level, decompressed chunk by chunk as they are read."""
+
+    def __init__(self, chunks: list[bytes], size: int):
+        self.chunks, self.size, self.open = chunks, size, {}
+
+    def _chunk(self, i: int) -> np.ndarray:
+        if i not in self.open:
+            if len(self.open) >= CHUNKS_KEPT:
+                self.open.pop(next(iter(self.open)))
+            self.open[i] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.chunks[i], max_output_size=CHUNK), np.uint8)
+        return self.open[i]
+
+    def byte(self, i: int) -> int:
+        return int(self._chunk(i // CHUNK)[i % CHUNK])
+
+    def block(self, lo: int, hi: int) -> np.ndarray:
+        """Bytes [lo, hi) of one block."""
+        return self._chunk(lo // CHUNK)[lo % CHUNK:(hi - 1) % CHUNK + 1] if hi > lo else np.empty(0, np.uint8)
+
+    def whole(self) -> np.ndarray:
+        unzip = zstandard.ZstdDecompressor()
+        return np.frombuffer(b"".join(unzip.decompress(c, max_output_size=CHUNK) for c in self.chunks), np.uint8)
+
+
+class Packed(Plane):
+    """A plane that is not compressed."""
+
+    def __init__(self, data: np.ndarray):
+        self.data, self.size = data, len(data)
+
+    def byte(self, i: int) -> int:
+        return int(self.data[i])
+
+    def block(self, lo: int, hi: int) -> np.ndarray:
+        return self.data[lo:hi]
+
+    def whole(self) -> np.ndarray:
+        return self.data
+
+
+def block_ones(plane: np.ndarray) -> np.ndarray:
+    """The ones in each block of a plane."""
+    per = np.bitwise_count(np.pad(plane, (0, -len(plane) % (BLOCK // 8))))
+    return per.reshape(-1, BLOCK // 8).sum(1, dtype=np.uint16)
 
 
 class WaveletMatrix:
     """Rank and select over a sequence of ids below ``2 ** bits``."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]):
-        self.n, self.planes, self.zeros = n, planes, zeros
+    def __init__(self, n: int, planes: list[Plane], zeros: list[int], ones: list[np.ndarray]):
+        self.n, self.planes, self.zeros, self.ones = n, planes, zeros, ones
         self.bits = len(planes)
-        self.ranks = [self._ranks(p) for p in planes]
-
-    @staticmethod
-    def _ranks(plane: np.ndarray) -> np.ndarray:
-        per = np.bitwise_count(np.pad(plane, (0, -len(plane) % (BLOCK // 8))))
-        sums = per.reshape(-1, BLOCK // 8).sum(1, dtype=np.int64)
-        return np.concatenate([[0], np.cumsum(sums)])
+        self.ranks = [np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in ones]
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         cur = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-        planes, zeros = [], []
+        planes, zeros, after = [], [], np.empty_like(cur)
         for shift in range(bits - 1, -1, -1):
-            bit = (cur >> shift & 1).astype(bool)
-            planes.append(np.packbits(bit))
-            low = cur[~bit]
-            zeros.append(len(low))
-            cur = np.concatenate([low, cur[bit]])
-        return cls(len(ids), planes, zeros)
+            bit = (cur & cur.dtype.type(1 << shift)).astype(bool)
+            planes.append(Packed(np.packbits(bit)))
+            z = len(cur) - int(np.count_nonzero(bit))
+            zeros.append(z)
+            np.compress(~bit, cur, out=after[:z])
+            np.compress(bit, cur, out=after[z:])
+            cur, after = after, cur
+        return cls(len(ids), planes, zeros, [block_ones(p.data) for p in planes])
 
     def _bit(self, level: int, i: int) -> int:
-        return self.planes[level][i >> 3] >> (7 - (i & 7)) & 1
+        return self.planes[level].byte(i >> 3) >> (7 - (i & 7)) & 1
 
     def _ones(self, level: int, i: int) -> int:
         """Ones before position ``i`` of a plane."""
         block, rest = divmod(i, BLOCK)
         plane = self.planes[level]
         at = block * BLOCK // 8
-        n = int(self.ranks[level][block]) + int(np.bitwise_count(plane[at:i >> 3]).sum())
-        return n + (int(plane[i >> 3] >> (8 - (rest & 7))).bit_count() if rest & 7 else 0)
+        n = int(self.ranks[level][block]) + int(np.bitwise_count(plane.block(at, i >> 3)).sum())
+        return n + ((plane.byte(i >> 3) >> (8 - (rest & 7))).bit_count() if rest & 7 else 0)
 
     def access(self, i: int) -> int:
         value = 0
@@ -95,11 +144,15 @@ class WaveletMatrix:
     def _find(self, level: int, k: int, bit: int) -> int:
         """Position of the k-th (from 0) one or zero of a plane."""
         ranks = self.ranks[level]
-        held = ranks if bit else np.arange(len(ranks)) * BLOCK - ranks
-        block = int(np.searchsorted(held, k, side="right")) - 1
-        plane = self.planes[level][block * BLOCK // 8:(block + 1) * BLOCK // 8]
-        inside = np.flatnonzero(np.unpackbits(plane) == bit)
-        return block * BLOCK + int(inside[k - held[block]])
+
+        def before(b: int) -> int:
+            return int(ranks[b]) if bit else b * BLOCK - int(ranks[b])
+
+        block = bisect_right(range(len(ranks)), k, key=before) - 1
+        plane = self.planes[level]
+        data = plane.block(block * BLOCK // 8, min((block + 1) * BLOCK // 8, plane.size))
+        inside = np.flatnonzero(np.unpackbits(data) == bit)
+        return block * BLOCK + int(inside[k - before(block)])
 
     def select(self, value: int, k: int) -> int:
         """Position of the k-th (from 0) occurrence of ``value``."""
@@ -119,51 +172,64 @@ class WaveletMatrix:
         kind = np.uint16 if self.bits <= 16 else np.uint32
         cur = np.zeros(self.n, kind)
         for level in range(self.bits - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            bit = np.unpackbits(self.planes[level].whole(), count=self.n).view(bool)
             out = np.empty(self.n, kind)
             z = self.zeros[level]
-            out[~bit] = cur[:z]
-            out[bit] = cur[z:] | kind(1 << (self.bits - 1 - level))
+            out[np.flatnonzero(~bit)] = cur[:z]
+            out[np.flatnonzero(bit)] = cur[z:] | kind(1 << (self.bits - 1 - level))
             cur = out
         return cur.astype("<u4")
 
 
 def pack(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, bits: int) -> bytes:
-    """One shard as bytes: magic, bits, documents, ids, then the sections
-    (document ids, which of them are null, lengths, zeros per plane, planes)."""
+    """One shard as bytes: magic, bits, documents, ids, then the sections, each
+    with its length (document ids, which of them are null, lengths, zeros per
+    plane, ones per block of all planes), then per plane its chunks."""
     wm = WaveletMatrix.build(ids, bits)
-    sections = [
+    zip_ = zstandard.ZstdCompressor(level=1).compress
+    out = [MAGIC, struct.pack("<BQQ", bits, len(doc_ids), len(ids))]
+    for raw in (
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
         np.packbits([d is None for d in doc_ids]).tobytes() if doc_ids else b"",
         np.array(lengths, "<u8").tobytes(),
         np.array(wm.zeros, "<u8").tobytes(),
-        *(p.tobytes() for p in wm.planes),
-    ]
-    zip_ = zstandard.ZstdCompressor(level=1).compress
-    out = [MAGIC, struct.pack("<BQQ", bits, len(doc_ids), len(ids))]
-    for raw in sections:
+        np.concatenate([x.astype("<u2") for x in wm.ones]).tobytes(),
+    ):
         packed = zip_(raw)
         out += [struct.pack("<QQ", len(raw), len(packed)), packed]
+    for plane in wm.planes:
+        data = plane.whole().tobytes()
+        chunks = [zip_(data[lo:lo + CHUNK]) for lo in range(0, len(data), CHUNK)]
+        out += [struct.pack(f"<Q{len(chunks)}I", len(data), *map(len, chunks)), *chunks]
     return b"".join(out)
 
 
 def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """Document ids, lengths and the wavelet matrix of one shard file."""
+    """Document ids, lengths and the wavelet matrix of one shard file; its
+    planes stay compressed until they are read."""
     if data[:4] != MAGIC:
         raise ValueError("not a token shard")
     bits, n_docs, n = struct.unpack_from("<BQQ", data, 4)
     at, sections = 4 + struct.calcsize("<BQQ"), []
     unzip = zstandard.ZstdDecompressor()
-    for _ in range(4 + bits):
+    for _ in range(5):
         raw, packed = struct.unpack_from("<QQ", data, at)
         at += 16
         sections.append(unzip.decompress(data[at:at + packed], max_output_size=raw) if raw else b"")
         at += packed
+    planes = []
+    for _ in range(bits):
+        size, = struct.unpack_from("<Q", data, at)
+        lengths = struct.unpack_from(f"<{-(-size // CHUNK)}I", data, at + 8)
+        at += 8 + 4 * len(lengths)
+        edges = list(accumulate(lengths, initial=at))
+        planes.append(Plane([data[lo:hi] for lo, hi in zip(edges, edges[1:])], size))
+        at = edges[-1]
     nulls = np.unpackbits(np.frombuffer(sections[1], np.uint8), count=n_docs)
     docs = [None if x else int(d) for d, x in zip(np.frombuffer(sections[0], "<i8"), nulls)]
-    planes = [np.frombuffer(s, np.uint8) for s in sections[4:]]
     zeros = [int(z) for z in np.frombuffer(sections[3], "<u8")]
-    return docs, np.frombuffer(sections[2], "<u8").astype(np.int64), WaveletMatrix(n, planes, zeros)
+    ones = list(np.frombuffer(sections[4], "<u2").reshape(bits, -1)) if bits else []
+    return docs, np.frombuffer(sections[2], "<u8").astype(np.int64), WaveletMatrix(n, planes, zeros, ones)
 
 
 SHARDS = "part int, seq int, n_docs long, n_tokens long, payload binary"
@@ -220,14 +286,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bi
      .option("maxRecordsPerFile", 1).option("compression", "uncompressed").parquet(path))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, from the shard files alone: doc_id, start (ids of all
-    documents before it), n_tokens, ids_crc32 (of its ids as little-endian
-    unsigned 32-bit integers).
-
-    Starts add three running sums: inside a shard, over the shards of a
-    partition, and over partitions (as many rows as partitions).
-    """
+def _shards(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The shard files, and (part, seq, base): the ids before each shard."""
     shards = spark.read.schema(SHARDS).parquet(path)
     sizes = shards.select("part", "seq", "n_tokens")
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
@@ -238,6 +298,78 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     starts = (sizes.withColumn("shard_start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
               .join(parts, "part")
               .select("part", "seq", (F.col("part_start") + F.col("shard_start")).alias("base")))
+    return shards, starts
+
+
+def _asked(spark: SparkSession, path: str, answer, schema: str) -> DataFrame:
+    """``answer(base, docs, lengths, matrix)`` gives rows for every shard."""
+    shards, starts = _shards(spark, path)
+
+    def each(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                rows = list(answer(row["base"], *unpack(row["payload"])))
+                if rows:
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=kinds)
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = pa.schema([(n, pa.int64()) for n in names])
+    return shards.join(starts, ["part", "seq"]).select("base", "payload").mapInArrow(each, schema)
+
+
+def occurrences(spark: SparkSession, path: str, tokens: Sequence[int]) -> DataFrame:
+    """Where the asked tokens are: token, doc_id, offset in the document and
+    position among all ids; a row each, by select on each shard. The tokens
+    are a short list; a token that is nowhere has no row."""
+    wanted = sorted(set(tokens))
+
+    def answer(base, docs, lengths, wm):
+        ends = np.cumsum(lengths)
+        for token in wanted:
+            for at in wm.occurrences(token):
+                i = int(np.searchsorted(ends, at, side="right"))
+                yield token, docs[i], at - int(ends[i] - lengths[i]), base + at
+
+    return _asked(spark, path, answer, "token long, doc_id long, offset long, position long")
+
+
+def token_frequencies(spark: SparkSession, path: str, tokens: Sequence[int], lo: int = 0,
+                      hi: int | None = None) -> DataFrame:
+    """(token, n): how often each asked token is among the ids [lo, hi), by
+    two ranks a plane on each shard."""
+    wanted = sorted(set(tokens))
+
+    def answer(base, docs, lengths, wm):
+        first, last = max(0, lo - base), wm.n if hi is None else min(wm.n, hi - base)
+        if first < last:
+            yield from ((token, wm.count(token, first, last)) for token in wanted)
+
+    found = _asked(spark, path, answer, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    asked = spark.createDataFrame([(t,) for t in wanted], "token long")
+    return asked.join(found, "token", "left").select("token", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
+def tokens_at(spark: SparkSession, path: str, positions: Sequence[int]) -> DataFrame:
+    """(position, token) of the asked positions among all ids; those beyond
+    the ids have no row."""
+    wanted = sorted(set(positions))
+
+    def answer(base, docs, lengths, wm):
+        lo, hi = bisect_left(wanted, base), bisect_left(wanted, base + wm.n)
+        yield from ((p, wm.access(p - base)) for p in wanted[lo:hi])
+
+    return _asked(spark, path, answer, "position long, token long")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Per document, from the shard files alone: doc_id, start (ids of all
+    documents before it), n_tokens, ids_crc32 (of its ids as little-endian
+    unsigned 32-bit integers).
+
+    Starts add three running sums: inside a shard, over the shards of a
+    partition, and over partitions (as many rows as partitions).
+    """
+    shards, starts = _shards(spark, path)
 
     def documents(batches):
         for batch in batches:

@@ -66,7 +66,39 @@ def test_shards_round_trip(spark, docs, shard_tokens):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 3000])
+@pytest.mark.parametrize("shard_tokens", [40, 1 << 20])
+def test_lookups_over_shards(spark, docs, shard_tokens):
+    path = scratch_path(spark, "test-shards")
+    wavelet.write_shards(docs, path, tokenizer_path(BYTE_BPE), shard_tokens=shard_tokens)
+    rows = sorted(((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in docs.collect()))
+    every, where = [], []
+    for doc, text in rows:
+        for offset, token in enumerate([*ids_of(text), 2]):
+            where.append((token, None if doc < 0 else doc, offset, len(every)))
+            every.append(token)
+    asked = [2, every[3], every[len(every) // 2], 49_999, 1 << 20]
+    got = sorted((tuple(r) for r in wavelet.occurrences(spark, path, asked).collect()), key=str)
+    assert got == sorted((w for w in where if w[0] in asked), key=str)
+    for lo, hi in ((0, None), (7, 61), (5000, 5001), (10**9, None)):
+        n = {r.token: r.n for r in wavelet.token_frequencies(spark, path, asked, lo, hi).collect()}
+        assert n == {t: every[lo:hi].count(t) for t in asked}
+    at = [0, 1, len(every) - 1, len(every), len(every) // 3, 10**9]
+    got = {r.position: r.token for r in wavelet.tokens_at(spark, path, at).collect()}
+    assert got == {p: every[p] for p in at if p < len(every)}
+
+
+def test_a_lookup_opens_few_chunks():
+    ids = np.random.default_rng(5).integers(0, 50_000, 1 << 20).astype("<u4")
+    data = wavelet.pack([1], [len(ids)], ids, 16)
+    for use in (lambda wm: wm.access(700_000), lambda wm: wm.count(int(ids[5])), lambda wm: wm.select(int(ids[5]), 0)):
+        wm = wavelet.unpack(data)[2]
+        assert not any(p.open for p in wm.planes)
+        use(wm)
+        assert sum(len(p.open) for p in wm.planes) <= 3 * 16 < sum(len(p.chunks) for p in wm.planes)
+    assert wm.select(int(ids[5]), 0) == np.flatnonzero(ids == ids[5])[0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 3000, 300_000])
 def test_wavelet_rank_select(n):
     rng = np.random.default_rng(n)
     ids = rng.integers(0, 40, n).astype("<u4") * 1201
@@ -75,9 +107,11 @@ def test_wavelet_rank_select(n):
     assert wm.to_ids().tolist() == ids.tolist()
     for v in {*ids[:5].tolist(), 3}:
         at = np.flatnonzero(ids == v)
-        assert wm.occurrences(v) == at.tolist()
+        if n <= 3000:
+            assert wm.occurrences(v) == at.tolist()
+        assert [wm.select(v, k) for k in range(0, len(at), 999)] == at[::999].tolist()
         assert wm.count(v, n // 3, n) == (at >= n // 3).sum()
-    for i in range(0, n, 97):
+    for i in range(0, n, max(97, n // 200)):
         assert wm.access(i) == ids[i]
     with pytest.raises(IndexError):
         wm.select(3, 0)
