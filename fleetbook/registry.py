@@ -235,7 +235,7 @@ _DUE_SQL = ("SELECT r.* FROM reservations r JOIN (SELECT reservation_id AS paid_
 
 def _due(spark, d):
     res, reserved = _open(spark, d)
-    return settlement.due_reservations(res, _pay(spark, d), reserved=reserved)
+    return settlement.due_reservations(res, _pay(spark, d), reserved=reserved, few_open=None)
 
 
 @register("settle_due", sm.with_views(_DUE_SQL, "reservations", "payments"))
@@ -601,7 +601,7 @@ def settle_due_bucketed_q(spark, d):
 def settle_reservations_q(spark, d):
     res, reserved = _open(spark, d)
     done = settlement.settle_reservations(res, _pay(spark, d), reserved=reserved,
-                                          completed=sm.COMPLETED)
+                                          completed=sm.COMPLETED, few_open=None)
     return done.select("reservation_id", sm.status_name("status").alias("status"))
 
 

@@ -106,6 +106,27 @@ def test_settling_few_finds_them_with_the_filter(spark, rental, monkeypatch):
     assert rows(done) == rows(settlement.settle_reservations(res, pay))
 
 
+@pytest.mark.parametrize("name", ["settle_due", "settle_reservations"])
+def test_registered_settlements_use_the_filter_when_few_are_open(spark, name, monkeypatch):
+    """The same keys over a copy of the orders of which few are open."""
+    from fleetbook.plans import materialize
+
+    base = folder()
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    few_open = F.when(F.col("o_orderkey") % 40 == 0, "O").otherwise("F")
+    orders.withColumn("o_orderstatus", few_open).write.parquet(f"{base}/orders.parquet")
+    spark.read.parquet(f"{SF}/lineitem.parquet").write.parquet(f"{base}/lineitem.parquet")
+    seen, write = [], materialize.write_counted
+    monkeypatch.setattr(materialize, "write_counted", lambda df, *a: (seen.append(plan(df)), write(df, *a))[1])
+    with settings(spark, {**NO_BROADCAST, **SMALL_BLOOM}):
+        df = QUERIES[name](spark, base)
+        assert any("might_contain" in p for p in [*seen, plan(df)])
+        got = rows(df)
+    with settings(spark, {"spark.sql.optimizer.runtime.bloomFilter.enabled": "false"}):
+        monkeypatch.setattr(runtime_filters, "FEW_ROWS", 0)
+        assert got == rows(QUERIES[name](spark, base))
+
+
 def test_few_counts_rows_and_shares(spark, monkeypatch):
     df = spark.range(100)
     assert runtime_filters.few(df, F.col("id") < 10)
