@@ -10,7 +10,8 @@ from fleetbook.llm.common import written
 
 DIMS = ("source", "lang", "topic")
 ROUNDS = 8       # rakings over all margins
-CAP_ROUNDS = 12  # at most, to share out what capped cells cannot take
+SQL_CAP_ROUNDS = 12  # sharing out what capped cells cannot take, written out in ``mix_sql``
+CELLS_A_TASK = 1_000_000
 
 # Topics by the first marker that a text contains, else prose. Fixed values.
 TOPIC_MARKERS = (
@@ -36,6 +37,12 @@ def token_weight(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def _narrow(df: DataFrame, parts: int) -> DataFrame:
+    """A table of cells or margins in as few tasks as hold it. In one task
+    grouping and joining take no exchange, whatever the cluster's settings."""
+    return df.coalesce(parts)
+
+
 def flattened(cells: DataFrame, dim: str, power: float) -> DataFrame:
     """Target shares of one margin: today's shares raised to ``power`` (below
     1 lifts small values), made to sum to 1."""
@@ -48,36 +55,43 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     """``cells`` (dimension columns, tokens) with ``weight``: starting from the
     token shares, each margin in turn is scaled to its target shares, ``rounds``
     times. Each round is written to the shared folder. A value without a
-    target gets weight 0; a target without cells is left out."""
+    target gets weight 0; a target without cells is left out.
+
+    Cells and margins are merged, not broadcast: they are far smaller than
+    the documents, and a broadcast table a step would gather in the driver.
+    """
     dims = list(targets)
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
-    now = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
-    held = {dim: written(target, f"target-{dim}") for dim, target in targets.items()}
+    total, n = cells.agg(F.sum("tokens"), F.count(F.lit(1))).first()
+    parts = max(1, -(-n // CELLS_A_TASK))
+    now = cells.withColumn("weight", F.col("tokens") / F.lit(float(total or 1)))
+    for dim, target in targets.items():
+        target = _narrow(written(_narrow(target, parts), f"target-{dim}"), parts)
+        now = now.join(target.withColumnRenamed("share", f"share_{dim}").hint("merge"), dim, "left")
+    now = _narrow(written(now, "targets"), parts)
     for _ in range(rounds):
         for dim in dims:
             margin = now.groupBy(dim).agg(F.sum("weight").alias("whole"))
-            factor = margin.join(held[dim], dim, "left").select(
-                dim, F.when(F.col("whole") > 0, F.coalesce("share", F.lit(0.0)) / F.col("whole"))
-                .otherwise(0.0).alias("factor"))
-            now = now.join(factor, dim).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = written(now, "raked")
-    return now
+            scaled = F.col("weight") * F.coalesce(F.col(f"share_{dim}"), F.lit(0.0)) / F.col("whole")
+            now = now.join(margin.hint("merge"), dim).withColumn(
+                "weight", F.when(F.col("whole") > 0, scaled).otherwise(0.0)).drop("whole")
+        now = _narrow(written(now, "raked"), parts)
+    return now.drop(*(f"share_{dim}" for dim in dims))
 
 
 def calibrated(raked: DataFrame, fraction: float) -> DataFrame:
     """Cells with ``probability``: a cell's share of the budget (``fraction``
     of all tokens) over its tokens, at most 1. What capped cells cannot take
-    goes to the others in proportion to their weights."""
+    goes to the others in proportion to their weights, until no more cells
+    are capped; a round caps one at least, so it ends."""
     total = raked.agg(F.sum("tokens")).first()[0] or 0
-    budget, scale = fraction * total, None
-    for _ in range(CAP_ROUNDS):
+    budget, scale, n_capped = fraction * total, None, -1
+    while True:
         full = F.lit(False) if scale is None else F.col("weight") * scale >= F.col("tokens")
-        capped, free = raked.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("weight")))).first()
-        if not free:
-            break
-        before, scale = scale, max(0.0, budget - (capped or 0)) / free
-        if scale == before:
+        capped, free, n = raked.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("weight"))),
+                                    F.count_if(full)).first()
+        if not free or n == n_capped:
             break
+        scale, n_capped = max(0.0, budget - (capped or 0)) / free, n
     wanted = F.col("weight") * F.lit(scale or 0.0)
     return raked.withColumn("probability", F.when(wanted >= F.col("tokens"), 1.0).otherwise(wanted / F.col("tokens")))
 
@@ -92,6 +106,7 @@ def chances(docs: DataFrame, powers: dict[str, float], fraction: float) -> DataF
     """(source, lang, topic, probability) of every cell of rows as ``_rows``
     gives them."""
     cells = written(docs.where("tokens > 0").groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
+    cells = _narrow(cells, max(1, -(-cells.count() // CELLS_A_TASK)))
     raked = rake(cells, {dim: flattened(cells, dim, powers[dim]) for dim in DIMS})
     return written(calibrated(raked, fraction).select(*DIMS, "probability"), "chances")
 
@@ -173,14 +188,14 @@ def mix_sql(powers: dict[str, float], fraction: float, seed: int) -> str:
     FROM w{n - 1} w JOIN target_{dim} t ON t.{dim} = w.{dim}
 )""")
     steps.append(f"s0 AS MATERIALIZED (SELECT {fraction} * sum(tokens) / sum(weight) AS scale FROM w{n})")
-    for i in range(1, CAP_ROUNDS):
+    for i in range(1, SQL_CAP_ROUNDS):
         steps.append(f"""s{i} AS MATERIALIZED (
     SELECT coalesce(greatest(0, {fraction} * sum(tokens) - coalesce(sum(tokens) FILTER (WHERE weight * scale >= tokens), 0))
            / sum(weight) FILTER (WHERE weight * scale < tokens), max(scale)) AS scale
     FROM w{n}, s{i - 1}
 )""")
     return ",\n".join(steps) + f""", chance AS (
-    SELECT source, lang, topic, least(1.0, weight * scale / tokens) AS probability FROM w{n}, s{CAP_ROUNDS - 1}
+    SELECT source, lang, topic, least(1.0, weight * scale / tokens) AS probability FROM w{n}, s{SQL_CAP_ROUNDS - 1}
 )
 SELECT doc_id, d.source, d.lang, d.topic, d.tokens::BIGINT AS tokens, round(coalesce(probability, 1.0), 6) AS probability,
        CAST('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12) AS BIGINT) / 281474976710656.0
