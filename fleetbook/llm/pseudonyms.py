@@ -15,6 +15,8 @@ different, and the key gives them back.
 | card | 13 to 19 digits, plain or in card groups | Luhn | all but the last digit | Luhn sum |
 | ip | dotted quad | each at most 255 | the four bytes | dots |
 | date | y-m-d, y/m/d, d/m/y, d.m.y | calendar day | day within its 400 years | order, signs |
+| iban | country, two digits, 11 to 30 letters and digits, plain or in groups of four | remainder 1 modulo 97 | letters and digits after the check digits | country, remainder |
+| national | 3-2-4 digits | area 1 to 899 but 666, no part 0 | the three parts | hyphens |
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-KINDS = ("email", "phone", "card", "ip", "date")
+KINDS = ("email", "phone", "card", "ip", "date", "iban", "national")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Between digits of a phone number: a blank, dot or hyphen, a bracket, or a bracket with one of them outside
@@ -41,7 +43,9 @@ FOUND = "|".join((
     r"(?<![\d+])\d{4}(?:[ -]\d{4}){3}(?!\d)",
     r"(?<![\d+])\d{4}[ -]\d{6}[ -]\d{5}(?!\d)",
     rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
-    r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])",
+    r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4})(?: (?=[A-Z]*\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?)(?![\p{L}\p{N}])",
+    r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    r"(?<![\d-])\d{4}-\d{1,2}-\d{1,2}(?![\d-])",
     r"(?<![\d/])\d{4}/\d{1,2}/\d{1,2}(?![\d/])",
     r"(?<![\d/])\d{1,2}/\d{1,2}/\d{4}(?![\d/])",
     r"(?<![\d.])\d{1,2}\.\d{1,2}\.\d{4}(?!\.?\d)",
@@ -49,6 +53,8 @@ FOUND = "|".join((
 # A day number within the 400 years of the Gregorian cycle is a pair: 189 * 773 = 146,097 days
 CYCLE_DAYS, DAY_RADICES = 146_097, (189, 773)
 FIRST_DAY = "1800-01-01"
+# Parts of a 3-2-4 number: areas 1 to 899 but 666, groups 1 to 99, serials 1 to 9999
+NO_AREA, PART_RADICES = 666, (898, 99, 9999)
 
 
 def digits_of(value: Column) -> Column:
@@ -67,19 +73,46 @@ def luhn_sum(digits: Column) -> Column:
 
 def _parsed(value: Column) -> Column:
     """The calendar day of a date string, null if there is none."""
-    iso = F.try_to_date(value, "yyyy-MM-dd")
+    iso = F.try_to_date(value, "yyyy-M-d")
     return F.when(value.rlike("^\\d{4}-"), iso).when(
         value.rlike("^\\d{4}/"), F.try_to_date(value, "yyyy/M/d")).when(
         F.contains(value, F.lit("/")), F.try_to_date(value, "d/M/yyyy")).otherwise(F.try_to_date(value, "d.M.yyyy"))
 
 
+def mod_97(text: Column) -> Column:
+    """A string of capitals and digits as a number, modulo 97; A is 10."""
+    def step(rest, c):
+        return F.when(c == "", rest).when(c.rlike("[0-9]"), rest * 10 + c.cast("int")).otherwise(
+            rest * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _is_iban(value: Column) -> Column:
+    """15 to 34 characters, the check digits those that are reckoned from the others."""
+    plain = F.regexp_replace(value, " ", "")
+    return F.length(plain).between(15, 34) & (F.substring(plain, 3, 2) == _check_digits(plain))
+
+
+def _check_digits(plain: Column) -> Column:
+    moved = F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 2), F.lit("00"))
+    return F.lpad((98 - mod_97(moved)).cast("string"), 2, "0")
+
+
+def _is_national(value: Column) -> Column:
+    area, group, serial = (F.split(value, "-")[i].try_cast("int") for i in range(3))
+    return (area > 0) & (area < 900) & (area != NO_AREA) & (group > 0) & (serial > 0)
+
+
 def kind_of(value: Column) -> Column:
     """The kind of a found string, null when it fails validation."""
     n = F.length(digits_of(value))
     return (F.when(F.contains(value, F.lit("@")), "email")
             .when(F.startswith(value, F.lit("+")), F.when((n >= 8) & (n <= 15), "phone"))
             .when(value.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
-            .when(value.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})$"),
+            .when(value.rlike("^[A-Z]{2}"), F.when(_is_iban(value), "iban"))
+            .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.when(_is_national(value), "national"))
+            .when(value.rlike(r"^(\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})$"),
                   F.when(_parsed(value).isNotNull(), "date"))
             .when(value.rlike(r"^(1[ .-])?(\(|\d{3}[ .-])"), F.when((n >= 8) & (n <= 15), "phone"))
             .when(luhn_sum(digits_of(value)) == 0, "card"))
@@ -133,9 +166,11 @@ def _refilled(value: Column, pattern: str, new: Column) -> Column:
     return _let(F.struct(value.alias("value"), new.alias("new")), fill)
 
 
-def _characters(value: Column, tweak: str, key: str, forward: bool, pattern: str = "A-Za-z0-9") -> Column:
+def _characters(value: Column, tweak: str, key: str, forward: bool, pattern: str = "A-Za-z0-9",
+                group: Column | None = None) -> Column:
     """The characters of ``value`` in ``pattern`` permuted, each within its
-    own class (digits, small or capital letters)."""
+    own class (digits, small or capital letters); differently for each
+    ``group``."""
     chars = F.split(F.regexp_replace(value, f"[^{pattern}]", ""), "")
     chars = F.filter(chars, lambda c: c != "")
 
@@ -147,7 +182,8 @@ def _characters(value: Column, tweak: str, key: str, forward: bool, pattern: str
             (F.ascii(c) - first(c)).cast("long").alias("x"),
             F.when(first(c) == 48, 10).otherwise(26).cast("long").alias("m")))
         classes = F.array_join(F.transform(chars, lambda c: F.char(first(c))), "")  # part of the format
-        moved = feistel(pairs, F.concat(F.lit(f"{tweak}:"), classes), key, forward)
+        named = F.lit(f"{tweak}:") if group is None else F.concat(F.lit(f"{tweak}:"), group, F.lit(":"))
+        moved = feistel(pairs, F.concat(named, classes), key, forward)
         return F.zip_with(moved, chars, lambda p, c: F.char(p["x"] + first(c)))
 
     return _refilled(value, pattern, _let(chars, permuted))
@@ -187,6 +223,33 @@ def _card(value: Column, key: str, forward: bool) -> Column:
     return _let(_characters(payload, "card", key, forward, "0-9"), checked)
 
 
+def _iban(value: Column, key: str, forward: bool) -> Column:
+    def checked(plain):
+        def put(rest):
+            new = F.concat(F.substring(plain, 1, 2), F.lit("00"), rest)
+            return F.concat(F.substring(plain, 1, 2), _check_digits(new), rest)
+
+        country = F.substring(plain, 1, 2)
+        return _let(_characters(F.substr(plain, F.lit(5)), "iban", key, forward, "0-9A-Z", country), put)
+
+    new = _let(F.regexp_replace(value, " ", ""), checked)
+    return _refilled(value, "0-9A-Z", F.split(new, ""))
+
+
+def _national(value: Column, key: str, forward: bool) -> Column:
+    area, group, serial = (F.split(value, "-")[i].cast("long") for i in range(3))
+    parts = F.array(*(_pair(x, m) for x, m in zip(
+        (area - F.when(area < NO_AREA, 1).otherwise(2), group - 1, serial - 1), PART_RADICES)))
+
+    def written(m):
+        area = m[0]["x"] + 1
+        area = F.when(area < NO_AREA, area).otherwise(area + 1)
+        return F.concat_ws("-", *(F.lpad(x.cast("string"), n, "0") for x, n in (
+            (area, 3), (m[1]["x"] + 1, 2), (m[2]["x"] + 1, 4))))
+
+    return _let(feistel(parts, F.lit("national"), key, forward), written)
+
+
 def _ip(value: Column, key: str, forward: bool) -> Column:
     moved = feistel(F.transform(F.split(value, r"\."), lambda x: _pair(x, 256)), F.lit("ip"), key, forward)
     return F.array_join(F.transform(moved, lambda p: p["x"].cast("string")), ".")
@@ -215,9 +278,10 @@ def _written(value: Column, new: Column) -> Column:
     def day_first(sign, regex):
         return F.concat(padded(F.dayofmonth(new), regex, 0), F.lit(sign), padded(F.month(new), regex, 1), F.lit(sign), year)
 
-    return (F.when(value.rlike("^\\d{4}-"), F.date_format(new, "yyyy-MM-dd"))
-            .when(value.rlike("^\\d{4}/"), F.concat(year, F.lit("/"), padded(F.month(new), "/", 1), F.lit("/"),
-                                                    padded(F.dayofmonth(new), "/", 2)))
+    def year_first(sign):
+        return F.concat(year, F.lit(sign), padded(F.month(new), sign, 1), F.lit(sign), padded(F.dayofmonth(new), sign, 2))
+
+    return (F.when(value.rlike("^\\d{4}-"), year_first("-")).when(value.rlike("^\\d{4}/"), year_first("/"))
             .when(F.contains(value, F.lit("/")), day_first("/", "/")).otherwise(day_first(".", r"\.")))
 
 
@@ -226,7 +290,8 @@ def pseudonym(value: Column, key: str, forward: bool = True) -> Column:
     kind = kind_of(value)
     return (F.when(kind == "email", _email(value, key, forward)).when(kind == "phone", _phone(value, key, forward))
             .when(kind == "card", _card(value, key, forward)).when(kind == "ip", _ip(value, key, forward))
-            .when(kind == "date", _date(value, key, forward)).otherwise(value))
+            .when(kind == "date", _date(value, key, forward)).when(kind == "iban", _iban(value, key, forward))
+            .when(kind == "national", _national(value, key, forward)).otherwise(value))
 
 
 def _count(found: str, kind: str) -> Column:

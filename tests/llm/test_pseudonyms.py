@@ -132,3 +132,40 @@ def test_long_addresses_are_found(spark):
     mail = "a" * 300 + "@" + ".".join(["b" * 70] * 12) + ".museum"
     row = run(spark, [(1, f"to {mail} now")])[0]
     assert row.n_email == 1 and mail.split("@")[0] not in row.text and row.text.endswith(mail.split("@")[1] + " now")
+
+
+IBANS = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606", "NO9386011117947",
+         "ES91 2100 0418 4502 0005 1332", "MT84MALT011000012345MTLCAST001S"]
+
+
+def iban_rest(text):
+    plain = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_account_numbers(spark):
+    rows = run(spark, [(i, f"to {x}, today") for i, x in enumerate(IBANS)])
+    for r, x in zip(rows, IBANS):
+        new, = r.pseudonyms
+        assert r.n_iban == 1 and new != x and new[:2] == x[:2] and iban_rest(new) == 1, x
+        assert re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", new)) == re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", x))
+        assert r.text == f"to {new}, today"
+    assert [r.text for r in run(spark, [(r.doc_id, r.text) for r in rows], forward=False)] == [f"to {x}, today" for x in IBANS]
+    spaced = run(spark, [(1, "DE89 3704 0044 0532 0130 00")])[0].pseudonyms[0]
+    assert spaced.replace(" ", "") == rows[0].pseudonyms[0]
+    wrong = "DE88370400440532013000 GB29 NWBK 6016 1331 9268 18 AB12 and XX00123456789012"
+    assert run(spark, [(1, wrong)])[0].text == wrong
+
+
+def test_national_numbers_and_short_dates(spark):
+    numbers = ["123-45-6789", "665-01-0001", "667-99-9999", "899-50-5000", "001-01-0001"]
+    rows = run(spark, [(i, f"no. {x}.") for i, x in enumerate(numbers)])
+    for r in rows:
+        area, group, serial = map(int, r.pseudonyms[0].split("-"))
+        assert r.n_national == 1 and 0 < area < 900 and area != 666 and 0 < group < 100 and 0 < serial < 10_000
+        assert re.fullmatch(r"no\. \d{3}-\d\d-\d{4}\.", r.text)
+    assert [r.text for r in run(spark, [(r.doc_id, r.text) for r in rows], forward=False)] == [f"no. {x}." for x in numbers]
+    wrong = "666-12-3456 900-12-3456 000-12-3456 123-00-4567 123-45-0000 1123-45-6789 123-45-67890"
+    assert run(spark, [(1, wrong)])[0].text == wrong
+    row = run(spark, [(1, "on 2024-1-5, not 2024-13-5 or 2024-2-30")])[0]
+    assert row.n_date == 1 and re.search(r"on \d{4}-\d{1,2}-\d{1,2}, not 2024-13-5 or 2024-2-30", row.text)
