@@ -20,6 +20,7 @@ import random
 import re
 import zlib
 from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
@@ -167,7 +168,8 @@ def _mixed(tag: int, *codes: np.ndarray) -> np.ndarray:
 class Tokens:
     """All tokens of some texts, in order, as arrays with an entry each."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], whole: list[tuple[int, int, bool]] | None = None):
+        """``whole`` describes what each text is a part of (see ``_parts``)."""
         tiles, counts = [], []
         for t in texts:
             got = _TILE.findall(t)
@@ -189,9 +191,12 @@ class Tokens:
         self.glued = np.zeros(n, bool)      # to the token before
         self.glued[1:] = (np.diff(at) == 1) & ~self.first[1:] & (blank[1:] == 0)
         self.bounds = np.searchsorted(self.text, np.arange(len(texts) + 1))  # of each text's tokens
-        marks = np.fromiter(("=" in t for t in texts), np.uint32, len(texts))
-        lines = np.bincount(self.text[self.first], minlength=len(texts))
-        self.file = (_SIZES[np.minimum(lengths, 1023)], _SIZES[np.minimum(lines, 1023)], marks)
+        if whole is None:
+            lines = np.bincount(self.text[self.first], minlength=len(texts))
+            whole = zip(lengths.tolist(), lines.tolist(), ("=" in t for t in texts))
+        about = np.array(list(whole), np.int64).reshape(-1, 3)
+        self.file = (_SIZES[np.minimum(about[:, 0], 1023)], _SIZES[np.minimum(about[:, 1], 1023)],
+                     about[:, 2].astype(np.uint32))
 
     def _near(self, i: np.ndarray, values: np.ndarray, none: int = 0) -> np.ndarray:
         """``values`` at ``i``, ``none`` where that is no token of the same text."""
@@ -441,7 +446,26 @@ def fit(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: flo
     return field
 
 
-def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]:
+def _parts(text: str) -> Iterator[tuple[int, str]]:
+    """A text in parts of about ``CHUNK`` characters, cut behind line ends, with
+    the place of each; a longer line is a part of its own. No span crosses a
+    line end. The words before a cut are not seen by the line after it."""
+    lo = 0
+    while len(text) - lo > CHUNK:
+        hi = text.rfind("\n", lo, lo + CHUNK) + 1 or text.find("\n", lo) + 1 or len(text)
+        yield lo, text[lo:hi]
+        lo = hi
+    yield lo, text[lo:]
+
+
+def long_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
+    """``spans_of`` for one text of any length, read part by part."""
+    about = len(text), sum(1 for line in _LINE.finditer(text) if not line[0].isspace()), "=" in text
+    return [(lo + a, k, lo + b) for lo, part in _parts(text) for a, k, b in spans_of([part], field, [about])[0]]
+
+
+def spans_of(texts: list[str], field: Field,
+             whole: list[tuple[int, int, bool]] | None = None) -> list[list[tuple[int, int, int]]]:
     """Per text, all spans as (start, kind index, end), in order: the patterns'
     and the field's that meet none of them."""
     bases = [base_spans(t) for t in texts]
@@ -453,7 +477,7 @@ def spans_of(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
         n = bisect_left(starts[i], hi)
         return n > 0 and ends[i][n - 1] > lo
 
-    tokens = Tokens(texts)
+    tokens = Tokens(texts) if whole is None else Tokens(texts, whole)
     emit = tokens.emissions(field)
     need = _undecided(field, emit, tokens.first)
     at = np.flatnonzero(need)
@@ -504,7 +528,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
     gives the same bounded number of each class, those of least hash, and
     stands for ``DOC_CHAINS`` chains of a class at most, so that one document
     cannot fill the sample; weights restore the ratio of the classes. Variants
-    of the secrets come on top, ``SAMPLE_VARIANTS`` at most. Of an id
+    of the secrets come on top, ``SAMPLE_VARIANTS`` at most. Texts of more than
+    ``CHUNK`` characters do not train. Of an id
     with several texts the one of least hash trains. Only hashed features
     leave the executors."""
     sample = written(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
@@ -512,6 +537,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
     per_doc = max(4, SAMPLE_CHAINS // max(1, sample.count()))
     kind = docs.schema[id_col].dataType.simpleString()
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+             .where(F.length("text") <= CHUNK)
              .join(F.broadcast(sample), "id").select("id", F.xxhash64("text").alias("version"), "text"))
     chain_type = pa.list_(pa.struct([("at", pa.int64()), ("secret", pa.bool_()), ("stands", pa.float64())]))
 
@@ -591,7 +617,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     exclusive. Overlapping matches of different patterns are all kept; spans
     of the field that meet one of a pattern are not.
 
-    A null or empty text has no spans. Repeated rows are each returned and
+    A null or empty text has no spans. A very long text is read in parts (see
+    ``_parts``). Repeated rows are each returned and
     train once; a null id is scanned but does not train. An empty table gives
     no rows. Other columns are not read.
     """
@@ -601,7 +628,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def find(batches):
         for batch, texts in text_batches(batches, CHUNK):
-            spans = [[{"kind": KINDS[k], "start": lo, "end": hi} for lo, k, hi in s] for s in spans_of(texts, shared.value)]
+            long = len(texts) == 1 and len(texts[0]) > CHUNK  # text_batches gives it alone
+            found = [long_spans(texts[0], shared.value)] if long else spans_of(texts, shared.value)
+            spans = [[{"kind": KINDS[k], "start": lo, "end": hi} for lo, k, hi in s] for s in found]
             yield pa.record_batch([batch.column(0), pa.array(spans, span)], names=["id", "spans"])
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string"))

@@ -150,6 +150,23 @@ def test_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
     assert drawn([(least, rows[least][1])] * 50) == drawn([])
 
 
+def test_long_texts_are_read_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(s, "CHUNK", 500)
+    rng = random.Random(12)
+    lines = [rng.choice(["plain words of a line", "", "  ", f"token: {rng.getrandbits(160):040x}", "x" * 700 + " password=hunter22",
+                         f"AKIA{'Z9' * 10} é\U0001f600 {rng.getrandbits(99):030x}"]) for _ in range(300)]
+    text = "\n".join(lines)
+    parts = list(s._parts(text))
+    assert "".join(p for _, p in parts) == text and [lo for lo, _ in parts][1:] == list(itertools.accumulate(len(p) for _, p in parts))[:-1]
+    assert all(len(p) <= 500 or p.count("\n") <= 1 for _, p in parts) and len(parts) > 20
+    field = s.fit([])
+    assert s.long_spans(text, field) == s.spans_of([text], field)[0] != []
+    got = s.scan(spark.createDataFrame([(1, text), (2, lines[0]), (3, None)], "doc_id long, text string")).collect()
+    base = [x[:3] for x in s.base_spans(text)]
+    mine = next([(x.start, s.KINDS.index(x.kind), x.end) for x in r.spans if x.kind != "crf"] for r in got if r.doc_id == 1)
+    assert mine == base and len(got) == 3
+
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 HELD_OUT = {"HEX 40": (LETTERS[:6].upper() + "0123456789", 40, ""), "HEX 22": (LETTERS[:6].upper() + "0123456789", 22, ""),
             "hex 20": (LETTERS[:6] + "0123456789", 20, ""), "letters 30": (LETTERS + LETTERS.upper() + "0123456789", 30, ""),
