@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -901,13 +902,13 @@ def stream_cap_on_arrival_q(spark, d):
                                         money("o_totalprice").alias("tot_amount"), made.alias("made_at"))
     for name, table, time, row in (("pay", pay, "paid_at", {}), ("res", res, "made_at", {"reservation_id": -1})):
         state.write_time_slices(table, time, STREAM_SLICES, f"{base}/{name}.parquet", "20 YEARS", row)
-    out = arrivals.capped_on_arrival(
-        stream_table(spark, base, "pay"), stream_table(spark, base, "res"), pay_time="paid_at", res_time="made_at",
-        wait=f"{WAIT_DAYS} DAYS", delay="800 DAYS", salt_by="line_no")
-    state.finish(state.start_with_state(
-        out.writeStream.format("parquet").option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), spark))
-    handed_on = spark.read.schema(pay.schema).parquet(f"{base}/out")
+    how = {"wait": f"{WAIT_DAYS} DAYS", "delay": "800 DAYS", "salt_by": "line_no"}
+    cap = partial(arrivals.capped_on_arrival, pay_time="paid_at", res_time="made_at", **how)
+    writer = arrivals.ArrivalWriter(cap, f"{base}/out", f"{base}/state", key="reservation_id",
+                                    left_time="paid_at", right_time="made_at", **how)
+    stream_payments.run_foreach_batch(
+        arrivals.both_sides(stream_table(spark, base, "pay"), stream_table(spark, base, "res")), writer, f"{base}/checkpoint")
+    handed_on = spark.read.schema(pay.schema).parquet(f"{base}/out").select(*pay.columns)
     rest = arrivals.missing_payments(pay, handed_on, res, ["reservation_id", "line_no"])
     return handed_on.unionByName(rest).select("reservation_id", "line_no", "amount_paid")
 
