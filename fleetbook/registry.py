@@ -952,13 +952,14 @@ def stream_price_on_arrival_q(spark, d):
     cars = sm.prices(_t(spark, d, "part")).withColumn("listed_at", listed)
     state.write_time_slices(lines, "booked_at", STREAM_SLICES, f"{base}/rentals.parquet", "20 YEARS")
     state.write_time_slices(cars, "listed_at", STREAM_SLICES, f"{base}/cars.parquet", "20 YEARS", {"vin": -1})
-    priced = arrivals.priced_on_arrival(
-        stream_table(spark, base, "rentals"), stream_table(spark, base, "cars"), sm.rates(spark),
-        rent_time="booked_at", car_time="listed_at", wait=f"{WAIT_DAYS} DAYS", delay="800 DAYS", salt_by="reservation_id")
-    state.finish(state.start_with_state(
-        priced.writeStream.format("parquet").option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), spark))
-    handed_on = spark.read.schema(priced.schema).parquet(f"{base}/out")
+    how = {"wait": f"{WAIT_DAYS} DAYS", "delay": "800 DAYS", "salt_by": "reservation_id"}
+    price = partial(arrivals.priced_on_arrival, rates=sm.rates(spark), rent_time="booked_at", car_time="listed_at", **how)
+    writer = arrivals.ArrivalWriter(price, f"{base}/out", f"{base}/state", key="vin",
+                                    left_time="booked_at", right_time="listed_at", **how)
+    stream_payments.run_foreach_batch(
+        arrivals.both_sides(stream_table(spark, base, "rentals"), stream_table(spark, base, "cars")), writer, f"{base}/checkpoint")
+    priced = price(lines, cars).schema
+    handed_on = spark.read.schema(priced).parquet(f"{base}/out").select(*priced.names)
     rest = arrivals.missing_rentals(lines, handed_on, cars, sm.rates(spark), ["reservation_id", "line_no"])
     return handed_on.unionByName(rest).select(
         "reservation_id", "line_no", "penalty_amount", "rental_amount", "insurance_amount")
