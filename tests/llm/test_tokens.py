@@ -1,5 +1,6 @@
 """Token counts and token-ID shards against the library on whole texts."""
 
+import random
 import zlib
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from fleetbook.llm import counts, wavelet
+from fleetbook.llm.encoding import KEY_BYTES, Encoder, Slots
 from fleetbook.llm.queries import BYTE_BPE, tokenizer_path
 from fleetbook.session import scratch_path
 
@@ -115,3 +117,57 @@ def test_wavelet_rank_select(n):
         assert wm.access(i) == ids[i]
     with pytest.raises(IndexError):
         wm.select(3, 0)
+
+
+AWKWARD = ["word", "the", "É", "×", "÷", "ž", "Ж", "ѿ", "Ҁ", "中", "　", "\u2003", "\u0085", "\u1680", "\u200b", "“", "—",
+           "«", "°", "½", "١", "e\u0301", "😀", "\x00", "\x1c", "\t", "\r", "\n", "\n\n", " ", "  ", ".", ",", ":", "!", ")",
+           "'", "'s", "'S", "<|endoftext|>", "<|", "|>", "7", "3.5", "_", "Ġ", "Ċ", "q" * 20, "ab" * 9, "ª", "\xa0"]
+
+
+@pytest.mark.parametrize("memo", [{}, {"memo_entries": 0}, {"memo_entries": 40}, {"memo_bytes": 4}])
+def test_awkward_texts_match_library(memo):
+    path, rng = tokenizer_path(BYTE_BPE), random.Random(7)
+    library = Tokenizer.from_file(path)
+    ids, n = Encoder(path, ids=True, **memo), Encoder(path, ids=False, **memo)
+
+    def word():
+        return "".join(rng.choices("abcdeéñжя", k=rng.randint(1, 2 * KEY_BYTES)))
+
+    def text():
+        return "".join(rng.choice([rng.choice(AWKWARD), " ", "\n", ". ", " " + word()]) for _ in range(rng.choice([0, 1, 3, 80])))
+
+    assert ids([]) == n([]) == []
+    for _ in range(30):
+        texts = [text() for _ in range(rng.choice([1, 40]))]
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == want
+        assert n(texts) == [len(x) for x in want]
+    if "memo_entries" in memo:
+        assert ids.held == memo["memo_entries"] == ids.words.n + len(ids.longer)
+
+
+def test_slots_of_crowded_keys():
+    rng, slots = np.random.default_rng(3), Slots(bits=4)
+    keys = np.unique(rng.integers(0, 60, (4000, 2)).astype(np.uint64), axis=0) + np.array([0, 1], np.uint64)
+    rng.shuffle(keys)
+    low, high = keys.T.copy()
+    for lo, hi in ((0, 1), (1, 1000), (1000, 1500)):
+        assert (slots.find(low[lo:], high[lo:]) == -1).all()
+        slots.add(low[lo:hi], high[lo:hi], np.arange(lo, hi))
+        assert slots.find(low[:hi], high[:hi]).tolist() == list(range(hi))
+
+
+def test_words_skip_the_splitting_and_are_looked_up_once():
+    """New words of letters alone do not go through the library's splitting,
+    and a batch asks the memo once for each distinct piece."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("etaoinshré", k=rng.randint(2, 12))) for _ in range(2_000)]
+    texts = [" ".join(rng.choices(words, k=500)) + "." for _ in range(60)]
+    encode = Encoder(tokenizer_path(BYTE_BPE), ids=True)
+    library, find, asked, sought = encode.library, encode.words.find, [], []
+    encode.library = lambda pieces: asked.extend(pieces) or library(pieces)
+    encode.words.find = lambda low, high: sought.append(len(low)) or find(low, high)
+    got = encode(texts)
+    assert sum(map(len, asked)) < 100
+    assert sum(sought) <= 2 * len(set(words)) + 1 < 60 * 500
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == library(texts)
